@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DoubleType
 
 from lossmill.functions import round_snap
 
@@ -31,6 +32,13 @@ def exposure_weighted_ratio(silver: DataFrame) -> DataFrame:
     )
 
 
+def _shown(c: Column, kind: DataType) -> Column:
+    """A value as text; doubles with four decimals rather than in exponent form."""
+    if isinstance(kind, DoubleType):
+        return F.coalesce(F.round(c, 4).try_cast("decimal(28,4)").cast("string"), c.cast("string"))
+    return c.cast("string")
+
+
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: rows, nulls, null rate, min, max and approximate distinct count.
 
@@ -39,14 +47,14 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     names = list(columns or df.columns)
     measures = []
     for i, name in enumerate(names):
-        c = F.col(f"`{name}`")
+        c, kind = F.col(f"`{name}`"), df.schema[name].dataType
         measures.append(
             F.struct(
                 F.lit(name).alias("column_name"),
                 F.count(F.lit(1)).alias("row_count"),
                 F.count_if(c.isNull()).alias("null_count"),
-                F.min(c).cast("string").alias("min_value"),
-                F.max(c).cast("string").alias("max_value"),
+                _shown(F.min(c), kind).alias("min_value"),
+                _shown(F.max(c), kind).alias("max_value"),
                 F.approx_count_distinct(c).alias("approx_distinct"),
             ).alias(f"m{i}")
         )

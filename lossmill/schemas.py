@@ -98,9 +98,7 @@ GOLD_SUMMARY = _struct(
     min_loss_ratio=_D,
     processed_at=_T,
 )
-LEDGER = _struct(
-    table_name=_S, period=_S, operation=_S, rows_in=_L, rows_out=_L, run_ts=_T
-)
+LEDGER = _struct(table_name=_S, period=_S, operation=_S, row_count=_L, run_ts=_T)
 
 # The column names of the published source files and of tables already built on
 # them. `operators.naming` maps between these and the names used here.

@@ -40,6 +40,10 @@ def _is(segment: tuple[int, str]) -> Column:
     return (F.col("c_nationkey") == nation) & (F.col("coverage") == coverage)
 
 
+def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").select(_half_year("o_orderdate").alias("period"))
+
+
 def _order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the nation and coverage of their customer.
 
