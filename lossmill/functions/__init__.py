@@ -3,6 +3,8 @@
 from lossmill.functions.columns import (
     comma_decimal,
     comma_text,
+    exact,
+    inexact,
     is_malformed,
     loss_amount,
     loss_ratio,
@@ -14,6 +16,8 @@ from lossmill.functions.columns import (
 __all__ = [
     "comma_decimal",
     "comma_text",
+    "exact",
+    "inexact",
     "is_malformed",
     "loss_amount",
     "loss_ratio",

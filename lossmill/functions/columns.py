@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SNAP_DIGITS = 8
+_EXACT = "decimal(30,12)"
 _PLAIN_NUMBER = r"^\s*[+-]?\d+(,\d+)?\s*$"
 
 
@@ -56,6 +57,21 @@ def round_snap(c: Column | str, digits: int) -> Column:
     return F.coalesce(snapped, plain)
 
 
+def exact(c: Column | str) -> Column:
+    """A double as the decimal its digits spell; null where there is none (NaN, infinity, 1e18 up).
+
+    Decimals add up to the same sum in any order, doubles do not: how rows fall into partitions
+    would otherwise decide the cent a total rounds to.
+    """
+    return _col(c).try_cast(_EXACT)
+
+
+def inexact(c: Column | str) -> Column:
+    """The doubles that ``exact`` leaves out."""
+    value = _col(c)
+    return F.when(exact(value).isNull(), value)
+
+
 def loss_ratio(claims: Column | str, premium: Column | str, decimals: int = 4) -> Column:
     """Claims over premium, rounded; null unless the premium is above zero."""
     bottom = _col(premium)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossmill.functions import loss_amount, loss_ratio, risk_tier, round_snap
+from lossmill.functions import exact, inexact, loss_amount, loss_ratio, risk_tier, round_snap
 
 REGION = ("region_code", "region_name", "period")
 COVERAGE = ("coverage", "period")
@@ -20,16 +20,19 @@ PORTFOLIO = ("period",)
 SEGMENT = ("region_code", "region_name", "coverage", "period")
 
 
+_SUMMED = ("premium", "claim_amount", "exposure", "avg_insured")
+
+
 def totals(silver: DataFrame, by: Sequence[str], loss_above: float = 1.0) -> DataFrame:
+    """Mergeable totals per key. Amounts are summed as decimals (``sum_``), which is exact in any
+    order; what no decimal can hold, such as NaN, is summed apart (``rest_``, null if none)."""
     return silver.groupBy(*by).agg(
-        F.sum("premium").alias("sum_premium"),
-        F.sum("claim_amount").alias("sum_claim_amount"),
-        F.sum("exposure").alias("sum_exposure"),
+        *(F.sum(exact(c)).alias(f"sum_{c}") for c in _SUMMED),
+        *(F.sum(inexact(c)).alias(f"rest_{c}") for c in _SUMMED),
         F.count("coverage").alias("n_coverage"),
         F.count("region_code").alias("n_region"),
-        F.count_if(F.col("loss_ratio") > loss_above).alias("n_loss_making"),
-        F.sum("avg_insured").alias("sum_avg_insured"),
         F.count("avg_insured").alias("n_avg_insured"),
+        F.count_if(F.col("loss_ratio") > loss_above).alias("n_loss_making"),
         F.max("loss_ratio").alias("max_ratio"),
         F.min("loss_ratio").alias("min_ratio"),
     )
@@ -37,7 +40,7 @@ def totals(silver: DataFrame, by: Sequence[str], loss_above: float = 1.0) -> Dat
 
 def merge(parts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Totals of a finer grain, rolled up to ``by``."""
-    added = [c for c in parts.columns if c.startswith(("sum_", "n_"))]
+    added = [c for c in parts.columns if c.startswith(("sum_", "rest_", "n_"))]
     return parts.groupBy(*by).agg(
         *(F.sum(c).alias(c) for c in added),
         F.max("max_ratio").alias("max_ratio"),
@@ -45,19 +48,18 @@ def merge(parts: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _money(alias: str, source: str) -> Column:
-    return round_snap(source, 2).alias(alias)
+def _total(name: str) -> Column:
+    decimal, rest = F.col(f"sum_{name}").cast("double"), F.col(f"rest_{name}")
+    return F.coalesce(decimal + rest, decimal, rest)
 
 
-_SUMS = {
-    "total_premium": "sum_premium",
-    "total_claim_amount": "sum_claim_amount",
-    "total_exposure": "sum_exposure",
-}
+def _sums() -> list[Column]:
+    names = ("premium", "claim_amount", "exposure")
+    return [round_snap(_total(name), 2).alias(f"total_{name}") for name in names]
 
 
-def _sums() -> list[Column]:
-    return [_money(alias, source) for alias, source in _SUMS.items()]
+def _ratio_of_sums() -> Column:
+    return loss_ratio(_total("claim_amount"), _total("premium"))
 
 
 def region_mart(parts: DataFrame, high: float = 1.0, watch: float = 0.7) -> DataFrame:
@@ -65,7 +67,7 @@ def region_mart(parts: DataFrame, high: float = 1.0, watch: float = 0.7) -> Data
     mart = parts.select(
         *REGION,
         *_sums(),
-        loss_ratio("sum_claim_amount", "sum_premium").alias("loss_ratio"),
+        _ratio_of_sums().alias("loss_ratio"),
         F.col("n_coverage").alias("coverage_rows"),
     )
     return mart.withColumn("risk_tier", risk_tier("loss_ratio", high, watch))
@@ -73,11 +75,11 @@ def region_mart(parts: DataFrame, high: float = 1.0, watch: float = 0.7) -> Data
 
 def coverage_mart(parts: DataFrame) -> DataFrame:
     """From totals by ``COVERAGE``: sums, ratio of sums, row count and mean insured amount."""
-    mean = F.try_divide("sum_avg_insured", F.col("n_avg_insured"))
+    mean = F.try_divide(_total("avg_insured"), F.col("n_avg_insured"))
     return parts.select(
         *COVERAGE,
         *_sums(),
-        loss_ratio("sum_claim_amount", "sum_premium").alias("loss_ratio"),
+        _ratio_of_sums().alias("loss_ratio"),
         F.col("n_region").alias("region_rows"),
         round_snap(mean, 2).alias("mean_avg_insured"),
     )
@@ -88,7 +90,7 @@ def summary_mart(parts: DataFrame) -> DataFrame:
     return parts.select(
         *PORTFOLIO,
         *_sums(),
-        loss_ratio("sum_claim_amount", "sum_premium").alias("portfolio_loss_ratio"),
+        _ratio_of_sums().alias("portfolio_loss_ratio"),
         F.col("n_region").alias("segments"),
         F.col("n_loss_making").alias("loss_making_segments"),
         round_snap("max_ratio", 4).alias("max_loss_ratio"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType
 
-from lossmill.functions import round_snap
+from lossmill.functions import exact, round_snap
 
 
 def trend_by_region(region_mart: DataFrame) -> DataFrame:
@@ -26,9 +26,10 @@ def trend_by_region(region_mart: DataFrame) -> DataFrame:
 def exposure_weighted_ratio(silver: DataFrame) -> DataFrame:
     """Mean of row ratios weighted by exposure, per region and period."""
     rated = F.when(F.col("loss_ratio").isNotNull(), F.col("exposure"))
-    weighted = F.sum(F.col("loss_ratio") * F.col("exposure"))
+    weighted = F.sum(exact(F.col("loss_ratio") * F.col("exposure"))).cast("double")
+    weight = F.sum(exact(rated)).cast("double")
     return silver.groupBy("region_code", "region_name", "period").agg(
-        round_snap(F.try_divide(weighted, F.sum(rated)), 4).alias("weighted_ratio")
+        round_snap(F.try_divide(weighted, weight), 4).alias("weighted_ratio")
     )
 
 

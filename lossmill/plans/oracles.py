@@ -20,6 +20,17 @@ def _ratio(claims: str, premium: str, digits: int = 4) -> str:
     return f"case when {premium} > 0 then {_snap(f'{claims} / {premium}', digits)} end"
 
 
+def _sum(column: str) -> str:
+    """Exact: doubles as the decimals they spell, so that the order of rows does not matter."""
+    return f"cast(sum(cast(cast({column} as varchar) as decimal(30,12))) as double)"
+
+
+_SUM = {c: _sum(c) for c in ("premium", "claim_amount", "exposure", "avg_insured")}
+_TOTALS = ", ".join(
+    f"{_snap(_SUM[c], 2)} as total_{c}" for c in ("premium", "claim_amount", "exposure")
+)
+_RATIO_OF_SUMS = _ratio(_SUM["claim_amount"], _SUM["premium"])
+
 _TIER = """case when loss_ratio > 1.0 then 'HIGH' when loss_ratio > 0.7 then 'WATCH'
     else 'HEALTHY' end"""
 
@@ -104,10 +115,8 @@ clean as (
 by_region as (
     select *, {_TIER} as risk_tier from (
         select region_code, region_name, period,
-            {_snap('sum(premium)', 2)} as total_premium,
-            {_snap('sum(claim_amount)', 2)} as total_claim_amount,
-            {_snap('sum(exposure)', 2)} as total_exposure,
-            {_ratio('sum(claim_amount)', 'sum(premium)')} as loss_ratio,
+            {_TOTALS},
+            {_RATIO_OF_SUMS} as loss_ratio,
             count(coverage) as coverage_rows
         from clean group by region_code, region_name, period
     )
@@ -208,19 +217,15 @@ _BODIES = {
         where failure_reason is not null group by failure_reason""",
     "gold_by_region": "select * from by_region",
     "gold_by_coverage": f"""select coverage, period,
-            {_snap('sum(premium)', 2)} as total_premium,
-            {_snap('sum(claim_amount)', 2)} as total_claim_amount,
-            {_snap('sum(exposure)', 2)} as total_exposure,
-            {_ratio('sum(claim_amount)', 'sum(premium)')} as loss_ratio,
+            {_TOTALS},
+            {_RATIO_OF_SUMS} as loss_ratio,
             count(region_code) as region_rows,
-            {_snap('avg(avg_insured)', 2)} as mean_avg_insured
+            {_snap(f"{_SUM['avg_insured']} / count(avg_insured)", 2)} as mean_avg_insured
         from clean group by coverage, period""",
     "gold_alerts": "select * from alerts",
     "gold_summary": f"""select period,
-            {_snap('sum(premium)', 2)} as total_premium,
-            {_snap('sum(claim_amount)', 2)} as total_claim_amount,
-            {_snap('sum(exposure)', 2)} as total_exposure,
-            {_ratio('sum(claim_amount)', 'sum(premium)')} as portfolio_loss_ratio,
+            {_TOTALS},
+            {_RATIO_OF_SUMS} as portfolio_loss_ratio,
             count(region_code) as segments,
             cast(sum(case when loss_ratio > 1.0 then 1 else 0 end) as bigint)
                 as loss_making_segments,
@@ -249,8 +254,8 @@ _BODIES = {
                 lag(loss_ratio) over (partition by region_code order by period) as previous_ratio
             from by_region)""",
     "exposure_weighted_ratio": f"""select region_code, region_name, period,
-            {_snap('''sum(loss_ratio * exposure)
-                / sum(case when loss_ratio is not null then exposure end)''', 4)} as weighted_ratio
+            {_snap(_sum('loss_ratio * exposure') + ' / '
+                + _sum('case when loss_ratio is not null then exposure end'), 4)} as weighted_ratio
         from clean group by region_code, region_name, period""",
     "column_profile": _profile(
         "region_code", "coverage", "period", "premium", "claim_count", "failure_reason"
