@@ -48,38 +48,39 @@ def merge(parts: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _total(name: str) -> Column:
-    decimal, rest = F.col(f"sum_{name}").cast("double"), F.col(f"rest_{name}")
-    return F.coalesce(decimal + rest, decimal, rest)
+def _finished(parts: DataFrame) -> DataFrame:
+    """Each decimal sum and its rest as one double, then the ratio of sums."""
+    whole = {}
+    for name in _SUMMED:
+        amount, rest = F.col(f"sum_{name}").cast("double"), F.col(f"rest_{name}")
+        whole[name] = F.coalesce(amount + rest, amount, rest)
+    ratio = loss_ratio("claim_amount", "premium")
+    return parts.withColumns(whole).withColumn("loss_ratio", ratio)
 
 
 def _sums() -> list[Column]:
     names = ("premium", "claim_amount", "exposure")
-    return [round_snap(_total(name), 2).alias(f"total_{name}") for name in names]
-
-
-def _ratio_of_sums() -> Column:
-    return loss_ratio(_total("claim_amount"), _total("premium"))
+    return [round_snap(name, 2).alias(f"total_{name}") for name in names]
 
 
 def region_mart(parts: DataFrame, high: float = 1.0, watch: float = 0.7) -> DataFrame:
     """From totals by ``REGION``: sums, ratio of sums, row count and tier of the rounded ratio."""
-    mart = parts.select(
+    return _finished(parts).select(
         *REGION,
         *_sums(),
-        _ratio_of_sums().alias("loss_ratio"),
+        "loss_ratio",
         F.col("n_coverage").alias("coverage_rows"),
+        risk_tier("loss_ratio", high, watch).alias("risk_tier"),
     )
-    return mart.withColumn("risk_tier", risk_tier("loss_ratio", high, watch))
 
 
 def coverage_mart(parts: DataFrame) -> DataFrame:
     """From totals by ``COVERAGE``: sums, ratio of sums, row count and mean insured amount."""
-    mean = F.try_divide(_total("avg_insured"), F.col("n_avg_insured"))
-    return parts.select(
+    mean = F.try_divide("avg_insured", F.col("n_avg_insured"))
+    return _finished(parts).select(
         *COVERAGE,
         *_sums(),
-        _ratio_of_sums().alias("loss_ratio"),
+        "loss_ratio",
         F.col("n_region").alias("region_rows"),
         round_snap(mean, 2).alias("mean_avg_insured"),
     )
@@ -87,10 +88,10 @@ def coverage_mart(parts: DataFrame) -> DataFrame:
 
 def summary_mart(parts: DataFrame) -> DataFrame:
     """From totals by ``PORTFOLIO``: one row per period."""
-    return parts.select(
+    return _finished(parts).select(
         *PORTFOLIO,
         *_sums(),
-        _ratio_of_sums().alias("portfolio_loss_ratio"),
+        F.col("loss_ratio").alias("portfolio_loss_ratio"),
         F.col("n_region").alias("segments"),
         F.col("n_loss_making").alias("loss_making_segments"),
         round_snap("max_ratio", 4).alias("max_loss_ratio"),

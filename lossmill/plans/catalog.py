@@ -16,8 +16,9 @@ from lossmill.plans import medallion
 from lossmill.sinks import append_ledger, last_operations, reconcile, scratch_path
 from lossmill.sinks.ledger import Entry
 from lossmill.sinks.tables import period_counts, replace_period, replace_periods
-from lossmill.sources import read_delimited, read_period, read_regions, read_table, star
+from lossmill.sources import read_delimited, read_period, read_regions, read_table
 from lossmill.sources.delimited import FILE_ENCODING, FILE_FORMAT
+from lossmill.sources.star import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,33 +32,28 @@ def _unstamped(raw: DataFrame) -> DataFrame:
     return raw.withColumn("ingested_at", F.lit(None).cast("timestamp"))
 
 
-def _premium(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = silver.type_premium(_unstamped(star.premium_source(spark, sf_dir)))
-    return typed.drop("premium_ingested_at")
+def _premium(tables: Star) -> DataFrame:
+    return silver.type_premium(_unstamped(tables.premium)).drop("premium_ingested_at")
 
 
-def _claim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.type_claim(_unstamped(star.claim_source(spark, sf_dir)))
+def _claim(tables: Star) -> DataFrame:
+    return silver.type_claim(_unstamped(tables.claim))
 
 
-def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.region_source(spark, sf_dir).withColumnsRenamed(
-        {"code": "dim_code", "name": "region_name"}
-    )
+def _regions(tables: Star) -> DataFrame:
+    return tables.regions.withColumnsRenamed({"code": "dim_code", "name": "region_name"})
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.join_claims(_premium(spark, sf_dir), _claim(spark, sf_dir))
+def _joined(tables: Star) -> DataFrame:
+    return silver.join_claims(_premium(tables), _claim(tables))
 
 
-def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return medallion.tagged_rows(
-        _premium(spark, sf_dir), _claim(spark, sf_dir), _regions(spark, sf_dir)
-    )
+def _tagged(tables: Star) -> DataFrame:
+    return medallion.tagged_rows(_premium(tables), _claim(tables), _regions(tables))
 
 
-def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.split(_tagged(spark, sf_dir))[0]
+def _clean(tables: Star) -> DataFrame:
+    return quality.split(_tagged(tables))[0]
 
 
 def _as_files(frame: DataFrame, path: str) -> str:
@@ -73,96 +69,84 @@ def _as_files(frame: DataFrame, path: str) -> str:
 
 
 def src_locale_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _as_files(star.premium_source(spark, sf_dir), scratch_path(spark, "premium-files"))
+    path = _as_files(Star(spark, sf_dir).premium, scratch_path(spark, "premium-files"))
     return read_delimited(spark, path, schemas.PREMIUM_FILE, period_dirs=True)
 
 
 def src_region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _as_files(star.region_source(spark, sf_dir), scratch_path(spark, "region-files"))
+    path = _as_files(Star(spark, sf_dir).regions, scratch_path(spark, "region-files"))
     return read_regions(spark, path)
 
 
 def src_period_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "premium")
-    typed = _premium(spark, sf_dir)
+    typed = _premium(Star(spark, sf_dir))
     typed.write.partitionBy(schemas.PERIOD).parquet(path)
     return read_period(spark, path, typed.schema, SCANNED_PERIODS)
 
 
-def _store_premium(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """All periods, then one of them again with corrected rows. Returns path and stored table."""
-    source = star.premium_source(spark, sf_dir)
+def _store_premium(spark: SparkSession, tables: Star) -> DataFrame:
+    """All periods, then one of them again with corrected rows; the stored table."""
+    source = tables.premium
     path = scratch_path(spark, "premium")
-    source.write.partitionBy(schemas.PERIOD).parquet(path)
-    stored = read_table(spark, path, source.schema)
+    replace_periods(source, path, tables.periods)
     corrected = source.where(
         (F.col("period") == CORRECTED_PERIOD) & (F.col("coverage") != "MACHINERY")
     )
     replace_period(corrected, path, CORRECTED_PERIOD)
-    return path, stored
+    return read_table(spark, path, source.schema)
 
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = _premium(spark, sf_dir)
+    tables = Star(spark, sf_dir)
+    typed = _premium(tables)
     path = scratch_path(spark, "premium")
-    periods = medallion.periods_of(star.order_periods(spark, sf_dir))
-    replace_periods(typed, path, periods)
+    replace_periods(typed, path, tables.periods)
     return read_table(spark, path, typed.schema)
 
 
 def sink_replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, stored = _store_premium(spark, sf_dir)
-    return read_table(spark, path, stored.schema)
+    return _store_premium(spark, Star(spark, sf_dir))
 
 
 def ledger_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs: every premium period, one corrected period, the latest claim periods."""
+    """Three runs: every premium period, one corrected period, two claim periods."""
+    tables = Star(spark, sf_dir)
     ledger = scratch_path(spark, "ledger")
-    start = datetime(2020, 1, 1, tzinfo=timezone.utc)
 
-    def enter(run: int, name: str, counts: DataFrame) -> None:
-        run_ts = start.replace(day=1 + run)
+    def enter(day: int, name: str, stored: DataFrame) -> None:
+        run_ts = datetime(2020, 1, day, tzinfo=timezone.utc)
+        counts = period_counts(stored).collect()
         append_ledger(
-            spark,
-            ledger,
-            [Entry(name, period, "replace", rows, run_ts) for period, rows in counts.collect()],
+            spark, ledger, [Entry(name, period, "replace", rows, run_ts) for period, rows in counts]
         )
 
-    enter(0, "premium", period_counts(star.premium_source(spark, sf_dir)))
-    path, stored = _store_premium(spark, sf_dir)
-    enter(1, "premium", period_counts(read_period(spark, path, stored.schema, CORRECTED_PERIOD)))
-    claims = star.claim_source(spark, sf_dir).where(F.col("period").isin(*CLAIM_PERIODS))
+    enter(1, "premium", tables.premium)
+    stored = _store_premium(spark, tables)
+    enter(2, "premium", stored.where(F.col("period") == CORRECTED_PERIOD))
+    claims = tables.claim.where(F.col("period").isin(*CLAIM_PERIODS))
     claim_path = scratch_path(spark, "claim")
     replace_periods(claims, claim_path, CLAIM_PERIODS)
-    enter(2, "claim", period_counts(read_table(spark, claim_path, claims.schema)))
+    enter(3, "claim", read_table(spark, claim_path, claims.schema))
     return last_operations(spark, ledger, 5).drop("run_ts")
 
 
 def recon_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    premium = _as_files(star.premium_source(spark, sf_dir), scratch_path(spark, "premium-files"))
-    claim = _as_files(star.claim_source(spark, sf_dir), scratch_path(spark, "claim-files"))
-    periods = medallion.periods_of(star.order_periods(spark, sf_dir))
-    run = medallion.Settings(scratch_path(spark, "layers"), periods)
+    """Files to bronze to silver for all periods, then the rows of each stored layer."""
+    tables = Star(spark, sf_dir)
+    premium = _as_files(tables.premium, scratch_path(spark, "premium-files"))
+    claim = _as_files(tables.claim, scratch_path(spark, "claim-files"))
+    run = medallion.Settings(scratch_path(spark, "layers"), tables.periods)
     medallion.ingest(spark, run, premium, claim, period_dirs=True)
-    medallion.refine(spark, run, _regions(spark, sf_dir))
-    return reconcile(
-        {
-            "source_premium": read_delimited(
-                spark, premium, schemas.PREMIUM_FILE, period_dirs=True
-            ),
-            "source_claim": read_delimited(spark, claim, schemas.CLAIM_FILE, period_dirs=True),
-            "bronze_premium": read_table(
-                spark, run.path("bronze/premium"), schemas.BRONZE_PREMIUM
-            ),
-            "bronze_claim": read_table(spark, run.path("bronze/claim"), schemas.BRONZE_CLAIM),
-            "silver_clean": read_table(spark, run.clean, schemas.SILVER),
-            "silver_quarantine": read_table(spark, run.quarantine, schemas.QUARANTINE),
-        }
-    )
+    medallion.refine(spark, run, _regions(tables))
+    stored = medallion.stored_layers(spark, run)
+    premium_file = read_delimited(spark, premium, schemas.PREMIUM_FILE, period_dirs=True)
+    claim_file = read_delimited(spark, claim, schemas.CLAIM_FILE, period_dirs=True)
+    return reconcile({"source_premium": premium_file, "source_claim": claim_file} | stored)
 
 
 def bronze_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _as_files(star.claim_source(spark, sf_dir), scratch_path(spark, "claim-files"))
+    path = _as_files(Star(spark, sf_dir).claim, scratch_path(spark, "claim-files"))
     raw = read_delimited(spark, path, schemas.CLAIM_FILE, period_dirs=True)
     stamped = stamp(raw, datetime(2020, 1, 1, tzinfo=timezone.utc))
     return stamped.select(
@@ -176,45 +160,45 @@ def bronze_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_comma_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.premium_source(spark, sf_dir).select(
+    return Star(spark, sf_dir).premium.select(
         *KEYS, "premium", comma_decimal("premium").alias("premium_value")
     )
 
 
 def cast_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.claim_source(spark, sf_dir).select(
+    return Star(spark, sf_dir).claim.select(
         *KEYS, to_long("claim_count").alias("claim_count"), to_long("coverage").alias("no_number")
     )
 
 
 def cast_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = star.claim_source(spark, sf_dir)
+    raw = Star(spark, sf_dir).claim
     return silver.cast_columns(raw, decimals=["claim_amount"], longs=["claim_count"])
 
 
 def silver_typed_premium(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _premium(spark, sf_dir)
+    return _premium(Star(spark, sf_dir))
 
 
 def silver_typed_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _claim(spark, sf_dir).drop("claim_ingested_at")
+    return _claim(Star(spark, sf_dir)).drop("claim_ingested_at")
 
 
 def silver_null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _joined(spark, sf_dir).select(*KEYS, "claim_count", "claim_amount")
+    return _joined(Star(spark, sf_dir)).select(*KEYS, "claim_count", "claim_amount")
 
 
 def silver_loss_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _joined(spark, sf_dir).select(*KEYS, "premium", "claim_amount", "loss_ratio")
+    return _joined(Star(spark, sf_dir)).select(*KEYS, "premium", "claim_amount", "loss_ratio")
 
 
 def ratio_fn_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratios = [loss_ratio("claim_amount", "premium", n).alias(f"ratio_{n}") for n in (0, 2, 6)]
-    return _joined(spark, sf_dir).select(*KEYS, *ratios)
+    return _joined(Star(spark, sf_dir)).select(*KEYS, *ratios)
 
 
 def row_risk_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clean(spark, sf_dir).select(
+    return _clean(Star(spark, sf_dir)).select(
         *KEYS, "loss_ratio", risk_tier("loss_ratio").alias("risk_tier")
     )
 
@@ -223,123 +207,126 @@ def row_risk_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _joined(spark, sf_dir)
+    return _joined(Star(spark, sf_dir))
 
 
 def silver_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.enrich(_joined(spark, sf_dir), _regions(spark, sf_dir))
+    tables = Star(spark, sf_dir)
+    return silver.enrich(_joined(tables), _regions(tables))
 
 
 def dq_unknown_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unknown = silver.unknown_regions(_premium(spark, sf_dir), _regions(spark, sf_dir))
+    tables = Star(spark, sf_dir)
+    unknown = silver.unknown_regions(_premium(tables), _regions(tables))
     return unknown.select(*KEYS, "premium")
 
 
 def dq_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).select(*KEYS, "premium", "claim_amount", quality.REASON)
+    return _tagged(Star(spark, sf_dir)).select(*KEYS, "premium", "claim_amount", quality.REASON)
 
 
 def dq_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clean(spark, sf_dir)
+    return _clean(Star(spark, sf_dir))
 
 
 def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.split(_tagged(spark, sf_dir))[1]
+    return quality.split(_tagged(Star(spark, sf_dir)))[1]
 
 
 def dq_alert_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).select(*KEYS, "loss_ratio", "high_ratio_alert")
+    return _tagged(Star(spark, sf_dir)).select(*KEYS, "loss_ratio", "high_ratio_alert")
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(_tagged(spark, sf_dir))
+    return quality.quality_report(_tagged(Star(spark, sf_dir)))
 
 
 def dq_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quarantine_breakdown(_tagged(spark, sf_dir))
+    return quality.quarantine_breakdown(_tagged(Star(spark, sf_dir)))
 
 
 # Marts and reports ------------------------------------------------------------------------------
 
 
 def gold_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.by_region(_clean(spark, sf_dir))
+    mart = marts.by_region(_clean(Star(spark, sf_dir)))
     return marts.ranked(mart, "loss_ratio", ["region_code", "period"])
 
 
 def gold_by_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.by_coverage(_clean(spark, sf_dir))
+    mart = marts.by_coverage(_clean(Star(spark, sf_dir)))
     return marts.ranked(mart, "loss_ratio", ["coverage", "period"])
 
 
 def gold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.ranked(marts.alerts(_clean(spark, sf_dir)), "loss_ratio", KEYS)
+    return marts.ranked(marts.alerts(_clean(Star(spark, sf_dir))), "loss_ratio", KEYS)
 
 
 def gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.summary(_clean(spark, sf_dir))
+    return marts.summary(_clean(Star(spark, sf_dir)))
 
 
 def distinct_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = star.premium_source(spark, sf_dir)
+    raw = Star(spark, sf_dir).premium
     return marts.distinct_rows(raw, ["region_code", "region_name"])
 
 
 def distinct_coverages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.distinct_rows(_clean(spark, sf_dir), ["coverage"])
+    return marts.distinct_rows(_clean(Star(spark, sf_dir)), ["coverage"])
 
 
 def count_distinct_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.count_distinct(_clean(spark, sf_dir), "region_code", "regions")
+    return marts.count_distinct(_clean(Star(spark, sf_dir)), "region_code", "regions")
 
 
 def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.by_region(_clean(spark, sf_dir))
+    mart = marts.by_region(_clean(Star(spark, sf_dir)))
     return marts.top_n(mart, "loss_ratio", 10, ["region_code", "period"])
 
 
 def top_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _clean(spark, sf_dir).select(
+    rows = _clean(Star(spark, sf_dir)).select(
         *KEYS, "region_name", "premium", "claim_amount", "loss_ratio", "high_ratio_alert"
     )
     return marts.top_n(rows, "loss_ratio", 10, KEYS)
 
 
 def top_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = marts.alerts(_clean(spark, sf_dir)).select(
+    rows = marts.alerts(_clean(Star(spark, sf_dir))).select(
         *KEYS, "region_name", "loss_ratio", "loss_amount"
     )
     return marts.top_n(rows, "loss_ratio", 20, KEYS)
 
 
 def freq_premium_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.frequency(star.premium_source(spark, sf_dir), "coverage")
+    return marts.frequency(Star(spark, sf_dir).premium, "coverage")
 
 
 def freq_claim_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.frequency(star.claim_source(spark, sf_dir), "coverage")
+    return marts.frequency(Star(spark, sf_dir).claim, "coverage")
 
 
 def freq_risk_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.frequency(marts.by_region(_clean(spark, sf_dir)), "risk_tier")
+    return marts.frequency(marts.by_region(_clean(Star(spark, sf_dir))), "risk_tier")
 
 
 def trend_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.trend_by_region(marts.by_region(_clean(spark, sf_dir)))
+    return trends.trend_by_region(marts.by_region(_clean(Star(spark, sf_dir))))
 
 
 def exposure_weighted_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.exposure_weighted_ratio(_clean(spark, sf_dir))
+    return trends.exposure_weighted_ratio(_clean(Star(spark, sf_dir)))
 
 
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The approximate distinct count is left out: a sketch has no equal in SQL."""
     columns = ["region_code", "coverage", "period", "premium", "claim_count", "failure_reason"]
-    return trends.column_profile(_tagged(spark, sf_dir), columns).drop("approx_distinct")
+    return trends.column_profile(_tagged(Star(spark, sf_dir)), columns).drop("approx_distinct")
 
 
 def orphan_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orphans = silver.orphan_claims(_premium(spark, sf_dir), _claim(spark, sf_dir))
+    tables = Star(spark, sf_dir)
+    orphans = silver.orphan_claims(_premium(tables), _claim(tables))
     return orphans.drop("claim_ingested_at")
 
 

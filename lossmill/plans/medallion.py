@@ -5,7 +5,7 @@ Layers meet only through stored tables, so each can be run again on its own.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -48,28 +48,52 @@ class Settings:
         return tables.outcome_path(self.path("silver"), tables.QUARANTINED)
 
 
-def _record(
-    spark: SparkSession, run: Settings, rows_sent: int, stored: Mapping[str, DataFrame]
-) -> None:
-    """Compare the rows sent with the rows stored, then enter the tables in the ledger."""
-    counts = {name: dict(tables.period_counts(df).collect()) for name, df in stored.items()}
-    rows_stored = sum(sum(by_period.values()) for by_period in counts.values())
-    if rows_sent != rows_stored:
-        raise RuntimeError(f"{', '.join(stored)}: {rows_sent} row(s) sent, {rows_stored} stored")
-    entries = [
-        ledger.Entry(name, period, "replace", by_period.get(period, 0), run.run_ts)
-        for name, by_period in counts.items()
-        for period in run.periods
-    ]
-    ledger.append_ledger(spark, run.path("ledger"), entries)
+def stored_layers(spark: SparkSession, run: Settings) -> dict[str, DataFrame]:
+    """The bronze and silver tables of a run, its periods only."""
+    layers = {
+        "bronze_premium": (run.path("bronze/premium"), schemas.BRONZE_PREMIUM),
+        "bronze_claim": (run.path("bronze/claim"), schemas.BRONZE_CLAIM),
+        "silver_clean": (run.clean, schemas.SILVER),
+        "silver_quarantine": (run.quarantine, schemas.QUARANTINE),
+    }
+    return {
+        name: read_period(spark, path, schema, run.periods)
+        for name, (path, schema) in layers.items()
+    }
+
+
+@dataclass(frozen=True)
+class _Written:
+    """Rows sent in one pass, and the stored tables they went to."""
+
+    rows_sent: int
+    stored: Mapping[str, DataFrame]
 
 
 def _store(
     spark: SparkSession, run: Settings, table: str, df: DataFrame, schema: StructType
-) -> None:
+) -> _Written:
     path = run.path(table)
     rows = tables.replace_periods(df.select(*schema.names), path, run.periods)
-    _record(spark, run, rows, {table: read_period(spark, path, schema, run.periods)})
+    return _Written(rows, {table: read_period(spark, path, schema, run.periods)})
+
+
+def _record(spark: SparkSession, run: Settings, writes: Sequence[_Written]) -> None:
+    """Compare the rows sent with the rows stored, then enter the tables in the ledger."""
+    counted = tables.reconcile({k: v for w in writes for k, v in w.stored.items()}).collect()
+    counts = {(row["layer"], row["period"]): row["row_count"] for row in counted}
+    entries = []
+    for write in writes:
+        rows_stored = sum(n for (name, _), n in counts.items() if name in write.stored)
+        if rows_stored != write.rows_sent:
+            names = ", ".join(write.stored)
+            raise RuntimeError(f"{names}: {write.rows_sent} row(s) sent, {rows_stored} stored")
+        entries += [
+            ledger.Entry(name, period, "replace", counts.get((name, period), 0), run.run_ts)
+            for name in write.stored
+            for period in run.periods
+        ]
+    ledger.append_ledger(spark, run.path("ledger"), entries)
 
 
 def ingest(
@@ -82,21 +106,21 @@ def ingest(
     """Files to bronze. One period per call, or many when files lie in ``period=`` directories."""
     if not period_dirs and len(run.periods) != 1:
         raise ValueError("files without period directories hold exactly one period")
-    sources = {
-        "bronze/premium": (premium_path, schemas.PREMIUM_FILE, schemas.BRONZE_PREMIUM),
-        "bronze/claim": (claim_path, schemas.CLAIM_FILE, schemas.BRONZE_CLAIM),
-    }
-    frames = {}
-    for name, (path, file_schema, _) in sources.items():
-        raw = read_delimited(
-            spark, path, file_schema, encoding=run.encoding, period_dirs=period_dirs
-        )
-        stamped = stamp(raw, run.run_ts, None if period_dirs else run.periods[0])
-        if period_dirs:
-            stamped = stamped.where(F.col(schemas.PERIOD).isin(*run.periods))
-        frames[name] = require_rows(stamped, 1, path)
-    for name, (_, _, schema) in sources.items():
-        _store(spark, run, name, frames[name], schema)
+
+    def scan(path: str, schema: StructType) -> DataFrame:
+        raw = read_delimited(spark, path, schema, encoding=run.encoding, period_dirs=period_dirs)
+        if not period_dirs:
+            return require_rows(stamp(raw, run.run_ts, run.periods[0]), 1, path)
+        wanted = stamp(raw, run.run_ts).where(F.col(schemas.PERIOD).isin(*run.periods))
+        return require_rows(wanted, 1, path)
+
+    premium = scan(premium_path, schemas.PREMIUM_FILE)
+    claim = scan(claim_path, schemas.CLAIM_FILE)
+    writes = [
+        _store(spark, run, "bronze/premium", premium, schemas.BRONZE_PREMIUM),
+        _store(spark, run, "bronze/claim", claim, schemas.BRONZE_CLAIM),
+    ]
+    _record(spark, run, writes)
 
 
 def tagged_rows(
@@ -131,11 +155,9 @@ def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
     )
     ready = silver.processed(tagged, run.run_ts).select(*schemas.QUARANTINE.names)
     rows = tables.replace_outcomes(ready, run.path("silver"), run.periods)
-    stored = {
-        "silver/clean": read_period(spark, run.clean, schemas.SILVER, run.periods),
-        "silver/quarantine": read_period(spark, run.quarantine, schemas.QUARANTINE, run.periods),
-    }
-    _record(spark, run, rows, stored)
+    layers = stored_layers(spark, run)
+    stored = {f"silver/{name}": layers[f"silver_{name}"] for name in ("clean", "quarantine")}
+    _record(spark, run, [_Written(rows, stored)])
 
 
 def publish(spark: SparkSession, run: Settings) -> None:
@@ -164,10 +186,13 @@ def publish(spark: SparkSession, run: Settings) -> None:
             ),
             "gold/alerts": (marts.alerts(clean, run.loss_threshold), schemas.GOLD_ALERTS),
         }
-        for name, (mart, schema) in outputs.items():
+        writes = [
             _store(spark, run, name, silver.processed(mart, run.run_ts), schema)
+            for name, (mart, schema) in outputs.items()
+        ]
     finally:
         segments.unpersist()
+    _record(spark, run, writes)
 
 
 def run_all(
@@ -181,9 +206,3 @@ def run_all(
     ingest(spark, run, premium_path, claim_path, period_dirs)
     refine(spark, run, regions)
     publish(spark, run)
-
-
-def periods_of(df: DataFrame) -> tuple[str, ...]:
-    """The periods of a frame: a handful of labels, one per reporting half-year."""
-    found = df.select(schemas.PERIOD).distinct().collect()
-    return tuple(sorted(row[0] for row in found))

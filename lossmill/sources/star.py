@@ -6,6 +6,8 @@ carry planted faults so that every quality rule has something to find.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +23,6 @@ NO_CLAIM_COVERAGE = "FURNITURE"
 NO_CLAIM_NATIONS = (0, 5, 10, 15, 20)
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _half_year(c: str) -> Column:
     return F.concat(
         F.year(c).cast("string"), F.when(F.month(c) <= 6, "S1").otherwise("S2")
@@ -40,92 +38,104 @@ def _is(segment: tuple[int, str]) -> Column:
     return (F.col("c_nationkey") == nation) & (F.col("coverage") == coverage)
 
 
-def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").select(_half_year("o_orderdate").alias("period"))
+class Star:
+    """The frames of one star schema. Each table is opened once: listing the files of a large table
+    is not free, and the premium and the claim side share orders, customers and nations."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
 
-def _order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with the nation and coverage of their customer.
+    def _table(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 
-    Neither side carries a hint: customers grow with the data, so their size decides at run time
-    between broadcast and a sort-merge join, whose skewed partitions adaptive execution splits.
-    """
-    orders = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", _half_year("o_orderdate").alias("period")
-    )
-    customer = _table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", F.col("c_mktsegment").alias("coverage")
-    )
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    @cached_property
+    def _orders(self) -> DataFrame:
+        return self._table("orders").select(
+            "o_orderkey", "o_custkey", "o_totalprice", _half_year("o_orderdate").alias("period")
+        )
 
+    @cached_property
+    def _nation(self) -> DataFrame:
+        return self._table("nation").select("n_nationkey", "n_name")
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line count and net amount per order, summed on the map side before the shuffle.
+    @cached_property
+    def _order_segments(self) -> DataFrame:
+        """Orders with the nation and coverage of their customer.
 
-    The join on the order key then finds this side partitioned already, and an order with very
-    many lines arrives as one row per map task.
-    """
-    return (
-        _table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            F.count(F.lit(1)).alias("line_count"),
-            F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("line_amount"),
+        Neither side carries a hint: customers grow with the data, so their size decides at run
+        time between broadcast and a sort-merge join, whose skewed partitions adaptive execution
+        splits.
+        """
+        customer = self._table("customer").select(
+            "c_custkey", "c_nationkey", F.col("c_mktsegment").alias("coverage")
+        )
+        return self._orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+
+    @cached_property
+    def _order_lines(self) -> DataFrame:
+        """Line count and net amount per order, summed on the map side before the shuffle.
+
+        The join on the order key then finds this side partitioned already, and an order with very
+        many lines arrives as one row per map task.
+        """
+        amount = F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))
+        return (
+            self._table("lineitem")
+            .groupBy("l_orderkey")
+            .agg(F.count(F.lit(1)).alias("line_count"), amount.alias("line_amount"))
         )
-    )
-
 
-def _with_names(spark: SparkSession, sf_dir: str, totals: DataFrame) -> DataFrame:
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return totals.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    def _with_names(self, totals: DataFrame) -> DataFrame:
+        return totals.join(self._nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
+    @cached_property
+    def periods(self) -> tuple[str, ...]:
+        """The half-years of the orders: a few labels, reduced before they are fetched."""
+        return tuple(sorted(r[0] for r in self._orders.select("period").distinct().collect()))
 
-def premium_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = (
-        _order_segments(spark, sf_dir)
-        .groupBy("period", "c_nationkey", "coverage")
-        .agg(
+    @cached_property
+    def premium(self) -> DataFrame:
+        totals = self._order_segments.groupBy("period", "c_nationkey", "coverage").agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("o_totalprice").alias("total"),
             F.avg("o_totalprice").alias("mean"),
         )
-    )
-    return _with_names(spark, sf_dir, totals).select(
-        F.when(~_is(NULL_REGION), _code("c_nationkey")).alias("region_code"),
-        F.col("n_name").alias("region_name"),
-        "coverage",
-        comma_text("n").alias("exposure"),
-        F.when(_is(MALFORMED_PREMIUM), "n/d")
-        .when(_is(ZERO_PREMIUM), "0,0000")
-        .otherwise(comma_text("total"))
-        .alias("premium"),
-        comma_text("mean").alias("avg_insured"),
-        "period",
-    )
-
-
-def claim_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = (
-        _order_lines(spark, sf_dir)
-        .join(_order_segments(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
-        .where(
-            (F.col("coverage") != NO_CLAIM_COVERAGE)
-            | ~F.col("c_nationkey").isin(*NO_CLAIM_NATIONS)
+        return self._with_names(totals).select(
+            F.when(~_is(NULL_REGION), _code("c_nationkey")).alias("region_code"),
+            F.col("n_name").alias("region_name"),
+            "coverage",
+            comma_text("n").alias("exposure"),
+            F.when(_is(MALFORMED_PREMIUM), "n/d")
+            .when(_is(ZERO_PREMIUM), "0,0000")
+            .otherwise(comma_text("total"))
+            .alias("premium"),
+            comma_text("mean").alias("avg_insured"),
+            "period",
         )
-        .groupBy("period", "c_nationkey", "coverage")
-        .agg(F.sum("line_count").alias("n"), F.sum("line_amount").alias("total"))
-    )
-    signed = F.when(_is(NEGATIVE_CLAIM), -F.col("total")).otherwise(F.col("total"))
-    return _with_names(spark, sf_dir, totals).select(
-        _code("c_nationkey").alias("region_code"),
-        F.col("n_name").alias("region_name"),
-        "coverage",
-        F.col("n").cast("string").alias("claim_count"),
-        comma_text(signed).alias("claim_amount"),
-        "period",
-    )
 
+    @cached_property
+    def claim(self) -> DataFrame:
+        with_claims = (F.col("coverage") != NO_CLAIM_COVERAGE) | ~F.col("c_nationkey").isin(
+            *NO_CLAIM_NATIONS
+        )
+        totals = (
+            self._order_lines.join(
+                self._order_segments.where(with_claims), F.col("l_orderkey") == F.col("o_orderkey")
+            )
+            .groupBy("period", "c_nationkey", "coverage")
+            .agg(F.sum("line_count").alias("n"), F.sum("line_amount").alias("total"))
+        )
+        signed = F.when(_is(NEGATIVE_CLAIM), -F.col("total")).otherwise(F.col("total"))
+        return self._with_names(totals).select(
+            _code("c_nationkey").alias("region_code"),
+            F.col("n_name").alias("region_name"),
+            "coverage",
+            F.col("n").cast("string").alias("claim_count"),
+            comma_text(signed).alias("claim_amount"),
+            "period",
+        )
 
-def region_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _table(spark, sf_dir, "nation").where(~F.col("n_nationkey").isin(*UNLISTED_NATIONS))
-    return nation.select(_code("n_nationkey").alias("code"), F.col("n_name").alias("name"))
+    @cached_property
+    def regions(self) -> DataFrame:
+        listed = self._nation.where(~F.col("n_nationkey").isin(*UNLISTED_NATIONS))
+        return listed.select(_code("n_nationkey").alias("code"), F.col("n_name").alias("name"))
