@@ -5,10 +5,14 @@ Layers meet only through stored tables, so each can be run again on its own.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,6 +25,9 @@ from lossmill.sources.delimited import FILE_ENCODING, read_delimited, require_ro
 from lossmill.sources.tables import read_period
 
 
+T = TypeVar("T")
+
+
 @dataclass(frozen=True)
 class Settings:
     """Parameters of a run: where, which periods, which thresholds."""
@@ -39,29 +46,32 @@ class Settings:
         ``gold/alerts``, ``gold/summary`` or ``ledger``."""
         return f"{self.base.rstrip('/')}/{table}"
 
-    @property
-    def clean(self) -> str:
-        return tables.outcome_path(self.path("silver"), tables.CLEAN)
 
-    @property
-    def quarantine(self) -> str:
-        return tables.outcome_path(self.path("silver"), tables.QUARANTINED)
+def read_silver(spark: SparkSession, run: Settings, outcome: str) -> DataFrame:
+    """The clean or the quarantined rows of the periods of a run."""
+    schema = schemas.SILVER if outcome == tables.CLEAN else schemas.QUARANTINE
+    return tables.read_outcome(spark, run.path("silver"), schema, outcome, run.periods)
 
 
 def stored_layers(spark: SparkSession, run: Settings) -> dict[str, DataFrame]:
     """The bronze and silver tables of a run, its periods only."""
-    layers = {
-        "bronze_premium": (run.path("bronze/premium"), schemas.BRONZE_PREMIUM),
-        "bronze_claim": (run.path("bronze/claim"), schemas.BRONZE_CLAIM),
-        "silver_clean": (run.clean, schemas.SILVER),
-        "silver_quarantine": (run.quarantine, schemas.QUARANTINE),
-    }
+    bronze = {"premium": schemas.BRONZE_PREMIUM, "claim": schemas.BRONZE_CLAIM}
     return {
-        name: read_period(spark, path, schema, run.periods)
-        for name, (path, schema) in layers.items()
+        f"bronze_{name}": read_period(spark, run.path(f"bronze/{name}"), schema, run.periods)
+        for name, schema in bronze.items()
+    } | {
+        f"silver_{outcome}": read_silver(spark, run, outcome)
+        for outcome in (tables.CLEAN, tables.QUARANTINED)
     }
 
 
+def _together(spark: SparkSession, actions: Sequence[Callable[[], T]]) -> list[T]:
+    """Run independent Spark actions at the same time; small jobs then share the cluster."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return list(pool.map(lambda action: inherit(action)(), actions))
+
+
 @dataclass(frozen=True)
 class _Written:
     """Rows sent in one pass, and the stored tables they went to."""
@@ -114,12 +124,20 @@ def ingest(
         wanted = stamp(raw, run.run_ts).where(F.col(schemas.PERIOD).isin(*run.periods))
         return require_rows(wanted, 1, path)
 
-    premium = scan(premium_path, schemas.PREMIUM_FILE)
-    claim = scan(claim_path, schemas.CLAIM_FILE)
-    writes = [
-        _store(spark, run, "bronze/premium", premium, schemas.BRONZE_PREMIUM),
-        _store(spark, run, "bronze/claim", claim, schemas.BRONZE_CLAIM),
-    ]
+    premium, claim = _together(
+        spark,
+        [
+            lambda: scan(premium_path, schemas.PREMIUM_FILE),
+            lambda: scan(claim_path, schemas.CLAIM_FILE),
+        ],
+    )
+    writes = _together(
+        spark,
+        [
+            lambda: _store(spark, run, "bronze/premium", premium, schemas.BRONZE_PREMIUM),
+            lambda: _store(spark, run, "bronze/claim", claim, schemas.BRONZE_CLAIM),
+        ],
+    )
     _record(spark, run, writes)
 
 
@@ -146,17 +164,23 @@ def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
         read_period(spark, run.path("bronze/claim"), schemas.BRONZE_CLAIM, run.periods),
         run.strict_numbers,
     )
-    tagged = tagged_rows(
-        premium,
-        claim,
-        silver.require_unique(regions),
-        run.alert_threshold,
-        repeated_claim_keys=not silver.repeated_claims(claim).isEmpty(),
+    known, repeated = _together(
+        spark,
+        [
+            lambda: silver.require_unique(regions),
+            lambda: not silver.repeated_claims(claim).isEmpty(),
+        ],
     )
+    tagged = tagged_rows(premium, claim, known, run.alert_threshold, repeated)
     ready = silver.processed(tagged, run.run_ts).select(*schemas.QUARANTINE.names)
-    rows = tables.replace_outcomes(ready, run.path("silver"), run.periods)
-    layers = stored_layers(spark, run)
-    stored = {f"silver/{name}": layers[f"silver_{name}"] for name in ("clean", "quarantine")}
+    # Unique claims are few and broadcast, which keeps the periods of the premium scan apart.
+    rows = tables.replace_outcomes(
+        ready, run.path("silver"), run.periods, rebalance=repeated and len(run.periods) > 1
+    )
+    stored = {
+        f"silver/{outcome}": read_silver(spark, run, outcome)
+        for outcome in (tables.CLEAN, tables.QUARANTINED)
+    }
     _record(spark, run, [_Written(rows, stored)])
 
 
@@ -166,7 +190,7 @@ def publish(spark: SparkSession, run: Settings) -> None:
     Silver is scanned once for the three aggregated marts: segment totals, one row per key, are
     kept and rolled up. The alert list reads only rows above the threshold.
     """
-    clean = read_period(spark, run.clean, schemas.SILVER, run.periods)
+    clean = read_silver(spark, run, tables.CLEAN)
     segments = marts.totals(clean, marts.SEGMENT, run.loss_threshold).persist()
     try:
         outputs = {
@@ -186,10 +210,13 @@ def publish(spark: SparkSession, run: Settings) -> None:
             ),
             "gold/alerts": (marts.alerts(clean, run.loss_threshold), schemas.GOLD_ALERTS),
         }
-        writes = [
-            _store(spark, run, name, silver.processed(mart, run.run_ts), schema)
-            for name, (mart, schema) in outputs.items()
-        ]
+        writes = _together(
+            spark,
+            [
+                partial(_store, spark, run, name, silver.processed(mart, run.run_ts), schema)
+                for name, (mart, schema) in outputs.items()
+            ],
+        )
     finally:
         segments.unpersist()
     _record(spark, run, writes)

@@ -8,10 +8,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lossmill.operators.quality import REASON
 from lossmill.schemas import PERIOD
+from lossmill.sources.tables import read_period
 
 OUTCOME = "outcome"
 CLEAN, QUARANTINED = "clean", "quarantine"
@@ -42,8 +43,10 @@ def _only(df: DataFrame, wanted: list[str]) -> DataFrame:
     return df.withColumn(PERIOD, F.when(period.isin(*wanted), period).otherwise(foreign))
 
 
-def _overwrite(df: DataFrame, path: str, by: Sequence[str], rebalance: bool) -> tuple[int, set[str]]:
-    """Replace the partitions ``df`` has rows for; returns the row count and those partitions.
+def _replace(
+    df: DataFrame, path: str, by: Sequence[str], expected: set[tuple[str, ...]], rebalance: bool
+) -> int:
+    """Make the ``expected`` partitions equal to ``df``; returns its row count.
 
     Dynamic overwrite stages the files and swaps them in when the job commits, so a job that fails
     leaves the stored partitions as they were. Rows and partitions are observed in the same pass.
@@ -55,68 +58,75 @@ def _overwrite(df: DataFrame, path: str, by: Sequence[str], rebalance: bool) ->
     observed = df.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
-        F.collect_set(F.concat_ws("/", *by)).alias("partitions"),
+        F.collect_set(F.struct(*by)).alias("partitions"),
     )
     writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*by).parquet(path)
     metrics = seen.get
-    return metrics["rows"], set(metrics["partitions"])
+    missing = expected - {tuple(row) for row in metrics["partitions"]}
+    if missing:
+        _empty(df, path, by, missing)
+    return metrics["rows"]
+
 
+def _empty(df: DataFrame, path: str, by: Sequence[str], missing: set[tuple[str, ...]]) -> None:
+    """Take the rows out of the given partitions: dynamic overwrite keeps what it has no rows for.
 
-def _clear(spark: SparkSession, schema: StructType, path: str, by: Sequence[str], at: str) -> None:
-    """Leave a partition without rows: dynamic overwrite keeps partitions the frame lacks."""
-    inner = StructType([f for f in schema.fields if f.name not in by])
-    folder = "/".join(f"{name}={value}" for name, value in zip(by, at.split("/")))
-    empty = spark.createDataFrame([], inner)
-    empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
+    Which of them hold rows is found from file footers, since no column but ``by`` is read.
+    """
+    keys = StructType([StructField(c, StringType(), True) for c in by])
+    inner = StructType([f for f in df.schema.fields if f.name not in by])
+    stored = df.sparkSession.read.schema(keys).parquet(path)
+    periods = {partition[by.index(PERIOD)] for partition in missing}
+    for row in stored.where(F.col(PERIOD).isin(*periods)).distinct().collect():
+        if tuple(row) in missing:
+            folder = "/".join(f"{c}={row[c]}" for c in by)
+            empty = df.sparkSession.createDataFrame([], inner)
+            empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
 
 
 def replace_periods(
-    df: DataFrame, path: str, periods: Iterable[str], rebalance: bool | None = None
+    df: DataFrame, path: str, periods: Iterable[str], rebalance: bool = False
 ) -> int:
     """Make the stored ``periods`` equal to ``df``; other periods stay untouched.
 
     The first call creates the table. Periods without rows in ``df`` end up empty. Running twice
-    changes nothing. Returns the number of rows written. ``rebalance`` (default: when there is
-    more than one period) shuffles rows by period so that not every task writes every period.
+    changes nothing. Returns the number of rows written.
+
+    A scan of period directories keeps periods apart, so its tasks write few files each. Set
+    ``rebalance`` when several periods come out of a shuffle that mixed them; it costs one more.
     """
     wanted = _named(periods)
-    shuffle = len(wanted) > 1 if rebalance is None else rebalance
-    rows, present = _overwrite(_only(df, wanted), path, [PERIOD], shuffle)
-    for period in wanted:
-        if period not in present:
-            _clear(df.sparkSession, df.schema, path, [PERIOD], period)
-    return rows
+    expected = {(period,) for period in wanted}
+    return _replace(_only(df, wanted), path, [PERIOD], expected, rebalance)
 
 
 def replace_period(df: DataFrame, path: str, period: str) -> int:
     return replace_periods(df, path, [period])
 
 
-def outcome_path(path: str, outcome: str) -> str:
-    """Where ``replace_outcomes`` keeps the clean or the quarantined table."""
-    return f"{path.rstrip('/')}/{OUTCOME}={outcome}"
-
-
 def replace_outcomes(
-    tagged: DataFrame, path: str, periods: Iterable[str], rebalance: bool | None = None
+    tagged: DataFrame, path: str, periods: Iterable[str], rebalance: bool = False
 ) -> int:
     """Replace the clean and the quarantined table of the given periods in one pass.
 
-    Both lie under ``path``, see ``outcome_path``. The tagged rows are computed once, without a
+    Both lie under ``path``, see ``read_outcome``. The tagged rows are computed once, without a
     cache. A period that no longer has failures loses the failures of its earlier run.
     """
     wanted = _named(periods)
-    shuffle = len(wanted) > 1 if rebalance is None else rebalance
     outcome = F.when(F.col(REASON).isNull(), CLEAN).otherwise(QUARANTINED)
     routed = _only(tagged, wanted).withColumn(OUTCOME, outcome)
-    by = [OUTCOME, PERIOD]
-    rows, present = _overwrite(routed, path, by, shuffle)
-    for name in (CLEAN, QUARANTINED):
-        for period in wanted:
-            if f"{name}/{period}" not in present:
-                _clear(tagged.sparkSession, tagged.schema, path, by, f"{name}/{period}")
-    return rows
+    expected = {(name, period) for name in (CLEAN, QUARANTINED) for period in wanted}
+    return _replace(routed, path, [OUTCOME, PERIOD], expected, rebalance)
+
+
+def read_outcome(
+    spark: SparkSession, path: str, schema: StructType, outcome: str, periods: Iterable[str]
+) -> DataFrame:
+    """The clean or the quarantined table that ``replace_outcomes`` keeps under ``path``."""
+    with_outcome = StructType(schema.fields + [StructField(OUTCOME, StringType(), True)])
+    rows = read_period(spark, path, with_outcome, periods).where(F.col(OUTCOME) == outcome)
+    return rows.drop(OUTCOME)
 
 
 def period_counts(df: DataFrame) -> DataFrame:
@@ -126,8 +136,6 @@ def period_counts(df: DataFrame) -> DataFrame:
 
 def reconcile(layers: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per layer and period, to hold source, bronze and silver side by side."""
-    counts = [
-        period_counts(df).select(F.lit(name).alias("layer"), PERIOD, "row_count")
-        for name, df in layers.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    rows = [df.select(F.lit(name).alias("layer"), PERIOD) for name, df in layers.items()]
+    everything = reduce(DataFrame.unionByName, rows)
+    return everything.groupBy("layer", PERIOD).agg(F.count(F.lit(1)).alias("row_count"))

@@ -1,0 +1,102 @@
+"""Small inputs: the published sample and the edge rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lossmill import schemas
+
+PERIOD = "2019S2"
+
+# The published sample, three regions by three coverages.
+SAMPLE_PREMIUM = """\
+regiao;descricao;tipo_prem;exposicao;premios;is_media
+01;RS - Met. Porto Alegre e Caxias do Sul;APP;255323,425423186;12412560,2785046;81319,0233892499
+01;RS - Met. Porto Alegre e Caxias do Sul;CASCO;369319,44313626;562507729,204509;47790,326376149
+01;RS - Met. Porto Alegre e Caxias do Sul;RCDM;369319,44313626;89234561,123456;47790,326376149
+04;SC - Oeste;APP;98234,123456789;4521890,654321;75432,123456789
+04;SC - Oeste;CASCO;142567,891234567;213456789,012345;43210,987654321
+04;SC - Oeste;RCDM;142567,891234567;35678901,234567;43210,987654321
+38;DF - Brasília;APP;187654,321098765;9876543,210987;95678,123456789
+38;DF - Brasília;CASCO;276543,210987654;421098765,432109;52345,678901234
+38;DF - Brasília;RCDM;276543,210987654;59700339,424709;52345,678901234
+"""
+SAMPLE_CLAIM = """\
+regiao;descricao;tipo_sin;numSinistros;indenizacoes
+01;RS - Met. Porto Alegre e Caxias do Sul;APP;25;286091
+01;RS - Met. Porto Alegre e Caxias do Sul;CASCO;96692;380475827
+01;RS - Met. Porto Alegre e Caxias do Sul;RCDM;43210;67543210
+04;SC - Oeste;APP;12;143200
+04;SC - Oeste;CASCO;41234;156789012
+04;SC - Oeste;RCDM;18900;45678901
+38;DF - Brasília;APP;31;412300
+38;DF - Brasília;CASCO;54321;298765432
+38;DF - Brasília;RCDM;24567;75904085
+"""
+SAMPLE_REGION = """\
+CODIGO;DESCRICAO
+01;RS - Met. Porto Alegre e Caxias do Sul
+04;SC - Oeste
+38;DF - Brasília
+"""
+
+
+def write_sample(folder: str, encoding: str = "ISO-8859-1") -> dict[str, str]:
+    paths = {}
+    texts = {"premium": SAMPLE_PREMIUM, "claim": SAMPLE_CLAIM, "region": SAMPLE_REGION}
+    for name, text in texts.items():
+        paths[name] = f"{folder}/{name}.csv"
+        with open(paths[name], "w", encoding=encoding) as f:
+            f.write(text)
+    return paths
+
+
+EDGE_PREMIUM = [
+    ("01", "APP", "100,50"),
+    ("02", "APP", "100"),
+    (None, "APP", "10"),
+    ("01", "X1", "n/d"),
+    ("01", "X2", "1.234,56"),
+    ("01", "X3", "0,00"),
+    ("01", "X4", "10"),
+    ("99", "APP", "10"),
+    ("01", "X5", "10"),
+    ("01", "X6", "10"),
+    ("01", "X7", "10"),
+    ("01", "X8", "10"),
+    ("01", "X9", "10"),
+]
+EDGE_CLAIM = [
+    ("01", "APP", "2", "50,25"),
+    ("01", "X4", "1", "-5"),
+    ("01", "X5", "1", "abc"),
+    ("01", "X6", "12.7", "5"),
+    ("01", "X7", "3", "25"),
+    ("01", "X8", "3", "20"),
+    ("01", "X9", "1", "1"),
+    ("01", "X9", "2", "2"),
+    (None, "APP", "7", "7"),
+]
+
+
+def edge_premium(spark, data=EDGE_PREMIUM, period=PERIOD):
+    full = [(r, None, c, "1", p, "1", period, None, None) for r, c, p in data]
+    return spark.createDataFrame(full, schemas.BRONZE_PREMIUM)
+
+
+def edge_claim(spark, data=EDGE_CLAIM, period=PERIOD):
+    full = [(r, None, c, n, a, period, None, None) for r, c, n, a in data]
+    return spark.createDataFrame(full, schemas.BRONZE_CLAIM)
+
+
+def edge_regions(spark):
+    return spark.createDataFrame([("01", "one"), ("02", "two")], "dim_code string, region_name string")
+
+
+def keyed(df, *columns):
+    """Rows by coverage and region, for lookups."""
+    picked = df.select(F.concat_ws(" ", F.coalesce("region_code", F.lit("-")), "coverage"), *columns)
+    found: dict = {}
+    for row in picked.collect():
+        found.setdefault(row[0], []).append(tuple(row)[1:])
+    return found

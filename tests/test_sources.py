@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lossmill import schemas
+from lossmill.operators.bronze import stamp
+from lossmill.sources import read_delimited, read_period, read_regions, read_table, require_rows
+from lossmill.sources.delimited import CORRUPT
+from tests.conftest import plan, rows
+from tests.fixtures import write_sample
+
+SMALL = schemas.CLAIM_FILE
+
+
+def write(folder, text, encoding="ISO-8859-1", name="a.csv"):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w", encoding=encoding) as f:
+        f.write(text)
+    return f"{folder}/{name}"
+
+
+def test_sample_is_read_as_text(spark, folder):
+    df = read_delimited(spark, write_sample(folder)["premium"], schemas.PREMIUM_FILE)
+    assert df.schema == schemas.PREMIUM_FILE
+    got = {(r.region_code, r.coverage): r for r in df.collect()}
+    assert len(got) == 9
+    assert got["38", "APP"].region_name == "DF - Brasília"
+    assert got["01", "APP"].premium == "12412560,2785046"
+
+
+def test_encoding_is_a_parameter(spark, folder):
+    path = write_sample(folder, encoding="UTF-8")["region"]
+    names = {r.region_name for r in read_regions(spark, path, encoding="UTF-8").collect()}
+    assert "DF - Brasília" in names
+    garbled = {r.region_name for r in read_regions(spark, path).collect()}
+    assert "DF - Brasília" not in garbled and len(garbled) == 3
+
+
+def test_empty_fields_are_null_and_header_names_are_ignored(spark, folder):
+    path = write(folder, 'x;y;z;w;v\n;"";APP;1;2\n')
+    assert rows(read_delimited(spark, path, SMALL)) == [(None, None, "APP", "1", "2")]
+
+
+def test_short_and_long_lines(spark, folder):
+    path = write(folder, "a;b;c;d;e\n01\n01;n;APP;1;2;extra\n01;n;APP;1;2\n")
+    assert sorted(rows(read_delimited(spark, path, SMALL)), key=str) == [
+        ("01", "n", "APP", "1", "2"),
+        ("01", "n", "APP", "1", "2"),
+        ("01", None, None, None, None),
+    ]
+    kept = read_delimited(spark, path, SMALL, keep_corrupt=True)
+    assert sorted(r[CORRUPT] or "" for r in kept.collect()) == ["", "01", "01;n;APP;1;2;extra"]
+
+
+def test_separator_is_a_parameter(spark, folder):
+    path = write(folder, "a,b,c,d,e\n01,n,APP,1,2\n")
+    assert rows(read_delimited(spark, path, SMALL, sep=","))[0][:3] == ("01", "n", "APP")
+
+
+def test_period_directories(spark, folder):
+    write(f"{folder}/period=2019", "a;b;c;d;e\n01;n;APP;1;2\n")
+    write(f"{folder}/period=2020", "a;b;c;d;e\n01;n;APP;3;4\n")
+    df = read_delimited(spark, folder, SMALL, period_dirs=True)
+    assert df.schema["period"].dataType.simpleString() == "string"
+    one = df.where(F.col("period") == "2020")
+    assert rows(one) == [("01", "n", "APP", "3", "4", "2020")]
+    assert "PartitionFilters: [isnotnull(period" in plan(one)
+
+
+def test_stamp(spark, folder, run_ts):
+    path = write_sample(folder)["claim"]
+    stamped = stamp(read_delimited(spark, path, SMALL), run_ts, "2019S2")
+    assert stamped.columns == schemas.BRONZE_CLAIM.names
+    assert stamped.select("period").distinct().collect()[0][0] == "2019S2"
+    assert stamped.select("ingested_at").distinct().count() == 1
+    assert stamped.first().source_file.endswith("claim.csv")
+
+
+@pytest.mark.parametrize("minimum", [1, 9, 0])
+def test_require_rows_passes(spark, folder, minimum):
+    df = read_delimited(spark, write_sample(folder)["claim"], SMALL)
+    assert require_rows(df, minimum) is df
+
+
+@pytest.mark.parametrize("minimum", [10, 20_000])
+def test_require_rows_raises(spark, folder, minimum):
+    df = read_delimited(spark, write_sample(folder)["claim"], SMALL)
+    with pytest.raises(ValueError, match="claims: expected at least .* found 9"):
+        require_rows(df, minimum, "claims")
+
+
+def test_period_scan_opens_only_its_partitions(spark, folder):
+    df = spark.createDataFrame([("a", "2019"), ("b", "2020"), ("c", "2021")], "v string, period string")
+    df.write.partitionBy("period").parquet(f"{folder}/t")
+    assert len(rows(read_table(spark, f"{folder}/t", df.schema))) == 3
+    scan = read_period(spark, f"{folder}/t", df.schema, ["2021", "2019"])
+    assert sorted(rows(scan)) == [("a", "2019"), ("c", "2021")]
+    text = plan(scan)
+    assert "PartitionFilters: [period" in text and "ReadSchema: struct<v:string>" in text
+    assert rows(read_period(spark, f"{folder}/t", df.schema, "2020")) == [("b", "2020")]
