@@ -1,0 +1,196 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from lossmill import schemas
+from lossmill.operators import marts, naming, quality, silver, trends
+from lossmill.operators.bronze import stamp
+from lossmill.plans.medallion import tagged_rows
+from lossmill.sources import read_delimited, read_regions
+from tests.conftest import plan, rows
+from tests.fixtures import PERIOD, write_sample
+
+
+@pytest.fixture
+def sample(spark, folder, run_ts):
+    paths = write_sample(folder)
+
+    def bronze(name, schema):
+        return stamp(read_delimited(spark, paths[name], schema), run_ts, PERIOD)
+
+    tagged = tagged_rows(
+        silver.type_premium(bronze("premium", schemas.PREMIUM_FILE)),
+        silver.type_claim(bronze("claim", schemas.CLAIM_FILE)),
+        read_regions(spark, paths["region"]),
+    )
+    return quality.split(tagged)[0]
+
+
+def test_sample_row_ratios(sample):
+    got = rows(sample.orderBy("region_code", "coverage").select("loss_ratio"))
+    assert [r[0] for r in got] == [
+        0.0230, 0.6764, 0.7569, 0.0317, 0.7345, 1.2803, 0.0417, 0.7095, 1.2714,
+    ]
+
+
+def test_sample_by_region(sample):
+    mart = marts.ranked(marts.by_region(sample), "loss_ratio", ["region_code"])
+    assert [(r[0], *r[3:]) for r in mart.collect()] == [
+        ("04", 253657580.90, 202611113.00, 383369.91, 0.7988, 3, "WATCH"),
+        ("38", 490675648.07, 375081817.00, 740740.74, 0.7644, 3, "WATCH"),
+        ("01", 664154850.61, 448305128.00, 993962.31, 0.6750, 3, "HEALTHY"),
+    ]
+
+
+def test_sample_by_coverage(sample):
+    mart = marts.ranked(marts.by_coverage(sample), "loss_ratio", ["coverage"])
+    assert [(r[0], *r[2:]) for r in mart.collect()] == [
+        ("RCDM", 184613801.78, 189126196.00, 788430.55, 1.0244, 3, 47782.33),
+        ("CASCO", 1197063283.65, 836030271.00, 788430.55, 0.6984, 3, 47782.33),
+        ("APP", 26810994.14, 841591.00, 541211.87, 0.0314, 3, 84143.09),
+    ]
+
+
+def test_sample_alerts(sample):
+    got = marts.ranked(marts.alerts(sample), "loss_ratio", ["region_code"]).collect()
+    assert [(r.region_code, r.coverage, r.loss_amount) for r in got] == [
+        ("04", "RCDM", 9999999.77), ("38", "RCDM", 16203745.58),
+    ]
+
+
+def test_sample_summary(sample):
+    assert marts.summary(sample).first().asDict() == {
+        "period": PERIOD,
+        "total_premium": 1408488079.58,
+        "total_claim_amount": 1025998058.00,
+        "total_exposure": 2118072.96,
+        "portfolio_loss_ratio": 0.7284,
+        "segments": 9,
+        "loss_making_segments": 2,
+        "max_loss_ratio": 1.2803,
+        "min_loss_ratio": 0.0230,
+    }
+
+
+def test_merged_totals_give_the_same_marts(sample):
+    segments = marts.totals(sample, marts.SEGMENT)
+    pairs = [
+        (marts.by_region(sample), marts.region_mart(marts.merge(segments, marts.REGION))),
+        (marts.by_coverage(sample), marts.coverage_mart(marts.merge(segments, marts.COVERAGE))),
+        (marts.summary(sample), marts.summary_mart(marts.merge(segments, marts.PORTFOLIO))),
+    ]
+    for direct, merged in pairs:
+        assert sorted(rows(direct)) == sorted(rows(merged))
+
+
+def test_premium_is_conserved(sample):
+    sums = [
+        df.agg(F.round(F.sum("total_premium"), 1)).first()[0]
+        for df in (marts.by_region(sample), marts.by_coverage(sample), marts.summary(sample))
+    ]
+    assert len(set(sums)) == 1
+
+
+def _segment(spark, data):
+    return spark.createDataFrame(
+        [("01", "one", "c", PERIOD, p, c, 1.0, i, r) for p, c, i, r in data],
+        "region_code string, region_name string, coverage string, period string, premium double, "
+        "claim_amount double, exposure double, avg_insured double, loss_ratio double",
+    )
+
+
+@pytest.mark.parametrize(("claims", "tier"), [(100004.0, "WATCH"), (70000.0, "HEALTHY"), (100010.0, "HIGH")])
+def test_tier_uses_the_rounded_ratio(spark, claims, tier):
+    mart = marts.by_region(_segment(spark, [(100000.0, claims, 1.0, 1.0)]))
+    assert mart.first().risk_tier == tier
+
+
+def test_sums_do_not_depend_on_row_order(spark):
+    """0.1 added ten times with large values between: doubles would lose cents."""
+    data = [(0.1, 1e15 if i % 2 else -1e15, 1.0, 0.0) for i in range(10)] + [(0.1, 0.335, 1.0, 0.0)]
+    seen = set()
+    for parts in (1, 3, 7):
+        df = _segment(spark, data).repartition(parts)
+        row = marts.by_region(df).first()
+        seen.add((row.total_premium, row.total_claim_amount))
+    assert seen == {(1.1, 0.34)}
+
+
+def test_values_beyond_decimal_still_count(spark):
+    row = marts.by_region(_segment(spark, [(1e25, 1.0, 1.0, 0.0), (1e25, 1.0, 1.0, 0.0)])).first()
+    assert row.total_premium == 2e25 and row.total_claim_amount == 2.0
+    nan = marts.by_region(_segment(spark, [(float("nan"), 1.0, 1.0, 0.0), (1.0, 1.0, 1.0, 0.0)]))
+    assert str(nan.first().total_premium) == "nan"
+
+
+def test_unweighted_mean_skips_nulls(spark):
+    mart = marts.by_coverage(_segment(spark, [(1.0, 1.0, 10.0, 0.0), (1.0, 1.0, None, 0.0), (9.0, 1.0, 20.0, 0.0)]))
+    assert mart.first().mean_avg_insured == 15.0
+    none = marts.by_coverage(_segment(spark, [(1.0, 1.0, None, 0.0)]))
+    assert none.first().mean_avg_insured is None
+
+
+def test_summary_of_nothing_is_empty(sample):
+    assert rows(marts.summary(sample.where("false"))) == []
+
+
+def test_alert_threshold_drops_null_ratios(spark):
+    df = _segment(spark, [(1.0, 2.0, 1.0, None), (1.0, 2.0, 1.0, 1.0), (1.0, 2.0, 1.0, 1.5)])
+    assert [r.loss_ratio for r in marts.alerts(df).collect()] == [1.5]
+    assert marts.alerts(df, threshold=0.5).count() == 2
+
+
+def test_top_n_takes_highest_and_breaks_ties(spark):
+    df = spark.createDataFrame(
+        [("b", 1.0), ("a", 1.0), ("c", 2.0), ("d", None)], "k string, v double"
+    )
+    top = marts.top_n(df, "v", 3, ["k"])
+    assert [r.k for r in top.collect()] == ["c", "a", "b"]
+    assert "TakeOrderedAndProject" in plan(top)
+    assert [r.k for r in marts.ranked(df, "v", ["k"]).collect()] == ["c", "a", "b", "d"]
+
+
+def test_small_reports(sample):
+    assert rows(marts.frequency(sample, "coverage")) == [("APP", 3), ("CASCO", 3), ("RCDM", 3)]
+    regions = marts.distinct_rows(sample, ["region_code", "region_name"])
+    assert [r[0] for r in regions.collect()] == ["01", "04", "38"]
+    assert rows(marts.count_distinct(sample, "region_code", "n")) == [(3,)]
+    tiers = marts.frequency(marts.by_region(sample), "risk_tier")
+    assert rows(tiers) == [("HEALTHY", 1), ("WATCH", 2)]
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    df = _segment(spark, [(1.0, 1.0, 1.0, 0.5)]).crossJoin(spark.range(3000)).repartition(4)
+    mart = marts.by_region(df)
+    text = plan(mart)
+    assert "partial_sum" in text and rows(mart)[0][7] == 3000
+
+
+def test_trend(spark):
+    mart = spark.createDataFrame(
+        [("01", "one", "2019S2", 0.5), ("01", "one", "2019S1", 0.7), ("02", "two", "2019S1", 1.0)],
+        "region_code string, region_name string, period string, loss_ratio double",
+    )
+    got = sorted(rows(trends.trend_by_region(mart)))
+    assert [r[3:] for r in got] == [(0.7, None, None), (0.5, 0.7, -0.2), (1.0, None, None)]
+
+
+def test_exposure_weighted_ratio(spark):
+    df = _segment(spark, [(1.0, 1.0, 1.0, 0.5), (1.0, 1.0, 1.0, 1.5), (1.0, 1.0, 1.0, None)])
+    df = df.withColumn("exposure", F.when(F.col("loss_ratio") == 0.5, 3.0).otherwise(1.0))
+    assert trends.exposure_weighted_ratio(df).first().weighted_ratio == 0.75
+
+
+def test_column_profile(sample):
+    got = {r.column_name: r for r in trends.column_profile(sample).collect()}
+    assert set(got) == set(sample.columns)
+    assert got["coverage"].approx_distinct == 3 and got["coverage"].max_value == "RCDM"
+    assert got["premium"].min_value == "4521890.6543"
+    assert got["claim_count"].min_value == "12" and got["claim_count"].null_rate == 0.0
+
+
+def test_published_names_round_trip(sample):
+    published = naming.to_published(sample)
+    assert {"regiao", "tipo_prem", "premios", "sinistralidade"} <= set(published.columns)
+    assert naming.from_published(published).columns == sample.columns
