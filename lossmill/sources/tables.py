@@ -12,8 +12,11 @@ from lossmill.schemas import PERIOD
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A whole stored table. The schema is given, so a period such as ``2019`` stays text."""
-    return spark.read.schema(schema).parquet(path)
+    """A whole stored table. The schema is given, so a period such as ``2019`` stays text.
+
+    Spark moves partition columns to the end; the select puts them back in the schema's order.
+    """
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_period(
