@@ -127,7 +127,10 @@ def alerts(silver: DataFrame, threshold: float = 1.0) -> DataFrame:
 
 
 def ranked(df: DataFrame, by: str, tiebreak: Sequence[str]) -> DataFrame:
-    """Highest first, with key columns as tie break. For readers: a table keeps no order."""
+    """Highest first, with key columns as tie break. For readers: a table keeps no order.
+
+    Meant for marts, whose keys are unique: rows equal in every sort column all land in one task.
+    """
     return df.orderBy(F.desc_nulls_last(by), *tiebreak)
 
 

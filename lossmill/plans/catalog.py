@@ -259,7 +259,7 @@ def gold_by_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.ranked(marts.alerts(_clean(Star(spark, sf_dir))), "loss_ratio", KEYS)
+    return marts.alerts(_clean(Star(spark, sf_dir)))
 
 
 def gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,7 @@ class Settings:
     alert_threshold: float = 2.0
     encoding: str = FILE_ENCODING
     strict_numbers: bool = False
+    compact: bool = False  # one more shuffle of silver for fewer, evenly sized files
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     def path(self, table: str) -> str:
@@ -164,18 +165,30 @@ def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
         read_period(spark, run.path("bronze/claim"), schemas.BRONZE_CLAIM, run.periods),
         run.strict_numbers,
     )
-    known, repeated = _together(
+    _, repeated, claim_rows, region_rows = _together(
         spark,
         [
             lambda: silver.require_unique(regions),
             lambda: not silver.repeated_claims(claim).isEmpty(),
+            claim.count,
+            regions.count,
         ],
     )
-    tagged = tagged_rows(premium, claim, known, run.alert_threshold, repeated)
+    shuffled = claim_rows > silver.BROADCAST_ROWS
+    tagged = tagged_rows(
+        premium,
+        silver.broadcast_counted(claim, claim_rows),
+        silver.broadcast_counted(regions, region_rows),
+        run.alert_threshold,
+        repeated_claim_keys=shuffled and repeated,
+    )
     ready = silver.processed(tagged, run.run_ts).select(*schemas.QUARANTINE.names)
-    # Unique claims are few and broadcast, which keeps the periods of the premium scan apart.
+    # A broadcast join keeps the periods of the premium scan apart; a shuffle mixes them.
     rows = tables.replace_outcomes(
-        ready, run.path("silver"), run.periods, rebalance=repeated and len(run.periods) > 1
+        ready,
+        run.path("silver"),
+        run.periods,
+        rebalance=run.compact or (shuffled and len(run.periods) > 1),
     )
     stored = {
         f"silver/{outcome}": read_silver(spark, run, outcome)

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import glob
 import os
 from datetime import timedelta
 
 import pytest
 
 from lossmill import schemas
+from lossmill.operators import silver
 from lossmill.plans import medallion
 from lossmill.plans.medallion import Settings
 from lossmill.sinks import last_operations
@@ -81,12 +83,24 @@ def test_other_periods_stay_and_corrections_empty_the_quarantine(spark, folder,
     assert {r.period: r.segments for r in summaries} == {"2019S1": 9, PERIOD: 9}
 
 
-def test_repeated_claims_fan_out(spark, folder, run_ts):
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_repeated_claims_fan_out(spark, folder, run_ts, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(silver, "BROADCAST_ROWS", broadcast_rows)
     line = "38;DF - Brasília;RCDM;24567;75904085\n"
     run = run_sample(spark, folder, run_ts, claim=SAMPLE_CLAIM + line)
     assert medallion.read_silver(spark, run, CLEAN).count() == 10
 
 
+def test_compact_writes_the_same_rows(spark, folder, run_ts):
+    run = run_sample(spark, folder, run_ts)
+    before = sorted(rows(medallion.read_silver(spark, run, CLEAN)))
+    paths = write_sample(folder)
+    compact = Settings(run.base, run.periods, compact=True, run_ts=run_ts)
+    medallion.refine(spark, compact, read_regions(spark, paths["region"]))
+    assert sorted(rows(medallion.read_silver(spark, run, CLEAN))) == before
+    assert len(glob.glob(f"{run.path('silver')}/outcome=clean/period=*/part-*")) == 1
+
+
 def test_period_directories_in_one_run(spark, folder, run_ts):
     for period in ("2019S1", "2019S2"):
         for name, text in (("premium", SAMPLE_PREMIUM), ("claim", SAMPLE_CLAIM)):
