@@ -45,8 +45,11 @@ RULES = (
     Rule("claim_negative", "claim_amount < 0", "a claim amount cannot be negative"),
     Rule("region_unknown", "region_name is null", "region code is not in the dimension"),
 )
+# Optional. The claim rules need the columns that `type_claim(keep_malformed=True)` and
+# `with_claim_copies` add.
 PERIOD_NULL = Rule("period_null", "period is null", "period is missing")
 CLAIM_MALFORMED = Rule("claim_malformed", "claim_malformed", "claim text did not parse")
+CLAIM_REPEATED = Rule("claim_repeated", "claim_copies > 1", "several claim rows for one segment")
 
 
 def high_ratio(threshold: float = 2.0) -> AlertRule:

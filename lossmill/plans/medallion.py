@@ -39,6 +39,7 @@ class Settings:
     alert_threshold: float = 2.0
     encoding: str = FILE_ENCODING
     strict_numbers: bool = False
+    rules: tuple[quality.Rule, ...] = quality.RULES
     compact: bool = False  # one more shuffle of silver for fewer, evenly sized files
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
@@ -146,13 +147,14 @@ def tagged_rows(
     premium: DataFrame,
     claim: DataFrame,
     regions: DataFrame,
+    rules: Sequence[quality.Rule] = quality.RULES,
     alert_threshold: float = 2.0,
     repeated_claim_keys: bool = False,
 ) -> DataFrame:
     """Typed premium and claims to joined, named, tagged and flagged rows."""
     joined = silver.join_claims(premium, claim, repeated_claim_keys=repeated_claim_keys)
     named = silver.enrich(joined, regions)
-    return quality.flag(quality.tag(named), [quality.high_ratio(alert_threshold)])
+    return quality.flag(quality.tag(named, rules), [quality.high_ratio(alert_threshold)])
 
 
 def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
@@ -164,7 +166,10 @@ def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
     claim = silver.type_claim(
         read_period(spark, run.path("bronze/claim"), schemas.BRONZE_CLAIM, run.periods),
         run.strict_numbers,
+        keep_malformed=quality.CLAIM_MALFORMED in run.rules,
     )
+    if quality.CLAIM_REPEATED in run.rules:
+        claim = silver.with_claim_copies(claim)
     _, repeated, claim_rows, region_rows = _together(
         spark,
         [
@@ -179,6 +184,7 @@ def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
         premium,
         silver.broadcast_counted(claim, claim_rows),
         silver.broadcast_counted(regions, region_rows),
+        run.rules,
         run.alert_threshold,
         repeated_claim_keys=shuffled and repeated,
     )

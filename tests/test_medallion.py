@@ -7,7 +7,7 @@ from datetime import timedelta
 import pytest
 
 from lossmill import schemas
-from lossmill.operators import silver
+from lossmill.operators import quality, silver
 from lossmill.plans import medallion
 from lossmill.plans.medallion import Settings
 from lossmill.sinks import last_operations
@@ -91,6 +91,22 @@ def test_repeated_claims_fan_out(spark, folder, run_ts, monkeypatch, broadcast_r
     assert medallion.read_silver(spark, run, CLEAN).count() == 10
 
 
+def test_optional_rules_quarantine_bad_claims(spark, folder, run_ts):
+    line = "38;DF - Brasília;RCDM;24567;75904085\n"
+    run = run_sample(spark, folder, run_ts, claim=SAMPLE_CLAIM.replace(";412300", ";abc") + line)
+    assert medallion.read_silver(spark, run, QUARANTINED).count() == 0
+    rules = (*quality.RULES, quality.CLAIM_MALFORMED, quality.CLAIM_REPEATED)
+    strict = Settings(run.base, run.periods, rules=rules, run_ts=run_ts)
+    medallion.refine(spark, strict, read_regions(spark, f"{folder}/region.csv"))
+    found = medallion.read_silver(spark, strict, QUARANTINED).collect()
+    assert sorted((r.region_code, r.coverage, r.failure_reason) for r in found) == [
+        ("38", "APP", "claim_malformed"),
+        ("38", "RCDM", "claim_repeated"),
+        ("38", "RCDM", "claim_repeated"),
+    ]
+    assert medallion.read_silver(spark, strict, CLEAN).count() == 7
+
+
 def test_compact_writes_the_same_rows(spark, folder, run_ts):
     run = run_sample(spark, folder, run_ts)
     before = sorted(rows(medallion.read_silver(spark, run, CLEAN)))

@@ -107,6 +107,13 @@ def test_repeated_claims(typed):
     assert [(r.claim_coverage, r.copies) for r in found] == [("X9", 2)]
 
 
+def test_claim_copies(typed):
+    copies = {(r.claim_region_code, r.claim_coverage): r.claim_copies
+              for r in silver.with_claim_copies(typed[1]).collect()}
+    assert copies[("01", "X9")] == 2 and copies[("01", "APP")] is None
+    assert silver.with_claim_copies(typed[1]).count() == typed[1].count()
+
+
 def test_orphan_claims(spark, typed):
     extra = edge_claim(spark, [("77", "APP", "1", "1")])
     claim = silver.type_claim(edge_claim(spark).unionByName(extra))
