@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -26,6 +27,21 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def session_conf(spark):
+    """Set session options for one test."""
+    changed = []
+
+    def set_all(options):
+        for key, value in options.items():
+            changed.append((key, spark.conf.get(key, None)))
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key, before in reversed(changed):
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 @pytest.fixture
 def folder():
     """A new folder per test; nothing is deleted."""
@@ -42,6 +58,19 @@ def sf_dir():
     return SF_DIR
 
 
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+# Thresholds small enough for test data to count as skewed.
+SMALL_SKEW = NO_BROADCAST | {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
 def rows(df):
     return [tuple(r) for r in df.collect()]
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lossmill.operators import silver
-from tests.conftest import plan, rows
+from tests.conftest import NO_BROADCAST, SMALL_SKEW, plan, rows
 from tests.fixtures import PERIOD, edge_claim, edge_premium, edge_regions, keyed
 
 
@@ -69,29 +69,59 @@ def test_both_join_forms_agree(typed):
     assert sorted(map(str, rows(left))) == sorted(map(str, rows(split)))
 
 
+def _sides(spark, premium_rows, claim_rows, hot_premium, hot_claim):
+    """Premium and claims with unique keys, but for a third of the rows on the key ``hot``."""
+
+    def region(is_hot):
+        other = F.concat(F.lit("r"), F.col("id").cast("string"))
+        return F.when(F.col("id") % 3 == 0, "hot").otherwise(other) if is_hot else F.when(
+            F.col("id") == 0, "hot").otherwise(other)
+
+    premium = spark.range(0, premium_rows, 1, 8).select(
+        region(hot_premium).alias("region_code"), F.lit("c").alias("coverage"),
+        F.lit("p").alias("period"), F.lit(2.0).alias("premium"),
+        F.sha2(F.col("id").cast("string"), 512).alias("premium_region_name"),
+    )
+    claim = spark.range(0, claim_rows, 1, 8).select(
+        region(hot_claim).alias("claim_region_code"), F.lit("c").alias("claim_coverage"),
+        F.lit("p").alias("claim_period"), F.lit(1).cast("bigint").alias("claim_count"),
+        F.rand(1).alias("claim_amount"), F.lit(None).cast("timestamp").alias("claim_ingested_at"),
+    )
+    return premium, claim
+
+
 @pytest.mark.parametrize("repeated", [False, True])
-def test_hot_keys_on_both_sides(spark, repeated):
-    """A third of each side on one key, shuffled joins, against a count by hand."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        cell = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
-        premium = spark.range(600).select(
-            cell.alias("region_code"), F.lit("c").alias("coverage"), F.lit("p").alias("period"),
-            F.lit(2.0).alias("premium"),
-        )
-        claim = spark.range(90).select(
-            cell.alias("claim_region_code"), F.lit("c").alias("claim_coverage"),
-            F.lit("p").alias("claim_period"), F.lit(1).cast("bigint").alias("claim_count"),
-            F.lit(1.0).alias("claim_amount"), F.lit(None).cast("timestamp").alias("claim_ingested_at"),
-        )
-        joined = silver.join_claims(premium, claim, repeated_claim_keys=repeated)
-        assert "SortMergeJoin" in plan(joined)
-        assert joined.count() == 200 * 30 + 400
-        assert joined.agg(F.sum("claim_count")).first()[0] == 200 * 30 + 60
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+def test_hot_keys_on_both_sides(spark, session_conf, repeated):
+    session_conf(NO_BROADCAST)
+    joined = silver.join_claims(*_sides(spark, 600, 90, True, True), repeated_claim_keys=repeated)
+    assert "SortMergeJoin" in plan(joined)
+    # 200 hot premium rows meet 30 hot claims; 60 of the 400 others meet their one claim.
+    assert joined.count() == 200 * 30 + 400
+    assert joined.agg(F.sum("claim_count")).first()[0] == 200 * 30 + 60
+
+
+def test_hot_premium_key_is_split(spark, session_conf):
+    session_conf(SMALL_SKEW)
+    joined = silver.join_claims(*_sides(spark, 9000, 900, True, False))
+    assert "SortMergeJoin(skew=true)" in plan(joined)
+    assert joined.count() == 9000
+    assert joined.agg(F.sum("claim_count")).first()[0] == 3000 + 600
+
+
+def test_hot_claim_key_is_split(spark, session_conf):
+    session_conf(SMALL_SKEW)
+    joined = silver.join_claims(*_sides(spark, 900, 9000, False, True), repeated_claim_keys=True)
+    assert "SortMergeJoin(skew=true)" in plan(joined)
+    assert joined.count() == 3000 + 899
+
+
+def test_counted_claims_are_broadcast(spark, session_conf):
+    session_conf(NO_BROADCAST)
+    premium, claim = _sides(spark, 900, 90, True, False)
+    small = silver.join_claims(premium, silver.broadcast_counted(claim, 90))
+    assert "BroadcastHashJoin" in plan(small) and "Exchange hashpartitioning" not in plan(small)
+    large = silver.broadcast_counted(claim, silver.BROADCAST_ROWS + 1)
+    assert large is claim
 
 
 def test_malformed_claims_can_be_kept(spark):
@@ -135,20 +165,15 @@ def test_unknown_regions(spark, typed):
     assert [r.region_code for r in unknown] == ["99"]
 
 
-def test_large_dimension_is_not_broadcast(spark, typed):
+def test_large_dimension_is_not_broadcast(spark, session_conf, typed):
     """Beyond the size threshold the lookup shuffles instead."""
     regions = edge_regions(spark)
     expected = sorted(map(str, rows(silver.enrich(typed[0], regions))))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        named = silver.enrich(typed[0], regions)
-        text = plan(named)
-        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
-        assert sorted(map(str, rows(named))) == expected
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    session_conf(NO_BROADCAST)
+    named = silver.enrich(typed[0], regions)
+    text = plan(named)
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+    assert sorted(map(str, rows(named))) == expected
 
 
 def test_require_unique(spark):
