@@ -80,21 +80,26 @@ def src_region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def src_period_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "premium")
-    typed = _premium(Star(spark, sf_dir))
-    typed.write.partitionBy(schemas.PERIOD).parquet(path)
+    tables = Star(spark, sf_dir)
+    typed = _premium(tables)
+    replace_periods(typed, path, tables.periods)
     return read_period(spark, path, typed.schema, SCANNED_PERIODS)
 
 
-def _store_premium(spark: SparkSession, tables: Star) -> DataFrame:
-    """All periods, then one of them again with corrected rows; the stored table."""
-    source = tables.premium
+def _store_premium(spark: SparkSession, tables: Star) -> tuple[str, DataFrame]:
+    """Every period of the raw premiums; the path and the stored table."""
     path = scratch_path(spark, "premium")
-    replace_periods(source, path, tables.periods)
-    corrected = source.where(
+    replace_periods(tables.premium, path, tables.periods)
+    return path, read_table(spark, path, tables.premium.schema)
+
+
+def _correct_premium(spark: SparkSession, path: str, tables: Star) -> DataFrame:
+    """One period once more, with fewer rows; the stored table after that."""
+    corrected = tables.premium.where(
         (F.col("period") == CORRECTED_PERIOD) & (F.col("coverage") != "MACHINERY")
     )
     replace_period(corrected, path, CORRECTED_PERIOD)
-    return read_table(spark, path, source.schema)
+    return read_table(spark, path, tables.premium.schema)
 
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +111,9 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _store_premium(spark, Star(spark, sf_dir))
+    tables = Star(spark, sf_dir)
+    path, _ = _store_premium(spark, tables)
+    return _correct_premium(spark, path, tables)
 
 
 def ledger_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,8 +128,9 @@ def ledger_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, ledger, [Entry(name, period, "replace", rows, run_ts) for period, rows in counts]
         )
 
-    enter(1, "premium", tables.premium)
-    stored = _store_premium(spark, tables)
+    path, stored = _store_premium(spark, tables)
+    enter(1, "premium", stored)
+    stored = _correct_premium(spark, path, tables)
     enter(2, "premium", stored.where(F.col("period") == CORRECTED_PERIOD))
     claims = tables.claim.where(F.col("period").isin(*CLAIM_PERIODS))
     claim_path = scratch_path(spark, "claim")

@@ -55,6 +55,11 @@ def read_silver(spark: SparkSession, run: Settings, outcome: str) -> DataFrame:
     return tables.read_outcome(spark, run.path("silver"), schema, outcome, run.periods)
 
 
+def read_tagged(spark: SparkSession, run: Settings) -> DataFrame:
+    """Clean and quarantined rows together, for the quality reports."""
+    return read_period(spark, run.path("silver"), schemas.QUARANTINE, run.periods)
+
+
 def stored_layers(spark: SparkSession, run: Settings) -> dict[str, DataFrame]:
     """The bronze and silver tables of a run, its periods only."""
     bronze = {"premium": schemas.BRONZE_PREMIUM, "claim": schemas.BRONZE_CLAIM}
