@@ -17,8 +17,7 @@ from lossmill.sinks import append_ledger, last_operations, reconcile, scratch_pa
 from lossmill.sinks.ledger import Entry
 from lossmill.sinks.tables import period_counts, replace_period, replace_periods
 from lossmill.sources import read_delimited, read_period, read_regions, read_table
-from lossmill.sources.delimited import FILE_ENCODING, FILE_FORMAT
-from lossmill.sources.star import Star
+from lossmill.sources.star import Star, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,25 +55,16 @@ def _clean(tables: Star) -> DataFrame:
     return quality.split(_tagged(tables))[0]
 
 
-def _as_files(frame: DataFrame, path: str) -> str:
-    """Write a raw frame the way the files are published, one directory per period."""
-    writer = frame.write.options(**FILE_FORMAT, encoding=FILE_ENCODING)
-    if schemas.PERIOD in frame.columns:
-        writer = writer.partitionBy(schemas.PERIOD)
-    writer.csv(path)
-    return path
-
-
 # Sources and sinks ------------------------------------------------------------------------------
 
 
 def src_locale_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _as_files(Star(spark, sf_dir).premium, scratch_path(spark, "premium-files"))
+    path = write_files(Star(spark, sf_dir).premium, scratch_path(spark, "premium-files"))
     return read_delimited(spark, path, schemas.PREMIUM_FILE, period_dirs=True)
 
 
 def src_region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _as_files(Star(spark, sf_dir).regions, scratch_path(spark, "region-files"))
+    path = write_files(Star(spark, sf_dir).regions, scratch_path(spark, "region-files"))
     return read_regions(spark, path)
 
 
@@ -142,8 +132,8 @@ def ledger_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recon_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to bronze to silver for all periods, then the rows of each stored layer."""
     tables = Star(spark, sf_dir)
-    premium = _as_files(tables.premium, scratch_path(spark, "premium-files"))
-    claim = _as_files(tables.claim, scratch_path(spark, "claim-files"))
+    premium = write_files(tables.premium, scratch_path(spark, "premium-files"))
+    claim = write_files(tables.claim, scratch_path(spark, "claim-files"))
     run = medallion.Settings(scratch_path(spark, "layers"), tables.periods)
     medallion.ingest(spark, run, premium, claim, period_dirs=True)
     medallion.refine(spark, run, _regions(tables))
@@ -154,9 +144,9 @@ def recon_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _as_files(Star(spark, sf_dir).claim, scratch_path(spark, "claim-files"))
+    path = write_files(Star(spark, sf_dir).claim, scratch_path(spark, "claim-files"))
     raw = read_delimited(spark, path, schemas.CLAIM_FILE, period_dirs=True)
-    stamped = stamp(raw, datetime(2020, 1, 1, tzinfo=timezone.utc))
+    stamped = stamp(raw, datetime(2020, 6, 1, tzinfo=timezone.utc))
     return stamped.select(
         *raw.columns,
         F.date_format("ingested_at", "yyyy").alias("ingest_year"),

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossmill.functions import comma_text
+from lossmill.schemas import PERIOD
+from lossmill.sources.delimited import FILE_ENCODING, FILE_FORMAT
 
 # Which nation and coverage carry which planted fault.
 NULL_REGION = (11, "HOUSEHOLD")
@@ -139,3 +141,12 @@ class Star:
     def regions(self) -> DataFrame:
         listed = self._nation.where(~F.col("n_nationkey").isin(*UNLISTED_NATIONS))
         return listed.select(_code("n_nationkey").alias("code"), F.col("n_name").alias("name"))
+
+
+def write_files(frame: DataFrame, path: str) -> str:
+    """Write a raw frame the way the files are published, one directory per period."""
+    writer = frame.write.options(**FILE_FORMAT, encoding=FILE_ENCODING)
+    if PERIOD in frame.columns:
+        writer = writer.partitionBy(PERIOD)
+    writer.csv(path)
+    return path

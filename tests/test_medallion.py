@@ -7,13 +7,13 @@ from datetime import timedelta
 import pytest
 
 from lossmill import schemas
-from lossmill.operators import quality, silver
+from lossmill.operators import marts, quality, silver
 from lossmill.plans import medallion
 from lossmill.plans.medallion import Settings
 from lossmill.sinks import last_operations
 from lossmill.sinks.tables import CLEAN, QUARANTINED
 from lossmill.sources import read_regions, read_table
-from tests.conftest import rows
+from tests.conftest import NO_BROADCAST, plan, rows
 from tests.fixtures import PERIOD, SAMPLE_CLAIM, SAMPLE_PREMIUM, write_sample
 
 GOLD = {
@@ -47,8 +47,8 @@ def test_sample_from_files_to_marts(spark, folder, run_ts):
     clean = medallion.read_silver(spark, run, CLEAN)
     assert clean.count() == 9 and clean.columns == schemas.SILVER.names
     assert medallion.read_silver(spark, run, QUARANTINED).count() == 0
-    marts = gold(spark, run)
-    assert {k: len(v) for k, v in marts.items()} == {
+    found = gold(spark, run)
+    assert {k: len(v) for k, v in found.items()} == {
         "gold/by_region": 3, "gold/by_coverage": 3, "gold/summary": 1, "gold/alerts": 2,
     }
     summary = read_table(spark, run.path("gold/summary"), schemas.GOLD_SUMMARY).first()
@@ -158,3 +158,47 @@ def test_thresholds_reach_the_marts(spark, folder, run_ts):
         "01": "WATCH", "04": "HIGH", "38": "HIGH",
     }
     assert len(gold(spark, strict)["gold/alerts"]) == 5
+
+
+def test_stored_scans_are_pruned_and_pushed_down(spark, folder, run_ts):
+    run = run_sample(spark, folder, run_ts)
+    clean = medallion.read_silver(spark, run, CLEAN)
+    alerts = plan(marts.alerts(clean))
+    assert "GreaterThan(loss_ratio,1.0)" in alerts
+    scan = alerts[alerts.index("PartitionFilters") :]
+    assert "outcome" in scan[: scan.index("PushedFilters")]
+    assert "period" in scan[: scan.index("PushedFilters")]
+    by_region = plan(marts.by_region(clean))
+    read = by_region[by_region.index("ReadSchema") :].splitlines()[0]
+    assert "avg_insured" not in read and "processed_at" not in read
+    bronze = medallion.stored_layers(spark, run)["bronze_premium"]
+    joined = plan(silver.type_premium(bronze).select("premium"))
+    assert "ReadSchema: struct<premium:string>" in joined
+
+
+def test_refine_does_not_shuffle_premium_rows(spark, folder, run_ts, session_conf):
+    """Counted claims and regions are broadcast even where Spark would not do so by itself."""
+    run = run_sample(spark, folder, run_ts)
+    session_conf(NO_BROADCAST)
+    layers = medallion.stored_layers(spark, run)
+    premium = silver.type_premium(layers["bronze_premium"])
+    claim = silver.type_claim(layers["bronze_claim"])
+    regions = read_regions(spark, f"{folder}/region.csv")
+    tagged = medallion.tagged_rows(
+        premium,
+        silver.broadcast_counted(claim, claim.count()),
+        silver.broadcast_counted(regions, regions.count()),
+    )
+    text = plan(tagged)
+    assert "Exchange hashpartitioning" not in text and text.count("BroadcastHashJoin") >= 2
+
+
+def test_quality_reports_from_the_stored_table(spark, folder, run_ts):
+    broken = SAMPLE_PREMIUM.replace("9876543,210987", "n/d").replace("35678901,234567", "0")
+    run = run_sample(spark, folder, run_ts, premium=broken)
+    tagged = medallion.read_tagged(spark, run)
+    report = quality.quality_report(tagged, ["period"]).first()
+    assert tuple(report) == (PERIOD, 9, 7, 2, 77.8)
+    assert rows(quality.quarantine_breakdown(tagged)) == [
+        ("premium_not_positive", 1), ("premium_null", 1),
+    ]
