@@ -14,7 +14,7 @@ RUN_TS = datetime(2020, 1, 1, tzinfo=timezone.utc)
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4,3]")  # three attempts per task
         .appName("lossmill-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")

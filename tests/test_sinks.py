@@ -1,9 +1,13 @@
 from __future__ import annotations
 
 import glob
+import tempfile
 from datetime import timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -109,6 +113,45 @@ def test_rebalance_writes_one_file_per_small_period(spark, folder):
         assert len(stored(spark, path)) == 300
 
 
+def _lose_first_attempt(batches):
+    """Hand on every batch, then fail the first attempt of one task."""
+    yield from batches
+    context = TaskContext.get()
+    if context.partitionId() == 1 and context.attemptNumber() == 0:
+        raise RuntimeError("lost")
+
+
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_a_repeated_task_neither_doubles_nor_drops_rows(spark, folder, rebalance):
+    data = spark.range(0, 1000, 1, 4).select(
+        F.col("id").cast("string").alias("v"), F.concat(F.lit("p"), F.col("id") % 2).alias("period")
+    )
+    flaky = data.mapInArrow(_lose_first_attempt, SCHEMA)
+    path = f"{folder}/t"
+    assert replace_periods(flaky, path, ["p0", "p1", "p2"], rebalance=rebalance) == 1000
+    assert len(set(stored(spark, path))) == len(stored(spark, path)) == 1000
+
+
+PERIODS = ("p1", "p2", "p3")
+STEP = st.tuples(
+    st.sets(st.sampled_from(PERIODS), min_size=1),
+    st.lists(st.tuples(st.sampled_from("abc"), st.sampled_from(PERIODS)), max_size=6),
+    st.booleans(),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(steps=st.lists(STEP, min_size=1, max_size=4))
+def test_any_sequence_of_replacements(spark, steps):
+    """Against a plain dictionary of periods."""
+    path, model = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/t", {}
+    for wanted, data, rebalance in steps:
+        kept = [(v, p) for v, p in data if p in wanted]
+        assert replace_periods(frame(spark, *kept), path, wanted, rebalance) == len(kept)
+        model |= {p: [row for row in kept if row[1] == p] for p in wanted}
+    assert stored(spark, path) == sorted(row for kept in model.values() for row in kept)
+
+
 def tagged(spark, *data):
     return spark.createDataFrame(list(data), "v string, period string, failure_reason string")
 
