@@ -23,7 +23,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--premium", help="premium files (ingest)")
     parser.add_argument("--claim", help="claim files (ingest)")
     parser.add_argument("--regions", help="region file (refine)")
-    parser.add_argument("--period-dirs", action="store_true", help="files lie in period=... folders")
+    parser.add_argument("--period-dirs", action="store_true", help="files lie in period= folders")
     parser.add_argument("--encoding", default=FILE_ENCODING)
     given = parser.parse_args(argv)
     needed = {"ingest": ("premium", "claim"), "refine": ("regions",), "publish": ()}

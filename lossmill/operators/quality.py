@@ -58,7 +58,8 @@ def high_ratio(threshold: float = 2.0) -> AlertRule:
 
 def tag(df: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Add the code of the first failing rule; null means clean."""
-    return df.withColumn(REASON, F.coalesce(F.lit(None).cast("string"), *(r.failure() for r in rules)))
+    none = F.lit(None).cast("string")
+    return df.withColumn(REASON, F.coalesce(none, *(rule.failure() for rule in rules)))
 
 
 def flag(df: DataFrame, alerts: Iterable[AlertRule] | None = None) -> DataFrame:

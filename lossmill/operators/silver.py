@@ -122,8 +122,10 @@ def repeated_claims(claim: DataFrame, keys: Iterable[str] = SEGMENT_KEYS) -> Dat
 
 
 def with_claim_copies(claim: DataFrame, keys: Iterable[str] = SEGMENT_KEYS) -> DataFrame:
-    """Claims with ``claim_copies``, how many rows share their key; null when the key is not
-    repeated. The counts are reduced before their shuffle, and only repeated keys are joined back."""
+    """Claims with ``claim_copies``, how many rows share their key; null when it is not repeated.
+
+    The counts are reduced before their shuffle, and only repeated keys are joined back.
+    """
     keys = tuple(keys)
     repeated = repeated_claims(claim, keys).withColumnRenamed("copies", "claim_copies")
     return claim.join(repeated, [f"claim_{k}" for k in keys], "left")

@@ -44,8 +44,8 @@ class Settings:
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     def path(self, table: str) -> str:
-        """``bronze/premium``, ``bronze/claim``, ``silver``, ``gold/by_region``, ``gold/by_coverage``,
-        ``gold/alerts``, ``gold/summary`` or ``ledger``."""
+        """``bronze/premium``, ``bronze/claim``, ``silver``, ``gold/by_region``,
+        ``gold/by_coverage``, ``gold/alerts``, ``gold/summary`` or ``ledger``."""
         return f"{self.base.rstrip('/')}/{table}"
 
 

@@ -90,12 +90,14 @@ def edge_claim(spark, data=EDGE_CLAIM, period=PERIOD):
 
 
 def edge_regions(spark):
-    return spark.createDataFrame([("01", "one"), ("02", "two")], "dim_code string, region_name string")
+    names = [("01", "one"), ("02", "two")]
+    return spark.createDataFrame(names, "dim_code string, region_name string")
 
 
 def keyed(df, *columns):
     """Rows by coverage and region, for lookups."""
-    picked = df.select(F.concat_ws(" ", F.coalesce("region_code", F.lit("-")), "coverage"), *columns)
+    key = F.concat_ws(" ", F.coalesce("region_code", F.lit("-")), "coverage")
+    picked = df.select(key, *columns)
     found: dict = {}
     for row in picked.collect():
         found.setdefault(row[0], []).append(tuple(row)[1:])

@@ -19,7 +19,8 @@ AMOUNTS = st.one_of(
     st.integers(1, 10**7).map(lambda n: f"{n / 100:.2f}".replace(".", ",")),
 )
 PREMIUM = st.lists(st.tuples(REGIONS, COVERAGES, AMOUNTS), max_size=12)
-CLAIM = st.lists(st.tuples(REGIONS, COVERAGES, st.sampled_from(["1", "2,5", "7"]), AMOUNTS), max_size=8)
+COUNTS = st.sampled_from(["1", "2,5", "7"])
+CLAIM = st.lists(st.tuples(REGIONS, COVERAGES, COUNTS, AMOUNTS), max_size=8)
 NAMES = {"01": "one", "02": "two"}
 
 
@@ -71,7 +72,8 @@ def test_silver_and_region_mart(spark, premium, claim):
         "failure_reason",
     ).collect()
     as_floats = [
-        (r, c, None if p is None else float(p), n, float(a), q, why) for r, c, p, n, a, q, why in wanted
+        (r, c, None if p is None else float(p), n, float(a), q, why)
+        for r, c, p, n, a, q, why in wanted
     ]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, as_floats))
 

@@ -41,7 +41,8 @@ def test_query_equals_sql(spark, sql, sf_dir, name):
     assert dict(zip(relation.columns, map(str, relation.types))) == {
         f.name: SPARK_TO_SQL[f.dataType.simpleString()] for f in df.schema
     }
-    expected = sql.sql(f"select {', '.join(columns)} from ({contract.oracle_sql()[name]})").fetchall()
+    text = f"select {', '.join(columns)} from ({contract.oracle_sql()[name]})"
+    expected = sql.sql(text).fetchall()
     got = [tuple(r) for r in df.select(*columns).collect()]
     assert len(got) > 0
     assert ordered(got) == ordered(expected)

@@ -100,7 +100,9 @@ def _segment(spark, data):
     )
 
 
-@pytest.mark.parametrize(("claims", "tier"), [(100004.0, "WATCH"), (70000.0, "HEALTHY"), (100010.0, "HIGH")])
+@pytest.mark.parametrize(
+    ("claims", "tier"), [(100004.0, "WATCH"), (70000.0, "HEALTHY"), (100010.0, "HIGH")]
+)
 def test_tier_uses_the_rounded_ratio(spark, claims, tier):
     mart = marts.by_region(_segment(spark, [(100000.0, claims, 1.0, 1.0)]))
     assert mart.first().risk_tier == tier
@@ -125,7 +127,8 @@ def test_values_beyond_decimal_still_count(spark):
 
 
 def test_unweighted_mean_skips_nulls(spark):
-    mart = marts.by_coverage(_segment(spark, [(1.0, 1.0, 10.0, 0.0), (1.0, 1.0, None, 0.0), (9.0, 1.0, 20.0, 0.0)]))
+    data = [(1.0, 1.0, 10.0, 0.0), (1.0, 1.0, None, 0.0), (9.0, 1.0, 20.0, 0.0)]
+    mart = marts.by_coverage(_segment(spark, data))
     assert mart.first().mean_avg_insured == 15.0
     none = marts.by_coverage(_segment(spark, [(1.0, 1.0, None, 0.0)]))
     assert none.first().mean_avg_insured is None

@@ -54,7 +54,8 @@ def test_sample_from_files_to_marts(spark, folder, run_ts):
     summary = read_table(spark, run.path("gold/summary"), schemas.GOLD_SUMMARY).first()
     assert summary.portfolio_loss_ratio == 0.7284 and summary.loss_making_segments == 2
     assert summary.processed_at is not None
-    tables = {r.table_name: r.row_count for r in last_operations(spark, run.path("ledger"), 20).collect()}
+    operations = last_operations(spark, run.path("ledger"), 20).collect()
+    tables = {r.table_name: r.row_count for r in operations}
     assert tables == {
         "bronze/premium": 9, "bronze/claim": 9, "silver/clean": 9, "silver/quarantine": 0,
         "gold/by_region": 3, "gold/by_coverage": 3, "gold/summary": 1, "gold/alerts": 2,

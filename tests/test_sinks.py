@@ -157,12 +157,10 @@ def tagged(spark, *data):
 
 
 def outcomes(spark, path, periods):
+    with_reason = StructType(SCHEMA.fields + [StructField("failure_reason", StringType())])
     return tuple(
         sorted(r.v for r in read_outcome(spark, path, schema, outcome, periods).collect())
-        for outcome, schema in (
-            (CLEAN, SCHEMA),
-            (QUARANTINED, StructType(SCHEMA.fields + [StructField("failure_reason", StringType())])),
-        )
+        for outcome, schema in ((CLEAN, SCHEMA), (QUARANTINED, with_reason))
     )
 
 
@@ -186,7 +184,8 @@ def test_ledger_keeps_every_run_newest_first(spark, folder, run_ts):
     path = f"{folder}/ledger"
     append_ledger(spark, path, [Entry("t", "p1", "replace", 1, run_ts)])
     later = run_ts + timedelta(days=1)
-    append_ledger(spark, path, [Entry("t", "p1", "replace", 2, later), Entry("u", "p1", "replace", 3, later)])
+    second = [Entry("t", "p1", "replace", 2, later), Entry("u", "p1", "replace", 3, later)]
+    append_ledger(spark, path, second)
     assert [(r.table_name, r.row_count) for r in last_operations(spark, path, 2).collect()] == [
         ("t", 2), ("u", 3),
     ]
@@ -194,10 +193,12 @@ def test_ledger_keeps_every_run_newest_first(spark, folder, run_ts):
 
 
 def test_reconcile_reads_no_columns(spark, table):
-    counts = reconcile({"sent": frame(spark, ("a", "2019S1")), "stored": read_table(spark, table, SCHEMA)})
+    sent = frame(spark, ("a", "2019S1"))
+    counts = reconcile({"sent": sent, "stored": read_table(spark, table, SCHEMA)})
     assert "ReadSchema: struct<>" in plan(counts)
     assert sorted(rows(counts)) == [
-        ("sent", "2019S1", 1), ("stored", "2019S1", 1), ("stored", "2019S2", 1), ("stored", "2020S1", 1),
+        ("sent", "2019S1", 1), ("stored", "2019S1", 1), ("stored", "2019S2", 1),
+        ("stored", "2020S1", 1),
     ]
 
 

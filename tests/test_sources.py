@@ -93,7 +93,8 @@ def test_require_rows_raises(spark, folder, minimum):
 
 
 def test_period_scan_opens_only_its_partitions(spark, folder):
-    df = spark.createDataFrame([("a", "2019"), ("b", "2020"), ("c", "2021")], "v string, period string")
+    data = [("a", "2019"), ("b", "2020"), ("c", "2021")]
+    df = spark.createDataFrame(data, "v string, period string")
     df.write.partitionBy("period").parquet(f"{folder}/t")
     assert len(rows(read_table(spark, f"{folder}/t", df.schema))) == 3
     scan = read_period(spark, f"{folder}/t", df.schema, ["2021", "2019"])
