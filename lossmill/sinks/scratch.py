@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,6 +18,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.master", "").startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         return tempfile.mkdtemp(prefix=f"{label}-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
