@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from lossmill.llm.queries import URL_RULES
+from lossmill.llm.url_filter import ALLOW, BLOCK, UrlRule, UrlTrie, filter_urls
+
+
+def judged(spark, urls, rules=URL_RULES, **options):
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return [tuple(r)[1:] for r in filter_urls(df, rules, **options).orderBy("page_id").collect()]
+
+
+def test_contract_rules(spark):
+    got = judged(
+        spark,
+        [
+            "http://a.com/x",
+            "http://EXAMPLE.com/en/1?q#f",
+            "https://www.example.com/en/1",
+            "https://x.www.example.com/en/",
+            "http://b.net/es/#x",
+            "http://b.net/de/",
+            "http://com",
+            "http://com?/",
+            "http://xcom/",
+            "no scheme",
+            "",
+            None,
+            "http://É.com/",
+        ],
+    )
+    assert got == [
+        ("a.com", "/x", "com/", "allow"),
+        ("example.com", "/en/1", "example.com/en/", "block"),
+        ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
+        ("x.www.example.com", "/en/", "www.example.com/en/", "allow"),
+        ("b.net", "/es/", "net/es/", "block"),
+        ("b.net", "/de/", None, "allow"),
+        ("com", "", None, "allow"),
+        ("com", "", None, "allow"),
+        ("xcom", "/", None, "allow"),
+        ("", "", None, "allow"),
+        ("", "", None, "allow"),
+        ("", "", None, "allow"),
+        ("É.com", "/", "com/", "allow"),
+    ]
+
+
+def _plain(rules, host, path):
+    fits = [
+        (-len(str(r)), r.verdict != BLOCK, str(r), r.verdict)
+        for r in rules
+        if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
+    ]
+    return min(fits)[2:] if fits else None
+
+
+def test_trie_against_all_rules():
+    rng = random.Random(1)
+    labels, segments = ["a", "b", "ab"], ["x", "xy", "", "y"]
+
+    def host():
+        return ".".join(rng.choices(labels, k=rng.randint(1, 4)))
+
+    def path():
+        return "".join("/" + s for s in rng.choices(segments, k=rng.randint(0, 3)))
+
+    for _ in range(300):
+        rules = [UrlRule(rng.choice([ALLOW, BLOCK]), host(), path()) for _ in range(8)]
+        trie = UrlTrie(rules)
+        for _ in range(20):
+            h, p = host(), path()
+            assert trie.match(h, p) == _plain(rules, h, p)
+
+
+def test_many_small_tries_give_the_same(spark):
+    urls = ["http://www.example.com/en/1", "http://a.net/fr/2", "http://example.com/en/"]
+    assert judged(spark, urls, trie_chars=1) == judged(spark, urls)
+
+
+def test_default_repeats_empty_and_extra_columns(spark):
+    df = spark.createDataFrame(
+        [(1, "x", "r", "v"), (1, "x", "r", "v"), (None, "y", None, None)],
+        "page_id long, url string, rule string, verdict string",
+    )
+    got = [tuple(r) for r in filter_urls(df, URL_RULES, default=BLOCK).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, "", "", None, "block")] * 2 + [(None, "", "", None, "block")], key=str
+    )
+    assert filter_urls(df.limit(0), URL_RULES).count() == 0
+    with pytest.raises(ValueError):
+        UrlRule("maybe", "a")
+    with pytest.raises(ValueError):
+        UrlRule(ALLOW, "a", "x")
