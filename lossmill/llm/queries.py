@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lossmill.llm import url_filter
+from lossmill.llm import decontaminate, url_filter
 from lossmill.llm.common import table
 
 #: The rules that the query of the url filter applies.
@@ -23,8 +24,16 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    report = decontaminate.contamination_report(F.col("benchmark_hits"))
+    return found.select("doc_id", *(c.alias(name) for name, c in report.items()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {
@@ -55,4 +64,40 @@ ORACLES: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parts LEFT JOIN hits USING (host, path)
     """,
+    "op9_benchmark_decontamination": r"""
+        WITH item_words AS (
+            SELECT item_id, row_number() OVER () AS item_row, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), item_windows AS (
+            SELECT DISTINCT item_id, w[k:k + 9] AS win
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k
+                FROM item_words WHERE len(w) > 0)
+        ), doc_words AS (
+            SELECT doc_id, row_number() OVER () AS doc_row, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), lengths AS (SELECT DISTINCT len(win) AS n FROM item_windows),
+        doc_windows AS (
+            SELECT doc_row, n, k, w[k:k + n - 1] AS win
+            FROM (SELECT doc_row, w, n, unnest(range(1, len(w) - n + 2)) AS k
+                FROM doc_words, lengths WHERE len(w) >= n)
+        ), hits AS (
+            SELECT doc_row, n, k, item_id FROM doc_windows JOIN item_windows USING (win)
+        ), hit_words AS (
+            SELECT doc_row, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_row, unnest(range(k, k + n)) AS p FROM hits) GROUP BY doc_row
+        ), hit_items AS (
+            SELECT doc_row, count(*) AS n_items,
+                sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+            FROM (SELECT DISTINCT doc_row, item_id FROM hits) GROUP BY doc_row
+        )
+        SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit,
+            coalesce(n_items, 0) AS n_items,
+            coalesce(items_sha256, sha256('')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words LEFT JOIN hit_words USING (doc_row) LEFT JOIN hit_items USING (doc_row)
+    """,
 }

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import glob
 import os
 import sys
 
+import duckdb
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -11,11 +13,26 @@ sys.path.insert(0, ROOT)
 import __spark_entry__ as entry  # noqa: E402
 
 
-@pytest.fixture
-def query(spark):
-    """Rows of a registered query over the small tables."""
+def comparable(names, rows):
+    """Rows by column name, in a fixed order; floats as they are."""
+    order = sorted(range(len(names)), key=lambda k: names[k])
+    return sorted((tuple(r[k] for k in order) for r in rows), key=repr)
 
-    def run(name, sf_dir):
-        return entry.queries()[name](spark, sf_dir)
 
-    return run
+@pytest.fixture
+def same_as_sql(spark):
+    """Compare a registered query with its SQL in DuckDB."""
+
+    def check(name, sf_dir):
+        df = entry.queries()[name](spark, sf_dir)
+        got = comparable(df.columns, [tuple(r) for r in df.collect()])
+        db = duckdb.connect()
+        for path in glob.glob(f"{sf_dir}/*.parquet"):
+            db.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+        said = db.execute(entry.oracle_sql()[name])
+        expected = comparable([c[0] for c in said.description], said.fetchall())
+        assert sorted(df.columns) == sorted(c[0] for c in said.description)
+        assert got == expected
+        assert got
+
+    return check

@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import random
+
+from lossmill.llm.decontaminate import (
+    BenchmarkIndex,
+    WuManber,
+    contamination_report,
+    windows,
+    with_benchmark_hits,
+    words,
+)
+from pyspark.sql import functions as F
+
+
+def test_words_and_windows():
+    assert words("Ab-C9 é'Éx\x00\x7fz".encode()) == [b"ab", b"c9", "é".encode(), "Éx".encode(), b"z"]
+    assert words(None) == words(b"") == words(b" -- ") == []
+    assert list(windows(b"a b c", 2)) == [(b"a", b"b"), (b"b", b"c")]
+    assert list(windows(b"a", 2)) == [(b"a",)]
+    assert list(windows(b"", 2)) == []
+
+
+def test_search_finds_every_occurrence():
+    rng = random.Random(3)
+    for _ in range(400):
+        length = rng.randint(1, 5)
+        symbols = [rng.randint(0, 4) for _ in range(rng.randint(0, 40))]
+        sequences = {tuple(rng.randint(1, 4) for _ in range(length)) for _ in range(5)}
+        expected = [
+            (k, tuple(symbols[k : k + length]))
+            for k in range(len(symbols) - length + 1)
+            if tuple(symbols[k : k + length]) in sequences
+        ]
+        assert list(WuManber(sequences).find(symbols)) == expected
+
+
+def _plain(text, items, size):
+    doc = words(text)
+    hit, ids = set(), set()
+    for item, item_text in items:
+        for w in windows(item_text, size):
+            for k in range(len(doc) - len(w) + 1):
+                if tuple(doc[k : k + len(w)]) == w:
+                    hit |= set(range(k, k + len(w)))
+                    ids.add(item)
+    return len(doc), hit, ids
+
+
+def test_index_against_plain_loops():
+    rng = random.Random(4)
+
+    def text(n):
+        return " ".join(rng.choices("abc", k=rng.randint(0, n))).encode()
+
+    for _ in range(200):
+        items = [(k, text(8)) for k in range(4)]
+        index = BenchmarkIndex((b" ".join(w), k) for k, t in items for w in windows(t, 4))
+        doc = text(40)
+        n, spans, ids = index.search(doc)
+        covered = {p for s, e in spans for p in range(s, e)}
+        assert (n, covered, ids) == _plain(doc, items, 4)
+
+
+def test_edges_and_blocks(spark):
+    docs = spark.createDataFrame(
+        [
+            (1, "One two, THREE four!", "x"),
+            (1, "One two, THREE four!", "x"),
+            (2, None, None),
+            (3, "", "x"),
+            (None, "zero one two three zero three four five six", "x"),
+            (5, "seven " * 50_000, "x"),
+        ],
+        "doc_id long, text string, benchmark_hits string",
+    )
+    items = spark.createDataFrame(
+        [(10, "one two three"), (10, "three four five"), (9, "seven"), (None, "six"), (8, None), (7, "")],
+        "item_id long, text string",
+    )
+
+    def report(**options):
+        found = with_benchmark_hits(docs, items, window=3, **options)
+        cols = contamination_report(F.col("benchmark_hits"))
+        return sorted(
+            (tuple(r) for r in found.select("doc_id", *(c.alias(n) for n, c in cols.items())).collect()),
+            key=str,
+        )
+
+    got = report()
+    assert [r[:4] + r[5:] for r in got] == [
+        (1, 4, 3, 1, True),
+        (1, 4, 3, 1, True),
+        (2, 0, 0, 0, False),
+        (3, 0, 0, 0, False),
+        (5, 50_000, 50_000, 1, True),
+        (None, 9, 7, 1, True),
+    ]
+    assert report(block_bytes=30) == got
+    none = with_benchmark_hits(docs, items.limit(0), window=3)
+    assert none.where("size(benchmark_hits.starts) > 0").count() == 0
+    assert with_benchmark_hits(docs.limit(0), items).count() == 0
