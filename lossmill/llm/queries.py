@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmill.llm import decontaminate, url_filter
+from lossmill.llm import decontaminate, simhash, url_filter
 from lossmill.llm.common import table
 
 #: The rules that the query of the url filter applies.
@@ -24,6 +24,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return simhash.near_duplicate_components(docs, "doc_id", "text")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.with_benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
@@ -33,6 +38,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 

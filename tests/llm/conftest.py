@@ -36,3 +36,9 @@ def same_as_sql(spark):
         assert got
 
     return check
+
+
+@pytest.fixture
+def query(spark):
+    """Result of a registered query."""
+    return lambda name, sf_dir: entry.queries()[name](spark, sf_dir)
