@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmill.llm import decontaminate, simhash, url_filter
+from lossmill.llm import decontaminate, simhash, toxicity, url_filter
 from lossmill.llm.common import table
 
 #: The rules that the query of the url filter applies.
@@ -19,11 +19,34 @@ URL_RULES = (
     url_filter.UrlRule("block", "net", "/fr/"),
 )
 
+TOXIC_SCORE = 0.3
+
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def held_out(doc_id: Column) -> Column:
+    """The fold that no model is fitted on."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def toxic_lexicon(docs: DataFrame, labels: DataFrame) -> toxicity.Lexicon:
+    return toxicity.learn_lexicon(docs, labels.where(~held_out(F.col("doc_id"))))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxic_lexicon(docs, table(spark, sf_dir, "labels"))
+    score = F.col("toxicity.score")
+    return toxicity.with_toxicity(docs, lexicon).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        score.alias("score"),
+        (score >= TOXIC_SCORE).cast("int").alias("predicted"),
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return simhash.near_duplicate_components(docs, "doc_id", "text")
@@ -38,6 +61,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
