@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmill.llm import decontaminate, simhash, toxicity, url_filter
+from lossmill.llm import decontaminate, packing, simhash, toxicity, url_filter
 from lossmill.llm.common import table
 
 #: The rules that the query of the url filter applies.
@@ -26,6 +27,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), path)
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that no model is fitted on."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -61,6 +67,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
