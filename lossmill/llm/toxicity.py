@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_LABEL = 10_000
+ROWS_PER_LABEL = 5_000
 MIN_EVIDENCE = 30.0
-MAX_CANDIDATES = 5_000
+MAX_CANDIDATES = 2_000
 _PREFIXES = range(3, 13)
 _LONGEST_WORD = 40
 _GRAIN = 1 << 30
@@ -225,10 +225,12 @@ def _learn(texts: DataFrame, shares: dict, min_evidence: float, most: int) -> Le
     evidence = _evidence(F.col("yes"), F.col("no"), n_yes, n_no)
     over = (F.col("yes") * n_no > F.col("no") * n_yes) & (evidence >= min_evidence)
     best = counts.where(over).orderBy(evidence.desc(), "entry").limit(most).collect()
-    held = Lexicon({r.entry: 1.0 for r in best})
-    rows = texts.mapInArrow(_contexts(held), "label int, length long, hits string").collect()
+    names = [r.entry for r in best]
+    held = texts.mapInArrow(_holdings(names), "label int, holds array<int>").toArrow()
+    weights = _cover(names, held, n_yes, n_no, min_evidence)
+    found = Lexicon(weights)
+    rows = texts.mapInArrow(_contexts(found), "label int, length long, hits string").collect()
     seen = [(r.label, r.length, [h.split("\t") for h in r.hits.split("\n") if h]) for r in rows]
-    weights = _cover(seen, n_yes, n_no, min_evidence)
     exceptions = _exceptions(seen, weights, n_yes, n_no, min_evidence)
     return Lexicon(weights, exceptions, _curve(seen, weights, exceptions, shares))
 
@@ -282,18 +284,38 @@ def _ratio(yes: int, no: int, n_yes: int, n_no: int) -> float:
     return 2 * sum(seen * math.log(seen / expected) for seen, expected in cells if seen)
 
 
-def _contexts(held: Lexicon):
+def _holdings(names: list[str]):
+    """Numbers of the entries that each text holds."""
+
+    def holdings(tables):
+        entries = Matcher(Lexicon(dict.fromkeys(names, 1.0)))
+        number = {name: k for k, name in enumerate(names)}
+        for t in tables:
+            rows = [
+                sorted({number[e] for _, e in entries.all_matches(fold(text))})
+                for text in t.column(0).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [t.column(1), pa.array(rows, pa.list_(pa.int32()))], ["label", "holds"]
+            )
+
+    return holdings
+
+
+def _contexts(lexicon: Lexicon):
+    """Every use of an entry with the word pairs around it."""
+
     def contexts(tables):
-        entries = Matcher(held)
+        entries = Matcher(lexicon)
         for t in tables:
             rows = []
             for text, label in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
                 folded = fold(text)
-                hits = {
+                hits = [
                     f"{entry}\t{_pair(folded, start, True)}\t{_pair(folded, start, False)}"
-                    for start, entry in entries.all_matches(folded)
-                }
-                rows.append((label, len(folded), "\n".join(sorted(hits))))
+                    for start, entry in entries.matches(folded)
+                ]
+                rows.append((label, len(folded), "\n".join(hits)))
             columns = list(zip(*rows)) or [(), (), ()]
             kinds = (pa.int32(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
@@ -313,29 +335,34 @@ def _pair(folded: str, start: int, before: bool) -> str:
     return f" {word} {other[0]} " if other else ""
 
 
-def _cover(seen: list, n_yes: int, n_no: int, least: float) -> dict[str, float]:
+def _cover(
+    names: list[str], held: pa.Table, n_yes: int, n_no: int, least: float
+) -> dict[str, float]:
     """Greedy choice among the entries that the sampled texts hold."""
-    holders: dict[str, tuple[set, set]] = defaultdict(lambda: (set(), set()))
-    for k, (label, _, hits) in enumerate(seen):
-        for entry, *_ in hits:
-            holders[entry][label].add(k)
+    label = held.column("label").to_numpy()
+    holds = held.column("holds").combine_chunks()
+    table = np.zeros((len(label), len(names)), bool)
+    table[np.repeat(np.arange(len(label)), holds.value_lengths()), holds.flatten()] = True
+    in_no = table[label == 0].sum(axis=0)
+    in_yes = table[label == 1]
+    all_yes = in_yes.sum(axis=0)
     weights: dict[str, float] = {}
-    covered: set[int] = set()
-    while True:
-        left = n_yes - len(covered)
+    while len(in_yes):
+        left = len(in_yes)
         ranked = [
-            (_ratio(len(yes - covered), len(no), left, n_no), len(entry.rstrip()), entry)
-            for entry, (no, yes) in holders.items()
-            if len(yes - covered) * n_no > len(no) * left
+            (_ratio(int(yes), int(no), left, n_no), len(name.rstrip()), name, k)
+            for k, (name, yes, no) in enumerate(zip(names, in_yes.sum(axis=0), in_no))
+            if yes * n_no > no * left
         ]
         best = max(ranked, default=None)  # of equally telling entries the longest
         if best is None or best[0] < least:
-            return weights
-        no, yes = holders.pop(best[2])
-        weights[best[2]] = math.log((len(yes) + 0.5) / (n_yes + 1)) - math.log(
-            (len(no) + 0.5) / (n_no + 1)
+            break
+        *_, name, k = best
+        weights[name] = math.log((all_yes[k] + 0.5) / (n_yes + 1)) - math.log(
+            (in_no[k] + 0.5) / (n_no + 1)
         )
-        covered |= yes
+        in_yes = in_yes[~in_yes[:, k]]
+    return weights
 
 
 def _exceptions(seen, weights, n_yes: int, n_no: int, least: float) -> tuple[str, ...]:
