@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmill.llm import decontaminate, packing, simhash, toxicity, url_filter
+from lossmill.llm import decontaminate, packing, simhash, toxicity, url_filter, warc
 from lossmill.llm.common import table
 
 #: The rules that the query of the url filter applies.
@@ -58,6 +58,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_components(docs, "doc_id", "text")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments are short here, so that many pages have several."""
+    return warc.round_trip(table(spark, sf_dir, "pages"), segment_bytes=4096)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.with_benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_warc": op8_warc,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
@@ -101,6 +107,25 @@ ORACLES: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parts LEFT JOIN hits USING (host, path)
     """,
+    "op8_warc": """
+        WITH sized AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                sha1(coalesce(html, '')) AS hex
+            FROM pages
+        ), digests AS (
+            SELECT hex, list_aggregate(list_transform(range(32), lambda k: substr(
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((('0x' || substr(hex, (k // 8) * 10 + 1, 10))::BIGINT >> (35 - 5 * (k % 8))) & 31
+                )::INTEGER + 1, 1)), 'string_agg', '') AS payload_digest
+            FROM (SELECT DISTINCT hex FROM sized)
+        ), firsts AS (
+            SELECT hex, min(page_id) AS first_id FROM sized GROUP BY hex
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM sized JOIN digests USING (hex) JOIN firsts USING (hex)
+    """,
     "op9_benchmark_decontamination": r"""
         WITH item_words AS (
             SELECT item_id, row_number() OVER () AS item_row, regexp_extract_all(
