@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmill.llm import decontaminate, packing, simhash, toxicity, url_filter, warc
+from lossmill.llm import (
+    decontaminate,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc,
+)
 from lossmill.llm.common import table
 
 #: The rules that the query of the url filter applies.
@@ -21,6 +30,7 @@ URL_RULES = (
 )
 
 TOXIC_SCORE = 0.3
+KEPT_TAIL = 0.5
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +68,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_components(docs, "doc_id", "text")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, path, public_tokenizers.PATTERN)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments are short here, so that many pages have several."""
     return warc.round_trip(table(spark, sf_dir, "pages"), segment_bytes=4096)
@@ -70,13 +87,33 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", *(c.alias(name) for name, c in report.items()))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 for low quality, 1 for quality that is toxic, 2 for quality that is not."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, 2 - F.col("toxic"))
+    model = quality.fit_ordinal(docs, labels.select("doc_id", grade.alias("grade")))
+    tails = F.col("quality.tails")
+    at_least_1 = F.get(tails, F.lit(0))
+    return quality.with_grade(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("quality.expected_grade").alias("expected_grade"),
+        at_least_1.alias("p_grade_1_or_better"),
+        F.get(tails, F.lit(1)).alias("p_grade_2_or_better"),
+        F.coalesce(at_least_1 >= KEPT_TAIL, F.lit(False)).alias("kept"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
