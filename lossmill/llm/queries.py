@@ -13,6 +13,7 @@ from lossmill.llm import (
     packing,
     quality,
     simhash,
+    suffix_dedup,
     token_counts,
     toxicity,
     url_filter,
@@ -68,6 +69,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_components(docs, "doc_id", "text")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    report = suffix_dedup.repeat_report(F.col("text"), F.col("repeats"))
+    return suffix_dedup.with_repeats(docs).select(
+        "doc_id", *(c.alias(name) for name, c in report.items())
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -110,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
