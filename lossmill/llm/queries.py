@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lossmill.llm import (
     decontaminate,
+    embedding_dedup,
     packing,
     quality,
     simhash,
@@ -69,6 +70,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_components(docs, "doc_id", "text")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     report = suffix_dedup.repeat_report(F.col("text"), F.col("repeats"))
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,

@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from lossmill.llm.embedding_dedup import codes_for, encoded, estimates, near_duplicate_vectors
+
+
+def unit(rng, n, size):
+    x = rng.normal(size=(n, size))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_estimates_are_unbiased_and_bounded():
+    rng = np.random.default_rng(2)
+    base = unit(rng, 400, 64)
+    other = base + rng.normal(size=base.shape) * rng.uniform(0, 0.2, (400, 1))
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    codes = codes_for(50_000, 64, 0.9, 0.97)
+    packs = []
+    for x in (base, other):
+        bits, factors, _ = encoded(x, codes)
+        packs += [np.packbits(bits, axis=2), factors]
+    guess, off = estimates(*packs, 64)
+    true = base @ other.T
+    error = guess - true
+    assert abs(error.mean()) < 0.005
+    assert (np.abs(error) <= off).mean() > 0.995
+
+
+def plain(vectors, threshold=0.9):
+    x = np.array(vectors, float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= threshold
+    np.fill_diagonal(near, False)
+    root = np.arange(len(x))
+    while True:
+        new = np.where(near, root, len(x)).min(axis=1, initial=len(x))
+        new = np.minimum(root, new)
+        if (new == root).all():
+            return near.sum(axis=1), root
+        root = new
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_against_all_pairs(spark, block):
+    rng = np.random.default_rng(3)
+    centres = unit(rng, 8, 32)
+    parts = [c + rng.normal(size=(60, 32)) * 0.05 for c in centres] + [rng.normal(size=(300, 32))]
+    vectors = np.vstack([*parts, parts[0][:40]]).astype(np.float32)
+    df = spark.createDataFrame(
+        [(k, v.tolist(), 1) for k, v in enumerate(vectors)], "vec_id long, embedding array<float>, node int"
+    )
+    got = {r.vec_id: r for r in near_duplicate_vectors(df, block=block).collect()}
+    n_links, roots = plain(vectors)
+    assert len(got) == len(vectors)
+    assert all(got[k].n_links <= n for k, n in enumerate(n_links))
+    assert sum(r.n_links for r in got.values()) >= 0.97 * n_links.sum()
+    same = [got[k].component_id == roots[k] and got[k].kept == (roots[k] == k) for k in got]
+    assert np.mean(same) > 0.97
+
+
+def test_edges(spark):
+    nan, inf = math.nan, math.inf
+    rows = [
+        (5, [1.0, 0.0]), (5, [1.0, 0.0]), (3, [2.0, 0.1]), (None, [3.0, 0.0]),
+        (9, None), (8, []), (7, [0.0, 0.0]), (6, [nan, 1.0]), (4, [inf, 1.0]), (2, [None, 1.0]),
+        (1, [1.0, 0.0, 0.0]), (0, [1e-300, 1e-301]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((tuple(r) for r in near_duplicate_vectors(df).collect()), key=str)
+    linked = [(0, 4, 0, True), (3, 4, 0, False), (5, 4, 0, False), (5, 4, 0, False), (None, 4, 0, False)]
+    alone = [(k, 0, k, True) for k in (9, 8, 7, 6, 4, 2, 1)]
+    assert got == sorted(linked + alone, key=str)
+    assert near_duplicate_vectors(df.limit(0)).count() == 0
+    assert {r.n_links for r in near_duplicate_vectors(df.where("vec_id > 5")).collect()} == {0}
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs with a cosine just over 0.9 among unrelated vectors."""
+    rng = np.random.default_rng(4)
+    base = unit(rng, 800, 64)
+    side = rng.normal(size=base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    other = 0.905 * base + math.sqrt(1 - 0.905**2) * side
+    rows = [(k, v.tolist()) for k, v in enumerate(np.vstack([base, other]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = near_duplicate_vectors(df).where("n_links > 0").count()
+    assert got >= 0.93 * 1600
+
+
+def test_query_against_all_pairs(query, spark):
+    sf_dir = "/root/testdata/check_s"
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
+    n_links, _ = plain([r.embedding for r in rows])
+    got = {r.vec_id: r.n_links for r in query("op5_embedding_near_dedup", sf_dir).collect()}
+    found = [got[r.vec_id] for r in rows]
+    assert all(f <= n for f, n in zip(found, n_links))
+    assert sum(found) >= 0.99 * n_links.sum()
