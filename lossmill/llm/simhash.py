@@ -13,6 +13,7 @@ distance of two or three in two segments of 64 bits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,12 +28,14 @@ from lossmill.llm.components import connected_components
 
 DENSE = 8192
 _SLICE = 1 << 16
-_FIRST_SEED = 42
+_FEW = 8
+_SEED = 42
 
 
 @dataclass(frozen=True)
 class SimHash:
-    """``lanes`` fingerprints of 64 bits side by side, each with a seed of its own.
+    """``lanes`` fingerprints of 64 bits side by side: one of the shingle hashes, the others of
+    those hashes mixed anew.
 
     Pairs of up to ``2 * segments - 1`` differing bits are all found. A larger ``distance`` is
     allowed; such pairs are found if they agree on a segment but for one bit.
@@ -53,6 +56,28 @@ class SimHash:
             raise ValueError(f"not possible: {self}")
 
 
+def bit_rate(similarity: float) -> float:
+    """Share of bits in which texts of a Jaccard similarity differ, on average."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def spec_for(n: int, shingle: int, similarity: float, recall: float = 0.9) -> SimHash:
+    """Fingerprints for ``n`` texts: linked from about ``similarity`` on.
+
+    Segments are three bits wider than it takes to number the texts, so unrelated ones rarely
+    share a key, and so many that a pair half-way from ``similarity`` to 1 shares one with
+    probability ``recall``; closer pairs more often. Bits left over make further segments.
+    """
+    width = min(48, math.ceil(math.log2(max(n, 2))) + 3)
+    same = 1 - bit_rate((1 + similarity) / 2)
+    meet = same**width + width * (1 - same) * same ** (width - 1)
+    segments = math.ceil(math.log(1 - recall) / math.log(1 - meet))
+    lanes = math.ceil(segments * width / 64)
+    segments = 64 * lanes // width
+    mean = 64 * lanes * bit_rate(similarity)
+    return SimHash(shingle, lanes, segments, math.ceil(mean + 0.3 * math.sqrt(mean)))
+
+
 def shingles(text: bytes, size: int) -> list[bytes]:
     """Word shingles of a text, A-Z in lower case; words are parted by ASCII white space."""
     words = text.lower().split()
@@ -64,16 +89,24 @@ def shingles(text: bytes, size: int) -> list[bytes]:
 def fingerprint(text: bytes | None, spec: SimHash) -> bytes:
     """Big-endian bits; a bit is set if over half the shingle hashes have it. No words: zero."""
     parts = shingles(text or b"", spec.shingle)
-    out = b""
-    for lane in range(spec.lanes):
-        digest = xxhash.xxh64_intdigest
-        counts = np.zeros(64, np.int64)
-        for at in range(0, len(parts), _SLICE):
-            some = [digest(p, _FIRST_SEED + lane) for p in parts[at : at + _SLICE]]
-            bits = np.unpackbits(np.array(some, ">u8").view(np.uint8)).reshape(-1, 64)
-            counts += bits.sum(axis=0, dtype=np.int32)
-        out += np.packbits(2 * counts > len(parts)).tobytes()
-    return out
+    counts = np.zeros((spec.lanes, 64), np.int64)
+    digest = xxhash.xxh64_intdigest
+    for at in range(0, len(parts), _SLICE):
+        hashes = np.array([digest(p, _SEED) for p in parts[at : at + _SLICE]], np.uint64)
+        for lane in range(spec.lanes):
+            bits = np.unpackbits(_mixed(hashes, lane).astype(">u8").view(np.uint8))
+            counts[lane] += bits.reshape(-1, 64).sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * counts > len(parts)).tobytes()
+
+
+def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
+    """Other hashes for every lane but the first: an increment and two multiplications."""
+    if not lane:
+        return hashes
+    out = hashes + np.uint64(lane * 0x9E3779B97F4A7C15 % (1 << 64))
+    out = (out ^ out >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    out = (out ^ out >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return out ^ out >> np.uint64(31)
 
 
 def fingerprint_column(text: Column, spec: SimHash) -> Column:
@@ -132,6 +165,32 @@ def near_duplicate_components(
     )
 
 
+def one_of_each(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    shingle: int = 5,
+    similarity: float = 0.8,
+    recall: float = 0.9,
+) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest id.
+
+    Of rows with that id, as repeated rows have, one stays; a null id comes last. Texts without
+    words are copies of each other. All columns stay as they are.
+    """
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    spec = spec_for(docs.count(), shingle, similarity, recall)
+    rows = docs.toDF(*names).withColumn("row", F.monotonically_increasing_id())
+    text, key = (names[docs.columns.index(c)] for c in (text_col, id_col))
+    rows = stored(rows.withColumn("print", fingerprint_column(F.col(text), spec)), "simhash-texts")
+    roots = component_roots(rows.select(F.col("print").alias("fingerprint")), spec)
+    first = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "row")
+    least = rows.groupBy("print").agg(F.min(first).alias("first"))
+    least = least.join(roots.toDF("print", "root"), "print", "left")
+    stays = least.groupBy(F.coalesce("root", "print").alias("root")).agg(F.min("first").alias("first"))
+    return rows.join(stays.select("first.row"), "row").select(*names).toDF(*docs.columns)
+
+
 def component_roots(prints: DataFrame, spec: SimHash, dense: int = DENSE) -> DataFrame:
     """``fingerprint`` and ``root`` for every fingerprint that links with another."""
     edges = linked_fingerprints(prints.select("fingerprint").distinct(), spec, dense)
@@ -276,10 +335,8 @@ def _edge_batch(rows: list) -> pa.RecordBatch:
 
 def spanning_links(members: list[bytes], distance: int) -> Iterator[tuple[bytes, bytes]]:
     """Links within ``distance`` bits that connect what all such links connect."""
-    if len(members) == 2:  # most keys
-        a, b = members
-        if a != b and (int.from_bytes(a) ^ int.from_bytes(b)).bit_count() <= distance:
-            yield a, b
+    if len(members) <= _FEW:
+        yield from _few_links(members, distance)
         return
     lanes = np.frombuffer(b"".join(members), np.uint64).reshape(len(members), -1)
     waiting = np.arange(len(members))
@@ -295,3 +352,21 @@ def spanning_links(members: list[bytes], distance: int) -> Iterator[tuple[bytes,
             yield members[one], members[int(k)]
             reached.append(int(k))
         waiting = waiting[~near]
+
+
+def _few_links(members: list[bytes], distance: int) -> Iterator[tuple[bytes, bytes]]:
+    """The same for the few members that most keys have."""
+    waiting = [(m, int.from_bytes(m)) for m in members]
+    reached: list[tuple[bytes, int]] = []
+    while waiting:
+        if not reached:
+            reached.append(waiting.pop())
+        one, number = reached.pop()
+        left = []
+        for other in waiting:
+            if (number ^ other[1]).bit_count() <= distance:
+                yield one, other[0]
+                reached.append(other)
+            else:
+                left.append(other)
+        waiting = left
