@@ -1,8 +1,7 @@
 """The four marts and the small reports around them.
 
-Every mart is a projection over the same mergeable totals. ``totals`` reduces rows on the map side,
-so only one row per task and key is shuffled however hot a key is; ``merge`` rolls totals up
-further. One pass over silver can thus feed all marts.
+Every mart is a projection over mergeable totals. ``totals`` reduces rows on the map side, so only
+one row per task and key is shuffled however hot a key is; ``merge`` rolls totals up further.
 """
 
 from __future__ import annotations
@@ -12,23 +11,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossmill.functions import exact, inexact, loss_amount, loss_ratio, risk_tier, round_snap
+from lossmill.functions import loss_amount, loss_ratio, risk_tier, round_snap, summands, summed
 
 REGION = ("region_code", "region_name", "period")
 COVERAGE = ("coverage", "period")
 PORTFOLIO = ("period",)
 SEGMENT = ("region_code", "region_name", "coverage", "period")
 
-
 _SUMMED = ("premium", "claim_amount", "exposure", "avg_insured")
 
 
 def totals(silver: DataFrame, by: Sequence[str], loss_above: float = 1.0) -> DataFrame:
-    """Mergeable totals per key. Amounts are summed as decimals (``sum_``), which is exact in any
-    order; what no decimal can hold, such as NaN, is summed apart (``rest_``, null if none)."""
+    """Mergeable totals per key. Amounts are summed as ``summands``, in any order the same."""
     return silver.groupBy(*by).agg(
-        *(F.sum(exact(c)).alias(f"sum_{c}") for c in _SUMMED),
-        *(F.sum(inexact(c)).alias(f"rest_{c}") for c in _SUMMED),
+        *(
+            F.sum(part).alias(f"sum_{name}_{c}")
+            for c in _SUMMED
+            for name, part in summands(c).items()
+        ),
         F.count("coverage").alias("n_coverage"),
         F.count("region_code").alias("n_region"),
         F.count("avg_insured").alias("n_avg_insured"),
@@ -40,7 +40,7 @@ def totals(silver: DataFrame, by: Sequence[str], loss_above: float = 1.0) -> Dat
 
 def merge(parts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Totals of a finer grain, rolled up to ``by``."""
-    added = [c for c in parts.columns if c.startswith(("sum_", "rest_", "n_"))]
+    added = [c for c in parts.columns if c.startswith(("sum_", "n_"))]
     return parts.groupBy(*by).agg(
         *(F.sum(c).alias(c) for c in added),
         F.max("max_ratio").alias("max_ratio"),
@@ -49,11 +49,9 @@ def merge(parts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _finished(parts: DataFrame) -> DataFrame:
-    """Each decimal sum and its rest as one double, then the ratio of sums."""
-    whole = {}
-    for name in _SUMMED:
-        amount, rest = F.col(f"sum_{name}").cast("double"), F.col(f"rest_{name}")
-        whole[name] = F.coalesce(amount + rest, amount, rest)
+    """Each sum as one double, then the ratio of sums."""
+    names = summands("premium")
+    whole = {c: summed({name: F.col(f"sum_{name}_{c}") for name in names}) for c in _SUMMED}
     ratio = loss_ratio("claim_amount", "premium")
     return parts.withColumns(whole).withColumn("loss_ratio", ratio)
 

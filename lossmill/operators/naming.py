@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame
 from lossmill.schemas import PUBLISHED_NAMES
 
 
-def to_published(df: DataFrame) -> DataFrame:
-    """Rename the columns that have a published name; others stay."""
-    return df.withColumnsRenamed(PUBLISHED_NAMES)
+def to_published(df: DataFrame, table: str = "silver") -> DataFrame:
+    """Rename the columns that have a published name in ``table``, a key of ``PUBLISHED_NAMES``;
+    others stay."""
+    return df.withColumnsRenamed(PUBLISHED_NAMES[table])
 
 
-def from_published(df: DataFrame) -> DataFrame:
+def from_published(df: DataFrame, table: str = "silver") -> DataFrame:
     """The inverse of ``to_published``."""
-    return df.withColumnsRenamed({old: new for new, old in PUBLISHED_NAMES.items()})
+    return df.withColumnsRenamed({new: old for old, new in PUBLISHED_NAMES[table].items()})

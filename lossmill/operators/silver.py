@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from lossmill.functions import comma_decimal, is_malformed, loss_ratio, to_long
 from lossmill.schemas import SEGMENT_KEYS
 
-# A claim or region row takes 100 to 200 bytes in a broadcast table, so this is 100 MB at most.
-BROADCAST_ROWS = 500_000
-
 
 def cast_columns(
     df: DataFrame, decimals: Iterable[str] = (), longs: Iterable[str] = (), strict: bool = False
@@ -78,12 +75,6 @@ def _same_keys(keys: Iterable[str]) -> Column:
     return condition
 
 
-def broadcast_counted(df: DataFrame, row_count: int) -> DataFrame:
-    """Ask for a broadcast when the counted rows are within ``BROADCAST_ROWS``; beyond, leave the
-    choice between broadcast and shuffle to Spark."""
-    return F.broadcast(df) if row_count <= BROADCAST_ROWS else df
-
-
 def join_claims(
     premium: DataFrame,
     claim: DataFrame,
@@ -92,10 +83,9 @@ def join_claims(
 ) -> DataFrame:
     """Every premium row with its claims, zeros where there are none, and the row ratio.
 
-    Null keys match nothing. By contract a claim key occurs once, so the claim side is no larger
-    than the set of keys, and a counted one is best passed through ``broadcast_counted``: premium
-    rows are then joined where they are read, however many share a key. Without a broadcast both
-    sides are shuffled and adaptive execution splits a hot premium key.
+    Null keys match nothing. Neither side carries a hint: claims within Spark's broadcast threshold
+    in bytes are joined where premium rows are read. Beyond it both sides are shuffled and adaptive
+    execution splits a hot premium key.
 
     A shuffled left join cannot split a hot key of its right side. With ``repeated_claim_keys``
     the same rows come from an inner join, where either side may be split, and an anti join
@@ -163,7 +153,7 @@ def require_unique(regions: DataFrame, key: str = "dim_code") -> DataFrame:
     """Return the dimension, or raise when a code occurs twice (rows would multiply)."""
     repeated = regions.groupBy(key).count().where("count > 1").select(key).take(5)
     if repeated:
-        raise ValueError(f"{key} repeats in the dimension: {[row[0] for row in repeated]}")
+        raise ValueError(f"{key} repeats in the dimension, e.g. {[row[0] for row in repeated]}")
     return regions
 
 

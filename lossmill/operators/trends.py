@@ -8,26 +8,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType
 
-from lossmill.functions import exact, round_snap
+from lossmill.functions import exact_sum, round_snap
 
 
 def trend_by_region(region_mart: DataFrame) -> DataFrame:
-    """Ratio per region and period with the previous one and the change.
+    """Ratio per region and period with the one of the previous stored period and the change.
 
-    Runs over the region mart, so a window partition holds one row per period.
+    ``previous_period`` says which that is: with a half-year missing, it lies further back. Runs
+    over the region mart, so a window partition holds one row per period.
     """
     history = Window.partitionBy("region_code").orderBy("period")
-    previous = F.lag("loss_ratio").over(history)
     return region_mart.select(
-        "region_code", "region_name", "period", "loss_ratio", previous.alias("previous_ratio")
+        "region_code",
+        "region_name",
+        "period",
+        "loss_ratio",
+        F.lag("period").over(history).alias("previous_period"),
+        F.lag("loss_ratio").over(history).alias("previous_ratio"),
     ).withColumn("ratio_change", round_snap(F.col("loss_ratio") - F.col("previous_ratio"), 4))
 
 
 def exposure_weighted_ratio(silver: DataFrame) -> DataFrame:
     """Mean of row ratios weighted by exposure, per region and period."""
     rated = F.when(F.col("loss_ratio").isNotNull(), F.col("exposure"))
-    weighted = F.sum(exact(F.col("loss_ratio") * F.col("exposure"))).cast("double")
-    weight = F.sum(exact(rated)).cast("double")
+    weighted = exact_sum(F.col("loss_ratio") * F.col("exposure"))
+    weight = exact_sum(rated)
     return silver.groupBy("region_code", "region_name", "period").agg(
         round_snap(F.try_divide(weighted, weight), 4).alias("weighted_ratio")
     )

@@ -16,7 +16,13 @@ from lossmill.plans import medallion
 from lossmill.sinks import append_ledger, last_operations, reconcile, scratch_path
 from lossmill.sinks.ledger import Entry
 from lossmill.sinks.tables import period_counts, replace_period, replace_periods
-from lossmill.sources import read_delimited, read_period, read_regions, read_table
+from lossmill.sources import (
+    read_delimited,
+    read_period,
+    read_regions,
+    read_table,
+    rows_per_period,
+)
 from lossmill.sources.star import Star, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEYS = list(schemas.SEGMENT_KEYS)
 SCANNED_PERIODS = ("1996S1", "1998S2")
 CORRECTED_PERIOD = "1997S1"
-CLAIM_PERIODS = ("2000S2", "2001S1")
+ABSENT_PERIOD = "1900S1"
 
 
 def _unstamped(raw: DataFrame) -> DataFrame:
@@ -76,6 +82,17 @@ def src_period_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_period(spark, path, typed.schema, SCANNED_PERIODS)
 
 
+def src_period_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both sources in every half-year, and in one that has no files."""
+    tables = Star(spark, sf_dir)
+    wanted = (*tables.periods, ABSENT_PERIOD)
+    counts = [
+        rows_per_period(df, wanted).select(F.lit(name).alias("source"), "period", "row_count")
+        for name, df in (("premium", tables.premium), ("claim", tables.claim))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 def _store_premium(spark: SparkSession, tables: Star) -> tuple[str, DataFrame]:
     """Every period of the raw premiums; the path and the stored table."""
     path = scratch_path(spark, "premium")
@@ -107,7 +124,7 @@ def sink_replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs: every premium period, one corrected period, two claim periods."""
+    """Three runs: every premium period, one corrected period, every claim period."""
     tables = Star(spark, sf_dir)
     ledger = scratch_path(spark, "ledger")
 
@@ -122,10 +139,9 @@ def ledger_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     enter(1, "premium", stored)
     stored = _correct_premium(spark, path, tables)
     enter(2, "premium", stored.where(F.col("period") == CORRECTED_PERIOD))
-    claims = tables.claim.where(F.col("period").isin(*CLAIM_PERIODS))
     claim_path = scratch_path(spark, "claim")
-    replace_periods(claims, claim_path, CLAIM_PERIODS)
-    enter(3, "claim", read_table(spark, claim_path, claims.schema))
+    replace_periods(tables.claim, claim_path, tables.periods)
+    enter(3, "claim", read_table(spark, claim_path, tables.claim.schema))
     return last_operations(spark, ledger, 5).drop("run_ts")
 
 
@@ -235,6 +251,32 @@ def dq_alert_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(Star(spark, sf_dir)).select(*KEYS, "loss_ratio", "high_ratio_alert")
 
 
+def dq_alert_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = Star(spark, sf_dir)
+    tagged = medallion.tagged_rows(
+        _premium(tables), _claim(tables), _regions(tables), alert_threshold=1.5
+    )
+    return tagged.select(*KEYS, "loss_ratio", "high_ratio_alert")
+
+
+def _failing(tables: Star, rule: quality.Rule, claim: DataFrame) -> DataFrame:
+    """Rows that an optional rule alone quarantines."""
+    tagged = medallion.tagged_rows(_premium(tables), claim, _regions(tables), [rule])
+    failed = quality.split(tagged)[1]
+    return failed.select(*KEYS, "claim_amount", quality.REASON)
+
+
+def dq_claim_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = Star(spark, sf_dir)
+    claim = silver.type_claim(_unstamped(tables.claim), keep_malformed=True)
+    return _failing(tables, quality.CLAIM_MALFORMED, claim)
+
+
+def dq_claim_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = Star(spark, sf_dir)
+    return _failing(tables, quality.CLAIM_REPEATED, silver.with_claim_copies(_claim(tables)))
+
+
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_tagged(Star(spark, sf_dir)))
 
@@ -257,7 +299,7 @@ def gold_by_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.alerts(_clean(Star(spark, sf_dir)))
+    return marts.ranked(marts.alerts(_clean(Star(spark, sf_dir))), "loss_ratio", KEYS)
 
 
 def gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "src_locale_csv": src_locale_csv,
     "src_region_dim": src_region_dim,
     "src_period_scan": src_period_scan,
+    "src_period_counts": src_period_counts,
     "sink_roundtrip": sink_roundtrip,
     "sink_replace_partition": sink_replace_partition,
     "ledger_last_n": ledger_last_n,
@@ -353,6 +396,9 @@ QUERIES: dict[str, Query] = {
     "dq_clean": dq_clean,
     "dq_quarantine": dq_quarantine,
     "dq_alert_flag": dq_alert_flag,
+    "dq_alert_threshold": dq_alert_threshold,
+    "dq_claim_malformed": dq_claim_malformed,
+    "dq_claim_repeated": dq_claim_repeated,
     "dq_report": dq_report,
     "dq_breakdown": dq_breakdown,
     "gold_by_region": gold_by_region,

@@ -21,7 +21,7 @@ from lossmill import schemas
 from lossmill.operators import marts, quality, silver
 from lossmill.operators.bronze import stamp
 from lossmill.sinks import ledger, tables
-from lossmill.sources.delimited import FILE_ENCODING, read_delimited, require_rows
+from lossmill.sources.delimited import FILE_ENCODING, read_delimited, require_periods
 from lossmill.sources.tables import read_period
 
 
@@ -41,8 +41,19 @@ class Settings:
     strict_numbers: bool = False
     rules: tuple[quality.Rule, ...] = quality.RULES
     compact: bool = False  # one more shuffle of silver for fewer, evenly sized files
+    may_be_empty: tuple[str, ...] = ()  # periods whose files may have no rows: they are cleared
+    repeated_claim_keys: bool = False  # a join that can split a hot, repeated claim key
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
+    @property
+    def stored_periods(self) -> tuple[str | None, ...]:
+        return (*self.periods, None) if self.null_periods else self.periods
+
+    @property
+    def null_periods(self) -> bool:
+        """Whether rows without a period belong to the run: a rule quarantines them."""
+        return quality.PERIOD_NULL in self.rules
+
     def path(self, table: str) -> str:
         """``bronze/premium``, ``bronze/claim``, ``silver``, ``gold/by_region``,
         ``gold/by_coverage``, ``gold/alerts``, ``gold/summary`` or ``ledger``."""
@@ -52,19 +63,21 @@ class Settings:
 def read_silver(spark: SparkSession, run: Settings, outcome: str) -> DataFrame:
     """The clean or the quarantined rows of the periods of a run."""
     schema = schemas.SILVER if outcome == tables.CLEAN else schemas.QUARANTINE
-    return tables.read_outcome(spark, run.path("silver"), schema, outcome, run.periods)
+    periods = run.stored_periods if outcome == tables.QUARANTINED else run.periods
+    return tables.read_outcome(spark, run.path("silver"), schema, outcome, periods)
 
 
 def read_tagged(spark: SparkSession, run: Settings) -> DataFrame:
     """Clean and quarantined rows together, for the quality reports."""
-    return read_period(spark, run.path("silver"), schemas.QUARANTINE, run.periods)
+    both = {tables.OUTCOME: (tables.CLEAN, tables.QUARANTINED)}
+    return read_period(spark, run.path("silver"), schemas.QUARANTINE, run.stored_periods, both)
 
 
 def stored_layers(spark: SparkSession, run: Settings) -> dict[str, DataFrame]:
     """The bronze and silver tables of a run, its periods only."""
     bronze = {"premium": schemas.BRONZE_PREMIUM, "claim": schemas.BRONZE_CLAIM}
     return {
-        f"bronze_{name}": read_period(spark, run.path(f"bronze/{name}"), schema, run.periods)
+        f"bronze_{name}": read_period(spark, run.path(f"bronze/{name}"), schema, run.stored_periods)
         for name, schema in bronze.items()
     } | {
         f"silver_{outcome}": read_silver(spark, run, outcome)
@@ -88,11 +101,16 @@ class _Written:
 
 
 def _store(
-    spark: SparkSession, run: Settings, table: str, df: DataFrame, schema: StructType
+    spark: SparkSession,
+    run: Settings,
+    table: str,
+    df: DataFrame,
+    schema: StructType,
+    periods: Sequence[str | None] | None = None,
 ) -> _Written:
-    path = run.path(table)
-    rows = tables.replace_periods(df.select(*schema.names), path, run.periods)
-    return _Written(rows, {table: read_period(spark, path, schema, run.periods)})
+    path, periods = run.path(table), periods or run.periods
+    rows = tables.replace_periods(df.select(*schema.names), path, periods)
+    return _Written(rows, {table: read_period(spark, path, schema, periods)})
 
 
 def _record(spark: SparkSession, run: Settings, writes: Sequence[_Written]) -> None:
@@ -120,16 +138,26 @@ def ingest(
     claim_path: str,
     period_dirs: bool = False,
 ) -> None:
-    """Files to bronze. One period per call, or many when files lie in ``period=`` directories."""
+    """Files to bronze. One period per call, or many when files lie in ``period=`` directories.
+
+    Both sources need rows in every period of the run, or nothing is written at all; periods that
+    may be cleared are named in ``Settings.may_be_empty``. With the rule ``PERIOD_NULL`` rows
+    without a period come along, to be quarantined.
+    """
     if not period_dirs and len(run.periods) != 1:
         raise ValueError("files without period directories hold exactly one period")
 
     def scan(path: str, schema: StructType) -> DataFrame:
         raw = read_delimited(spark, path, schema, encoding=run.encoding, period_dirs=period_dirs)
-        if not period_dirs:
-            return require_rows(stamp(raw, run.run_ts, run.periods[0]), 1, path)
-        wanted = stamp(raw, run.run_ts).where(F.col(schemas.PERIOD).isin(*run.periods))
-        return require_rows(wanted, 1, path)
+        if period_dirs:
+            wanted = F.col(schemas.PERIOD).isin(*run.periods)
+            if run.null_periods:
+                wanted = wanted | F.col(schemas.PERIOD).isNull()
+            rows = stamp(raw, run.run_ts).where(wanted)
+        else:
+            rows = stamp(raw, run.run_ts, run.periods[0])
+        needed = [p for p in run.periods if p not in run.may_be_empty]
+        return require_periods(rows, needed, 1, path)
 
     premium, claim = _together(
         spark,
@@ -141,8 +169,11 @@ def ingest(
     writes = _together(
         spark,
         [
-            lambda: _store(spark, run, "bronze/premium", premium, schemas.BRONZE_PREMIUM),
-            lambda: _store(spark, run, "bronze/claim", claim, schemas.BRONZE_CLAIM),
+            partial(_store, spark, run, f"bronze/{name}", rows, schema, run.stored_periods)
+            for name, rows, schema in (
+                ("premium", premium, schemas.BRONZE_PREMIUM),
+                ("claim", claim, schemas.BRONZE_CLAIM),
+            )
         ],
     )
     _record(spark, run, writes)
@@ -165,7 +196,7 @@ def tagged_rows(
 def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
     """Bronze to silver: clean and quarantined rows, written in one pass."""
     premium = silver.type_premium(
-        read_period(spark, run.path("bronze/premium"), schemas.BRONZE_PREMIUM, run.periods),
+        read_period(spark, run.path("bronze/premium"), schemas.BRONZE_PREMIUM, run.stored_periods),
         run.strict_numbers,
     )
     claim = silver.type_claim(
@@ -175,31 +206,17 @@ def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
     )
     if quality.CLAIM_REPEATED in run.rules:
         claim = silver.with_claim_copies(claim)
-    _, repeated, claim_rows, region_rows = _together(
-        spark,
-        [
-            lambda: silver.require_unique(regions),
-            lambda: not silver.repeated_claims(claim).isEmpty(),
-            claim.count,
-            regions.count,
-        ],
-    )
-    shuffled = claim_rows > silver.BROADCAST_ROWS
     tagged = tagged_rows(
         premium,
-        silver.broadcast_counted(claim, claim_rows),
-        silver.broadcast_counted(regions, region_rows),
+        claim,
+        silver.require_unique(regions),
         run.rules,
         run.alert_threshold,
-        repeated_claim_keys=shuffled and repeated,
+        run.repeated_claim_keys,
     )
     ready = silver.processed(tagged, run.run_ts).select(*schemas.QUARANTINE.names)
-    # A broadcast join keeps the periods of the premium scan apart; a shuffle mixes them.
     rows = tables.replace_outcomes(
-        ready,
-        run.path("silver"),
-        run.periods,
-        rebalance=run.compact or (shuffled and len(run.periods) > 1),
+        ready, run.path("silver"), run.stored_periods, rebalance=run.compact
     )
     stored = {
         f"silver/{outcome}": read_silver(spark, run, outcome)
@@ -211,38 +228,24 @@ def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
 def publish(spark: SparkSession, run: Settings) -> None:
     """Silver to the four marts.
 
-    Silver is scanned once for the three aggregated marts: segment totals, one row per key, are
-    kept and rolled up. The alert list reads only rows above the threshold.
+    Each mart scans the columns it needs and reduces them where they are read: what is shuffled
+    are a few rows per task, not silver. The alert list reads only rows above the threshold.
     """
     clean = read_silver(spark, run, tables.CLEAN)
-    segments = marts.totals(clean, marts.SEGMENT, run.loss_threshold).persist()
-    try:
-        outputs = {
-            "gold/by_region": (
-                marts.region_mart(
-                    marts.merge(segments, marts.REGION), run.loss_threshold, run.watch_threshold
-                ),
-                schemas.GOLD_BY_REGION,
-            ),
-            "gold/by_coverage": (
-                marts.coverage_mart(marts.merge(segments, marts.COVERAGE)),
-                schemas.GOLD_BY_COVERAGE,
-            ),
-            "gold/summary": (
-                marts.summary_mart(marts.merge(segments, marts.PORTFOLIO)),
-                schemas.GOLD_SUMMARY,
-            ),
-            "gold/alerts": (marts.alerts(clean, run.loss_threshold), schemas.GOLD_ALERTS),
-        }
-        writes = _together(
-            spark,
-            [
-                partial(_store, spark, run, name, silver.processed(mart, run.run_ts), schema)
-                for name, (mart, schema) in outputs.items()
-            ],
-        )
-    finally:
-        segments.unpersist()
+    high, watch = run.loss_threshold, run.watch_threshold
+    outputs = {
+        "gold/by_region": (marts.by_region(clean, high, watch), schemas.GOLD_BY_REGION),
+        "gold/by_coverage": (marts.by_coverage(clean), schemas.GOLD_BY_COVERAGE),
+        "gold/summary": (marts.summary(clean, high), schemas.GOLD_SUMMARY),
+        "gold/alerts": (marts.alerts(clean, high), schemas.GOLD_ALERTS),
+    }
+    writes = _together(
+        spark,
+        [
+            partial(_store, spark, run, name, silver.processed(mart, run.run_ts), schema)
+            for name, (mart, schema) in outputs.items()
+        ],
+    )
     _record(spark, run, writes)
 
 

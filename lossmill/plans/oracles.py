@@ -13,7 +13,9 @@ def _number(text: str) -> str:
 
 
 def _snap(value: str, digits: int) -> str:
-    return f"cast(round(cast({value} as decimal(28,8)), {digits}) as double)"
+    """Rounding of the digits that a double is written with."""
+    spelled = f"cast(cast(cast({value} as double) as varchar) as decimal(38,12))"
+    return f"cast(round({spelled}, {digits}) as double)"
 
 
 def _ratio(claims: str, premium: str, digits: int = 4) -> str:
@@ -42,38 +44,53 @@ with order_segments as (
     from orders join customer on o_custkey = c_custkey
 ),
 premium_totals as (
-    select period, nation, coverage, count(*) as n, sum(o_totalprice) as total,
-        avg(o_totalprice) as mean
+    select period, nation, coverage, count(*) as n,
+        cast(sum(cast(o_totalprice as decimal(15,2))) as double) as total
     from order_segments group by period, nation, coverage
 ),
 raw_premium as (
-    select case when nation = 11 and coverage = 'HOUSEHOLD' then null
-            else lpad(cast(nation as varchar), 2, '0') end as region_code,
+    select lpad(cast(nation as varchar), 2, '0') as region_code,
         n_name as region_name, coverage, {_text('n')} as exposure,
-        case when nation = 7 and coverage = 'BUILDING' then 'n/d'
-            when nation = 17 and coverage = 'AUTOMOBILE' then '0,0000'
-            else {_text('total')} end as premium,
-        {_text('mean')} as avg_insured, period
+        {_text('total')} as premium, {_text('total / n')} as avg_insured, period
     from premium_totals left join nation on nation = n_nationkey
+    union all
+    select a.*, period from (values
+        (null, 'ADDED REGION', 'F_NULL', '1,0000', '10,0000', '10,0000'),
+        ('90', 'ADDED REGION', 'F_DIGITS', '1,0000', 'n/d', '10,0000'),
+        ('90', 'ADDED REGION', 'F_ZERO', '1,0000', '0,0000', '10,0000'),
+        ('90', 'ADDED REGION', 'F_NEGATIVE', '1,0000', '10,0000', '10,0000'),
+        ('90', 'ADDED REGION', 'F_ALONE', '2,0000', '1000,5000', '500,2500'),
+        ('90', 'ADDED REGION', 'F_TEXT', '1,0000', '10,0000', '10,0000'),
+        ('90', 'ADDED REGION', 'F_TWICE', '4,0000', '250,0000', '62,5000'),
+        ('99', 'NOT LISTED', 'F_UNLISTED', '1,0000', '10,0000', '10,0000')) a,
+        (select distinct period from order_segments)
 ),
 claim_totals as (
     select period, nation, coverage, count(*) as n,
-        sum(l_extendedprice * (1 - l_discount)) as total
+        cast(sum(cast(l_extendedprice as decimal(15,2)) * (1 - cast(l_discount as decimal(15,2))))
+            as double) as total
     from lineitem join order_segments on l_orderkey = o_orderkey
-    where not (coverage = 'FURNITURE' and nation in (0, 5, 10, 15, 20))
     group by period, nation, coverage
 ),
 raw_claim as (
     select lpad(cast(nation as varchar), 2, '0') as region_code, n_name as region_name, coverage,
-        cast(n as varchar) as claim_count,
-        {_text("case when nation = 13 and coverage = 'MACHINERY' then -total else total end")}
-            as claim_amount,
-        period
+        cast(n as varchar) as claim_count, {_text('total')} as claim_amount, period
     from claim_totals left join nation on nation = n_nationkey
+    union all
+    select a.*, period from (values
+        ('90', 'ADDED REGION', 'F_ZERO', '1', '5,0000'),
+        ('90', 'ADDED REGION', 'F_NEGATIVE', '1', '-5,0000'),
+        ('90', 'ADDED REGION', 'F_TEXT', 'x', 'n/d'),
+        ('90', 'ADDED REGION', 'F_TWICE', '1', '100,0000'),
+        ('90', 'ADDED REGION', 'F_TWICE', '2', '400,2500'),
+        ('90', 'ADDED REGION', 'F_ORPHAN', '1', '7,0000'),
+        ('99', 'NOT LISTED', 'F_UNLISTED', '1', '3,0000')) a,
+        (select distinct period from order_segments)
 ),
 region_dim as (
     select lpad(cast(n_nationkey as varchar), 2, '0') as dim_code, n_name as region_name
-    from nation where n_nationkey not in (23, 24)
+    from nation
+    union all select '90', 'ADDED REGION'
 ),
 typed_premium as (
     select region_code, region_name as premium_region_name, coverage,
@@ -157,6 +174,14 @@ _BODIES = {
     "src_locale_csv": "select * from raw_premium",
     "src_region_dim": "select * from region_dim",
     "src_period_scan": "select * from typed_premium where period in ('1996S1', '1998S2')",
+    "src_period_counts": """
+        select source, period, count(row_of) as row_count
+        from (values ('premium'), ('claim')) s(source),
+            (select distinct period from order_segments union all select '1900S1') p
+            left join (select 'premium' as row_of, period as of_period from raw_premium
+                union all select 'claim', period from raw_claim)
+                on period = of_period and source = row_of
+        group by source, period""",
     "sink_roundtrip": "select * from typed_premium",
     "sink_replace_partition": _CORRECTED,
     "ledger_last_n": f"""
@@ -167,8 +192,7 @@ _BODIES = {
             select 2, 'premium', period, count(*) from ({_CORRECTED})
             where period = '1997S1' group by period
             union all
-            select 3, 'claim', period, count(*) from raw_claim
-            where period in ('2000S2', '2001S1') group by period
+            select 3, 'claim', period, count(*) from raw_claim group by period
         ) order by run desc, table_name, period desc limit 5""",
     "recon_layer_counts": _layer_counts(
         source_premium="raw_premium",
@@ -208,6 +232,19 @@ _BODIES = {
     "dq_quarantine": "select * from tagged where failure_reason is not null",
     "dq_alert_flag": """select period, region_code, coverage, loss_ratio, high_ratio_alert
         from tagged""",
+    "dq_alert_threshold": """select period, region_code, coverage, loss_ratio,
+            coalesce(loss_ratio > 1.5, false) as high_ratio_alert
+        from tagged""",
+    "dq_claim_malformed": """
+        select f.period, f.region_code, f.coverage, f.claim_amount, 'claim_malformed' as failure_reason
+        from filled f join raw_claim c on f.period = c.period and f.region_code = c.region_code
+            and f.coverage = c.coverage
+        where try_cast(replace(c.claim_amount, ',', '.') as double) is null""",
+    "dq_claim_repeated": """
+        select period, region_code, coverage, claim_amount, 'claim_repeated' as failure_reason
+        from filled join (select period, region_code, coverage from raw_claim
+            group by period, region_code, coverage having count(*) > 1)
+            using (period, region_code, coverage)""",
     "dq_report": f"""select count(*) as total_rows,
         count(*) - count(failure_reason) as clean_rows, count(failure_reason) as quarantined_rows,
         coalesce({_snap('(count(*) - count(failure_reason)) * 100.0 / nullif(count(*), 0)', 1)},
@@ -251,6 +288,7 @@ _BODIES = {
     "trend_by_region": f"""
         select *, {_snap('loss_ratio - previous_ratio', 4)} as ratio_change from (
             select region_code, region_name, period, loss_ratio,
+                lag(period) over (partition by region_code order by period) as previous_period,
                 lag(loss_ratio) over (partition by region_code order by period) as previous_ratio
             from by_region)""",
     "exposure_weighted_ratio": f"""select region_code, region_name, period,

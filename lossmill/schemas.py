@@ -101,8 +101,21 @@ GOLD_SUMMARY = _struct(
 LEDGER = _struct(table_name=_S, period=_S, operation=_S, row_count=_L, run_ts=_T)
 
 # The column names of the published source files and of tables already built on
-# them. `operators.naming` maps between these and the names used here.
-PUBLISHED_NAMES = {
+# them, per table. `operators.naming` maps between these and the names used here.
+_RAW_NAMES = {"region_code": "regiao", "region_name": "descricao", "period": "semestre"}
+PUBLISHED_PREMIUM = _RAW_NAMES | {
+    "coverage": "tipo_prem",
+    "exposure": "exposicao",
+    "premium": "premios",
+    "avg_insured": "is_media",
+}
+PUBLISHED_CLAIM = _RAW_NAMES | {
+    "coverage": "tipo_sin",
+    "claim_count": "numSinistros",
+    "claim_amount": "indenizacoes",
+}
+PUBLISHED_REGION = {"code": "CODIGO", "name": "DESCRICAO"}
+PUBLISHED_MARTS = {
     "region_code": "regiao",
     "coverage": "tipo_prem",
     "exposure": "exposicao",
@@ -127,3 +140,10 @@ PUBLISHED_NAMES = {
     "max_loss_ratio": "max_sinistralidade",
     "min_loss_ratio": "min_sinistralidade",
 }
+PUBLISHED_NAMES = {
+    "bronze/premium": PUBLISHED_PREMIUM,
+    "bronze/claim": PUBLISHED_CLAIM,
+    "regions": PUBLISHED_REGION,
+    "silver": PUBLISHED_MARTS,
+    "gold": PUBLISHED_MARTS,
+}

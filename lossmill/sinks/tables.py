@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lossmill.operators.quality import REASON
 from lossmill.schemas import PERIOD
-from lossmill.sources.tables import read_period
+from lossmill.sources.tables import NULL_FOLDER, in_periods, read_period
 
 OUTCOME = "outcome"
 CLEAN, QUARANTINED = "clean", "quarantine"
@@ -20,18 +20,18 @@ CLEAN, QUARANTINED = "clean", "quarantine"
 _PERIOD_NAME = re.compile(r"[A-Za-z0-9._-]+")
 
 
-def _named(periods: Iterable[str]) -> list[str]:
-    wanted = sorted(set(periods))
+def _named(periods: Iterable[str | None]) -> list[str | None]:
+    wanted = sorted(set(periods), key=lambda p: (p is None, p))
     if not wanted:
         raise ValueError("no period given")
     for period in wanted:
-        if not _PERIOD_NAME.fullmatch(period):
+        if period is not None and not _PERIOD_NAME.fullmatch(period):
             raise ValueError(f"not a period name: {period!r}")
     return wanted
 
 
-def _only(df: DataFrame, wanted: list[str]) -> DataFrame:
-    """Fail the write when a row carries another period, or none.
+def _only(df: DataFrame, wanted: list[str | None]) -> DataFrame:
+    """Fail the write when a row carries a period that is not replaced, or none unless none is.
 
     The test sits in the partition column itself: as a filter it could be moved into the scan and
     be tried on rows that are not part of ``df``.
@@ -40,7 +40,9 @@ def _only(df: DataFrame, wanted: list[str]) -> DataFrame:
     foreign = F.raise_error(
         F.concat(F.lit("row outside the replaced periods: "), F.coalesce(period, F.lit("null")))
     )
-    return df.withColumn(PERIOD, F.when(period.isin(*wanted), period).otherwise(foreign))
+    named = [p for p in wanted if p is not None]
+    none = F.lit(None in wanted) & period.isNull()
+    return df.withColumn(PERIOD, F.when(period.isin(*named) | none, period).otherwise(foreign))
 
 
 def _replace(
@@ -78,20 +80,21 @@ def _empty(df: DataFrame, path: str, by: Sequence[str], missing: set[tuple[str,
     inner = StructType([f for f in df.schema.fields if f.name not in by])
     stored = df.sparkSession.read.schema(keys).parquet(path)
     periods = {partition[by.index(PERIOD)] for partition in missing}
-    for row in stored.where(F.col(PERIOD).isin(*periods)).distinct().collect():
+    for row in stored.where(in_periods(periods)).distinct().collect():
         if tuple(row) in missing:
-            folder = "/".join(f"{c}={row[c]}" for c in by)
+            folder = "/".join(f"{c}={NULL_FOLDER if row[c] is None else row[c]}" for c in by)
             empty = df.sparkSession.createDataFrame([], inner)
             empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
 
 
 def replace_periods(
-    df: DataFrame, path: str, periods: Iterable[str], rebalance: bool = False
+    df: DataFrame, path: str, periods: Iterable[str | None], rebalance: bool = False
 ) -> int:
     """Make the stored ``periods`` equal to ``df``; other periods stay untouched.
 
     The first call creates the table. Periods without rows in ``df`` end up empty. Running twice
-    changes nothing. Returns the number of rows written.
+    changes nothing. Returns the number of rows written. ``None`` among the periods stands for
+    rows without one.
 
     A scan of period directories keeps periods apart, so its tasks write few files each. Set
     ``rebalance`` when several periods come out of a shuffle that mixed them; it costs one more.
@@ -106,7 +109,7 @@ def replace_period(df: DataFrame, path: str, period: str) -> int:
 
 
 def replace_outcomes(
-    tagged: DataFrame, path: str, periods: Iterable[str], rebalance: bool = False
+    tagged: DataFrame, path: str, periods: Iterable[str | None], rebalance: bool = False
 ) -> int:
     """Replace the clean and the quarantined table of the given periods in one pass.
 
@@ -125,7 +128,7 @@ def read_outcome(
 ) -> DataFrame:
     """The clean or the quarantined table that ``replace_outcomes`` keeps under ``path``."""
     with_outcome = StructType(schema.fields + [StructField(OUTCOME, StringType(), True)])
-    rows = read_period(spark, path, with_outcome, periods).where(F.col(OUTCOME) == outcome)
+    rows = read_period(spark, path, with_outcome, periods, {OUTCOME: (outcome,)})
     return rows.drop(OUTCOME)
 
 

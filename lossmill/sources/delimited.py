@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lossmill.schemas import REGION_FILE
+from lossmill.schemas import PERIOD, REGION_FILE
 
 # The format of the published files.
 FILE_FORMAT = {"header": "true", "sep": ";", "nullValue": "", "emptyValue": ""}
 FILE_ENCODING = "ISO-8859-1"
 
 CORRUPT = "_corrupt_record"
-_TAKE_LIMIT = 10_000
 
 
 def read_delimited(
@@ -50,17 +51,30 @@ def read_regions(spark: SparkSession, path: str | list[str], **options) -> DataF
 
 
 def require_rows(df: DataFrame, minimum: int = 1, what: str = "source") -> DataFrame:
-    """Return ``df``, or raise when it has fewer than ``minimum`` rows.
-
-    Small minimums look at as few partitions as it takes and fetch no columns; only a minimum too
-    large to fetch costs a full count.
-    """
-    if minimum <= 0:
-        return df
-    if minimum <= _TAKE_LIMIT:
-        found = len(df.select(F.lit(1)).take(minimum))
-    else:
-        found = df.count()
+    """Return ``df``, or raise when it has fewer than ``minimum`` rows. Reads no column and no more
+    rows than that."""
+    found = df.select(F.lit(1)).limit(minimum).count() if minimum > 0 else 0
     if found < minimum:
         raise ValueError(f"{what}: expected at least {minimum} row(s), found {found}")
     return df
+
+
+def rows_per_period(df: DataFrame, periods: Iterable[str]) -> DataFrame:
+    """Rows of each of the given periods, zero where there are none."""
+    spark = df.sparkSession
+    wanted = spark.createDataFrame([(p,) for p in sorted(set(periods))], f"{PERIOD} string")
+    found = df.groupBy(PERIOD).agg(F.count(F.lit(1)).alias("row_count"))
+    joined = wanted.join(found, PERIOD, "left")
+    return joined.select(PERIOD, F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
+
+
+def require_periods(
+    df: DataFrame, periods: Iterable[str], minimum: int = 1, what: str = "source"
+) -> DataFrame:
+    """Return ``df``, or raise with the name of every period that has fewer than ``minimum``
+    rows."""
+    counts = rows_per_period(df, periods).where(F.col("row_count") < minimum)
+    short = {row[PERIOD]: row["row_count"] for row in counts.orderBy(PERIOD).collect()}
+    if short:
+        raise ValueError(f"{what}: expected at least {minimum} row(s) per period, found {short}")
+    return df

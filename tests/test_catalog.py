@@ -9,10 +9,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lossmill.plans.catalog import QUERIES
+from lossmill.plans.oracles import ORACLES
+from lossmill.sources.star import FAULT_CLAIMS, FAULT_PREMIUMS, Star
 from tests.conftest import plan
 
 SPARK_TO_SQL = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
-NAMES = sorted(contract.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -29,8 +32,8 @@ def ordered(data):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
-    assert len(NAMES) == 43
+    assert set(QUERIES) == set(ORACLES)
+    assert len(NAMES) == 47
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -49,7 +52,7 @@ def test_query_equals_sql(spark, sql, sf_dir, name):
 
 
 def test_entry_has_rows(spark):
-    assert contract.entry(spark).count() == 308
+    assert contract.entry(spark).count() == 354
 
 
 @pytest.mark.parametrize("name", ["gold_by_region", "dq_report", "column_profile", "silver_join"])
@@ -65,3 +68,21 @@ def test_lines_are_summed_before_their_shuffle(spark, sf_dir):
     text = plan(contract.queries()["silver_typed_claim"](spark, sf_dir))
     exchange = text.index("Exchange hashpartitioning(l_orderkey")
     assert "partial_sum" in text[exchange : exchange + 400]
+
+
+@pytest.mark.parametrize(
+    "name", ["gold_by_region", "gold_by_coverage", "gold_alerts", "top_regions", "top_segments", "top_alerts"]
+)
+def test_ranked_results_come_highest_first(spark, sf_dir, name):
+    got = [r.loss_ratio for r in QUERIES[name](spark, sf_dir).collect()]
+    assert got == sorted(got, key=lambda x: (x is None, -(x or 0)))
+
+
+def test_all_given_rows_are_kept_beside_the_added_ones(spark, sf_dir):
+    with_faults, plain = Star(spark, sf_dir), Star(spark, sf_dir, faults=False)
+    n_periods = len(plain.periods)
+    for name, added in (("premium", len(FAULT_PREMIUMS)), ("claim", len(FAULT_CLAIMS))):
+        given, all_rows = getattr(plain, name), getattr(with_faults, name)
+        assert all_rows.count() == given.count() + added * n_periods
+        assert given.exceptAll(all_rows).count() == 0
+    assert plain.regions.count() == 25

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from lossmill.__main__ import main
+from lossmill.__main__ import _arguments, _settings, main
 from tests.fixtures import PERIOD, write_sample
 
 
@@ -12,6 +12,7 @@ def test_all_steps_and_reports(spark, folder, capsys):
     main(["all", "--base", f"{folder}/layers", "--period", PERIOD, *files])
     shown = capsys.readouterr().out
     assert "0.7284" in shown and "|100.0" in shown and "DF - Brasília" in shown
+    assert "source and written rows" in shown and "premium coverages" in shown
     main(["publish", "--base", f"{folder}/layers", "--period", PERIOD])
     assert "top alerts" in capsys.readouterr().out
 
@@ -21,3 +22,16 @@ def test_missing_files_are_named(step, capsys):
     with pytest.raises(SystemExit):
         main([step, "--base", "x", "--period", PERIOD])
     assert f"{step} needs --" in capsys.readouterr().err
+
+
+def test_options_reach_the_settings(spark, folder):
+    options = _arguments(
+        ["publish", "--base", "b", "--period", "p", "--loss-threshold", "0.9", "--watch-threshold",
+         "0.5", "--alert-threshold", "3", "--strict-numbers", "--rule", "claim_repeated",
+         "--rule", "period_null", "--compact", "--may-be-empty", "p", "--repeated-claim-keys"]
+    )
+    run = _settings(options)
+    assert (run.loss_threshold, run.watch_threshold, run.alert_threshold) == (0.9, 0.5, 3.0)
+    assert run.strict_numbers and run.compact and run.repeated_claim_keys
+    assert [r.code for r in run.rules[-2:]] == ["claim_repeated", "period_null"]
+    assert run.may_be_empty == ("p",) and run.null_periods

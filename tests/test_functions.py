@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from lossmill.functions import (
     comma_decimal,
     comma_text,
-    exact,
-    inexact,
+    exact_sum,
     is_malformed,
     loss_amount,
     loss_ratio,
     risk_tier,
     round_snap,
+    summands,
     to_long,
 )
 
@@ -103,12 +103,58 @@ def test_risk_tier_takes_bands(spark):
     assert values(spark, "double", [0.6], risk_tier("v", high=0.5, watch=0.2)) == ["HIGH"]
 
 
-def test_exact_and_inexact_split_every_value(spark):
-    data = [0.1, 1e30, math.inf, None]
-    got = values(spark, "double", data, exact("v").cast("double"), inexact("v"))
-    assert got == [(0.1, None), (None, 1e30), (None, math.inf), (None, None)]
+def test_summands_split_every_value(spark):
+    data = [0.1, -2.5, 98234.123456789, 1e-12, 4e-13, 1e30, math.inf, None, 9e17]
+    names = list(summands("v"))
+    got = values(spark, "double", data, *summands("v").values())
+    found = [{n: x for n, x in zip(names, row) if x is not None} for row in got]
+    assert found == [
+        {"units": 0, "parts": 1000},
+        {"units": -2, "parts": -5000},
+        {"units": 98234, "parts": 1234, "crumbs": 56789},
+        {"odd": Decimal("1E-12")},
+        {"rest": 4e-13},
+        {"rest": 1e30},
+        {"rest": math.inf},
+        {},
+        {"odd": Decimal("900000000000000000.000000000000")},
+    ]
+
+
+@settings(
+    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(
+        st.one_of(
+            st.integers(-(10**12), 10**12).map(lambda n: n / 10**4),
+            st.integers(-(10**14), 10**14).map(lambda n: n / 10**9),
+            st.floats(-1e15, 1e15).filter(lambda x: abs(x) > 1),
+        ),
+        max_size=40,
+    )
+)
+def test_exact_sum_adds_the_digits(spark, data):
+    got = spark.createDataFrame([(v,) for v in data], "v double").select(exact_sum("v")).first()[0]
+    if not data:
+        assert got is None
+    elif all(Decimal(repr(v)) == round(Decimal(repr(v)), 12) for v in data):
+        assert got == pytest.approx(float(sum(Decimal(repr(v)) for v in data)), rel=1e-15)
+
+
+@pytest.mark.parametrize("below", [1e-6, 1e-7, 1e-8, 1e-9, 1e-10])
+def test_rounding_beside_ties(spark, below):
+    ties = [Decimal("1.00005"), Decimal("0.70005"), Decimal("0.12345"), Decimal("12.00015")]
+    data = [float(t + s * Decimal(repr(below))) for t in ties for s in (-1, 1)]
+    expected = [
+        float(Decimal(repr(v)).quantize(Decimal("0.0001"), ROUND_HALF_UP)) for v in data
+    ]
+    assert values(spark, "double", data, round_snap("v", 4)) == expected
 
 
-def test_no_python_worker_is_needed(spark):
-    df = spark.range(1).select(round_snap(F.lit(1.5), 1), loss_ratio(F.lit(1.0), F.lit(2.0)))
-    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+def test_ratios_just_below_a_tie(spark):
+    pairs = [(562535854.0, 562507729.0), (700049996.0, 1e9)]
+    df = spark.createDataFrame(pairs, "claims double, premium double")
+    ratio = loss_ratio("claims", "premium")
+    got = [tuple(r) for r in df.select(ratio, risk_tier(ratio)).collect()]
+    assert got == [(1.0, "WATCH"), (0.7, "HEALTHY")]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,7 +178,11 @@ def test_trend(spark):
         "region_code string, region_name string, period string, loss_ratio double",
     )
     got = sorted(rows(trends.trend_by_region(mart)))
-    assert [r[3:] for r in got] == [(0.7, None, None), (0.5, 0.7, -0.2), (1.0, None, None)]
+    assert [r[3:] for r in got] == [
+        (0.7, None, None, None),
+        (0.5, "2019S1", 0.7, -0.2),
+        (1.0, None, None, None),
+    ]
 
 
 def test_exposure_weighted_ratio(spark):
@@ -185,6 +191,22 @@ def test_exposure_weighted_ratio(spark):
     assert trends.exposure_weighted_ratio(df).first().weighted_ratio == 0.75
 
 
+@pytest.mark.parametrize(
+    "pairs, expected",
+    [
+        ([(2.0, 9e17), (0.5, 1e17)], 1.85),
+        ([(2.0, 4e-13), (1.0, 4e-13)], 1.5),
+        ([(math.nan, 10.0), (1.0, 10.0)], math.nan),
+    ],
+)
+def test_exposure_weighted_ratio_keeps_every_value(spark, pairs, expected):
+    df = spark.createDataFrame(pairs, "loss_ratio double, exposure double").selectExpr(
+        "*", "'01' as region_code", "'one' as region_name", "'2019S1' as period"
+    )
+    got = trends.exposure_weighted_ratio(df).first().weighted_ratio
+    assert got == expected or math.isnan(got) and math.isnan(expected)
+
+
 def test_column_profile(sample):
     got = {r.column_name: r for r in trends.column_profile(sample).collect()}
     assert set(got) == set(sample.columns)
@@ -197,3 +219,21 @@ def test_published_names_round_trip(sample):
     published = naming.to_published(sample)
     assert {"regiao", "tipo_prem", "premios", "sinistralidade"} <= set(published.columns)
     assert naming.from_published(published).columns == sample.columns
+
+
+@pytest.mark.parametrize(
+    "table, schema, published",
+    [
+        ("bronze/premium", schemas.PREMIUM_FILE,
+         ["regiao", "descricao", "tipo_prem", "exposicao", "premios", "is_media"]),
+        ("bronze/claim", schemas.CLAIM_FILE,
+         ["regiao", "descricao", "tipo_sin", "numSinistros", "indenizacoes"]),
+        ("regions", schemas.REGION_FILE, ["CODIGO", "DESCRICAO"]),
+        ("gold", schemas.GOLD_SUMMARY, None),
+    ],
+)
+def test_every_table_has_its_own_published_names(spark, table, schema, published):
+    df = spark.createDataFrame([], schema)
+    renamed = naming.to_published(df, table)
+    assert published is None or renamed.columns == published
+    assert naming.from_published(renamed, table).columns == df.columns

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import os
+from dataclasses import replace
 from datetime import timedelta
 
 import pytest
@@ -13,7 +14,7 @@ from lossmill.plans.medallion import Settings
 from lossmill.sinks import last_operations
 from lossmill.sinks.tables import CLEAN, QUARANTINED
 from lossmill.sources import read_regions, read_table
-from tests.conftest import NO_BROADCAST, plan, rows
+from tests.conftest import plan, rows
 from tests.fixtures import PERIOD, SAMPLE_CLAIM, SAMPLE_PREMIUM, write_sample
 
 GOLD = {
@@ -84,11 +85,12 @@ def test_other_periods_stay_and_corrections_empty_the_quarantine(spark, folder,
     assert {r.period: r.segments for r in summaries} == {"2019S1": 9, PERIOD: 9}
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
-def test_repeated_claims_fan_out(spark, folder, run_ts, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(silver, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("split", [False, True])
+def test_repeated_claims_fan_out(spark, folder, run_ts, split):
     line = "38;DF - Brasília;RCDM;24567;75904085\n"
     run = run_sample(spark, folder, run_ts, claim=SAMPLE_CLAIM + line)
+    again = replace(run, repeated_claim_keys=split)
+    medallion.refine(spark, again, read_regions(spark, f"{folder}/region.csv"))
     assert medallion.read_silver(spark, run, CLEAN).count() == 10
 
 
@@ -167,7 +169,8 @@ def test_stored_scans_are_pruned_and_pushed_down(spark, folder, run_ts):
     alerts = plan(marts.alerts(clean))
     assert "GreaterThan(loss_ratio,1.0)" in alerts
     scan = alerts[alerts.index("PartitionFilters") :]
-    assert "outcome" in scan[: scan.index("PushedFilters")]
+    assert "period" in scan[: scan.index("PushedFilters")]
+    assert "outcome=clean/period=" in alerts[alerts.index("Location") :]
     assert "period" in scan[: scan.index("PushedFilters")]
     by_region = plan(marts.by_region(clean))
     read = by_region[by_region.index("ReadSchema") :].splitlines()[0]
@@ -177,21 +180,87 @@ def test_stored_scans_are_pruned_and_pushed_down(spark, folder, run_ts):
     assert "ReadSchema: struct<premium:string>" in joined
 
 
-def test_refine_does_not_shuffle_premium_rows(spark, folder, run_ts, session_conf):
-    """Counted claims and regions are broadcast even where Spark would not do so by itself."""
+def test_refine_does_not_shuffle_premium_rows(spark, folder, run_ts):
+    """Claims and regions within Spark's size threshold are broadcast."""
     run = run_sample(spark, folder, run_ts)
-    session_conf(NO_BROADCAST)
     layers = medallion.stored_layers(spark, run)
-    premium = silver.type_premium(layers["bronze_premium"])
-    claim = silver.type_claim(layers["bronze_claim"])
-    regions = read_regions(spark, f"{folder}/region.csv")
     tagged = medallion.tagged_rows(
-        premium,
-        silver.broadcast_counted(claim, claim.count()),
-        silver.broadcast_counted(regions, regions.count()),
+        silver.type_premium(layers["bronze_premium"]),
+        silver.type_claim(layers["bronze_claim"]),
+        read_regions(spark, f"{folder}/region.csv"),
     )
     text = plan(tagged)
-    assert "Exchange hashpartitioning" not in text and text.count("BroadcastHashJoin") >= 2
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 2
+
+
+def write_periods(folder, name, texts):
+    for period, text in texts.items():
+        path = f"{folder}/{name}/period={period}"
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/a.csv", "w", encoding="ISO-8859-1") as f:
+            f.write(text)
+
+
+HEADER = SAMPLE_PREMIUM.splitlines()[0] + "\n"
+
+
+@pytest.mark.parametrize(
+    "premium, claim",
+    [
+        ({"2019S1": SAMPLE_PREMIUM, "2019S2": HEADER}, {"2019S1": SAMPLE_CLAIM, "2019S2": SAMPLE_CLAIM}),
+        ({"2019S1": SAMPLE_PREMIUM, "2019S2": SAMPLE_PREMIUM}, {"2019S1": SAMPLE_CLAIM}),
+        ({"2019S1": SAMPLE_PREMIUM}, {"2019S1": SAMPLE_CLAIM}),
+    ],
+)
+def test_every_period_needs_rows_in_both_sources(spark, folder, run_ts, premium, claim):
+    good = {p: SAMPLE_PREMIUM for p in ("2019S1", "2019S2")}
+    write_periods(folder, "ok-premium", good)
+    write_periods(folder, "ok-claim", {p: SAMPLE_CLAIM for p in good})
+    run = Settings(f"{folder}/layers", ("2019S1", "2019S2"), run_ts=run_ts)
+    regions = read_regions(spark, write_sample(folder)["region"])
+    medallion.run_all(spark, run, f"{folder}/ok-premium", f"{folder}/ok-claim", regions, True)
+    before = gold(spark, run)
+    write_periods(folder, "premium", premium)
+    write_periods(folder, "claim", claim)
+    with pytest.raises(ValueError, match="2019S2"):
+        medallion.ingest(spark, run, f"{folder}/premium", f"{folder}/claim", True)
+    layers = medallion.stored_layers(spark, run)
+    assert layers["bronze_premium"].count() == layers["bronze_claim"].count() == 18
+    assert gold(spark, run) == before
+    cleared = replace(run, may_be_empty=("2019S2",))
+    medallion.run_all(spark, cleared, f"{folder}/premium", f"{folder}/claim", regions, True)
+    assert medallion.stored_layers(spark, run)["bronze_premium"].where("period = '2019S1'").count() == 9
+
+
+def test_rows_without_a_period_are_quarantined(spark, folder, run_ts):
+    none = "__HIVE_DEFAULT_PARTITION__"
+    write_periods(folder, "premium", {"2019S2": SAMPLE_PREMIUM, none: SAMPLE_PREMIUM})
+    write_periods(folder, "claim", {"2019S2": SAMPLE_CLAIM})
+    regions = read_regions(spark, write_sample(folder)["region"])
+    rules = (quality.PERIOD_NULL, *quality.RULES)
+    run = Settings(f"{folder}/layers", ("2019S2",), rules=rules, run_ts=run_ts)
+    for _ in range(2):
+        medallion.run_all(spark, run, f"{folder}/premium", f"{folder}/claim", regions, True)
+        failed = medallion.read_silver(spark, run, QUARANTINED)
+        assert {tuple(r) for r in failed.select("period", "failure_reason").collect()} == {
+            (None, "period_null")
+        }
+        assert failed.count() == 9 and medallion.read_silver(spark, run, CLEAN).count() == 9
+    plain = replace(run, rules=quality.RULES)
+    medallion.run_all(spark, plain, f"{folder}/premium", f"{folder}/claim", regions, True)
+    assert medallion.read_silver(spark, plain, QUARANTINED).count() == 0
+
+
+def test_marts_shuffle_only_their_own_keys(spark, folder, run_ts):
+    """No exchange by segment and nothing cached on the way from silver to a mart."""
+    run = run_sample(spark, folder, run_ts)
+    clean = medallion.read_silver(spark, run, CLEAN)
+    for mart in (marts.by_region(clean), marts.by_coverage(clean), marts.summary(clean)):
+        text = plan(mart).split("Initial Plan")[0]
+        assert "InMemoryTableScan" not in text and text.count("Exchange hashpartitioning") == 1
+        keys = text[text.index("Exchange hashpartitioning") :].split(")")[0]
+        assert not ("region_code" in keys and "coverage" in keys)
+        assert "partial_sum" in text
 
 
 def test_quality_reports_from_the_stored_table(spark, folder, run_ts):

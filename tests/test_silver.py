@@ -115,13 +115,10 @@ def test_hot_claim_key_is_split(spark, session_conf):
     assert joined.count() == 3000 + 899
 
 
-def test_counted_claims_are_broadcast(spark, session_conf):
+def test_broadcasts_can_be_switched_off(spark, session_conf):
     session_conf(NO_BROADCAST)
-    premium, claim = _sides(spark, 900, 90, True, False)
-    small = silver.join_claims(premium, silver.broadcast_counted(claim, 90))
-    assert "BroadcastHashJoin" in plan(small) and "Exchange hashpartitioning" not in plan(small)
-    large = silver.broadcast_counted(claim, silver.BROADCAST_ROWS + 1)
-    assert large is claim
+    text = plan(silver.join_claims(*_sides(spark, 900, 90, True, False)))
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
 
 
 def test_malformed_claims_can_be_kept(spark):
