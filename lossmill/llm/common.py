@@ -13,6 +13,8 @@ from lossmill.sinks.scratch import scratch_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
+BROADCAST_BYTES = 32 << 20
+
 
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
@@ -47,3 +49,18 @@ def batches(items: list, weight, limit: int) -> Iterator[list]:
         total += size
     if run:
         yield run
+
+
+def broadcast_if_small(
+    df: DataFrame, row_bytes: Column | int, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Mark a stored table for broadcast if its rows, of ``row_bytes`` each, are within ``limit``.
+
+    The bytes are summed up first; beyond the limit, or where broadcasts are switched off, Spark
+    joins by shuffle.
+    """
+    if df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        return df
+    each = row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
+    total = df.agg(F.sum(each.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if total <= limit else df

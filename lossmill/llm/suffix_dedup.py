@@ -28,11 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossmill.llm.common import stored
+from lossmill.llm.common import broadcast_if_small, stored
 from lossmill.llm.decontaminate import merged
 
 LENGTH = 400
-_GROUP = 2_000
+# A name's text has at most twice ``length`` bytes: some 13 MB, and 25 bytes a window.
+_GROUP = 16_000
 _PLACE_BITS = 20
 _STEP = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
@@ -117,8 +118,7 @@ def _least_in_windows(hashes: np.ndarray, width: int) -> np.ndarray:
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``row`` and ``spans`` (merged structs of start and end, in bytes) of the rows of ``texts``
-    that have repeats. ``texts`` has a unique ``row`` and a binary ``text``, and is read three
-    times."""
+    that have repeats. ``texts`` has a unique ``row`` and a binary ``text``, and is read twice."""
     found = stored(_triples(texts, length), "repeats-samples")
     key = ["gram", "before", "after", "name"]
     one = F.min(F.struct("row", "place")).alias("one")
@@ -191,8 +191,9 @@ def _compared(texts: DataFrame, names: DataFrame, length: int) -> DataFrame:
     """Windows of the open names that occur elsewhere as spans (``window`` null), and for grams
     with over ``_GROUP`` names each window by itself, under a number for its place and text."""
     part = F.struct("gram", "place", "before", "after", "open")
-    by_row = names.groupBy("row").agg(F.collect_list(part).alias("parts"))
-    with_text = by_row.join(texts.select("row", "text"), "row")
+    by_row = stored(names.groupBy("row").agg(F.collect_list(part).alias("parts")), "repeats-open")
+    by_row = broadcast_if_small(by_row, 40 + 48 * F.size("parts"))
+    with_text = texts.select("row", "text").join(by_row, "row")
     stretch = F.expr("substring(text, int(p.place - p.before + 1), p.before + p.after)")
     cut = with_text.select("row", "text", F.explode("parts").alias("p"))
     cut = cut.select("p.gram", "row", "p.place", "p.before", "p.open", stretch.alias("stretch"))
@@ -282,7 +283,8 @@ def with_repeats(
     row = _free_name(docs, "row")
     rows = stored(docs.drop(into).withColumn(row, F.monotonically_increasing_id()), "repeats-texts")
     texts = rows.select(F.col(row).alias("row"), F.col(text_col).cast("binary").alias("text"))
-    spans = repeated_spans(texts, length).toDF(row, into)
+    spans = stored(repeated_spans(texts, length).toDF(row, into), "repeats-spans")
+    spans = broadcast_if_small(spans, 40 + 32 * F.size(into))
     found = rows.join(spans, row, "left").drop(row)
     return found.withColumn(into, F.coalesce(into, F.expr("array()")))
 
