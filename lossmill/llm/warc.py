@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmill.llm.common import stored
+from lossmill.llm.common import broadcast_if_small, stored
 from lossmill.sinks.scratch import scratch_path
 
 SEGMENT_BYTES = 1 << 20
@@ -202,6 +202,8 @@ def write_archives(
     first = F.min(F.struct(F.col("order").isNull(), "order", "record_id"))
     groups = large.groupBy("digest").agg(F.count("*").alias("n"), first.alias("first"))
     groups = groups.where("n > 1").select("digest", F.col("first.record_id").alias("first"))
+    # A digest and a record id: 200 bytes with all that a row adds.
+    groups = broadcast_if_small(stored(groups, "warc-groups"), 200)
     rows = rows.join(groups, "digest", "left").select(
         "page", "url", "payload", "digest", "record_id",
         F.when(
