@@ -192,7 +192,7 @@ def _compared(texts: DataFrame, names: DataFrame, length: int) -> DataFrame:
     with over ``_GROUP`` names each window by itself, under a number for its place and text."""
     part = F.struct("gram", "place", "before", "after", "open")
     by_row = stored(names.groupBy("row").agg(F.collect_list(part).alias("parts")), "repeats-open")
-    by_row = broadcast_if_small(by_row, 40 + 48 * F.size("parts"))
+    by_row = broadcast_if_small(by_row, 96 + 64 * F.size("parts"))
     with_text = texts.select("row", "text").join(by_row, "row")
     stretch = F.expr("substring(text, int(p.place - p.before + 1), p.before + p.after)")
     cut = with_text.select("row", "text", F.explode("parts").alias("p"))
@@ -284,7 +284,7 @@ def with_repeats(
     rows = stored(docs.drop(into).withColumn(row, F.monotonically_increasing_id()), "repeats-texts")
     texts = rows.select(F.col(row).alias("row"), F.col(text_col).cast("binary").alias("text"))
     spans = stored(repeated_spans(texts, length).toDF(row, into), "repeats-spans")
-    spans = broadcast_if_small(spans, 40 + 32 * F.size(into))
+    spans = broadcast_if_small(spans, 96 + 40 * F.size(into))
     found = rows.join(spans, row, "left").drop(row)
     return found.withColumn(into, F.coalesce(into, F.expr("array()")))
 
