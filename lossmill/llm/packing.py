@@ -281,8 +281,9 @@ def _encode(path: str, window: int, end_id: int):
                     n_whole, rest = divmod(len(ids) // 4, window)
                     cut = n_whole * window * 4
                     crcs = [zlib.crc32(ids[k : k + 4 * window]) for k in range(0, cut, 4 * window)]
+                    crc = zlib.crc32(ids[cut:])
                     rows.append(
-                        (len(ids) // 4, rest, rests[rest], zlib.crc32(ids[cut:]), n_whole, whole, crcs, ids)
+                        (len(ids) // 4, rest, rests[rest], crc, n_whole, whole, crcs, ids)
                     )
                     rests[rest] += 1
                     whole += n_whole
@@ -351,7 +352,9 @@ def _with_checksums(pieces: DataFrame, encoded: DataFrame) -> DataFrame:
         return pa.array([zlib.crc32(x.as_py()) for x in ids], pa.int64())
 
     keys = ["part", "rest", "rest_number"]
-    cut = pieces.where("cut").drop("ids_crc32").join(encoded.select(*keys, "ids"), keys)
+    # At most one rest a sequence is cut. Written first, so that their size decides on the join.
+    cut = stored(pieces.where("cut").drop("ids_crc32"), "packing-cuts")
+    cut = cut.join(encoded.select(*keys, "ids"), keys)
     ids = F.expr("substring(ids, int(4 * start + 1), int(4 * length))")
     cut = cut.withColumn("ids_crc32", crc32(ids))
     return pieces.where("not cut").select(*_PIECE).unionByName(cut.select(*_PIECE))
