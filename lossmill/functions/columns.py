@@ -65,7 +65,7 @@ _PARTS, _CRUMBS = 10_000, 100_000
 
 def _scaled(value: Column, scale: float, below: float) -> Column:
     """``value`` times ``scale`` as bigint; null unless that spells the very same double."""
-    whole = F.when(F.abs(value) < below, F.round(value * scale).cast("bigint"))
+    whole = F.when(F.abs(value) < below, F.rint(value * scale).cast("bigint"))
     return F.when(whole / F.lit(scale) == value, whole)
 
 

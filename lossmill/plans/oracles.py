@@ -236,7 +236,8 @@ _BODIES = {
             coalesce(loss_ratio > 1.5, false) as high_ratio_alert
         from tagged""",
     "dq_claim_malformed": """
-        select f.period, f.region_code, f.coverage, f.claim_amount, 'claim_malformed' as failure_reason
+        select f.period, f.region_code, f.coverage, f.claim_amount,
+            'claim_malformed' as failure_reason
         from filled f join raw_claim c on f.period = c.period and f.region_code = c.region_code
             and f.coverage = c.coverage
         where try_cast(replace(c.claim_amount, ',', '.') as double) is null""",

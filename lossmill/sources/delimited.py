@@ -65,7 +65,8 @@ def rows_per_period(df: DataFrame, periods: Iterable[str]) -> DataFrame:
     wanted = spark.createDataFrame([(p,) for p in sorted(set(periods))], f"{PERIOD} string")
     found = df.groupBy(PERIOD).agg(F.count(F.lit(1)).alias("row_count"))
     joined = wanted.join(found, PERIOD, "left")
-    return joined.select(PERIOD, F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
+    rows = F.coalesce("row_count", F.lit(0)).cast("bigint")
+    return joined.select(PERIOD, rows.alias("row_count"))
 
 
 def require_periods(

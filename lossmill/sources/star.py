@@ -52,7 +52,7 @@ def _code(c: str) -> Column:
 
 def _hundredths(c: str) -> Column:
     """An amount of two decimals as a whole number, which sums up exactly in any order."""
-    return F.round(F.col(c) * 100).cast("bigint")
+    return F.rint(F.col(c) * 100).cast("bigint")
 
 
 def _decimal_sum(whole: Column, digits: int) -> Column:
@@ -117,7 +117,8 @@ class Star:
             return frame
         names = [c for c in frame.columns if c != PERIOD]
         texts = [
-            F.struct(*(F.lit(v).cast("string").alias(c) for c, v in zip(names, row))) for row in rows
+            F.struct(*(F.lit(v).cast("string").alias(c) for c, v in zip(names, row)))
+            for row in rows
         ]
         periods = self._orders.select(PERIOD).distinct()
         return frame.unionByName(periods.select(F.inline(F.array(*texts)), PERIOD))
@@ -165,7 +166,9 @@ class Star:
 
     @cached_property
     def regions(self) -> DataFrame:
-        listed = self._nation.select(_code("n_nationkey").alias("code"), F.col("n_name").alias("name"))
+        listed = self._nation.select(
+            _code("n_nationkey").alias("code"), F.col("n_name").alias("name")
+        )
         if not self._faults:
             return listed
         added = self._spark.createDataFrame([(FAULT_REGION, FAULT_NAME)], listed.schema)
