@@ -97,7 +97,8 @@ def fit_ordinal(
 
     One grade alone gives a model that always says it, no grade one that says null.
     """
-    marks = ratings.select(F.col(id_col).alias("id"), F.col(grade_col).cast("double").alias("grade"))
+    grade = F.col(grade_col).cast("double")
+    marks = ratings.select(F.col(id_col).alias("id"), grade.alias("grade"))
     marks = marks.where("id is not null and grade is not null").distinct()
     total = marks.count()
     share = min(1.0, rows / max(1, total))

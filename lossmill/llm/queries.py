@@ -150,7 +150,8 @@ ORACLES: dict[str, str] = {
                 ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'),
                 ('block', 'net', '/fr/')
         ), hits AS (
-            SELECT host, path, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+            SELECT host, path,
+                max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
                 max_by(verdict, length(rule_host || rule_path)) AS verdict
             FROM (SELECT DISTINCT host, path FROM parts) p
             JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))

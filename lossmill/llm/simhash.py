@@ -161,7 +161,9 @@ def near_duplicate_components(
     by_print = least.select("fingerprint", "root").join(named, "root").drop("root")
     joined = own.join(by_print, "fingerprint")
     return joined.select(
-        F.col("id").alias(id_col), F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id"
+        F.col("id").alias(id_col),
+        F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        "component_id",
     )
 
 
@@ -187,7 +189,8 @@ def one_of_each(
     first = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "row")
     least = rows.groupBy("print").agg(F.min(first).alias("first"))
     least = least.join(roots.toDF("print", "root"), "print", "left")
-    stays = least.groupBy(F.coalesce("root", "print").alias("root")).agg(F.min("first").alias("first"))
+    stays = least.groupBy(F.coalesce("root", "print").alias("root"))
+    stays = stays.agg(F.min("first").alias("first"))
     return rows.join(stays.select("first.row"), "row").select(*names).toDF(*docs.columns)
 
 

@@ -2,9 +2,9 @@
 
 The suffix sort works with a cover of sampled positions, as a difference-cover sort does, but the
 cover follows the content instead of the position modulo a constant. Of the short strings
-("grams") in a window of ``length`` bytes the one with the least hash is its sample. So equal windows
-have equal samples at equal distances, and the windows of one sample lie side by side: together
-they read one stretch of text to the left and right of it.
+("grams") in a window of ``length`` bytes the one with the least hash is its sample. So equal
+windows have equal samples at equal distances, and the windows of one sample lie side by side:
+together they read one stretch of text to the left and right of it.
 
 1. Sampled triples (gram, text before, text after) are named by hashes and grouped. Triples that
    occur twice settle all their windows at once.
@@ -248,7 +248,8 @@ def _finished(group: list, large: bool, length: int) -> Iterator[pa.RecordBatch]
         for g, end, n in zip(group, ends, counts):
             if g[4]:
                 start = g[2] - g[3]
-                held = np.flatnonzero(np.diff(twice[end - n : end].astype(np.int8), prepend=0, append=0))
+                marks = twice[end - n : end].astype(np.int8)
+                held = np.flatnonzero(np.diff(marks, prepend=0, append=0))
                 for a, b in held.reshape(-1, 2).tolist():
                     rows.append((g[1], start + a, start + b - 1 + length, True, None))
     if rows:

@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 
 RULES = ("start", "most", "split")
 _OUT = [
-    ("section", pa.int32()), ("start", pa.int64()), ("n_chars", pa.int64()), ("n_tokens", pa.float64()),
+    ("section", pa.int32()),
+    ("start", pa.int64()),
+    ("n_chars", pa.int64()),
+    ("n_tokens", pa.float64()),
 ]
 
 

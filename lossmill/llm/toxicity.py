@@ -154,7 +154,11 @@ def with_toxicity(
         return pa.array(
             [{"score": s, "weight": w, "matches": m} for s, w, m in rows],
             pa.struct(
-                [("score", pa.float64()), ("weight", pa.float64()), ("matches", pa.list_(pa.string()))]
+                [
+                    ("score", pa.float64()),
+                    ("weight", pa.float64()),
+                    ("matches", pa.list_(pa.string())),
+                ]
             ),
         )
 
@@ -373,7 +377,10 @@ def _exceptions(seen, weights, n_yes: int, n_no: int, least: float) -> tuple[str
             if entry in weights:
                 for pair in filter(None, around):
                     pairs[pair][label].add(k)
-    used = [sum(1 for y, _, h in seen if y == label and any(e in weights for e, *_ in h)) for label in (0, 1)]
+    used = [
+        sum(1 for y, _, hits in seen if y == label and any(e in weights for e, *_ in hits))
+        for label in (0, 1)
+    ]
     if not used[0]:
         return ()
     return tuple(

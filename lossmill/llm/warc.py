@@ -28,7 +28,8 @@ CHUNK_BYTES = 1 << 12
 RECORDS_PER_FILE = 4_000
 
 _END = b"\r\n\r\n"
-_HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked" + _END
+_HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+_HTTP += b"Transfer-Encoding: chunked" + _END
 _SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2000-01-01T00:00:00Z"
 
@@ -231,7 +232,8 @@ def _records(segment_bytes: int):
                     if refers_to is not None:
                         out.append(record(b"", type="revisit", refers_to=refers_to, **row))
                     else:
-                        out.extend(response_records(payload=payload, segment_bytes=segment_bytes, **row))
+                        row |= {"payload": payload, "segment_bytes": segment_bytes}
+                        out.extend(response_records(**row))
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     return records
@@ -247,7 +249,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             for content in t.column(0):
                 rows, size = [], 0
                 for fields, block in parsed(gunzipped(content.as_py())):
-                    rows.append([*(fields[n].decode() if n in fields else None for n in names), block])
+                    values = [fields[n].decode() if n in fields else None for n in names]
+                    rows.append([*values, block])
                     size += len(block)
                     if size > 8 << 20:
                         yield _record_batch(rows)
@@ -274,9 +277,9 @@ def reassemble(records: DataFrame) -> DataFrame:
     """
     meta = ["record_id", "type", "url", "page", "digest", "refers_to"]
     whole = records.where("segment is null and type in ('response', 'revisit')").select(
-        *meta, F.array(F.struct(F.lit(1).alias("n"), F.lit(None).cast("long").alias("total"), "block")).alias("parts")
+        *meta, F.array(_part(F.lit(1), F.lit(None))).alias("parts")
     )
-    part = F.struct(F.col("segment").cast("int").alias("n"), F.col("total").cast("long").alias("total"), "block")
+    part = _part(F.col("segment"), F.col("total"))
     cut = records.where("segment is not null").withColumn("key", F.coalesce("origin", "record_id"))
     own = F.when(F.col("origin").isNull(), F.struct(*meta))
     joined = cut.groupBy("key").agg(F.collect_list(part).alias("parts"), F.max(own).alias("own"))
@@ -294,6 +297,12 @@ def reassemble(records: DataFrame) -> DataFrame:
     return both.select(*meta, "read.payload", "read.error")
 
 
+def _part(number: Column, total: Column) -> Column:
+    return F.struct(
+        number.cast("int").alias("n"), total.cast("long").alias("total"), F.col("block")
+    )
+
+
 def _decoded(kind: str | None, parts: list[dict]) -> tuple[bytes | None, str | None]:
     parts = sorted(parts, key=lambda p: p["n"])
     numbers = [p["n"] for p in parts]
