@@ -55,6 +55,13 @@ class Codes:
         return _rotations(self.size, self.rotations)
 
 
+def unit_rows(raw: np.ndarray) -> np.ndarray:
+    """Rows of length one in double precision; scaled first, so that no square overflows."""
+    raw = raw.astype(float)
+    scaled = raw / np.abs(raw).max(axis=1, keepdims=True)
+    return scaled / np.sqrt((scaled**2).sum(axis=1, keepdims=True))
+
+
 @lru_cache(maxsize=4)
 def _rotations(size: int, n: int) -> np.ndarray:
     rng = np.random.default_rng(_SEED)
@@ -154,10 +161,10 @@ def near_duplicate_vectors(
     classes = classes.withColumn("node", F.monotonically_increasing_id())
     classes = stored(classes, "embedding-classes")
     sizes = classes.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).collect()
-    found = [
-        _found(classes.where(F.size("v") == s.size), codes_for(s.n, s.size, threshold, recall), threshold, block)
-        for s in sizes
-    ]
+    found = []
+    for s in sizes:
+        codes = codes_for(s.n, s.size, threshold, recall)
+        found.append(_found(classes.where(F.size("v") == s.size), codes, threshold, block))
     if not found:
         return rows.select(
             F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
@@ -187,13 +194,20 @@ def near_duplicate_vectors(
 
 def _found(classes: DataFrame, codes: Codes, threshold: float, block: int) -> DataFrame:
     """``node``, ``root`` (a node it is connected with) and ``n``, the weight of its links."""
-    kind = "node long, copies long, vector binary, bits binary, factors binary, buckets binary, place long"
-    coded = classes.select("node", "copies", F.col("v").cast("array<double>").alias("v"))
+    kind = (
+        "node long, copies long, vector binary, bits binary, factors binary, buckets binary, "
+        "place long"
+    )
+    single = classes.schema["v"].dataType.elementType.simpleString() == "float"
+    number = "float" if single else "double"  # vectors travel as they were given
+    coded = classes.select("node", "copies", F.col("v").cast(f"array<{number}>").alias("v"))
     coded = coded.mapInArrow(_encode(codes), kind)
     placed = _dealt(coded, block)
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = placed.repartition(n, "place", "one", "two").sortWithinPartitions("place", "one", "two")
-    return ordered.mapInArrow(_compare(codes, threshold), "node long, root long, n long")
+    key = ("place", "one", "two")
+    ordered = placed.repartition(n, *key).sortWithinPartitions(*key)
+    compare = _compare(codes, threshold, "f4" if single else "f8")
+    return ordered.mapInArrow(compare, "node long, root long, n long")
 
 
 def _encode(codes: Codes):
@@ -204,11 +218,9 @@ def _encode(codes: Codes):
             for at in range(0, t.num_rows, 256):
                 part = t.slice(at, 256)
                 raw = part.column(2).flatten().to_numpy().reshape(part.num_rows, codes.size)
-                unit = raw / np.abs(raw).max(axis=1, keepdims=True)
-                unit /= np.sqrt((unit**2).sum(axis=1, keepdims=True))
-                bits, factors, buckets = encoded(unit, codes)
+                bits, factors, buckets = encoded(unit_rows(raw), codes)
                 packed = np.packbits(bits, axis=2)
-                fixed = [unit, packed, factors.astype("f4"), buckets.astype("i4")]
+                fixed = [raw, packed, factors.astype("f4"), buckets.astype("i4")]
                 spread = [
                     pa.array([x.tobytes() for x in column], pa.binary()) for column in fixed
                 ]
@@ -237,21 +249,23 @@ def _dealt(coded: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _compare(codes: Codes, threshold: float):
+def _compare(codes: Codes, threshold: float, number: str):
     def compare(tables):
         key, group = None, []
         for t in tables:
             for row in zip(*(c.to_pylist() for c in t.columns)):
                 if row[:3] != key:
-                    yield from _group_links(key, group, codes, threshold)
+                    yield from _group_links(key, group, codes, threshold, number)
                     key, group = row[:3], []
                 group.append(row[3:])
-        yield from _group_links(key, group, codes, threshold)
+        yield from _group_links(key, group, codes, threshold, number)
 
     return compare
 
 
-def _group_links(key, group: list, codes: Codes, threshold: float) -> Iterator[pa.RecordBatch]:
+def _group_links(
+    key, group: list, codes: Codes, threshold: float, number: str
+) -> Iterator[pa.RecordBatch]:
     if len(group) < 2:
         return
     place, one, two = key
@@ -261,7 +275,7 @@ def _group_links(key, group: list, codes: Codes, threshold: float) -> Iterator[p
         np.frombuffer(b"".join(column), kind).reshape(len(group), *shape)
         for column, kind, shape in zip(
             fixed,
-            ("f8", "u1", "f4", "i4"),
+            (number, "u1", "f4", "i4"),
             ((codes.size,), (codes.rotations, -1), (codes.rotations,), (codes.tables,)),
         )
     )
@@ -269,7 +283,8 @@ def _group_links(key, group: list, codes: Codes, threshold: float) -> Iterator[p
     left = slice(0, cut)
     right = left if one == two else slice(cut, len(group))
     a, b, counted = links(
-        left, right, vectors, bits, factors.astype(float), buckets, place >> codes.piece, threshold
+        left, right, unit_rows(vectors), bits, factors.astype(float), buckets,
+        place >> codes.piece, threshold,
     )
     if not len(a):
         return
