@@ -9,6 +9,9 @@ spanning forest of their links, not all pairs. Keys of over ``DENSE`` nodes are
 part outside their segment is halved, one half differs by one bit at most, and so on, until a key
 leaves eight bits open and cannot hold more nodes than that (``refine``). That way is exact for a
 distance of two or three in two segments of 64 bits.
+
+``one_of_each`` works on similarity of whole texts: fingerprints only propose pairs, and
+``near_texts`` compares their shingles.
 """
 
 from __future__ import annotations
@@ -23,10 +26,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lossmill.llm import near_texts
 from lossmill.llm.common import stored
 from lossmill.llm.components import connected_components
 
 DENSE = 8192
+#: Lanes that proposed pairs of texts are compared by.
+SKETCH = 2
 _SLICE = 1 << 16
 _FEW = 8
 _SEED = 42
@@ -61,21 +67,24 @@ def bit_rate(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def spec_for(n: int, shingle: int, similarity: float, recall: float = 0.9) -> SimHash:
-    """Fingerprints for ``n`` texts: linked from about ``similarity`` on.
+def spec_for(n: int, shingle: int, similarity: float, recall: float = 0.97) -> SimHash:
+    """Fingerprints that propose pairs of ``n`` texts from ``similarity`` on.
 
-    Segments are three bits wider than it takes to number the texts, so unrelated ones rarely
-    share a key, and so many that a pair half-way from ``similarity`` to 1 shares one with
-    probability ``recall``; closer pairs more often. Bits left over make further segments.
+    Segments are two bits wider than it takes to number the texts, so unrelated ones rarely agree
+    on one, and so many that a pair of just ``similarity`` agrees on one with probability
+    ``recall``, however many texts there are; closer pairs more often. Bits left over make further
+    segments. ``distance`` is for the first ``SKETCH`` lanes and 3.5 standard deviations above
+    what such a pair has, since the texts themselves decide.
     """
-    width = min(48, math.ceil(math.log2(max(n, 2))) + 3)
-    same = 1 - bit_rate((1 + similarity) / 2)
-    meet = same**width + width * (1 - same) * same ** (width - 1)
+    width = min(48, math.ceil(math.log2(max(n, 2))) + 2)
+    meet = (1 - bit_rate(similarity)) ** width
     segments = math.ceil(math.log(1 - recall) / math.log(1 - meet))
     lanes = math.ceil(segments * width / 64)
     segments = 64 * lanes // width
-    mean = 64 * lanes * bit_rate(similarity)
-    return SimHash(shingle, lanes, segments, math.ceil(mean + 0.3 * math.sqrt(mean)))
+    bits = 64 * min(lanes, SKETCH)
+    mean = bits * bit_rate(similarity)
+    limit = math.ceil(mean + 3.5 * math.sqrt(mean * (1 - bit_rate(similarity))))
+    return SimHash(shingle, lanes, segments, limit)
 
 
 def shingles(text: bytes, size: int) -> list[bytes]:
@@ -93,12 +102,30 @@ def fingerprint(text: bytes | None, spec: SimHash) -> bytes:
     digest = xxhash.xxh64_intdigest
     for at in range(0, len(parts), _SLICE):
         hashes = np.array([digest(p, _SEED) for p in parts[at : at + _SLICE]], np.uint64)
-        for lane in range(spec.lanes):
-            bits = np.unpackbits(_mixed(hashes, lane).astype(">u8").view(np.uint8))
-            counts[lane] += bits.reshape(-1, 64).sum(axis=0, dtype=np.int32)
+        lanes = np.stack([_mixed(hashes, lane) for lane in range(spec.lanes)], axis=1)
+        for weight, words in _thinned(lanes):
+            bits = np.unpackbits(words.astype(">u8").view(np.uint8), axis=1)
+            counts += weight * bits.reshape(-1, spec.lanes, 64).sum(axis=0, dtype=np.int32)
     return np.packbits(2 * counts > len(parts)).tobytes()
 
 
+def _thinned(words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Fewer words with weights whose sums per bit are the same: three words of many lanes become
+    their sum and their carry."""
+    weight = 1
+    while len(words):
+        carries = []
+        while words.shape[1] > 1 and len(words) >= 24:
+            m = len(words) // 3
+            a, b, c = words[:m], words[m : 2 * m], words[2 * m : 3 * m]
+            one = a ^ b
+            carries.append(a & b | one & c)
+            words = np.concatenate([one ^ c, words[3 * m :]])
+        yield weight, words
+        words = np.concatenate(carries) if carries else words[:0]
+        weight *= 2
+
+
 def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
     """Other hashes for every lane but the first: an increment and two multiplications."""
     if not lane:
@@ -173,27 +200,46 @@ def one_of_each(
     text_col: str,
     shingle: int = 5,
     similarity: float = 0.8,
-    recall: float = 0.9,
+    recall: float = 0.97,
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest id.
 
-    Of rows with that id, as repeated rows have, one stays; a null id comes last. Texts without
-    words are copies of each other. All columns stay as they are.
+    Texts are linked if their sets of word shingles have a Jaccard similarity of ``similarity`` or
+    more; ``recall`` is for pairs of just that. Of rows with the smallest id, as repeated rows
+    have, one stays; a null id comes last. Texts without words are copies of each other. All
+    columns stay as they are.
     """
     names = [f"c{k}" for k in range(len(docs.columns))]
     spec = spec_for(docs.count(), shingle, similarity, recall)
     rows = docs.toDF(*names).withColumn("row", F.monotonically_increasing_id())
     text, key = (names[docs.columns.index(c)] for c in (text_col, id_col))
-    rows = stored(rows.withColumn("print", fingerprint_column(F.col(text), spec)), "simhash-texts")
-    roots = component_roots(rows.select(F.col("print").alias("fingerprint")), spec)
+    rows = rows.withColumn("words", words_key(F.col(text)))
+    rows = rows.withColumn("print", fingerprint_column(F.col(text), spec))
+    rows = stored(rows, "simhash-texts")
     first = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "row")
-    least = rows.groupBy("print").agg(F.min(first).alias("first"))
-    least = least.join(roots.toDF("print", "root"), "print", "left")
-    stays = least.groupBy(F.coalesce("root", "print").alias("root"))
+    least = rows.groupBy("words").agg(
+        F.min(first).alias("first"), F.min("row").alias("node"), F.min("print").alias("print")
+    )
+    least = stored(least.drop("words"), "simhash-nodes")
+    texts = rows.select(F.col("row").alias("node"), F.col(text).cast("binary").alias("text"))
+    roots = near_texts.near_roots(least.select("node", "print"), texts, spec, similarity)
+    least = least.select("node", "first").join(roots, "node", "left")
+    stays = least.groupBy(F.coalesce("root", "node").alias("root"))
     stays = stays.agg(F.min("first").alias("first"))
     return rows.join(stays.select("first.row"), "row").select(*names).toDF(*docs.columns)
 
 
+def words_key(text: Column) -> Column:
+    """The same for texts of the same words, which have the same shingles."""
+
+    @F.arrow_udf("binary")
+    def key(texts: pa.Array) -> pa.Array:
+        each = (b" ".join((x.as_py() or b"").lower().split()) for x in texts)
+        return pa.array([xxhash.xxh3_128_digest(w) for w in each], pa.binary())
+
+    return key(text.cast("binary"))
+
+
 def component_roots(prints: DataFrame, spec: SimHash, dense: int = DENSE) -> DataFrame:
     """``fingerprint`` and ``root`` for every fingerprint that links with another."""
     edges = linked_fingerprints(prints.select("fingerprint").distinct(), spec, dense)

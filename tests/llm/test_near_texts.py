@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline as pipeline
+import pytest
+from lossmill.llm import near_texts
+from lossmill.llm.simhash import fingerprint, shingles, spec_for
+
+
+def jaccard(a, b):
+    one, two = set(shingles(a.encode(), 5)), set(shingles(b.encode(), 5))
+    return len(one & two) / len(one | two)
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"new{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+def components(texts):
+    root = {k: k for k in texts}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    keys = sorted(texts)
+    sets = {k: set(shingles(t.encode(), 5)) for k, t in texts.items()}
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            inside = len(sets[a] & sets[b])
+            if inside >= 0.8 * (len(sets[a]) + len(sets[b]) - inside):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {k: find(k) for k in keys}
+
+
+def test_stage_against_brute_force(spark):
+    """Copies of similarity 0.6 to 1.0: none under 0.8 goes, nearly all others do."""
+    rng = random.Random(21)
+    rows, similar = [], {}
+    for k in range(500):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(150, 300))]
+        copy = edited(rng, words, rng.randint(1, len(words) // 18))
+        rows += [(k, " ".join(words), "en", "s", 1), (1000 + k, copy, "en", "s", 1)]
+        similar[1000 + k] = jaccard(" ".join(words), copy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert set(range(500)) <= kept
+    assert min(similar.values()) < 0.7
+    assert all(k in kept for k, s in similar.items() if s < 0.8)
+    for low, high, share in ((0.8, 0.85, 0.9), (0.85, 0.9, 0.97), (0.9, 1.01, 1)):
+        band = [k for k, s in similar.items() if low <= s < high]
+        assert len(band) > 20
+        assert sum(k not in kept for k in band) >= share * len(band)
+
+
+@pytest.mark.parametrize("block", [20, 2048])
+def test_crowded_keys_lose_no_link(spark, block):
+    """A group with pairs on both sides of 0.8, all in crowded keys."""
+    rng = random.Random(22)
+    words = [f"w{k}" for k in range(200)]
+    texts = {k: edited(rng, words, rng.randint(1, 8)) for k in range(120)}
+    spec = spec_for(120, 5, 0.8, 0.99)
+    nodes = [(k, bytearray(fingerprint(t.encode(), spec))) for k, t in texts.items()]
+    nodes = spark.createDataFrame(nodes, "node long, print binary")
+    rows = spark.createDataFrame([(k, bytearray(t.encode())) for k, t in texts.items()], "node long, text binary")
+    got = {r.node: r.root for r in near_texts.near_roots(nodes, rows, spec, 0.8, 4, block).collect()}
+    expected = components(texts)
+    assert 1 < len(set(expected.values())) < 120
+    assert {k: got.get(k, k) for k in texts} == expected
+
+
+def test_recall_does_not_depend_on_the_number_of_texts():
+    for n in (1000, 10**5, 10**7, 5 * 10**7):
+        spec = spec_for(n, 5, 0.8)
+        same = 1 - 0.1515
+        assert 1 - (1 - same**spec.width) ** spec.segments >= 0.95
