@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 
 ROWS_PER_LABEL = 5_000
 MIN_EVIDENCE = 30.0
-MAX_CANDIDATES = 2_000
 _PREFIXES = range(3, 13)
 _LONGEST_WORD = 40
 _GRAIN = 1 << 30
@@ -173,12 +172,11 @@ def learn_lexicon(
     label_col: str = "toxic",
     rows_per_label: int = ROWS_PER_LABEL,
     min_evidence: float = MIN_EVIDENCE,
-    max_candidates: int = MAX_CANDIDATES,
 ) -> Lexicon:
     """Learn from the texts of ``docs`` that ``labels`` marks 0 or 1.
 
     Candidates are starts and whole words whose log-likelihood ratio against independence is at
-    least ``min_evidence``. They are taken greedily, each time the one with most evidence among
+    least ``min_evidence``, however many. They are taken greedily, each time the one with most evidence among
     texts of label 1 that hold none so far, so words that merely stand beside an entry in copied
     texts add nothing. Texts that occur again count once. Null labels and ids are left out; a row
     with both labels counts for both. Without texts of both labels the lexicon is empty.
@@ -199,7 +197,7 @@ def learn_lexicon(
     texts = texts.join(F.broadcast(sample), "id").select("text", "label")
     texts = texts.dropDuplicates(["text", "label"]).persist()
     try:
-        return _learn(texts, shares, min_evidence, max_candidates)
+        return _learn(texts, shares, min_evidence)
     finally:
         texts.unpersist()
 
@@ -219,7 +217,7 @@ def _starts_and_words(folded: str) -> set[str]:
     return found
 
 
-def _learn(texts: DataFrame, shares: dict, min_evidence: float, most: int) -> Lexicon:
+def _learn(texts: DataFrame, shares: dict, min_evidence: float) -> Lexicon:
     sizes = {r.label: r.n for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_yes, n_no = sizes.get(1, 0), sizes.get(0, 0)
     if not (n_yes and n_no):
@@ -228,8 +226,7 @@ def _learn(texts: DataFrame, shares: dict, min_evidence: float, most: int) -> Le
     counts = counts.groupBy("entry").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     evidence = _evidence(F.col("yes"), F.col("no"), n_yes, n_no)
     over = (F.col("yes") * n_no > F.col("no") * n_yes) & (evidence >= min_evidence)
-    best = counts.where(over).orderBy(evidence.desc(), "entry").limit(most).collect()
-    names = [r.entry for r in best]
+    names = counts.where(over).select("entry").orderBy("entry").toArrow().column(0).to_pylist()
     held = texts.mapInArrow(_holdings(names), "label int, holds array<int>").toArrow()
     weights = _cover(names, held, n_yes, n_no, min_evidence)
     found = Lexicon(weights)
@@ -342,30 +339,41 @@ def _pair(folded: str, start: int, before: bool) -> str:
 def _cover(
     names: list[str], held: pa.Table, n_yes: int, n_no: int, least: float
 ) -> dict[str, float]:
-    """Greedy choice among the entries that the sampled texts hold."""
+    """Greedy choice among the entries that the sampled texts hold.
+
+    What texts hold stays a list of numbers, so the driver keeps four bytes for each entry of each
+    sampled text and no table of texts by entries.
+    """
     label = held.column("label").to_numpy()
     holds = held.column("holds").combine_chunks()
-    table = np.zeros((len(label), len(names)), bool)
-    table[np.repeat(np.arange(len(label)), holds.value_lengths()), holds.flatten()] = True
-    in_no = table[label == 0].sum(axis=0)
-    in_yes = table[label == 1]
-    all_yes = in_yes.sum(axis=0)
+    entry = holds.flatten().to_numpy()
+    text = np.repeat(np.arange(len(label), dtype=np.int32), holds.value_lengths().to_numpy())
+    yes = label[text] == 1
+    in_no = np.bincount(entry[~yes], minlength=len(names))
+    entry, text = entry[yes], text[yes]
+    all_yes = np.bincount(entry, minlength=len(names))
+    left = int((label == 1).sum())
     weights: dict[str, float] = {}
-    while len(in_yes):
-        left = len(in_yes)
-        ranked = [
-            (_ratio(int(yes), int(no), left, n_no), len(name.rstrip()), name, k)
-            for k, (name, yes, no) in enumerate(zip(names, in_yes.sum(axis=0), in_no))
-            if yes * n_no > no * left
-        ]
-        best = max(ranked, default=None)  # of equally telling entries the longest
-        if best is None or best[0] < least:
+    while left:
+        in_yes = np.bincount(entry, minlength=len(names))
+        ranked: dict[tuple[int, int], list[tuple]] = defaultdict(list)
+        for k in np.flatnonzero(in_yes * n_no > in_no * left).tolist():
+            ranked[int(in_yes[k]), int(in_no[k])].append((len(names[k].rstrip()), names[k], k))
+        if not ranked:
+            break
+        evidence = {pair: _ratio(*pair, left, n_no) for pair in ranked}
+        top = max(evidence.values())
+        if top < least:
             break
-        *_, name, k = best
+        # Of equally telling entries the longest.
+        *_, name, k = max(x for pair, each in ranked.items() if evidence[pair] == top for x in each)
         weights[name] = math.log((all_yes[k] + 0.5) / (n_yes + 1)) - math.log(
             (in_no[k] + 0.5) / (n_no + 1)
         )
-        in_yes = in_yes[~in_yes[:, k]]
+        covered = text[entry == k]
+        left -= len(covered)
+        stay = ~np.isin(text, covered)
+        entry, text = entry[stay], text[stay]
     return weights
 
 

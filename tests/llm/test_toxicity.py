@@ -66,6 +66,27 @@ def test_learns_entries_stems_and_exceptions(spark):
     assert all((r.score >= 0.3) == bool(r.toxic) for r in got)
 
 
+def test_near_copies_leave_no_entry_out(spark):
+    """One long toxic text in many nearly equal copies has over 2,000 starts of its own."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    long = ["".join(rng.choices(letters, k=9)) for _ in range(500)]
+    rows = []
+    for k in range(900):
+        words = rng.choices(WORDS, k=30)
+        if k % 9 == 0:
+            words = list(long)
+            for at in rng.sample(range(len(long)), 3):
+                words[at] = "".join(rng.choices(letters, k=9))
+        elif k % 9 == 3:
+            words[4] = "zidiot"
+        rows.append((k, " ".join(words), int(k % 9 in (0, 3))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = learn_lexicon(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert any(e.startswith(" zid") for e in lexicon.weights)
+    assert with_toxicity(docs, lexicon).where("toxic = 1 and toxicity.weight = 0").isEmpty()
+
+
 def test_edges(spark):
     docs = spark.createDataFrame(
         [(1, "vile", "x"), (1, "vile", "x"), (None, None, None), (2, "", "x"), (3, "a " * 300_000, "x")],
