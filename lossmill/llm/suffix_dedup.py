@@ -20,12 +20,13 @@ Texts are split into samples where they are read, so no more than about one row
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossmill.llm.common import broadcast_if_small, stored
@@ -37,6 +38,13 @@ _GROUP = 16_000
 _PLACE_BITS = 20
 _STEP = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
+#: Bytes that stand for a word in ``word_codes``.
+WORD_BYTES = 4
+_WORD_CACHE = 1 << 18
+# Thai, Lao, Burmese, Khmer, kana and Han, which are written without spaces.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_WORD = re.compile(f"[{_UNSPACED}]|[^ \t-\r{_UNSPACED}]+")
 
 
 class _Powers:
@@ -272,18 +280,24 @@ def without_spans(text: bytes, spans: Iterable[tuple[int, int]]) -> bytes:
 
 
 def with_repeats(
-    docs: DataFrame, text_col: str = "text", length: int = LENGTH, into: str = "repeats"
+    docs: DataFrame,
+    text_col: str = "text",
+    length: int = LENGTH,
+    into: str = "repeats",
+    coded: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """``docs``, written once, with a column ``into``: merged structs ``start``, ``end`` of the
     bytes covered by repeated strings, empty where there are none.
 
     Null texts are empty, texts shorter than ``length`` bytes have no repeats, and rows that occur
     twice repeat each other. Matches never cross rows; strings that overlap in one text count. A
-    column of the name ``into`` is replaced.
+    column of the name ``into`` is replaced. With ``coded`` all this is about the bytes that it
+    makes of a text.
     """
     row = _free_name(docs, "row")
     rows = stored(docs.drop(into).withColumn(row, F.monotonically_increasing_id()), "repeats-texts")
-    texts = rows.select(F.col(row).alias("row"), F.col(text_col).cast("binary").alias("text"))
+    data = coded(F.col(text_col)) if coded else F.col(text_col).cast("binary")
+    texts = rows.select(F.col(row).alias("row"), data.alias("text"))
     spans = stored(repeated_spans(texts, length).toDF(row, into), "repeats-spans")
     spans = broadcast_if_small(spans, 96 + 40 * F.size(into))
     found = rows.join(spans, row, "left").drop(row)
@@ -339,3 +353,66 @@ def kept_text(text, spans):
         )
 
     return kept(text.cast("binary"), spans)
+
+
+def word_codes(text: Column) -> Column:
+    """``WORD_BYTES`` bytes of a hash for every word of a text.
+
+    Words are parted by ASCII white space; a letter of a script without spaces is one by itself.
+    """
+    digest = xxhash.xxh32_digest
+    held: dict[bytes, bytes] = {}
+
+    @F.arrow_udf("binary")
+    def codes(texts: pa.Array) -> pa.Array:
+        out = []
+        for x in texts:
+            words = _words(x.as_py() or b"")
+            if len(held) > _WORD_CACHE:
+                held.clear()
+            for w in set(words).difference(held):
+                held[w] = digest(w)
+            out.append(b"".join([held[w] for w in words]))
+        return pa.array(out, pa.binary())
+
+    return codes(text.cast("binary"))
+
+
+def _words(data: bytes) -> list[bytes]:
+    if not data.isascii():
+        text = data.decode("utf-8", "replace")
+        if _HAS_UNSPACED.search(text):
+            return [w.encode() for w in _WORD.findall(text)]
+    return data.split()
+
+
+def word_spans(spans: Column, words: int) -> Column:
+    """Spans of word codes as spans of whole words, those of ``words`` or more."""
+    whole = F.transform(
+        spans,
+        lambda s: F.struct(
+            F.ceil(s["start"] / WORD_BYTES).alias("start"),
+            F.floor(s["end"] / WORD_BYTES).alias("end"),
+        ),
+    )
+    return F.filter(whole, lambda s: s["end"] - s["start"] >= words)
+
+
+def kept_words(text: Column, spans: Column) -> Column:
+    """The text without the words of ``spans`` and what parts them."""
+
+    def cut(data: bytes, found: list) -> str:
+        whole = data.decode("utf-8", "replace")
+        places = [m.span() for m in _WORD.finditer(whole)]
+        out, at = [], 0
+        for s in found:
+            out.append(whole[at : places[s["start"]][0]])
+            at = places[s["end"] - 1][1]
+        return "".join([*out, whole[at:]])
+
+    @F.arrow_udf("string")
+    def kept(texts: pa.Array, found: pa.Array) -> pa.Array:
+        rows = zip(texts.to_pylist(), found.to_pylist())
+        return pa.array([None if t is None else cut(t, x) for t, x in rows], pa.string())
+
+    return kept(text.cast("binary"), spans)

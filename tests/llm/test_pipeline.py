@@ -76,6 +76,27 @@ def test_passages_are_cut_everywhere(spark):
             assert by_id[k].text == text
 
 
+def test_passages_count_words_not_bytes(spark):
+    """51 short words go in any script; 50 words stay, however long, and so do two repeats side
+    by side that are shorter each."""
+    rng = random.Random(14)
+    short = " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=51))
+    han = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(60))
+    long = " ".join("é" * 9 + str(rng.randrange(10**6)) for _ in range(50))
+    one, two = prose(rng, 30), prose(rng, 30)
+    own = [prose(rng, 40) for _ in range(22)]
+    held = [short, short, han, han, long, long, f"{one} {two}", one, two, "", ""]
+    texts = [(k, f"{own[k]} {p} {own[-1 - k]}".strip()) for k, p in enumerate(held)]
+    texts += [(50, f"a\n{short.replace(' ', '  ')} b")]
+    got = {r.doc_id: r.text for r in pipeline.cut_repeats(spark, frame(spark, texts), "").collect()}
+    for k, text in texts:
+        if k < 4:
+            assert got[k] == f"{own[k]}  {own[-1 - k]}"
+        elif k < 50:
+            assert got[k] == text
+    assert got[50] == "a\n b"
+
+
 def test_contaminated_and_toxic_documents_go(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
     rng = random.Random(13)
