@@ -12,6 +12,7 @@ from lossmill.llm import (
     decontaminate,
     embedding_dedup,
     packing,
+    prefix_trie,
     quality,
     simhash,
     suffix_dedup,
@@ -20,7 +21,7 @@ from lossmill.llm import (
     url_filter,
     warc,
 )
-from lossmill.llm.common import table
+from lossmill.llm.common import stored, table
 
 #: The rules that the query of the url filter applies.
 URL_RULES = (
@@ -119,6 +120,40 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DONOR_STEP = 20
+HEAD_TURNS = 4
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Digested turns of conversations that share their first turns: a conversation c has the
+    first h turns of c - c % 20, h being the remainder of its checksum by 4, then its own turns
+    after the first h. A row without a digest makes each conversation known."""
+    turns = stored(turns, "rebuilt-turns")
+    taken = F.crc32(F.col("conv_id").cast("string").cast("binary")) % HEAD_TURNS
+    heads = turns.where((F.col("conv_id") % DONOR_STEP == 0) & (F.col("position") < HEAD_TURNS))
+    heads = heads.withColumnRenamed("conv_id", "donor")
+    known = turns.where("position = 1").select("conv_id", taken.alias("taken"))
+    known = known.withColumn("donor", F.col("conv_id") - F.col("conv_id") % DONOR_STEP)
+    shared = known.join(heads, "donor").where("position <= taken")
+    own = turns.where(F.col("position") > taken)
+    marks = known.select(
+        "conv_id",
+        F.lit(0).cast("long").alias("position"),
+        F.lit(None).cast("binary").alias("digest"),
+        F.lit(0).cast("long").alias("words"),
+    )
+    return own.unionByName(shared.select(own.columns)).unionByName(marks)
+
+
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.digested(table(spark, sf_dir, "conversations"))
+    trie = prefix_trie.prefix_trie(rebuilt(turns))
+    return prefix_trie.with_ends_sha256(trie).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        "saved_tokens", "ends_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
@@ -130,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -216,4 +252,55 @@ ORACLES: dict[str, str] = {
             coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc_words LEFT JOIN hit_words USING (doc_row) LEFT JOIN hit_items USING (doc_row)
     """,
+    "op11_conversation_prefix_trie": r"""
+        WITH own AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), ids AS (
+            SELECT conv_id, conv_id - conv_id % 20 AS donor,
+                xor(list_reduce(list_prepend(4294967295::BIGINT,
+                    list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda v, i:
+                        CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)),
+                    4294967295) % 4 AS taken
+            FROM (SELECT DISTINCT conv_id FROM own)
+        ), turns AS (
+            SELECT i.conv_id, pos, role, text FROM ids i JOIN own ON own.conv_id = donor
+            WHERE pos <= taken
+            UNION ALL
+            SELECT i.conv_id, pos, role, text FROM ids i JOIN own USING (conv_id)
+            WHERE pos > taken
+        ), paths AS (
+            SELECT conv_id, row_number() OVER w AS depth,
+                list({'role': role, 'text': text}) OVER w AS path,
+                len(regexp_extract_all(text, '[^ 	-
+]+')) AS words,
+                count(*) OVER (PARTITION BY conv_id) AS n_turns
+            FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+            UNION ALL
+            SELECT conv_id, 0, [], 0, (SELECT count(*) FROM turns t WHERE t.conv_id = ids.conv_id)
+            FROM ids
+        ), nodes AS (
+            SELECT min(conv_id) AS conv_id, depth, path, count(*) AS n_convs,
+                min(words) AS words, sha256(coalesce(string_agg(conv_id::VARCHAR, ','
+                    ORDER BY conv_id) FILTER (WHERE depth = n_turns), '')) AS ends_sha256
+            FROM paths GROUP BY depth, path
+        ), children AS (
+            SELECT depth - 1 AS depth, path[:-2] AS path, count(*) AS n_children
+            FROM nodes WHERE depth > 0 GROUP BY ALL
+        ), counted AS (
+            SELECT n.*, coalesce(n_children, 0) AS n_children
+            FROM nodes n LEFT JOIN children USING (depth, path)
+        ), sums AS (
+            SELECT a.depth, a.path, sum((v.n_convs - 1) * v.words) AS saved_tokens,
+                count(*) FILTER (WHERE v.n_children = 0) AS n_leaves
+            FROM counted v JOIN paths a ON a.conv_id = v.conv_id AND a.depth <= v.depth
+            GROUP BY a.depth, a.path
+        )
+        SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+            s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+        FROM counted c JOIN sums s USING (depth, path)
+        LEFT JOIN counted p ON p.depth = c.depth - 1 AND p.path = c.path[:-2]
+    """,
 }
