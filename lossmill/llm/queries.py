@@ -14,14 +14,17 @@ from lossmill.llm import (
     packing,
     prefix_trie,
     quality,
+    ranked_search,
     simhash,
     suffix_dedup,
     token_counts,
+    token_files,
     toxicity,
     url_filter,
     warc,
 )
 from lossmill.llm.common import stored, table
+from lossmill.sinks.scratch import scratch_path
 
 #: The rules that the query of the url filter applies.
 URL_RULES = (
@@ -154,6 +157,21 @@ def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written to new files in the shared folder, then read from them."""
+    path = scratch_path(spark, "token-archive") + "/archive"
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_archive(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    doc_id = F.col("doc_id").cast(docs.schema["doc_id"].dataType)
+    return token_files.read_archive(spark, path).withColumn("doc_id", doc_id)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(table(spark, sf_dir, "documents"))
+    found = ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
@@ -166,6 +184,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_token_files": op12_token_files,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -303,4 +323,38 @@ ORACLES: dict[str, str] = {
         FROM counted c JOIN sums s USING (depth, path)
         LEFT JOIN counted p ON p.depth = c.depth - 1 AND p.path = c.path[:-2]
     """,
+    "op13_ranked_search": r"""
+        WITH item_terms AS (
+            SELECT DISTINCT item_row, item_id, unnest(words) AS term
+            FROM (SELECT row_number() OVER () AS item_row, item_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM benchmark)
+        ), docs AS (
+            SELECT row_number() OVER () AS doc_row, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), counts AS (
+            SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_terms
+            FROM docs WHERE len(words) > 0
+        ), found AS (
+            SELECT doc_row, doc_id, n, term, count(*) AS tf
+            FROM (SELECT doc_row, doc_id, len(words) AS n, unnest(words) AS term FROM docs)
+            WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL
+        ), weights AS (
+            SELECT term,
+                floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM found, counts GROUP BY term, n_docs
+        ), scores AS (
+            SELECT item_row, item_id, doc_row, doc_id, sum(w * ((1000000000 * tf)
+                // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM item_terms JOIN found USING (term) JOIN weights USING (term), counts
+            GROUP BY item_row, item_id, doc_row, doc_id
+        ), ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_row
+                ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
 }
