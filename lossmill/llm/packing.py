@@ -15,7 +15,6 @@ global. Number and length alone then say where a piece lies.
 from __future__ import annotations
 
 import bisect
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -27,63 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossmill.llm.common import stored
+from lossmill.llm.encoding import encoder
 
 WINDOW = 2048
-_CACHED_CHUNKS = 1_000_000
-_CACHED_CHARS = 64
 _ID = "<u4"
 
 
-class Encoder(dict):
-    """Token ids of texts, as little-endian unsigned 32-bit numbers.
-
-    For tokenizers that drop white space and never join across it: a text is cut at spaces and
-    line ends, and the ids of the chunks are kept. ``letters_are_one_word`` says that a run of
-    ASCII letters, in lower case, goes to the model as one word.
-    """
-
-    _head = re.compile("[A-Za-z]++(?![^\x00-\x7f])").match
-
-    def __init__(self, path: str):
-        super().__init__({"": b""})
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
-
-    def encode(self, text: str) -> bytes:
-        if len(self) > _CACHED_CHUNKS:
-            self.clear()
-            self[""] = b""
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
-
-    def __missing__(self, chunk: str) -> bytes:
-        head = self._head(chunk)
-        word = head[0] if head else ""
-        if word and len(word) < len(chunk):
-            ids = self[word] + self[chunk[len(word) :]]
-        elif word and not word.islower():
-            ids = self[word.lower()]
-        elif word:
-            ids = np.array([t.id for t in self._model.tokenize(word)], _ID).tobytes()
-        else:
-            found = self._tokenizer.encode(chunk, add_special_tokens=False).ids
-            ids = np.array(found, _ID).tobytes()
-        if len(chunk) <= _CACHED_CHARS:
-            self[chunk] = ids
-        return ids
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One per Python worker, so that its memory of chunks serves all tasks of the worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 @dataclass
 class Plan:
     """Where the k-th rest of a length lies.

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lossmill.llm.common import stored
-from lossmill.llm.packing import encoder
+from lossmill.llm.encoding import encoder
 
 #: Bits of the sum of frequencies at least; a larger vocabulary gets sixteen times its size.
 SCALE_BITS = 20

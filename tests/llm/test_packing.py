@@ -8,12 +8,13 @@ import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lossmill.llm.packing import WINDOW, Encoder, closest_fill, pack, plan_windows
+from lossmill.llm.encoding import encoder
+from lossmill.llm.packing import WINDOW, closest_fill, pack, plan_windows
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
-ENCODER = Encoder(PATH)
+ENCODER = encoder(PATH)
 
 
 def ids_of(text):

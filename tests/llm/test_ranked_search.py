@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from lossmill.llm import ranked_search
+from lossmill.llm.ranked_search import Treap, build_index, quadtree, search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def plain(docs, items, k=10):
+    """Rows (item, rank, doc, score) from every document scored."""
+    counts = [(d, Counter(words(t))) for d, t in docs]
+    counts = [(d, c, sum(c.values())) for d, c in counts if c]
+    n_docs, n_terms = len(counts), sum(n for _, _, n in counts)
+    df = Counter(t for _, c, _ in counts for t in c)
+    rows = []
+    for item, text in items:
+        scores = []
+        for d, c, n in counts:
+            score = 0
+            for t in set(words(text)) & set(c):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                m = 100 - 90 + 90 * n * n_docs // n_terms
+                score += w * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scores.append((-score, d is None, d))
+        for rank, (score, _, d) in enumerate(sorted(scores, key=lambda s: s[:2] + (s[2] or 0,))[:k]):
+            rows.append((item, rank + 1, d, -score))
+    return sorted(rows, key=repr)
+
+
+def found(spark, docs, items, cells=200, **options):
+    docs = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, score int")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    index = build_index(docs.repartition(3), cells=cells)
+    return sorted((tuple(r) for r in search(index, items, **options).collect()), key=repr)
+
+
+def random_texts(seed, n):
+    rng = random.Random(seed)
+    names = [f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(400)]
+    return [" ".join(rng.choices(names, k=rng.randint(0, 60))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("cells", [40, 100_000])
+def test_random_texts_against_all_scores(spark, cells):
+    docs = list(enumerate(random_texts(1, 300)))
+    docs += [(1000 + k, docs[5][1]) for k in range(80)]  # copies: ties by id
+    items = [(k, t) for k, t in enumerate(random_texts(2, 12))]
+    assert found(spark, docs, items, cells) == plain(docs, items)
+
+
+def test_batches_of_items_give_the_same(spark):
+    docs = list(enumerate(random_texts(3, 60)))
+    items = [(k, t) for k, t in enumerate(random_texts(4, 9))]
+    assert found(spark, docs, items, batch_bytes=2000, k=3) == plain(docs, items, k=3)
+
+
+def test_nulls_ties_long_texts_and_empty_tables(spark):
+    docs = [
+        (3, "Apple pie"), (None, "apple PIE"), (1, "apple pie"), (1, "apple pie"), (4, None),
+        (5, ""), (6, "... --- "), (7, "Äpfel äpfel 7 x7"), (8, "pie " * 50_000 + "apple"),
+        (9, "other words here"), (10, "more of them"),
+    ]
+    items = [(0, "APPLE pie"), (1, None), (2, "..."), (3, "äpfel Äpfel"), (4, "unknown"), (0, "pie")]
+    assert found(spark, docs, items) == plain(docs, items)
+    assert found(spark, [(1, None)], items) == []
+    assert found(spark, [], items) == []
+    assert found(spark, docs, []) == []
+
+
+def test_quadtree_holds_every_cell_and_bounds_above():
+    rng = np.random.default_rng(5)
+    cells = {(int(r), int(c)): int(v) for r, c, v in rng.integers(1, [70, 30, 10**6], (400, 3))}
+    rows, columns = np.array(list(cells)).T
+    levels = quadtree(rows, columns, np.array(list(cells.values())))
+    masks = []
+    for mask, _ in levels[:-1]:
+        even = np.append(mask, np.zeros(len(mask) % 2, np.uint8))
+        masks.append((even[::2] | even[1::2] << np.uint8(4)).tobytes())
+    steps = [ranked_search._narrow(step) for _, step in levels]
+    assert all((step >= 0).all() for _, step in levels)
+    tree = Treap(masks, steps, list(range(32)), pa.array([b""]))
+    assert tree.height == 7 and tree.maxima[1] == max(cells.values())
+    for r in range(70):
+        best = []
+        tree.search(np.array([r]), np.array([1]), best, 40)
+        expected = sorted((-v, (False, c)) for (row, c), v in cells.items() if row == r)
+        assert best == expected
+
+
+def test_search_leaves_most_of_a_block_alone():
+    """States taken for the best of one rare term follow its few paths."""
+    n = 4096
+    rows = np.concatenate([np.zeros(n), np.full(3, 900)]).astype(np.int64)
+    columns = np.concatenate([np.arange(n), [5, 1000, 4000]])
+    values = np.concatenate([np.full(n, 10), [500, 400, 300]])
+    levels = quadtree(rows, columns, values)
+    masks = []
+    for mask, _ in levels[:-1]:
+        even = np.append(mask, np.zeros(len(mask) % 2, np.uint8))
+        masks.append((even[::2] | even[1::2] << np.uint8(4)).tobytes())
+    steps = [ranked_search._narrow(step) for _, step in levels]
+    tree = Treap(masks, steps, list(range(n)), pa.array([b""]))
+    seen = []
+    inner = ranked_search.heapq.heappop
+
+    def counted(heap):
+        seen.append(1)
+        return inner(heap)
+
+    ranked_search.heapq.heappop = counted
+    try:
+        best = []
+        tree.search(np.array([0, 900]), np.array([1, 1]), best, 3)
+    finally:
+        ranked_search.heapq.heappop = inner
+    assert [b[1][1] for b in best] == [5, 1000, 4000]
+    assert len(seen) < n / 8
