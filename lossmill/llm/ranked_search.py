@@ -40,10 +40,9 @@ from lossmill.llm.common import stored
 BLOCK_CELLS = 1 << 20
 QUERY_BYTES = 8 << 20
 _BATCH = 64
-# The same letters twice: of texts in Java's syntax, and of their UTF-8 bytes in lower case, where
-# every byte of other than ASCII letters belongs to one.
-_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Of UTF-8 in lower case: every byte of a character beyond ASCII belongs to a term.
 _TERMS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
+_IN_TERM = np.array([b > 127 or chr(b).isalnum() for b in range(256)])
 #: How many of a node's quadrants, given by its bits, come before a quadrant.
 _BELOW = np.array([[(m & (1 << q) - 1).bit_count() for q in range(4)] for m in range(16)], np.int32)
 _COUNT = np.array([m.bit_count() for m in range(16)], np.int32)
@@ -55,6 +54,12 @@ def terms(text: bytes | None) -> list[bytes]:
     return _TERMS(text.lower()) if text else []
 
 
+def n_terms_of(text: bytes | None) -> int:
+    """How many terms a text has: the bytes at which one begins."""
+    inside = _IN_TERM[np.frombuffer(text or b"", np.uint8)]
+    return int(np.count_nonzero(inside[1:] & ~inside[:-1]) + inside[:1].sum())
+
+
 def impact(tf: np.ndarray, length: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
     """Impact of a term that occurs ``tf`` times in a document of ``length`` terms."""
     m = 100 - 90 + 90 * length * n_docs // n_terms
@@ -194,22 +199,51 @@ def build_index(
     texts without a term are in no block. Very long texts are indexed whole. Other columns are not
     read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n = F.regexp_count("text", F.lit(_TERM)).cast("long")
-    counted = rows.select(n.alias("n")).where("n > 0").agg(F.count("*"), F.sum("n")).first()
-    n_docs, n_terms = int(counted[0]), int(counted[1] or 0)
+    data = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    counted = data.select("text").mapInArrow(_count_terms, "docs long, terms long")
+    counted = counted.agg(F.sum("docs"), F.sum("terms")).first()
+    n_docs, n_terms = int(counted[0] or 0), int(counted[1] or 0)
     schema = (
         f"ids array<{docs.schema[id_col].dataType.simpleString()}>, terms array<binary>, "
         "dfs array<long>, masks array<binary>, steps array<binary>"
     )
-    data = rows.select("id", F.col("text").cast("binary").alias("text"))
     blocks = data.mapInArrow(_blocks(n_docs, n_terms, cells), schema)
     return Index(stored(blocks, "search-index"), n_docs, n_terms)
 
 
+def _count_terms(tables):
+    docs = total = 0
+    for t in tables:
+        for at in range(0, t.num_rows, 256):
+            counts = [n_terms_of(x) for x in t.column(0).slice(at, 256).to_pylist()]
+            docs += sum(n > 0 for n in counts)
+            total += sum(counts)
+    yield pa.RecordBatch.from_arrays([pa.array([docs]), pa.array([total])], ["docs", "terms"])
+
+
+class _Rows:
+    """The cells of a block's documents, with numbers in the place of terms."""
+
+    def __init__(self):
+        self.ids: list = []
+        self.numbers: dict[bytes, int] = {}
+        self.seen: list[np.ndarray] = []
+        self.tfs: list[np.ndarray] = []
+        self.cells = 0
+
+    def add(self, one_id, counts: Counter) -> None:
+        numbers, n = self.numbers, len(counts)
+        self.ids.append(one_id)
+        self.seen.append(
+            np.fromiter((numbers.setdefault(t, len(numbers)) for t in counts), np.int32, n)
+        )
+        self.tfs.append(np.fromiter(counts.values(), np.int64, n))
+        self.cells += n
+
+
 def _blocks(n_docs: int, n_terms: int, cells: int):
     def build(tables):
-        ids, found, size = [], [], 0
+        rows = _Rows()
         kind = pa.null()
         for t in tables:
             kind = t.schema.field(0).type
@@ -219,29 +253,22 @@ def _blocks(n_docs: int, n_terms: int, cells: int):
                     counts = Counter(terms(text))
                     if not counts:
                         continue
-                    if ids and size + len(counts) > cells:
-                        yield _block(ids, found, n_docs, n_terms, kind)
-                        ids, found, size = [], [], 0
-                    ids.append(one_id)
-                    found.append(counts)
-                    size += len(counts)
-        if ids:
-            yield _block(ids, found, n_docs, n_terms, kind)
+                    if rows.ids and rows.cells + len(counts) > cells:
+                        yield _block(rows, n_docs, n_terms, kind)
+                        rows = _Rows()
+                    rows.add(one_id, counts)
+        if rows.ids:
+            yield _block(rows, n_docs, n_terms, kind)
 
     return build
 
 
-def _block(ids: list, found: list[Counter], n_docs: int, n_terms: int, kind) -> pa.RecordBatch:
-    order = sorted(range(len(ids)), key=lambda k: _order(ids[k]))
-    numbers: dict[bytes, int] = {}
-    seen, tfs, lengths, sizes = [], [], [], []
-    for k in order:
-        counts = found[k]
-        seen += [numbers.setdefault(t, len(numbers)) for t in counts]
-        tfs += counts.values()
-        lengths.append(counts.total())
-        sizes.append(len(counts))
-    seen, tfs = np.array(seen, np.int64), np.array(tfs, np.int64)
+def _block(rows: _Rows, n_docs: int, n_terms: int, kind) -> pa.RecordBatch:
+    order = sorted(range(len(rows.ids)), key=lambda k: _order(rows.ids[k]))
+    seen = np.concatenate([rows.seen[k] for k in order])
+    tfs = np.concatenate([rows.tfs[k] for k in order])
+    sizes = [len(rows.tfs[k]) for k in order]
+    lengths = np.array([rows.tfs[k].sum() for k in order])
     dfs = np.bincount(seen)
     by_df = np.argsort(-dfs, kind="stable")
     row = np.empty(len(dfs), np.int64)
@@ -253,9 +280,9 @@ def _block(ids: list, found: list[Counter], n_docs: int, n_terms: int, kind) ->
     for mask, _ in levels[:-1]:
         even = np.append(mask, np.zeros(len(mask) % 2, np.uint8))
         masks.append((even[::2] | even[1::2] << np.uint8(4)).tobytes())
-    names = list(numbers)
+    names = list(rows.numbers)
     fields = {
-        "ids": pa.array([[ids[k] for k in order]], pa.list_(kind)),
+        "ids": pa.array([[rows.ids[k] for k in order]], pa.list_(kind)),
         "terms": pa.array([[names[k] for k in by_df.tolist()]], pa.list_(pa.binary())),
         "dfs": pa.array([dfs[by_df]], pa.list_(pa.int64())),
         "masks": pa.array([masks], pa.list_(pa.binary())),
