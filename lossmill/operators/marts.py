@@ -1,12 +1,13 @@
 """The four marts and the small reports around them.
 
 Every mart is a projection over mergeable totals. ``totals`` reduces rows on the map side, so only
-one row per task and key is shuffled however hot a key is; ``merge`` rolls totals up further.
+one row per task and key is shuffled however hot a key is; ``merge`` rolls totals up further, and
+``rolled_up`` does so to several grains at once, so that one scan serves several marts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ COVERAGE = ("coverage", "period")
 PORTFOLIO = ("period",)
 SEGMENT = ("region_code", "region_name", "coverage", "period")
 
+GRAIN = "grain"
+#: The marts that are made of totals, by the grain of each.
+GRAINS = {"by_region": REGION, "by_coverage": COVERAGE, "summary": PORTFOLIO}
+
 _SUMMED = ("premium", "claim_amount", "exposure", "avg_insured")
 
 
@@ -38,14 +43,43 @@ def totals(silver: DataFrame, by: Sequence[str], loss_above: float = 1.0) -> Dat
     )
 
 
-def merge(parts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Totals of a finer grain, rolled up to ``by``."""
+def _merged(parts: DataFrame) -> list[Column]:
     added = [c for c in parts.columns if c.startswith(("sum_", "n_"))]
-    return parts.groupBy(*by).agg(
+    return [
         *(F.sum(c).alias(c) for c in added),
         F.max("max_ratio").alias("max_ratio"),
         F.min("min_ratio").alias("min_ratio"),
-    )
+    ]
+
+
+def merge(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Totals of a finer grain, rolled up to ``by``."""
+    return parts.groupBy(*by).agg(*_merged(parts))
+
+
+def rolled_up(
+    parts: DataFrame, by: Sequence[str] = SEGMENT, grains: Mapping[str, Sequence[str]] = GRAINS
+) -> DataFrame:
+    """Totals by ``by``, rolled up to every one of ``grains`` in one aggregation.
+
+    ``grain`` names the grain of a row; keys that are not of it are null. A key that is null in the
+    data is a group of its own, told apart by the grouping sets' number.
+    """
+    sets = [[F.col(c) for c in keys] for keys in grains.values()]
+    rolled = parts.groupingSets(sets, *(F.col(c) for c in by))
+    rolled = rolled.agg(F.grouping_id().alias("__set"), *_merged(parts))
+    grain = F.lit(None).cast("string")
+    for name, keys in grains.items():
+        # One bit per column of `by`, the first one highest, set where it is summed over.
+        number = sum((c not in keys) << k for k, c in enumerate(reversed(by)))
+        grain = F.when(F.col("__set") == number, name).otherwise(grain)
+    return rolled.withColumn(GRAIN, grain).drop("__set")
+
+
+def of_grain(rolled: DataFrame, name: str, grains: Mapping[str, Sequence[str]] = GRAINS) -> DataFrame:
+    """The totals of one grain of ``rolled_up``."""
+    others = {c for keys in grains.values() for c in keys}.difference(grains[name])
+    return rolled.where(F.col(GRAIN) == name).drop(GRAIN, *others)
 
 
 def _finished(parts: DataFrame) -> DataFrame:
@@ -61,6 +95,11 @@ def _sums() -> list[Column]:
     return [round_snap(name, 2).alias(f"total_{name}") for name in names]
 
 
+def sums_of_grains(rolled: DataFrame) -> DataFrame:
+    """Sums and ratio of sums of every row of ``rolled_up``, with its grain and its keys."""
+    return _finished(rolled).select(GRAIN, *SEGMENT, *_sums(), "loss_ratio")
+
+
 def region_mart(parts: DataFrame, high: float = 1.0, watch: float = 0.7) -> DataFrame:
     """From totals by ``REGION``: sums, ratio of sums, row count and tier of the rounded ratio."""
     return _finished(parts).select(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import math
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -75,11 +77,57 @@ def _same_keys(keys: Iterable[str]) -> Column:
     return condition
 
 
+@dataclass(frozen=True)
+class HotKey:
+    """A claim key that very many rows share, and into how many parts they are dealt."""
+
+    key: str
+    parts: int
+
+
+def _key_text(columns: Iterable[str]) -> Column:
+    """The values of a key as one text; null where one of them is, for that matches nothing."""
+    columns = list(columns)
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    named = F.struct(*(F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(columns)))
+    return F.when(known, F.to_json(named))
+
+
+def hot_claim_keys(
+    claim: DataFrame, keys: Iterable[str] = SEGMENT_KEYS, share: float = 0.02
+) -> list[HotKey]:
+    """Claim keys that hold more than ``share`` of all claim rows, 1 / ``share`` at most.
+
+    Found by sketches of frequent items: each task keeps a bounded number of counters, the sketches
+    are merged and nothing is shuffled by key. Only the key columns are read. Many more keys are
+    tracked than can be hot, so counts are off by a small part of ``share`` at most.
+    """
+    if not 0 < share < 1:
+        raise ValueError(f"not a share: {share}")
+    most = math.ceil(1 / share)
+    tracked = 1 << math.ceil(math.log2(64 * most))
+    text = _key_text(f"claim_{k}" for k in keys)
+    found = claim.select(text.alias("key")).agg(
+        F.call_function("approx_top_k", F.col("key"), F.lit(most), F.lit(tracked)).alias("top"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    row = found.first()
+    each = max(1.0, share * row["n"])
+    return [
+        HotKey(item["item"], math.ceil(item["count"] / each))
+        for item in row["top"] or []
+        if item["item"] is not None and item["count"] > each
+    ]
+
+
 def join_claims(
     premium: DataFrame,
     claim: DataFrame,
     keys: Iterable[str] = SEGMENT_KEYS,
     repeated_claim_keys: bool = False,
+    hot: Sequence[HotKey] = (),
 ) -> DataFrame:
     """Every premium row with its claims, zeros where there are none, and the row ratio.
 
@@ -87,9 +135,11 @@ def join_claims(
     in bytes are joined where premium rows are read. Beyond it both sides are shuffled and adaptive
     execution splits a hot premium key.
 
-    A shuffled left join cannot split a hot key of its right side. With ``repeated_claim_keys``
-    the same rows come from an inner join, where either side may be split, and an anti join
-    against the distinct claim keys, which are reduced before they are shuffled.
+    A shuffled left join cannot split a hot key of its right side. ``hot``, see
+    ``hot_claim_keys``, names such keys: their claims are dealt into parts and their premium rows
+    are repeated for every part, in the same join. With ``repeated_claim_keys`` the same rows come
+    from an inner join, where either side may be split, and an anti join against the distinct claim
+    keys, which are reduced before they are shuffled.
     """
     keys = tuple(keys)
     claim_keys = [f"claim_{k}" for k in keys]
@@ -98,12 +148,38 @@ def join_claims(
         matched = premium.join(claim, same, "inner")
         alone = premium.join(claim.select(*claim_keys).distinct(), same, "left_anti")
         joined = matched.unionByName(alone, allowMissingColumns=True)
+    elif hot:
+        joined = _join_in_parts(premium, claim, keys, hot)
     else:
         joined = premium.join(claim, same, "left")
     joined = joined.drop(*claim_keys, "claim_ingested_at")
     return add_loss_ratio(fill_claims(joined))
 
 
+def _join_in_parts(
+    premium: DataFrame, claim: DataFrame, keys: Sequence[str], hot: Sequence[HotKey]
+) -> DataFrame:
+    """The left join with the claims of hot keys in parts.
+
+    A hot key has claims, so of its premium rows only those that met some are kept; every claim is
+    in one part and meets each premium row once.
+    """
+    parts = F.create_map(*(F.lit(x) for h in hot for x in (h.key, h.parts)))
+    own, other = "__premium_part", "__claim_part"
+    claim_keys = [f"claim_{k}" for k in keys]
+    dealt = F.try_element_at(parts, _key_text(claim_keys))
+    place = F.pmod(F.monotonically_increasing_id(), dealt.cast("long"))
+    claim = claim.withColumn(other, F.coalesce(place, F.lit(0).cast("long")))
+    number = F.coalesce(F.try_element_at(parts, _key_text(keys)), F.lit(1)).cast("long")
+    premium = premium.withColumn("__parts", number)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1))
+    premium = premium.withColumn(own, every)
+    same = _same_keys(keys) & (F.col(own) == F.col(other))
+    joined = premium.join(claim, same, "left")
+    kept = (F.col("__parts") == 1) | F.col(other).isNotNull()
+    return joined.where(kept).drop(own, other, "__parts")
+
+
 def repeated_claims(claim: DataFrame, keys: Iterable[str] = SEGMENT_KEYS) -> DataFrame:
     """Claim keys that occur more than once; each would repeat its premium row in the join."""
     claim_keys = [f"claim_{k}" for k in keys]

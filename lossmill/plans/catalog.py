@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossmill import schemas
 from lossmill.functions import comma_decimal, loss_ratio, risk_tier, to_long
-from lossmill.operators import marts, quality, silver, trends
+from lossmill.operators import distincts, marts, quality, silver, trends
 from lossmill.operators.bronze import stamp
 from lossmill.plans import medallion
 from lossmill.sinks import append_ledger, last_operations, reconcile, scratch_path
@@ -23,6 +24,7 @@ from lossmill.sources import (
     read_table,
     rows_per_period,
 )
+from lossmill.sources.delimited import FILE_ENCODING, FILE_FORMAT
 from lossmill.sources.star import Star, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEYS = list(schemas.SEGMENT_KEYS)
 SCANNED_PERIODS = ("1996S1", "1998S2")
 CORRECTED_PERIOD = "1997S1"
+MISSING_PERIOD = "1995S2"
 ABSENT_PERIOD = "1900S1"
 
 
@@ -145,6 +148,56 @@ def ledger_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_operations(spark, ledger, 5).drop("run_ts")
 
 
+def _broken_lines(tables: Star, spark: SparkSession) -> tuple[str, str]:
+    """Files of both sources in which the lines of one coverage lack their last field and those of
+    another have one too many."""
+
+    def write(frame: DataFrame, name: str) -> str:
+        fields = [c for c in frame.columns if c != "period"]
+        short = F.when(F.col("coverage") != "MACHINERY", F.coalesce(fields[-1], F.lit("")))
+        long = F.when(F.col("coverage") == "BUILDING", F.lit("x"))
+        given = [F.coalesce(c, F.lit("")) for c in fields[:-1]]
+        line = F.concat_ws(FILE_FORMAT["sep"], *given, short, long)
+        path = scratch_path(spark, name)
+        header = FILE_FORMAT["sep"].join(fields)
+        lines = frame.select(line.alias(header), "period").write.partitionBy("period")
+        lines.options(header="true", sep="\u0001", quote="", encoding=FILE_ENCODING).csv(path)
+        return path
+
+    return write(tables.premium, "premium-lines"), write(tables.claim, "claim-lines")
+
+
+def _ingest_broken(spark: SparkSession, sf_dir: str) -> tuple[medallion.Settings, Star]:
+    tables = Star(spark, sf_dir)
+    run = medallion.Settings(
+        scratch_path(spark, "line-layers"), tables.periods, quarantine_lines=True
+    )
+    medallion.ingest(spark, run, *_broken_lines(tables, spark), period_dirs=True)
+    return run, tables
+
+
+def bronze_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that bronze keeps apart, as they stand in the files."""
+    run, _ = _ingest_broken(spark, sf_dir)
+    found = [
+        medallion.read_lines(spark, run, name).select(
+            F.lit(name).alias("source"), "period", "region_code", "coverage", schemas.CORRUPT_LINE
+        )
+        for name in ("premium", "claim")
+    ]
+    return found[0].unionByName(found[1])
+
+
+def recon_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per coverage of bronze and silver: none of the lines that are kept apart."""
+    run, tables = _ingest_broken(spark, sf_dir)
+    medallion.refine(spark, run, _regions(tables))
+    layers = medallion.stored_layers(spark, run)
+    rows = [df.select(F.lit(name).alias("layer"), "coverage") for name, df in layers.items()]
+    everything = reduce(DataFrame.unionByName, rows)
+    return everything.groupBy("layer", "coverage").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def recon_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to bronze to silver for all periods, then the rows of each stored layer."""
     tables = Star(spark, sf_dir)
@@ -224,6 +277,21 @@ def silver_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(Star(spark, sf_dir))
 
 
+HOT_KEY = ("1996S1", "01", "BUILDING")
+
+
+def silver_join_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all claims on one key, which is found and dealt in parts."""
+    tables = Star(spark, sf_dir)
+    moved = F.col("claim_count") % 3 == 0
+    changed = {
+        f"claim_{k}": F.when(moved, v).otherwise(F.col(f"claim_{k}")) for k, v in zip(KEYS, HOT_KEY)
+    }
+    claim = _claim(tables).withColumns(changed)
+    hot = silver.hot_claim_keys(claim)
+    return silver.join_claims(_premium(tables), claim, hot=hot)
+
+
 def silver_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = Star(spark, sf_dir)
     return silver.enrich(_joined(tables), _regions(tables))
@@ -306,6 +374,12 @@ def gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.summary(_clean(Star(spark, sf_dir)))
 
 
+def gold_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sums of three marts out of one scan and one aggregation by segment."""
+    totals = marts.totals(_clean(Star(spark, sf_dir)), marts.SEGMENT)
+    return marts.sums_of_grains(marts.rolled_up(totals))
+
+
 def distinct_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = Star(spark, sf_dir).premium
     return marts.distinct_rows(raw, ["region_code", "region_name"])
@@ -354,6 +428,47 @@ def trend_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.trend_by_region(marts.by_region(_clean(Star(spark, sf_dir))))
 
 
+def calendar_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With one half-year taken out, so that there is a gap."""
+    clean = _clean(Star(spark, sf_dir)).where(F.col("period") != MISSING_PERIOD)
+    return trends.calendar_trend(marts.by_region(clean))
+
+
+def _distinct_parts(spark: SparkSession, parts: DataFrame, label: str) -> DataFrame:
+    """Stored per period and read back, as later runs would find them."""
+    path = scratch_path(spark, label)
+    periods = [r.period for r in parts.select("period").distinct().collect()]
+    replace_periods(parts, path, periods)
+    return read_table(spark, path, parts.schema)
+
+
+SKETCHED = ("region_code", "coverage", "premium", "claim_count")
+
+
+def sketched_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct counts, and whether the merged sketches of all periods come close to them."""
+    clean = _clean(Star(spark, sf_dir))
+    stored = _distinct_parts(spark, distincts.sketches(clean, SKETCHED), "sketches")
+    exact = clean.agg(*(F.count_distinct(c).alias(c) for c in SKETCHED))
+    pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_distinct")) for c in SKETCHED))
+    off = F.abs(F.col("approx_distinct") - F.col("n_distinct"))
+    bound = F.col("n_distinct") * distincts.relative_error()
+    joined = exact.select(F.inline(pairs)).join(distincts.estimates(stored), "column_name")
+    return joined.select("column_name", "n_distinct", (off <= bound).alias("within_bound"))
+
+
+def distinct_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct segments of claims from the first half-year to each one, from bitmaps per period."""
+    claim = _claim(Star(spark, sf_dir))
+    named = F.concat_ws("|", "claim_region_code", "claim_coverage", "claim_count")
+    rows = claim.select(F.col("claim_period").alias("period"), named.alias("segment"))
+    numbers = distincts.numbered(rows.select(F.col("segment").alias("value")))
+    stored = _distinct_parts(spark, distincts.bitmaps(rows, "segment", numbers), "bitmaps")
+    ends = stored.select(F.col("period").alias("to_period")).distinct()
+    upto = stored.join(ends, F.col("period") <= F.col("to_period"))
+    return distincts.count_of(upto, ["to_period"])
+
+
 def exposure_weighted_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.exposure_weighted_ratio(_clean(Star(spark, sf_dir)))
 
@@ -378,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "sink_roundtrip": sink_roundtrip,
     "sink_replace_partition": sink_replace_partition,
     "ledger_last_n": ledger_last_n,
+    "bronze_malformed_lines": bronze_malformed_lines,
+    "recon_malformed_lines": recon_malformed_lines,
     "recon_layer_counts": recon_layer_counts,
     "bronze_stamp": bronze_stamp,
     "cast_comma_decimal": cast_comma_decimal,
@@ -390,6 +507,7 @@ QUERIES: dict[str, Query] = {
     "ratio_fn_decimals": ratio_fn_decimals,
     "risk_tier": row_risk_tier,
     "silver_join": silver_join,
+    "silver_join_hot": silver_join_hot,
     "silver_enrich": silver_enrich,
     "dq_unknown_region": dq_unknown_region,
     "dq_tag": dq_tag,
@@ -405,6 +523,7 @@ QUERIES: dict[str, Query] = {
     "gold_by_coverage": gold_by_coverage,
     "gold_alerts": gold_alerts,
     "gold_summary": gold_summary,
+    "gold_rollup": gold_rollup,
     "distinct_regions": distinct_regions,
     "distinct_coverages": distinct_coverages,
     "count_distinct_regions": count_distinct_regions,
@@ -415,6 +534,9 @@ QUERIES: dict[str, Query] = {
     "freq_claim_coverage": freq_claim_coverage,
     "freq_risk_tier": freq_risk_tier,
     "trend_by_region": trend_by_region,
+    "calendar_trend": calendar_trend,
+    "sketched_distinct": sketched_distinct,
+    "distinct_to_date": distinct_to_date,
     "exposure_weighted_ratio": exposure_weighted_ratio,
     "column_profile": column_profile,
     "orphan_claims": orphan_claims,

@@ -21,7 +21,7 @@ from lossmill import schemas
 from lossmill.operators import marts, quality, silver
 from lossmill.operators.bronze import stamp
 from lossmill.sinks import ledger, tables
-from lossmill.sources.delimited import FILE_ENCODING, read_delimited, require_periods
+from lossmill.sources.delimited import CORRUPT, FILE_ENCODING, read_delimited
 from lossmill.sources.tables import read_period
 
 
@@ -42,7 +42,9 @@ class Settings:
     rules: tuple[quality.Rule, ...] = quality.RULES
     compact: bool = False  # one more shuffle of silver for fewer, evenly sized files
     may_be_empty: tuple[str, ...] = ()  # periods whose files may have no rows: they are cleared
+    quarantine_lines: bool = False  # keep lines of too few or too many fields out of bronze
     repeated_claim_keys: bool = False  # a join that can split a hot, repeated claim key
+    hot_claim_share: float | None = 0.02  # claim keys with more of all claims are dealt in parts
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     @property
@@ -55,8 +57,9 @@ class Settings:
         return quality.PERIOD_NULL in self.rules
 
     def path(self, table: str) -> str:
-        """``bronze/premium``, ``bronze/claim``, ``silver``, ``gold/by_region``,
-        ``gold/by_coverage``, ``gold/alerts``, ``gold/summary`` or ``ledger``."""
+        """``bronze/premium``, ``bronze/claim``, ``bronze/premium_lines``, ``bronze/claim_lines``,
+        ``silver``, ``gold/by_region``, ``gold/by_coverage``, ``gold/alerts``, ``gold/summary`` or
+        ``ledger``."""
         return f"{self.base.rstrip('/')}/{table}"
 
 
@@ -76,6 +79,8 @@ def read_tagged(spark: SparkSession, run: Settings) -> DataFrame:
 def stored_layers(spark: SparkSession, run: Settings) -> dict[str, DataFrame]:
     """The bronze and silver tables of a run, its periods only."""
     bronze = {"premium": schemas.BRONZE_PREMIUM, "claim": schemas.BRONZE_CLAIM}
+    if run.quarantine_lines:
+        bronze |= {"premium_lines": schemas.PREMIUM_LINES, "claim_lines": schemas.CLAIM_LINES}
     return {
         f"bronze_{name}": read_period(spark, run.path(f"bronze/{name}"), schema, run.stored_periods)
         for name, schema in bronze.items()
@@ -93,42 +98,96 @@ def _together(spark: SparkSession, actions: Sequence[Callable[[], T]]) -> list[T
 
 
 @dataclass(frozen=True)
-class _Written:
-    """Rows sent in one pass, and the stored tables they went to."""
+class _Write:
+    """Staged partitions, and the table each outcome of them is entered under in the ledger."""
 
-    rows_sent: int
-    stored: Mapping[str, DataFrame]
+    staged: tables.Staged
+    names: Mapping[str | None, str]
 
+    def rows_of(self, counts: Mapping[tuple, int], name: str) -> dict[str | None, int]:
+        """Rows per period of one table."""
+        own = {outcome for outcome, table in self.names.items() if table == name}
+        return {p[-1]: n for p, n in counts.items() if (p[0] if len(p) > 1 else None) in own}
 
-def _store(
+
+def _staged(spark: SparkSession, actions: Sequence[Callable[[], _Write]]) -> list[_Write]:
+    """Stage several tables at the same time; if one fails, what the others staged goes."""
+
+    def attempt(action: Callable[[], _Write]) -> _Write | Exception:
+        try:
+            return action()
+        except Exception as fault:
+            return fault
+
+    done = _together(spark, [partial(attempt, action) for action in actions])
+    faults = [x for x in done if isinstance(x, Exception)]
+    if faults:
+        _discard([x for x in done if isinstance(x, _Write)])
+        raise faults[0]
+    return done
+
+
+def _discard(writes: Sequence[_Write]) -> None:
+    for write in writes:
+        write.staged.discard()
+
+
+def _commit(
     spark: SparkSession,
     run: Settings,
-    table: str,
-    df: DataFrame,
-    schema: StructType,
-    periods: Sequence[str | None] | None = None,
-) -> _Written:
-    path, periods = run.path(table), periods or run.periods
-    rows = tables.replace_periods(df.select(*schema.names), path, periods)
-    return _Written(rows, {table: read_period(spark, path, schema, periods)})
-
-
-def _record(spark: SparkSession, run: Settings, writes: Sequence[_Written]) -> None:
-    """Compare the rows sent with the rows stored, then enter the tables in the ledger."""
-    counted = tables.reconcile({k: v for w in writes for k, v in w.stored.items()}).collect()
-    counts = {(row["layer"], row["period"]): row["row_count"] for row in counted}
-    entries = []
-    for write in writes:
-        rows_stored = sum(n for (name, _), n in counts.items() if name in write.stored)
-        if rows_stored != write.rows_sent:
-            names = ", ".join(write.stored)
-            raise RuntimeError(f"{names}: {write.rows_sent} row(s) sent, {rows_stored} stored")
-        entries += [
-            ledger.Entry(name, period, "replace", counts.get((name, period), 0), run.run_ts)
-            for name in write.stored
-            for period in run.periods
-        ]
-    ledger.append_ledger(spark, run.path("ledger"), entries)
+    writes: Sequence[_Write],
+    base: Mapping[str, int],
+    needed: Mapping[str, Sequence[str]] | None = None,
+) -> None:
+    """Swap the staged tables in and enter them in the ledger, or leave everything as it was.
+
+    Rows are counted where they are staged: as many as were sent, and some in every period that
+    ``needed`` names for a table. Then the next version of every table is claimed, which fails if
+    another writer has changed it since ``base``.
+    """
+    ledger_path = run.path("ledger")
+    try:
+        counted = _together(spark, [w.staged.counts for w in writes])
+        for write, counts in zip(writes, counted):
+            if sum(counts.values()) != write.staged.rows:
+                raise RuntimeError(
+                    f"{', '.join(write.names.values())}: {write.staged.rows} row(s) sent, "
+                    f"{sum(counts.values())} stored"
+                )
+            for name in write.names.values():
+                found = write.rows_of(counts, name)
+                short = {p: 0 for p in (needed or {}).get(name, ()) if not found.get(p)}
+                if short:
+                    raise ValueError(
+                        f"{name}: expected at least 1 row(s) per period, found {short}"
+                    )
+        versions = {
+            name: ledger.claim_version(spark, ledger_path, name, run.periods, base[name])
+            for write in writes
+            for name in write.names.values()
+        }
+    except Exception:
+        _discard(writes)
+        raise
+    _together(spark, [w.staged.swap for w in writes])
+    entries = [
+        ledger.Entry(
+            name,
+            period,
+            "replace",
+            write.rows_of(counts, name).get(period, 0),
+            run.run_ts,
+            versions[name],
+        )
+        for write, counts in zip(writes, counted)
+        for name in write.names.values()
+        for period in run.periods
+    ]
+    ledger.append_ledger(spark, ledger_path, entries)
+
+
+def _base(spark: SparkSession, run: Settings, names: Sequence[str]) -> dict[str, int]:
+    return ledger.current_versions(spark, run.path("ledger"), names)
 
 
 def ingest(
@@ -140,15 +199,28 @@ def ingest(
 ) -> None:
     """Files to bronze. One period per call, or many when files lie in ``period=`` directories.
 
-    Both sources need rows in every period of the run, or nothing is written at all; periods that
-    may be cleared are named in ``Settings.may_be_empty``. With the rule ``PERIOD_NULL`` rows
-    without a period come along, to be quarantined.
+    Each source is read once. Both need rows in every period of the run, or nothing is changed at
+    all; periods that may be cleared are named in ``Settings.may_be_empty``. With the rule
+    ``PERIOD_NULL`` rows without a period come along, to be quarantined. With
+    ``Settings.quarantine_lines`` lines with too few or too many fields go to tables of their own.
     """
     if not period_dirs and len(run.periods) != 1:
         raise ValueError("files without period directories hold exactly one period")
+    sources = {
+        "premium": (premium_path, schemas.PREMIUM_FILE, schemas.PREMIUM_LINES),
+        "claim": (claim_path, schemas.CLAIM_FILE, schemas.CLAIM_LINES),
+    }
 
-    def scan(path: str, schema: StructType) -> DataFrame:
-        raw = read_delimited(spark, path, schema, encoding=run.encoding, period_dirs=period_dirs)
+    def write(name: str) -> _Write:
+        path, file_schema, schema = sources[name]
+        raw = read_delimited(
+            spark,
+            path,
+            file_schema,
+            encoding=run.encoding,
+            period_dirs=period_dirs,
+            keep_corrupt=run.quarantine_lines,
+        )
         if period_dirs:
             wanted = F.col(schemas.PERIOD).isin(*run.periods)
             if run.null_periods:
@@ -156,27 +228,28 @@ def ingest(
             rows = stamp(raw, run.run_ts).where(wanted)
         else:
             rows = stamp(raw, run.run_ts, run.periods[0])
-        needed = [p for p in run.periods if p not in run.may_be_empty]
-        return require_periods(rows, needed, 1, path)
-
-    premium, claim = _together(
-        spark,
-        [
-            lambda: scan(premium_path, schemas.PREMIUM_FILE),
-            lambda: scan(claim_path, schemas.CLAIM_FILE),
-        ],
-    )
-    writes = _together(
-        spark,
-        [
-            partial(_store, spark, run, f"bronze/{name}", rows, schema, run.stored_periods)
-            for name, rows, schema in (
-                ("premium", premium, schemas.BRONZE_PREMIUM),
-                ("claim", claim, schemas.BRONZE_CLAIM),
-            )
-        ],
-    )
-    _record(spark, run, writes)
+        line = F.col(CORRUPT) if run.quarantine_lines else F.lit(None).cast("string")
+        rows = rows.withColumn(schemas.CORRUPT_LINE, line).select(*schema.names)
+        table, lines = run.path(f"bronze/{name}"), run.path(f"bronze/{name}_lines")
+        # Lines of an earlier run go even where they are not told apart any more.
+        staged = tables.stage_outcomes(
+            rows, table, run.stored_periods, schemas.CORRUPT_LINE, quarantine_path=lines
+        )
+        names = {tables.CLEAN: f"bronze/{name}"}
+        if run.quarantine_lines:
+            names[tables.QUARANTINED] = f"bronze/{name}_lines"
+        return _Write(staged, names)
+
+    base = _base(spark, run, [f"bronze/{n}{end}" for n in sources for end in ("", "_lines")])
+    writes = _staged(spark, [partial(write, name) for name in sources])
+    needed = [p for p in run.periods if p not in run.may_be_empty]
+    _commit(spark, run, writes, base, {f"bronze/{name}": needed for name in sources})
+
+
+def read_lines(spark: SparkSession, run: Settings, name: str) -> DataFrame:
+    """The quarantined lines of ``premium`` or ``claim``, with the fields that were read of them."""
+    schema = {"premium": schemas.PREMIUM_LINES, "claim": schemas.CLAIM_LINES}[name]
+    return read_period(spark, run.path(f"bronze/{name}_lines"), schema, run.stored_periods)
 
 
 def tagged_rows(
@@ -186,9 +259,12 @@ def tagged_rows(
     rules: Sequence[quality.Rule] = quality.RULES,
     alert_threshold: float = 2.0,
     repeated_claim_keys: bool = False,
+    hot: Sequence[silver.HotKey] = (),
 ) -> DataFrame:
     """Typed premium and claims to joined, named, tagged and flagged rows."""
-    joined = silver.join_claims(premium, claim, repeated_claim_keys=repeated_claim_keys)
+    joined = silver.join_claims(
+        premium, claim, repeated_claim_keys=repeated_claim_keys, hot=hot
+    )
     named = silver.enrich(joined, regions)
     return quality.flag(quality.tag(named, rules), [quality.high_ratio(alert_threshold)])
 
@@ -204,6 +280,9 @@ def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
         run.strict_numbers,
         keep_malformed=quality.CLAIM_MALFORMED in run.rules,
     )
+    hot = []
+    if run.hot_claim_share is not None and not run.repeated_claim_keys:
+        hot = silver.hot_claim_keys(claim, share=run.hot_claim_share)
     if quality.CLAIM_REPEATED in run.rules:
         claim = silver.with_claim_copies(claim)
     tagged = tagged_rows(
@@ -213,40 +292,52 @@ def refine(spark: SparkSession, run: Settings, regions: DataFrame) -> None:
         run.rules,
         run.alert_threshold,
         run.repeated_claim_keys,
+        hot,
     )
     ready = silver.processed(tagged, run.run_ts).select(*schemas.QUARANTINE.names)
-    rows = tables.replace_outcomes(
+    names = {outcome: f"silver/{outcome}" for outcome in (tables.CLEAN, tables.QUARANTINED)}
+    base = _base(spark, run, list(names.values()))
+    staged = tables.stage_outcomes(
         ready, run.path("silver"), run.stored_periods, rebalance=run.compact
     )
-    stored = {
-        f"silver/{outcome}": read_silver(spark, run, outcome)
-        for outcome in (tables.CLEAN, tables.QUARANTINED)
-    }
-    _record(spark, run, [_Written(rows, stored)])
+    _commit(spark, run, [_Write(staged, names)], base)
 
 
 def publish(spark: SparkSession, run: Settings) -> None:
     """Silver to the four marts.
 
-    Each mart scans the columns it needs and reduces them where they are read: what is shuffled
-    are a few rows per task, not silver. The alert list reads only rows above the threshold.
+    One scan reduces silver to totals per segment where it is read, and rolls these up to the grain
+    of every mart; the marts are projections of that. Only the alert list reads silver once more:
+    its rows above the threshold.
     """
     clean = read_silver(spark, run, tables.CLEAN)
     high, watch = run.loss_threshold, run.watch_threshold
     outputs = {
-        "gold/by_region": (marts.by_region(clean, high, watch), schemas.GOLD_BY_REGION),
-        "gold/by_coverage": (marts.by_coverage(clean), schemas.GOLD_BY_COVERAGE),
-        "gold/summary": (marts.summary(clean, high), schemas.GOLD_SUMMARY),
-        "gold/alerts": (marts.alerts(clean, high), schemas.GOLD_ALERTS),
+        "by_region": (schemas.GOLD_BY_REGION, lambda t: marts.region_mart(t, high, watch)),
+        "by_coverage": (schemas.GOLD_BY_COVERAGE, marts.coverage_mart),
+        "summary": (schemas.GOLD_SUMMARY, marts.summary_mart),
     }
-    writes = _together(
-        spark,
-        [
-            partial(_store, spark, run, name, silver.processed(mart, run.run_ts), schema)
-            for name, (mart, schema) in outputs.items()
-        ],
-    )
-    _record(spark, run, writes)
+    base = _base(spark, run, [f"gold/{name}" for name in (*outputs, "alerts")])
+
+    def write(name: str, mart: DataFrame, schema: StructType) -> _Write:
+        rows = silver.processed(mart, run.run_ts).select(*schema.names)
+        staged = tables.stage_periods(rows, run.path(f"gold/{name}"), run.periods)
+        return _Write(staged, {None: f"gold/{name}"})
+
+    totals = marts.rolled_up(marts.totals(clean, marts.SEGMENT, high))
+    by = (marts.GRAIN, schemas.PERIOD)
+    rolled = tables.stage(totals, run.path("gold/totals"), by, {})
+    try:
+        stored = spark.read.schema(totals.schema).parquet(rolled.folder)
+        actions = [
+            partial(write, name, mart(marts.of_grain(stored, name)), schema)
+            for name, (schema, mart) in outputs.items()
+        ]
+        actions.append(partial(write, "alerts", marts.alerts(clean, high), schemas.GOLD_ALERTS))
+        writes = _staged(spark, actions)
+    finally:
+        rolled.discard()
+    _commit(spark, run, writes, base)
 
 
 def run_all(

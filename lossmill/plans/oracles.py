@@ -167,6 +167,21 @@ def _profile(*columns: str) -> str:
     )
 
 
+# Lines of MACHINERY lack their last field, those of BUILDING have one more.
+_BROKEN = "coverage in ('MACHINERY', 'BUILDING')"
+
+
+def _line(*fields: str) -> str:
+    given = " || ';' || ".join(f"coalesce({f}, '')" for f in fields[:-1])
+    return f"""{given} || case when coverage = 'MACHINERY' then ''
+        else ';' || coalesce({fields[-1]}, '') || ';x' end"""
+
+
+_LINES = {
+    "premium": _line("region_code", "region_name", "coverage", "exposure", "premium", "avg_insured"),
+    "claim": _line("region_code", "region_name", "coverage", "claim_count", "claim_amount"),
+}
+
 _CORRECTED = """select * from raw_premium
     where not (period = '1997S1' and coverage = 'MACHINERY')"""
 
@@ -185,15 +200,36 @@ _BODIES = {
     "sink_roundtrip": "select * from typed_premium",
     "sink_replace_partition": _CORRECTED,
     "ledger_last_n": f"""
-        select table_name, period, 'replace' as operation, row_count from (
-            select 1 as run, 'premium' as table_name, period, count(*) as row_count
+        select table_name, period, 'replace' as operation, row_count, version from (
+            select 1 as run, 'premium' as table_name, period, count(*) as row_count,
+                cast(1 as bigint) as version
             from raw_premium group by period
             union all
-            select 2, 'premium', period, count(*) from ({_CORRECTED})
+            select 2, 'premium', period, count(*), 2 from ({_CORRECTED})
             where period = '1997S1' group by period
             union all
-            select 3, 'claim', period, count(*) from raw_claim group by period
+            select 3, 'claim', period, count(*), 1 from raw_claim group by period
         ) order by run desc, table_name, period desc limit 5""",
+    "bronze_malformed_lines": f"""
+        select 'premium' as source, period, region_code, coverage,
+            {_LINES['premium']} as corrupt_line from raw_premium where {_BROKEN}
+        union all
+        select 'claim', period, region_code, coverage, {_LINES['claim']}
+        from raw_claim where {_BROKEN}""",
+    "recon_malformed_lines": f"""
+        select * from (with premium_lines as (select * from raw_premium where {_BROKEN}),
+        claim_lines as (select * from raw_claim where {_BROKEN}),
+        silver as (select * from tagged where not ({_BROKEN}))
+        select layer, coverage, count(*) as row_count from (
+            select 'bronze_premium' as layer, coverage from raw_premium where not ({_BROKEN})
+            union all
+            select 'bronze_claim', coverage from raw_claim where not ({_BROKEN})
+            union all select 'bronze_premium_lines', coverage from premium_lines
+            union all select 'bronze_claim_lines', coverage from claim_lines
+            union all select 'silver_clean', coverage from silver where failure_reason is null
+            union all
+            select 'silver_quarantine', coverage from silver where failure_reason is not null
+        ) group by layer, coverage)""",
     "recon_layer_counts": _layer_counts(
         source_premium="raw_premium",
         source_claim="raw_claim",
@@ -223,6 +259,17 @@ _BODIES = {
     "risk_tier": f"""select period, region_code, coverage, loss_ratio, {_TIER} as risk_tier
         from clean""",
     "silver_join": "select * from joined",
+    "silver_join_hot": f"""
+        select *, {_ratio('claim_amount', 'premium')} as loss_ratio from (
+            select p.*, coalesce(c.claim_count, 0) as claim_count,
+                coalesce(c.claim_amount, 0.0) as claim_amount
+            from typed_premium p left join (
+                select claim_count, claim_amount,
+                    case when claim_count % 3 = 0 then '1996S1' else claim_period end as period,
+                    case when claim_count % 3 = 0 then '01' else claim_region_code end as code,
+                    case when claim_count % 3 = 0 then 'BUILDING' else claim_coverage end as kind
+                from typed_claim) c
+                on p.period = c.period and region_code = code and coverage = kind)""",
     "silver_enrich": "select * from named",
     "dq_unknown_region": """select period, region_code, coverage, premium from typed_premium
         where region_code is not null and region_code not in (select dim_code from region_dim)""",
@@ -270,6 +317,12 @@ _BODIES = {
             {_snap('max(loss_ratio)', 4)} as max_loss_ratio,
             {_snap('min(loss_ratio)', 4)} as min_loss_ratio
         from clean group by period""",
+    "gold_rollup": f"""
+        select case when grouping(region_code) = 0 then 'by_region'
+                when grouping(coverage) = 0 then 'by_coverage' else 'summary' end as grain,
+            region_code, region_name, coverage, period, {_TOTALS}, {_RATIO_OF_SUMS} as loss_ratio
+        from clean group by grouping sets
+            ((region_code, region_name, period), (coverage, period), (period))""",
     "distinct_regions": "select distinct region_code, region_name from raw_premium",
     "distinct_coverages": "select distinct coverage from clean",
     "count_distinct_regions": "select count(distinct region_code) as regions from clean",
@@ -292,6 +345,38 @@ _BODIES = {
                 lag(period) over (partition by region_code order by period) as previous_period,
                 lag(loss_ratio) over (partition by region_code order by period) as previous_ratio
             from by_region)""",
+    "calendar_trend": f"""
+        select * from (with kept as (select * from by_region where period <> '1995S2'),
+        numbers as (
+            select range as number from range(
+                (select min(cast(period[1:4] as integer) * 2 + cast(period[6:6] as integer) - 1)
+                    from kept),
+                (select max(cast(period[1:4] as integer) * 2 + cast(period[6:6] as integer))
+                    from kept))
+        ), spine as (
+            select region_code, region_name,
+                cast(number // 2 as varchar) || 'S' || cast(number % 2 + 1 as varchar) as period
+            from (select distinct region_code, region_name from kept), numbers
+        )
+        select *, {_snap('loss_ratio - previous_ratio', 4)} as ratio_change from (
+            select s.region_code, s.region_name, s.period, k.period is not null as reported,
+                loss_ratio,
+                lag(loss_ratio) over (partition by s.region_code order by s.period)
+                    as previous_ratio,
+                lag(loss_ratio, 2) over (partition by s.region_code order by s.period)
+                    as year_before_ratio
+            from spine s left join kept k using (region_code, period)))""",
+    "sketched_distinct": " union all ".join(
+        f"select '{c}' as column_name, count(distinct {c}) as n_distinct, true as within_bound from clean"
+        for c in ("region_code", "coverage", "premium", "claim_count")
+    ),
+    "distinct_to_date": """
+        select * from (with segments as (select claim_period as period,
+            concat_ws('|', claim_region_code, claim_coverage, claim_count) as segment
+            from typed_claim)
+        select p.period as to_period, count(distinct segment) as n_distinct
+        from (select distinct period from segments) p join segments s on s.period <= p.period
+        group by p.period)""",
     "exposure_weighted_ratio": f"""select region_code, region_name, period,
             {_snap(_sum('loss_ratio * exposure') + ' / '
                 + _sum('case when loss_ratio is not null then exposure end'), 4)} as weighted_ratio

@@ -32,6 +32,11 @@ REGION_FILE = _struct(code=_S, name=_S)
 _STAMP = _struct(period=_S, ingested_at=_T, source_file=_S)
 BRONZE_PREMIUM = StructType(PREMIUM_FILE.fields + _STAMP.fields)
 BRONZE_CLAIM = StructType(CLAIM_FILE.fields + _STAMP.fields)
+# Lines with too few or too many fields: what was read of them, and the line as it was.
+CORRUPT_LINE = "corrupt_line"
+_LINE = [StructField(CORRUPT_LINE, _S, True)]
+PREMIUM_LINES = StructType(BRONZE_PREMIUM.fields + _LINE)
+CLAIM_LINES = StructType(BRONZE_CLAIM.fields + _LINE)
 
 SILVER = _struct(
     region_code=_S,
@@ -98,7 +103,9 @@ GOLD_SUMMARY = _struct(
     min_loss_ratio=_D,
     processed_at=_T,
 )
-LEDGER = _struct(table_name=_S, period=_S, operation=_S, row_count=_L, run_ts=_T)
+LEDGER = _struct(
+    table_name=_S, period=_S, operation=_S, row_count=_L, run_ts=_T, version=_L
+)
 
 # The column names of the published source files and of tables already built on
 # them, per table. `operators.naming` maps between these and the names used here.

@@ -1,9 +1,16 @@
-"""Idempotent replacement of the periods of a Parquet table."""
+"""Idempotent replacement of the periods of a Parquet table.
+
+New partitions are written to a hidden folder beside the table, where their rows are counted. Only
+then are they swapped in, folder by folder, or discarded. So a write that fails, or turns out not to
+have what it should, leaves the stored rows as they were.
+"""
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,15 +19,19 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lossmill.operators.quality import REASON
 from lossmill.schemas import PERIOD
-from lossmill.sources.tables import NULL_FOLDER, in_periods, read_period
+from lossmill.sinks.files import Files
+from lossmill.sources.tables import NULL_FOLDER, read_period
 
 OUTCOME = "outcome"
 CLEAN, QUARANTINED = "clean", "quarantine"
 
 _PERIOD_NAME = re.compile(r"[A-Za-z0-9._-]+")
 
+Partition = tuple[str | None, ...]
+
 
-def _named(periods: Iterable[str | None]) -> list[str | None]:
+def named_periods(periods: Iterable[str | None]) -> list[str | None]:
+    """The periods in order, once each; a name that is no folder name is an error."""
     wanted = sorted(set(periods), key=lambda p: (p is None, p))
     if not wanted:
         raise ValueError("no period given")
@@ -45,46 +56,127 @@ def _only(df: DataFrame, wanted: list[str | None]) -> DataFrame:
     return df.withColumn(PERIOD, F.when(period.isin(*named) | none, period).otherwise(foreign))
 
 
-def _replace(
-    df: DataFrame, path: str, by: Sequence[str], expected: set[tuple[str, ...]], rebalance: bool
-) -> int:
-    """Make the ``expected`` partitions equal to ``df``; returns its row count.
+def _folder(by: Sequence[str], partition: Partition) -> str:
+    return "/".join(f"{c}={NULL_FOLDER if v is None else v}" for c, v in zip(by, partition))
+
 
-    Dynamic overwrite stages the files and swaps them in when the job commits, so a job that fails
-    leaves the stored partitions as they were. Rows and partitions are observed in the same pass.
+@dataclass(frozen=True)
+class Staged:
+    """Partitions that are written, but not part of their table yet.
+
+    ``targets`` names the folder of every partition that is replaced, also of those without rows.
     """
+
+    spark: SparkSession
+    folder: str
+    by: tuple[str, ...]
+    targets: Mapping[Partition, str]
+    rows: int
+    partitions: frozenset[Partition]
+    made: tuple[str, ...]  # parent folders that were not there before
+
+    def read(self) -> DataFrame:
+        """The partition columns of the staged rows; counting them reads file footers only."""
+        keys = StructType([StructField(c, StringType(), True) for c in self.by])
+        return self.spark.read.schema(keys).parquet(self.folder)
+
+    def counts(self) -> dict[Partition, int]:
+        """Staged rows of every partition, zero for one without."""
+        found = self.read().groupBy(*self.by).agg(F.count(F.lit(1))).collect()
+        return dict.fromkeys(self.targets, 0) | {tuple(r)[:-1]: r[-1] for r in found}
+
+    def swap(self) -> int:
+        """Put the partitions in the place of the stored ones; returns the rows written.
+
+        Stored folders are moved aside before theirs are filled anew, and deleted at the end. A
+        run that died in between has no ledger entry and is repeated.
+        """
+        files = Files(self.spark)
+        for number, (partition, target) in enumerate(self.targets.items()):
+            if files.exists(target):
+                files.move(target, f"{self.folder}/_old/{number}")
+            if partition in self.partitions:
+                files.move(f"{self.folder}/{_folder(self.by, partition)}", target)
+        files.delete(self.folder)
+        return self.rows
+
+    def discard(self) -> None:
+        """Leave everything as it was before."""
+        files = Files(self.spark)
+        files.delete(self.folder)
+        for folder in self.made:
+            if not files.names(folder):
+                files.delete(folder)
+
+
+def stage(
+    df: DataFrame,
+    path: str,
+    by: Sequence[str],
+    targets: Mapping[Partition, str],
+    rebalance: bool = False,
+) -> Staged:
+    """Write ``df`` beside the table at ``path``. Rows and partitions are observed in the same
+    pass. A job that fails leaves nothing behind."""
     if rebalance:
         # Few, evenly sized files: a hot partition is split among tasks, small ones are joined.
         df = df.hint("rebalance", *(F.col(c) for c in by))
+    spark, path = df.sparkSession, path.rstrip("/")
+    files = Files(spark)
+    folder = f"{path}/.staging-{uuid.uuid4().hex}"
+    made = tuple(files.missing_above(folder))
     seen = Observation()
     observed = df.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.collect_set(F.struct(*by)).alias("partitions"),
     )
-    writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*by).parquet(path)
+    try:
+        observed.write.partitionBy(*by).parquet(folder)
+    except Exception:
+        Staged(spark, folder, tuple(by), targets, 0, frozenset(), made).discard()
+        raise
     metrics = seen.get
-    missing = expected - {tuple(row) for row in metrics["partitions"]}
-    if missing:
-        _empty(df, path, by, missing)
-    return metrics["rows"]
+    partitions = frozenset(tuple(row) for row in metrics["partitions"])
+    return Staged(spark, folder, tuple(by), targets, metrics["rows"], partitions, made)
 
 
-def _empty(df: DataFrame, path: str, by: Sequence[str], missing: set[tuple[str, ...]]) -> None:
-    """Take the rows out of the given partitions: dynamic overwrite keeps what it has no rows for.
-
-    Which of them hold rows is found from file footers, since no column but ``by`` is read.
+def stage_periods(
+    df: DataFrame, path: str, periods: Iterable[str | None], rebalance: bool = False
+) -> Staged:
+    """Stage the rows of the given periods of the table at ``path``."""
+    wanted = named_periods(periods)
+    base = path.rstrip("/")
+    targets = {(p,): f"{base}/{_folder([PERIOD], (p,))}" for p in wanted}
+    return stage(_only(df, wanted), path, [PERIOD], targets, rebalance)
+
+
+def stage_outcomes(
+    df: DataFrame,
+    path: str,
+    periods: Iterable[str | None],
+    failed: str = REASON,
+    quarantine_path: str | None = None,
+    rebalance: bool = False,
+) -> Staged:
+    """Stage clean and quarantined rows, those where ``failed`` is not null, in one pass.
+
+    Both go under ``path`` in folders of their outcome, or to two tables of their own where
+    ``quarantine_path`` is given.
     """
-    keys = StructType([StructField(c, StringType(), True) for c in by])
-    inner = StructType([f for f in df.schema.fields if f.name not in by])
-    stored = df.sparkSession.read.schema(keys).parquet(path)
-    periods = {partition[by.index(PERIOD)] for partition in missing}
-    for row in stored.where(in_periods(periods)).distinct().collect():
-        if tuple(row) in missing:
-            folder = "/".join(f"{c}={NULL_FOLDER if row[c] is None else row[c]}" for c in by)
-            empty = df.sparkSession.createDataFrame([], inner)
-            empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
+    wanted = named_periods(periods)
+    outcome = F.when(F.col(failed).isNull(), CLEAN).otherwise(QUARANTINED)
+    routed = _only(df, wanted).withColumn(OUTCOME, outcome)
+    targets = {}
+    for name in (CLEAN, QUARANTINED):
+        for period in wanted:
+            if quarantine_path is None:
+                folder = f"{path.rstrip('/')}/{_folder([OUTCOME, PERIOD], (name, period))}"
+            else:
+                base = path if name == CLEAN else quarantine_path
+                folder = f"{base.rstrip('/')}/{_folder([PERIOD], (period,))}"
+            targets[name, period] = folder
+    return stage(routed, path, [OUTCOME, PERIOD], targets, rebalance)
 
 
 def replace_periods(
@@ -99,9 +191,7 @@ def replace_periods(
     A scan of period directories keeps periods apart, so its tasks write few files each. Set
     ``rebalance`` when several periods come out of a shuffle that mixed them; it costs one more.
     """
-    wanted = _named(periods)
-    expected = {(period,) for period in wanted}
-    return _replace(_only(df, wanted), path, [PERIOD], expected, rebalance)
+    return stage_periods(df, path, periods, rebalance).swap()
 
 
 def replace_period(df: DataFrame, path: str, period: str) -> int:
@@ -116,11 +206,7 @@ def replace_outcomes(
     Both lie under ``path``, see ``read_outcome``. The tagged rows are computed once, without a
     cache. A period that no longer has failures loses the failures of its earlier run.
     """
-    wanted = _named(periods)
-    outcome = F.when(F.col(REASON).isNull(), CLEAN).otherwise(QUARANTINED)
-    routed = _only(tagged, wanted).withColumn(OUTCOME, outcome)
-    expected = {(name, period) for name in (CLEAN, QUARANTINED) for period in wanted}
-    return _replace(routed, path, [OUTCOME, PERIOD], expected, rebalance)
+    return stage_outcomes(tagged, path, periods, rebalance=rebalance).swap()
 
 
 def read_outcome(
