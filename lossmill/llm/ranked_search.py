@@ -45,7 +45,7 @@ _TERMS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 _IN_TERM = np.array([b > 127 or chr(b).isalnum() for b in range(256)])
 #: How many of a node's quadrants, given by its bits, come before a quadrant.
 _BELOW = np.array([[(m & (1 << q) - 1).bit_count() for q in range(4)] for m in range(16)], np.int32)
-_COUNT = np.array([m.bit_count() for m in range(16)], np.int32)
+_COUNT = np.array([m.bit_count() for m in range(16)], np.uint8)
 
 
 def terms(text: bytes | None) -> list[bytes]:
@@ -108,15 +108,15 @@ def quadtree(rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> list[
 
 def _narrow(numbers: np.ndarray) -> bytes:
     """A byte for the width, then the numbers in as few bytes each as the largest needs."""
-    for kind in (np.uint8, np.uint16, np.uint32):
+    for kind in (np.uint8, np.uint16, np.int32):
         if numbers.max() <= np.iinfo(kind).max:
             return bytes([np.dtype(kind).itemsize]) + numbers.astype(kind).tobytes()
-    raise ValueError("impacts are below 2 ** 32")
+    raise ValueError("impacts are below 2 ** 31")
 
 
 def _wide(data: bytes) -> np.ndarray:
-    kind = {1: np.uint8, 2: np.uint16, 4: np.uint32}[data[0]]
-    return np.frombuffer(data, kind, offset=1).astype(np.int64)
+    kind = {1: np.uint8, 2: np.uint16, 4: np.int32}[data[0]]
+    return np.frombuffer(data, kind, offset=1).astype(np.int32)
 
 
 class Treap:
@@ -125,7 +125,7 @@ class Treap:
     def __init__(self, masks: list[bytes], steps: list[bytes], ids: list, row_terms: pa.Array):
         self.ids, self.terms, self.height = ids, row_terms, len(steps) - 1
         maxima = _wide(steps[0])
-        all_masks, all_maxima = [np.zeros(1, np.uint8)], [np.zeros(1, np.int64), maxima]
+        all_masks, all_maxima = [np.zeros(1, np.uint8)], [np.zeros(1, np.int32), maxima]
         for packed, step in zip(masks, steps[1:]):
             pairs = np.frombuffer(packed, np.uint8)
             mask = np.stack([pairs & 15, pairs >> 4], axis=1).ravel()[: len(maxima)]
@@ -136,13 +136,16 @@ class Treap:
         self.masks = np.concatenate(all_masks)
         self.maxima = np.concatenate(all_maxima)
         # The root is node 1; children follow in the order of their parents.
-        self.first = np.cumsum(_COUNT[self.masks], dtype=np.int64) - _COUNT[self.masks] + 2
+        counts = _COUNT[self.masks]
+        self.first = np.cumsum(counts, dtype=np.int32)
+        self.first -= counts
+        self.first += 2
 
     def search(self, rows: np.ndarray, weights: np.ndarray, best: list[tuple], k: int) -> None:
         """Put into ``best``, sorted and of ``k`` at most, the documents that belong there: tuples
         of the negative score and the id as ``_order`` has it."""
-        nodes = np.ones(len(rows), np.int64)
-        heap = [(-int(weights.sum() * self.maxima[1]), 0, self.height, nodes)]
+        nodes = np.ones(len(rows), np.int32)
+        heap = [(-int(weights.sum()) * int(self.maxima[1]), 0, self.height, nodes)]
         while heap:
             batch = []
             while heap and len(batch) < _BATCH:
@@ -237,7 +240,7 @@ class _Rows:
         self.seen.append(
             np.fromiter((numbers.setdefault(t, len(numbers)) for t in counts), np.int32, n)
         )
-        self.tfs.append(np.fromiter(counts.values(), np.int64, n))
+        self.tfs.append(np.fromiter(counts.values(), np.int32, n))
         self.cells += n
 
 
@@ -268,13 +271,13 @@ def _block(rows: _Rows, n_docs: int, n_terms: int, kind) -> pa.RecordBatch:
     seen = np.concatenate([rows.seen[k] for k in order])
     tfs = np.concatenate([rows.tfs[k] for k in order])
     sizes = [len(rows.tfs[k]) for k in order]
-    lengths = np.array([rows.tfs[k].sum() for k in order])
+    lengths = np.array([rows.tfs[k].sum(dtype=np.int64) for k in order])
     dfs = np.bincount(seen)
     by_df = np.argsort(-dfs, kind="stable")
     row = np.empty(len(dfs), np.int64)
     row[by_df] = np.arange(len(dfs))
     columns = np.repeat(np.arange(len(order)), sizes)
-    values = impact(tfs, np.repeat(lengths, sizes), n_docs, n_terms)
+    values = impact(tfs.astype(np.int64), np.repeat(lengths, sizes), n_docs, n_terms)
     levels = quadtree(row[seen], columns, values)
     masks = []
     for mask, _ in levels[:-1]:
