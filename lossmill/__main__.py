@@ -41,6 +41,15 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--compact", action="store_true", help="fewer, evenly sized silver files")
     parser.add_argument("--may-be-empty", metavar="PERIOD", action="append", default=[])
     parser.add_argument("--repeated-claim-keys", action="store_true")
+    parser.add_argument(
+        "--hot-claim-share",
+        type=float,
+        default=run.hot_claim_share,
+        help="claim keys with more of all claims are joined in parts; 0 looks for none",
+    )
+    parser.add_argument(
+        "--quarantine-lines", action="store_true", help="keep malformed lines out of bronze"
+    )
     given = parser.parse_args(argv)
     needed = {"ingest": ("premium", "claim"), "refine": ("regions",), "publish": ()}
     steps = needed if given.step == "all" else (given.step,)
@@ -63,6 +72,8 @@ def _settings(given: argparse.Namespace) -> medallion.Settings:
         compact=given.compact,
         may_be_empty=tuple(given.may_be_empty),
         repeated_claim_keys=given.repeated_claim_keys,
+        hot_claim_share=given.hot_claim_share or None,
+        quarantine_lines=given.quarantine_lines,
     )
 
 
@@ -92,6 +103,8 @@ def ingest_reports(
             spark, run.path(f"bronze/{name}"), schema, run.periods
         )
         found[f"{name} coverages"] = marts.frequency(layers[f"bronze_{name}"], "coverage")
+        if run.quarantine_lines:
+            layers[f"bronze_{name}_lines"] = medallion.read_lines(spark, run, name)
     regions = marts.distinct_rows(layers["bronze_premium"], ["region_code", "region_name"])
     return {"source and written rows": reconcile(layers)} | found | {"regions": regions}
 

@@ -31,8 +31,10 @@ class Files:
     def move(self, source: str, target: str) -> None:
         """Rename a folder to a path where nothing is."""
         fs, new = self._at(target)
-        fs.mkdirs(new.getParent())
         _, old = self._at(source)
+        if not fs.exists(old) or fs.exists(new):
+            raise OSError(f"cannot move {source} to {target}")
+        fs.mkdirs(new.getParent())
         if not fs.rename(old, new):
             raise OSError(f"cannot move {source} to {target}")
 

@@ -97,6 +97,8 @@ class Staged:
                 files.move(target, f"{self.folder}/_old/{number}")
             if partition in self.partitions:
                 files.move(f"{self.folder}/{_folder(self.by, partition)}", target)
+            else:  # a table without rows can be read
+                files.make(target.rpartition("/")[0])
         files.delete(self.folder)
         return self.rows
 

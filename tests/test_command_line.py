@@ -35,3 +35,16 @@ def test_options_reach_the_settings(spark, folder):
     assert run.strict_numbers and run.compact and run.repeated_claim_keys
     assert [r.code for r in run.rules[-2:]] == ["claim_repeated", "period_null"]
     assert run.may_be_empty == ("p",) and run.null_periods
+    assert run.hot_claim_share == 0.02 and not run.quarantine_lines
+
+
+def test_malformed_lines_and_hot_keys_are_options(spark, folder, capsys):
+    paths = write_sample(folder)
+    with open(paths["claim"], "a", encoding="ISO-8859-1") as f:
+        f.write("38;too short\n")
+    files = ["--premium", paths["premium"], "--claim", paths["claim"], "--regions", paths["region"]]
+    options = ["--quarantine-lines", "--hot-claim-share", "0"]
+    main(["all", "--base", f"{folder}/layers", "--period", PERIOD, *files, *options])
+    assert "bronze_claim_lines" in capsys.readouterr().out
+    given = _arguments(["publish", "--base", "b", "--period", "p", *options])
+    assert _settings(given).hot_claim_share is None and _settings(given).quarantine_lines

@@ -1,0 +1,84 @@
+"""Claim keys that very many rows share, found and joined in parts."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from lossmill.operators import marts, silver
+from tests.conftest import NO_BROADCAST, rows
+
+
+@pytest.fixture
+def frames(spark):
+    premium = spark.range(300).selectExpr(
+        "cast(id % 100 as string) as region_code", "'APP' as coverage",
+        "concat('2019S', id div 200 + 1) as period", "cast(id as double) as premium",
+    )
+    nobody = premium.limit(2).withColumn("region_code", F.lit(None).cast("string"))
+    hot = F.when(F.col("id") % 3 == 0, "7").otherwise((F.col("id") % 150).cast("string"))
+    claim = spark.range(3000).select(
+        hot.alias("claim_region_code"), F.lit("APP").alias("claim_coverage"),
+        F.lit("2019S1").alias("claim_period"), F.lit(1).cast("long").alias("claim_count"),
+        F.lit(2.5).alias("claim_amount"), F.lit(None).cast("timestamp").alias("claim_ingested_at"),
+    )
+    claim = claim.withColumn(
+        "claim_coverage", F.when(F.col("claim_region_code") == "8", None).otherwise("APP")
+    )
+    return premium.unionByName(nobody), claim
+
+
+def test_the_hot_key_is_found(frames):
+    (found,) = silver.hot_claim_keys(frames[1])
+    assert '"7"' in found.key and 16 <= found.parts <= 18
+    assert silver.hot_claim_keys(frames[1], share=0.5) == []
+    assert len(silver.hot_claim_keys(frames[1], share=0.004)) == 99  # a null key is none
+    assert silver.hot_claim_keys(frames[1].limit(0)) == []
+    with pytest.raises(ValueError, match="share"):
+        silver.hot_claim_keys(frames[1], share=0)
+
+
+@pytest.mark.parametrize("share", [0.02, 0.004])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_rows_are_those_of_the_plain_join(session_conf, frames, share, broadcast):
+    if not broadcast:
+        session_conf(NO_BROADCAST)
+    premium, claim = frames
+    hot = silver.hot_claim_keys(claim, share=share)
+    got = silver.join_claims(premium, claim, hot=hot)
+    expected = silver.join_claims(premium, claim)
+    assert got.columns == expected.columns
+    assert sorted(rows(got), key=str) == sorted(rows(expected), key=str)
+    assert got.count() > 3000
+
+
+def test_the_hot_key_is_read_by_several_tasks(session_conf, frames):
+    session_conf(NO_BROADCAST | {"spark.sql.adaptive.enabled": "false"})
+    premium, claim = frames
+
+    def tasks(df):
+        own = df.where("region_code = '7' and period = '2019S1'")
+        return own.select(F.spark_partition_id()).distinct().count()
+
+    assert tasks(silver.join_claims(premium, claim)) == 1
+    assert tasks(silver.join_claims(premium, claim, hot=silver.hot_claim_keys(claim))) > 2
+
+
+def test_grains_of_one_aggregation_are_those_of_three(spark):
+    rows_ = spark.range(500).selectExpr(
+        "if(id % 11 = 0, null, cast(id % 5 as string)) as region_code",
+        "if(id % 7 = 0, null, concat('n', id % 5)) as region_name",
+        "if(id % 13 = 0, null, cast(id % 3 as string)) as coverage", "concat('p', id % 2) as period",
+        "id / 8 as premium", "id / 16 as claim_amount", "1.5 as exposure", "id * 0.1 as avg_insured",
+    )
+    silver_rows = silver.add_loss_ratio(rows_.selectExpr("*", "cast(null as double) as nothing"))
+    silver_rows = silver_rows.withColumn("exposure", F.col("exposure").cast("double"))
+    rolled = marts.rolled_up(marts.totals(silver_rows, marts.SEGMENT))
+    for name, mart, plain in (
+        ("by_region", marts.region_mart, marts.by_region),
+        ("by_coverage", marts.coverage_mart, marts.by_coverage),
+        ("summary", marts.summary_mart, marts.summary),
+    ):
+        got, expected = mart(marts.of_grain(rolled, name)), plain(silver_rows)
+        assert got.columns == expected.columns
+        assert sorted(rows(got), key=str) == sorted(rows(expected), key=str)
