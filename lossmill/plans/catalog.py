@@ -16,7 +16,7 @@ from lossmill.operators.bronze import stamp
 from lossmill.plans import medallion
 from lossmill.sinks import append_ledger, last_operations, reconcile, scratch_path
 from lossmill.sinks.ledger import Entry
-from lossmill.sinks.tables import period_counts, replace_period, replace_periods
+from lossmill.sinks.tables import CLEAN, period_counts, replace_period, replace_periods
 from lossmill.sources import (
     read_delimited,
     read_period,
@@ -345,6 +345,16 @@ def dq_claim_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _failing(tables, quality.CLAIM_REPEATED, silver.with_claim_copies(_claim(tables)))
 
 
+def dq_period_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one coverage lose their period: they match no claim and are quarantined for it."""
+    tables = Star(spark, sf_dir)
+    period = F.when(F.col("coverage") != "FURNITURE", F.col("period"))
+    premium = _premium(tables).withColumn("period", period)
+    rules = (quality.PERIOD_NULL, *quality.RULES)
+    tagged = medallion.tagged_rows(premium, _claim(tables), _regions(tables), rules)
+    return quality.split(tagged)[1].select(*KEYS, "premium", "claim_amount", quality.REASON)
+
+
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_tagged(Star(spark, sf_dir)))
 
@@ -374,6 +384,38 @@ def gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.summary(_clean(Star(spark, sf_dir)))
 
 
+def silver_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows with the instant of their run."""
+    run_ts = datetime(2021, 3, 4, 5, 6, 7, tzinfo=timezone.utc)
+    rows = silver.processed(_clean(Star(spark, sf_dir)), run_ts)
+    instant = F.unix_timestamp("processed_at").alias("processed_second")
+    return rows.select(*KEYS, "loss_ratio", instant)
+
+
+def gold_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to marts with thresholds and periods other than the default ones."""
+    tables = Star(spark, sf_dir)
+    premium = write_files(tables.premium, scratch_path(spark, "premium-files"))
+    claim = write_files(tables.claim, scratch_path(spark, "claim-files"))
+    run = medallion.Settings(
+        scratch_path(spark, "parameter-layers"),
+        SCANNED_PERIODS,
+        loss_threshold=0.8,
+        watch_threshold=0.6,
+        alert_threshold=0.9,
+    )
+    medallion.run_all(spark, run, premium, claim, _regions(tables), period_dirs=True)
+    silver_rows = medallion.read_silver(spark, run, CLEAN).groupBy("period")
+    silver_rows = silver_rows.agg(F.count_if("high_ratio_alert").alias("alerted_rows"))
+    tiers = read_table(spark, run.path("gold/by_region"), schemas.GOLD_BY_REGION)
+    tiers = tiers.groupBy("period").agg(
+        *(F.count_if(F.col("risk_tier") == t).alias(t.lower()) for t in ("HIGH", "WATCH", "HEALTHY"))
+    )
+    total = read_table(spark, run.path("gold/summary"), schemas.GOLD_SUMMARY)
+    total = total.select("period", "loss_making_segments")
+    return total.join(tiers, "period").join(silver_rows, "period")
+
+
 def gold_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sums of three marts out of one scan and one aggregation by segment."""
     totals = marts.totals(_clean(Star(spark, sf_dir)), marts.SEGMENT)
@@ -517,6 +559,7 @@ QUERIES: dict[str, Query] = {
     "dq_alert_threshold": dq_alert_threshold,
     "dq_claim_malformed": dq_claim_malformed,
     "dq_claim_repeated": dq_claim_repeated,
+    "dq_period_null": dq_period_null,
     "dq_report": dq_report,
     "dq_breakdown": dq_breakdown,
     "gold_by_region": gold_by_region,
@@ -524,6 +567,8 @@ QUERIES: dict[str, Query] = {
     "gold_alerts": gold_alerts,
     "gold_summary": gold_summary,
     "gold_rollup": gold_rollup,
+    "gold_parameters": gold_parameters,
+    "silver_processed": silver_processed,
     "distinct_regions": distinct_regions,
     "distinct_coverages": distinct_coverages,
     "count_distinct_regions": count_distinct_regions,

@@ -293,6 +293,11 @@ _BODIES = {
         from filled join (select period, region_code, coverage from raw_claim
             group by period, region_code, coverage having count(*) > 1)
             using (period, region_code, coverage)""",
+    "dq_period_null": """
+        select if(coverage = 'FURNITURE', null, period) as period, region_code, coverage, premium,
+            if(coverage = 'FURNITURE', 0.0, claim_amount) as claim_amount,
+            if(coverage = 'FURNITURE', 'period_null', failure_reason) as failure_reason
+        from tagged where coverage = 'FURNITURE' or failure_reason is not null""",
     "dq_report": f"""select count(*) as total_rows,
         count(*) - count(failure_reason) as clean_rows, count(failure_reason) as quarantined_rows,
         coalesce({_snap('(count(*) - count(failure_reason)) * 100.0 / nullif(count(*), 0)', 1)},
@@ -317,6 +322,20 @@ _BODIES = {
             {_snap('max(loss_ratio)', 4)} as max_loss_ratio,
             {_snap('min(loss_ratio)', 4)} as min_loss_ratio
         from clean group by period""",
+    "silver_processed": """select period, region_code, coverage, loss_ratio,
+            cast(epoch(timestamp '2021-03-04 05:06:07') as bigint) as processed_second
+        from clean""",
+    "gold_parameters": """
+        select period, loss_making_segments, high, watch, healthy, alerted_rows from (
+            select period, count(*) filter (where loss_ratio > 0.8) as loss_making_segments,
+                count(*) filter (where loss_ratio > 0.9) as alerted_rows
+            from clean group by period)
+        join (
+            select period, count(*) filter (where loss_ratio > 0.8) as high,
+                count(*) filter (where loss_ratio > 0.6 and loss_ratio <= 0.8) as watch,
+                count(*) filter (where loss_ratio is null or loss_ratio <= 0.6) as healthy
+            from by_region group by period) using (period)
+        where period in ('1996S1', '1998S2')""",
     "gold_rollup": f"""
         select case when grouping(region_code) = 0 then 'by_region'
                 when grouping(coverage) = 0 then 'by_coverage' else 'summary' end as grain,
