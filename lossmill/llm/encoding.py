@@ -12,7 +12,8 @@ import re
 
 import numpy as np
 
-_CACHED_CHUNKS = 1_000_000
+#: Chunks of a generation; two generations are kept, some 200 bytes a chunk.
+_CACHED_CHUNKS = 500_000
 _CACHED_CHARS = 64
 _ID = "<u4"
 
@@ -59,19 +60,24 @@ class Encoder:
         found = self._tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(found, _ID).tobytes()
 
+    def forget(self) -> None:
+        """Nothing is kept from text to text."""
+
 
 class WordEncoder(dict):
     """The same for tokenizers with the normalizer and pre-tokenizer above.
 
-    A text is cut at spaces and line ends, and the ids of the chunks are kept. Letters at the
-    beginning of a chunk are one word for the model if they are of Latin-1, whose composed form
-    they are already; whatever else there is goes to the tokenizer.
+    A text is cut at spaces and line ends, and the ids of the chunks are kept. When they are too
+    many, the dictionary begins anew and chunks that come again are taken from the one before.
+    Letters at the beginning of a chunk are one word for the model if they are of Latin-1, whose
+    composed form they are already; whatever else there is goes to the tokenizer.
     """
 
     _head = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]++(?![^\x00-\x7f])").match
 
     def __init__(self, tokenizer):
         super().__init__({"": b""})
+        self._before: dict[str, bytes] = {}
         self._tokenizer = tokenizer
         self._tokenize = tokenizer.model.tokenize
         self._of_id = [np.array([k], _ID).tobytes() for k in range(tokenizer.get_vocab_size())]
@@ -79,11 +85,27 @@ class WordEncoder(dict):
 
     def encode(self, text: str) -> bytes:
         if len(self) > _CACHED_CHUNKS:
+            self._before = dict(self)
             self.clear()
             self[""] = b""
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
     def __missing__(self, chunk: str) -> bytes:
+        ids = self._before.get(chunk)
+        if ids is None:
+            ids = self._encoded(chunk)
+        if len(chunk) <= _CACHED_CHARS:
+            self[chunk] = ids
+        return ids
+
+    def forget(self) -> None:
+        """Let go of all chunks. A task does so at its end: the worker that ran it lives on and
+        shares its executor's memory with others."""
+        self.clear()
+        self._before = {}
+        self[""] = b""
+
+    def _encoded(self, chunk: str) -> bytes:
         head = self._head(chunk)
         word = head[0] if head else ""
         if word and len(word) < len(chunk):
@@ -98,8 +120,6 @@ class WordEncoder(dict):
             else:
                 found = self._tokenizer.encode(chunk, add_special_tokens=False).ids
             ids = b"".join([self._of_id[k] for k in found])
-        if len(chunk) <= _CACHED_CHARS:
-            self[chunk] = ids
         return ids
 
 
@@ -107,7 +127,7 @@ _encoders: dict[str, Encoder | WordEncoder] = {}
 
 
 def encoder(path: str) -> Encoder | WordEncoder:
-    """One per Python worker, so that its memory of words serves all tasks of the worker."""
+    """One per Python worker, so that the vocabulary is read once."""
     if path not in _encoders:
         from tokenizers import Tokenizer
 

@@ -245,6 +245,7 @@ def _encode(path: str, window: int, end_id: int):
                         "n_whole", "whole_number", "whole_crc32", "ids",
                     ],
                 )
+        encoder(path).forget()
 
     return encode
 
