@@ -128,7 +128,8 @@ def _staged(spark: SparkSession, actions: Sequence[Callable[[], _Write]]) -> lis
 
 
 def _discard(writes: Sequence[_Write]) -> None:
-    for write in writes:
+    # Twice: a folder that several writes share is empty only when all of them are gone.
+    for write in (*writes, *writes):
         write.staged.discard()
 
 

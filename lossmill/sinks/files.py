@@ -29,13 +29,9 @@ class Files:
         fs.delete(p, True)
 
     def move(self, source: str, target: str) -> None:
-        """Rename a folder to a path where nothing is."""
+        """Rename a folder to a name that is free in a folder that is there."""
         fs, new = self._at(target)
-        _, old = self._at(source)
-        if not fs.exists(old) or fs.exists(new):
-            raise OSError(f"cannot move {source} to {target}")
-        fs.mkdirs(new.getParent())
-        if not fs.rename(old, new):
+        if not fs.rename(self._at(source)[1], new):
             raise OSError(f"cannot move {source} to {target}")
 
     def names(self, folder: str) -> list[str]:

@@ -92,13 +92,16 @@ class Staged:
         run that died in between has no ledger entry and is repeated.
         """
         files = Files(self.spark)
+        there = {}
+        for parent in {target.rpartition("/")[0] for target in self.targets.values()}:
+            files.make(parent)  # a table without rows can be read
+            there[parent] = set(files.names(parent))
         for number, (partition, target) in enumerate(self.targets.items()):
-            if files.exists(target):
-                files.move(target, f"{self.folder}/_old/{number}")
+            parent, _, name = target.rpartition("/")
+            if name in there[parent]:
+                files.move(target, f"{self.folder}/_old-{number}")
             if partition in self.partitions:
                 files.move(f"{self.folder}/{_folder(self.by, partition)}", target)
-            else:  # a table without rows can be read
-                files.make(target.rpartition("/")[0])
         files.delete(self.folder)
         return self.rows
 
