@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lossmill.sinks.files import Files
 from lossmill.sinks.scratch import scratch_path
 
 # The letters that the contracts fold, and their lower case.
@@ -21,6 +23,32 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+_scratch: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+class Scratch:
+    """The tables that ``stored`` writes inside of a ``with`` block, to be dropped later."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        self._token = _scratch.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _scratch.reset(self._token)
+
+    def drop(self, spark: SparkSession, in_use: Iterable[str] = ()) -> None:
+        """Delete the tables but those that files of ``in_use`` lie in."""
+        in_use = list(in_use)
+        files = Files(spark)
+        for path in self.paths:
+            if not any(f"{path}/" in name for name in in_use):
+                files.delete(path)
+        self.paths = []
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
@@ -28,10 +56,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     depend on how rows lay in partitions are fixed by it as well.
     """
     path = scratch_path(df.sparkSession, label)
+    if (scratch := _scratch.get()) is not None:
+        scratch.paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or that with underscores, so that no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

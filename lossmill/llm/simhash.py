@@ -8,15 +8,12 @@ Equal fingerprints are one node, however many documents have them, and a key's n
 spanning forest of their links, not all pairs. Keys of over ``DENSE`` nodes are indexed anew: the
 part outside their segment is halved, one half differs by one bit at most, and so on, until a key
 leaves eight bits open and cannot hold more nodes than that (``refine``). That way is exact for a
-distance of two or three in two segments of 64 bits.
-
-``one_of_each`` works on similarity of whole texts: fingerprints only propose pairs, and
-``near_texts`` compares their shingles.
+distance of two or three in two segments of 64 bits. A crowded key is passed on while its rows come
+in: a task holds ``dense`` of them at most.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,13 +23,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossmill.llm import near_texts
 from lossmill.llm.common import stored
 from lossmill.llm.components import connected_components
 
 DENSE = 8192
-#: Lanes that proposed pairs of texts are compared by.
-SKETCH = 2
 _SLICE = 1 << 16
 _FEW = 8
 _SEED = 42
@@ -62,31 +56,6 @@ class SimHash:
             raise ValueError(f"not possible: {self}")
 
 
-def bit_rate(similarity: float) -> float:
-    """Share of bits in which texts of a Jaccard similarity differ, on average."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def spec_for(n: int, shingle: int, similarity: float, recall: float = 0.97) -> SimHash:
-    """Fingerprints that propose pairs of ``n`` texts from ``similarity`` on.
-
-    Segments are two bits wider than it takes to number the texts, so unrelated ones rarely agree
-    on one, and so many that a pair of just ``similarity`` agrees on one with probability
-    ``recall``, however many texts there are; closer pairs more often. Bits left over make further
-    segments. ``distance`` is for the first ``SKETCH`` lanes and 3.5 standard deviations above
-    what such a pair has, since the texts themselves decide.
-    """
-    width = min(48, math.ceil(math.log2(max(n, 2))) + 2)
-    meet = (1 - bit_rate(similarity)) ** width
-    segments = math.ceil(math.log(1 - recall) / math.log(1 - meet))
-    lanes = math.ceil(segments * width / 64)
-    segments = 64 * lanes // width
-    bits = 64 * min(lanes, SKETCH)
-    mean = bits * bit_rate(similarity)
-    limit = math.ceil(mean + 3.5 * math.sqrt(mean * (1 - bit_rate(similarity))))
-    return SimHash(shingle, lanes, segments, limit)
-
-
 def shingles(text: bytes, size: int) -> list[bytes]:
     """Word shingles of a text, A-Z in lower case; words are parted by ASCII white space."""
     words = text.lower().split()
@@ -195,51 +164,28 @@ def near_duplicate_components(
 
 
 def one_of_each(
-    docs: DataFrame,
-    id_col: str,
-    text_col: str,
-    shingle: int = 5,
-    similarity: float = 0.8,
-    recall: float = 0.97,
+    docs: DataFrame, id_col: str, text_col: str, spec: SimHash = SimHash(), dense: int = DENSE
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest id.
 
-    Texts are linked if their sets of word shingles have a Jaccard similarity of ``similarity`` or
-    more; ``recall`` is for pairs of just that. Of rows with the smallest id, as repeated rows
-    have, one stays; a null id comes last. Texts without words are copies of each other. All
+    Components are those of ``near_duplicate_components``. Of rows with the smallest id, as repeated
+    rows have, one stays; a null id comes last. Texts without words are copies of each other. All
     columns stay as they are.
     """
     names = [f"c{k}" for k in range(len(docs.columns))]
-    spec = spec_for(docs.count(), shingle, similarity, recall)
     rows = docs.toDF(*names).withColumn("row", F.monotonically_increasing_id())
     text, key = (names[docs.columns.index(c)] for c in (text_col, id_col))
-    rows = rows.withColumn("words", words_key(F.col(text)))
-    rows = rows.withColumn("print", fingerprint_column(F.col(text), spec))
+    rows = rows.withColumn("fingerprint", fingerprint_column(F.col(text), spec))
     rows = stored(rows, "simhash-texts")
     first = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "row")
-    least = rows.groupBy("words").agg(
-        F.min(first).alias("first"), F.min("row").alias("node"), F.min("print").alias("print")
-    )
-    least = stored(least.drop("words"), "simhash-nodes")
-    texts = rows.select(F.col("row").alias("node"), F.col(text).cast("binary").alias("text"))
-    roots = near_texts.near_roots(least.select("node", "print"), texts, spec, similarity)
-    least = least.select("node", "first").join(roots, "node", "left")
-    stays = least.groupBy(F.coalesce("root", "node").alias("root"))
+    least = rows.groupBy("fingerprint").agg(F.min(first).alias("first"))
+    roots = component_roots(rows, spec, dense)
+    least = least.join(roots, "fingerprint", "left")
+    stays = least.groupBy(F.coalesce("root", "fingerprint").alias("root"))
     stays = stays.agg(F.min("first").alias("first"))
     return rows.join(stays.select("first.row"), "row").select(*names).toDF(*docs.columns)
 
 
-def words_key(text: Column) -> Column:
-    """The same for texts of the same words, which have the same shingles."""
-
-    @F.arrow_udf("binary")
-    def key(texts: pa.Array) -> pa.Array:
-        each = (b" ".join((x.as_py() or b"").lower().split()) for x in texts)
-        return pa.array([xxhash.xxh3_128_digest(w) for w in each], pa.binary())
-
-    return key(text.cast("binary"))
-
-
 def component_roots(prints: DataFrame, spec: SimHash, dense: int = DENSE) -> DataFrame:
     """``fingerprint`` and ``root`` for every fingerprint that links with another."""
     edges = linked_fingerprints(prints.select("fingerprint").distinct(), spec, dense)
@@ -345,14 +291,20 @@ def _compare(spec: SimHash, dense: int | None):
     """Spanning forests of the nodes of each key; crowded keys' nodes come back without a link."""
 
     def compare(tables):
-        held_key, held = None, []  # the last key may go on in the next batch
+        held_key, held, crowded = None, [], False  # the last key may go on in the next batch
         out: list[tuple[bytes, bytes, bytes | None]] = []
 
-        def done(key, members):
-            if dense is not None and len(members) > dense:
-                out.extend((key, m, None) for m in members)
-            elif len(members) > 1:
-                out.extend((key, a, b) for a, b in spanning_links(members, spec.distance))
+        def more(key, members):
+            """Members of the held key; past ``dense`` they go on at once."""
+            nonlocal held, crowded
+            held += members
+            if dense is not None and (crowded or len(held) > dense):
+                out.extend((key, m, None) for m in held)
+                held, crowded = [], True
+
+        def done():
+            if len(held) > 1:
+                out.extend((held_key, a, b) for a, b in spanning_links(held, spec.distance))
 
         for t in tables:
             keys, prints = t.column(0).to_pylist(), t.column(1).to_pylist()
@@ -360,16 +312,15 @@ def _compare(spec: SimHash, dense: int | None):
             for k in range(1, len(keys) + 1):
                 if k < len(keys) and keys[k] == keys[start]:
                     continue
-                if keys[start] == held_key:
-                    held += prints[start:k]
-                else:
-                    done(held_key, held)
-                    held_key, held = keys[start], prints[start:k]
+                if keys[start] != held_key:
+                    done()
+                    held_key, held, crowded = keys[start], [], False
+                more(held_key, prints[start:k])
                 start = k
             if len(out) >= 10_000:
                 yield _edge_batch(out)
                 out.clear()
-        done(held_key, held)
+        done()
         yield _edge_batch(out)
 
     return compare

@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import os
 import random
+import uuid
 
 import corpus_pipeline as pipeline
 import pytest
+from lossmill.llm import common
 from lossmill.llm.decontaminate import windows
-from lossmill.llm.simhash import shingles, spec_for
+from pyspark.sql import functions as F
+
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra int"
 SYLLABLES = [a + b for a in "bcdfghklmnprst" for b in "aeiou"]
@@ -28,36 +33,74 @@ def kept(df):
 
 
 def test_near_duplicates_go_and_others_stay(spark):
+    """One row of each component that links of two bits at most make, and no other row goes."""
     rng = random.Random(11)
     texts, copies = [], []
     for k in range(120):
-        words = prose(rng, rng.randint(100, 300)).split()
+        words = prose(rng, rng.randint(100, 900)).split()
         texts.append((k, " ".join(words)))
         if k % 3 == 0:
             words[rng.randrange(len(words))] = "changed"
             copies.append((1000 + k, " ".join(words)))
         if k % 5 == 0:
             copies.append((2000 + k, texts[-1][1]))
-    for (k, a), (j, b) in ((texts[0], copies[0]),):
-        one, two = set(shingles(a.encode(), 5)), set(shingles(b.encode(), 5))
-        assert len(one & two) / len(one | two) >= 0.8
     texts += [(texts[7][0], texts[7][1]), (None, None), (5000, ""), (5001, " ")]
-    got = pipeline.drop_near_duplicates(spark, frame(spark, texts + copies), "")
+    every = texts + copies
+    got = pipeline.drop_near_duplicates(spark, frame(spark, every), "")
     assert got.columns == [c.split()[0] for c in SCHEMA.split(", ")]
     ids = [r.doc_id for r in got.collect()]
     assert len(ids) == len(set(ids))
-    assert set(range(120)) <= set(ids)
-    assert 5000 in ids and 5001 not in ids and None not in ids
-    assert not [i for i in ids if i and 2000 <= i < 3000]
-    assert len([i for i in ids if 1000 <= i < 2000]) <= 2
+    known = {i: t for i, t in every if i is not None}
+    components = plain_components({i: plain_fingerprint(t) for i, t in known.items()})
+    assert set(ids) == set(components.values())
+    assert 20 < len({i for i in range(1000, 2000) if i in known} - set(ids))
+    assert not [i for i in ids if 2000 <= i < 3000]
     empty = frame(spark, texts).limit(0)
     assert pipeline.drop_near_duplicates(spark, empty, "").count() == 0
 
 
-def test_spec_grows_with_the_number_of_texts():
-    small, large = (spec_for(n, 5, 0.8) for n in (200_000, 10**9))
-    assert small.width >= 20 and large.width >= 32
-    assert large.segments > small.segments and large.lanes > small.lanes
+def test_a_group_of_near_copies_with_a_third_of_all_rows(spark):
+    """Many fingerprints that lie close together: every component keeps one row."""
+    rng = random.Random(15)
+    words = prose(rng, 2000).split()
+    texts = [(k, prose(rng, 60)) for k in range(1200)]
+    for k in range(600):
+        copy = list(words)
+        for _ in range(rng.randint(1, 6)):
+            copy[rng.randrange(len(copy))] = prose(rng, 1)
+        texts.append((5000 + k, " ".join(copy)))
+    got = pipeline.drop_near_duplicates(spark, frame(spark, texts), "")
+    components = plain_components({i: plain_fingerprint(t) for i, t in texts})
+    assert {r.doc_id for r in got.collect()} == set(components.values())
+
+
+def test_a_stage_drops_what_the_one_before_left(spark, folder, monkeypatch):
+    monkeypatch.setattr(
+        common, "scratch_path", lambda _, label: f"{folder}/shared/{label}-{uuid.uuid4().hex}"
+    )
+    rng = random.Random(16)
+    docs = frame(spark, [(k, prose(rng, 80)) for k in range(30)])
+    clash = docs.withColumnRenamed("extra", "repeats").withColumn("Hits", F.lit("own"))
+    first = pipeline.drop_near_duplicates(spark, clash, "")
+    left = set(os.listdir(f"{folder}/shared"))
+    assert any(name.startswith("simhash-") for name in left)
+    # Still read from there: nothing may go.
+    lazy = pipeline.cut_repeats(spark, first, "")
+    assert any(name.startswith("simhash-texts") for name in os.listdir(f"{folder}/shared"))
+    assert lazy.count() == 30
+    first = pipeline.drop_near_duplicates(spark, clash, "")
+    first.write.parquet(f"{folder}/near")
+    written = spark.read.parquet(f"{folder}/near")
+    second = pipeline.cut_repeats(spark, written, "")
+    now = os.listdir(f"{folder}/shared")
+    assert sum(name.startswith("simhash-texts") for name in now) == 1  # that of the lazy one
+    kept = {r.doc_id: (r.repeats, r.Hits) for r in second.collect()}
+    assert kept == {k: (k, "own") for k in range(30)}
+    second.write.parquet(f"{folder}/cut")
+    third = pipeline.drop_contaminated(
+        spark, spark.read.parquet(f"{folder}/cut"), "/root/testdata/sf0.001"
+    )
+    assert {r.doc_id: (r.repeats, r.Hits) for r in third.collect()} == kept
 
 
 def test_passages_are_cut_everywhere(spark):
