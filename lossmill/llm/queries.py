@@ -81,8 +81,9 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     report = suffix_dedup.repeat_report(F.col("text"), F.col("repeats"))
+    kept = suffix_dedup.kept_text(F.col("text"), F.col("repeats"))
     return suffix_dedup.with_repeats(docs).select(
-        "doc_id", *(c.alias(name) for name, c in report.items())
+        "doc_id", *(c.alias(name) for name, c in report.items()), kept.alias("text")
     )
 
 

@@ -7,9 +7,10 @@ windows have equal samples at equal distances, and the windows of one sample lie
 together they read one stretch of text to the left and right of it.
 
 1. Sampled triples (gram, text before, text after) are named by hashes and grouped. Triples that
-   occur twice settle all their windows at once.
+   occur twice settle all their windows at once, those that are read together right there; of
+   each name read together one goes on, to the one place where its gram is looked at.
 2. Names are taken apart where that is not enough: where a gram has several triples, only one
-   copy of each goes on, however often it occurs.
+   copy of each goes on, however often it occurs. A gram with very many is dealt to several tasks.
 3. Their windows, the remaining suffixes, are put in order by distance from the sample and text,
    and neighbours in that order are compared over ``length`` bytes.
 
@@ -25,16 +26,20 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossmill.llm.common import broadcast_if_small, stored
+from lossmill.llm.common import batches, broadcast_if_small, free_name, stored
 from lossmill.llm.decontaminate import merged
 
 LENGTH = 400
-# A name's text has at most twice ``length`` bytes: some 13 MB, and 25 bytes a window.
-_GROUP = 16_000
+#: Names of a gram that one task compares: each has at most twice ``length`` bytes of text, 7 MB
+#: in all, and 25 bytes a window.
+_GROUP = 8192
+#: Bytes of text whose samples are reduced together.
+_PART = 8 << 20
 _PLACE_BITS = 20
 _STEP = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
@@ -127,22 +132,19 @@ def _least_in_windows(hashes: np.ndarray, width: int) -> np.ndarray:
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``row`` and ``spans`` (merged structs of start and end, in bytes) of the rows of ``texts``
     that have repeats. ``texts`` has a unique ``row`` and a binary ``text``, and is read twice."""
-    found = stored(_triples(texts, length), "repeats-samples")
-    key = ["gram", "before", "after", "name"]
-    one = F.min(F.struct("row", "place")).alias("one")
-    named = found.groupBy(*key).agg(F.count("*").alias("n"), one)
-    named = stored(named, "repeats-names")
-    again = named.where("n > 1").select(*key)
-    settled = found.join(again, key).select(
-        "row",
-        (F.col("place") - F.col("before")).alias("start"),
-        (F.col("place") + F.col("after")).alias("end"),
-    )
-    several = named.groupBy("gram").agg(F.count("*").alias("names")).where("names > 1")
-    open_names = named.join(several.select("gram"), "gram").select(
-        "gram", "before", "after", "one.row", "one.place", (F.col("n") == 1).alias("open")
-    )
-    compared = stored(_compared(texts, open_names, length), "repeats-compared")
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Samples, and spans (without a gram) that are settled where texts are read.
+    cut = stored(_triples(texts, length), "repeats-samples")
+    sorted_names = cut.where("gram is not null").repartition(n, "gram")
+    sorted_names = sorted_names.sortWithinPartitions(*_NAME)
+    named = stored(sorted_names.mapInArrow(_by_gram, _NAMED), "repeats-names")
+    # Of both, spans have no gram and lie around their sample.
+    start, end = F.col("place") - F.col("before"), F.col("place") + F.col("after")
+    around = ("row", start.alias("start"), end.alias("end"))
+    settled = cut.where("gram is null").select(*around)
+    settled = settled.unionByName(named.where("gram is null").select(*around))
+    open_names = named.where("gram is not null")
+    compared = stored(_compared(texts, open_names, length, _GROUP), "repeats-compared")
     waiting = compared.where("window is not null")
     twice = waiting.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     late = waiting.join(twice, "window").where("open")
@@ -160,16 +162,26 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     return held.select("row", merge("spans").alias("spans"))
 
 
+#: What says that two samples have the same windows around them.
+_NAME = ("gram", "before", "after", "name")
+_SAMPLE = "row long, gram long, place long, before int, after int, name long, twice boolean"
+_NAMED = "row long, gram long, place long, before int, after int, open boolean, number long"
+
+
 def _triples(texts: DataFrame, length: int) -> DataFrame:
-    """Samples with the reach of their windows before and after them, and a name for that text."""
+    """Samples with the reach of their windows before and after them, and a name for that text.
+
+    Samples of one name that are read together are reduced there: the spans of all of them are
+    settled, and one goes on, marked as ``twice``.
+    """
 
     def cut(tables):
         for t in tables:
-            for at in range(0, t.num_rows, 256):
-                yield from _sample_batches(t.slice(at, 256), length)
+            sizes = pc.binary_length(t.column(1)).fill_null(0).to_pylist()
+            for some in batches(list(range(t.num_rows)), sizes.__getitem__, _PART):
+                yield from _sample_batches(t.slice(some[0], len(some)), length)
 
-    kind = "row long, gram long, place long, before int, after int, name long"
-    return texts.select("row", "text").mapInArrow(cut, kind)
+    return texts.select("row", "text").mapInArrow(cut, _SAMPLE)
 
 
 def _sample_batches(part: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
@@ -186,48 +198,144 @@ def _sample_batches(part: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatc
         )
         rows = np.full(len(gram), row, np.int64)
         held.append((rows, gram, place, place - first, last + length - place, names))
-    if held:
-        columns = [np.concatenate(c) for c in zip(*held)]
-        kinds = [np.int64, np.int64, np.int64, np.int32, np.int32, np.int64]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c.astype(k)) for c, k in zip(columns, kinds)],
-            ["row", "gram", "place", "before", "after", "name"],
-        )
-
-
-def _compared(texts: DataFrame, names: DataFrame, length: int) -> DataFrame:
-    """Windows of the open names that occur elsewhere as spans (``window`` null), and for grams
-    with over ``_GROUP`` names each window by itself, under a number for its place and text."""
-    part = F.struct("gram", "place", "before", "after", "open")
-    by_row = stored(names.groupBy("row").agg(F.collect_list(part).alias("parts")), "repeats-open")
-    by_row = broadcast_if_small(by_row, 96 + 64 * F.size("parts"))
+    if not held:
+        return
+    rows = np.stack([np.concatenate(c).astype(np.int64) for c in zip(*held)])
+    rows = rows[:, np.lexsort(rows[[5, 4, 3, 1]])]
+    begins, of_name = _runs(rows[[1, 3, 4, 5]])
+    several = np.bincount(of_name)[of_name] > 1
+    first = np.zeros(rows.shape[1], bool)
+    first[begins] = True
+    for chosen, gram in ((first, True), (several, False)):
+        row, grams, place, before, after, names = rows[:, chosen]
+        columns = [
+            pa.array(row),
+            pa.array(grams) if gram else pa.nulls(len(row), pa.int64()),
+            pa.array(place),
+            pa.array(before.astype(np.int32)),
+            pa.array(after.astype(np.int32)),
+            pa.array(names),
+            pa.array(several[chosen]),
+        ]
+        kinds = ["row", "gram", "place", "before", "after", "name", "twice"]
+        yield pa.RecordBatch.from_arrays(columns, kinds)
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal columns begin, and the number of the run of each column."""
+    changes = np.ones(keys.shape[1], bool)
+    changes[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
+    return np.flatnonzero(changes), np.cumsum(changes) - 1
+
+
+def _by_gram(tables):
+    """Of samples in the order of ``_NAME``: spans of names that occur twice (without a gram), and
+    one sample of each name whose gram has several names, with its number within the gram.
+
+    However often a gram or a name occurs, one sample is held from batch to batch.
+    """
+    held = np.zeros((7, 0), np.int64)
+    earlier = 0  # names of the held sample's gram before its own
+    for t in tables:
+        new = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in t.columns])
+        if new.shape[1]:
+            rows = np.concatenate([held, new], axis=1)
+            yield from _named(rows, earlier, last=False)
+            held, earlier = _kept(rows, earlier)
+    if held.shape[1]:
+        yield from _named(held, earlier, last=True)
+
+
+def _grouped(rows: np.ndarray, earlier: int) -> tuple[np.ndarray, ...]:
+    """Begin and weight of every name, the name of every row, and of every name its gram's number
+    and its own number within the gram."""
+    begins, of_name = _runs(rows[[1, 3, 4, 5]])
+    weights = np.bincount(of_name, 1 + rows[6])
+    gram_begins, of_gram = _runs(rows[[1]][:, begins])
+    number = np.arange(len(begins)) - gram_begins[of_gram]
+    number[of_gram == 0] += earlier
+    return begins, weights, of_name, of_gram, number
+
+
+def _named(rows: np.ndarray, earlier: int, last: bool) -> Iterator[pa.RecordBatch]:
+    begins, weights, of_name, of_gram, number = _grouped(rows, earlier)
+    settled = rows[:, (weights[of_name] > 1) & (rows[6] == 0)]
+    names = np.bincount(of_gram)
+    names[0] += earlier
+    # The last name, and with it the last gram, may go on in the next batch.
+    ready = np.arange(len(begins) if last else len(begins) - 1)
+    ready = ready[names[of_gram[ready]] > 1]
+    shown = rows[:, begins[ready]]
+    for part, gram, alone, numbers in (
+        (settled, None, None, None),
+        (shown, shown[1], weights[ready] == 1, number[ready]),
+    ):
+        size = part.shape[1]
+        columns = [
+            pa.array(part[0]),
+            pa.nulls(size, pa.int64()) if gram is None else pa.array(gram),
+            pa.array(part[2]),
+            pa.array(part[3].astype(np.int32)),
+            pa.array(part[4].astype(np.int32)),
+            pa.nulls(size, pa.bool_()) if gram is None else pa.array(alone),
+            pa.nulls(size, pa.int64()) if gram is None else pa.array(numbers),
+        ]
+        kinds = ["row", "gram", "place", "before", "after", "open", "number"]
+        yield pa.RecordBatch.from_arrays(columns, kinds)
+
+
+def _kept(rows: np.ndarray, earlier: int) -> tuple[np.ndarray, int]:
+    """One sample of the last name, marked if it stands for several, and the names before it."""
+    begins, weights, _, _, number = _grouped(rows, earlier)
+    one = rows[:, begins[-1:]].copy()
+    one[6] = weights[-1] > 1
+    return one, int(number[-1])
+
+
+def _compared(texts: DataFrame, names: DataFrame, length: int, group: int) -> DataFrame:
+    """Windows of the open names that occur elsewhere as spans (``window`` null).
+
+    The names of a gram that has over ``group`` are dealt to several tasks, ``group`` of them to
+    each. There windows that occur twice are settled, and one of each kind goes on under a number
+    for its place and text, to be counted among those of the other tasks.
+    """
+    large = names.where(F.col("number") >= group).select("gram").distinct()
+    large = stored(large.withColumn("large", F.lit(True)), "repeats-large")
+    large = broadcast_if_small(large, 24)
+    names = names.join(large, "gram", "left")
+    part = F.when(F.col("large"), F.floor(F.col("number") / group)).otherwise(0).alias("part")
+    part = F.struct("gram", part, "large", "place", "before", "after", "open")
+    # No hint: beyond Spark's own threshold for broadcasts texts are shuffled once, at any size.
+    by_row = names.groupBy("row").agg(F.collect_list(part).alias("parts"))
     with_text = texts.select("row", "text").join(by_row, "row")
     stretch = F.expr("substring(text, int(p.place - p.before + 1), p.before + p.after)")
     cut = with_text.select("row", "text", F.explode("parts").alias("p"))
-    cut = cut.select("p.gram", "row", "p.place", "p.before", "p.open", stretch.alias("stretch"))
+    cut = cut.select(
+        "p.gram", "row", "p.place", "p.before", "p.open", stretch.alias("stretch"), "p.part",
+        F.coalesce("p.large", F.lit(False)).alias("large"),
+    )
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = cut.repartition(n, "gram").sortWithinPartitions("gram")
+    ordered = cut.repartition(n, "gram", "part").sortWithinPartitions("gram", "part")
 
     def compare(tables):
-        gram, group, large = None, [], False
+        key, rows = None, []
         for t in tables:
             for row in zip(*(c.to_pylist() for c in t.columns)):
-                if row[0] != gram:
-                    yield from _finished(group, large, length)
-                    gram, group, large = row[0], [], False
-                group.append(row)
-                if len(group) >= _GROUP:
-                    large = True
-                    yield from _finished(group, large, length)
-                    group = []
-        yield from _finished(group, large, length)
+                if (row[0], row[6]) != key:
+                    yield from _finished(rows, length)
+                    key, rows = (row[0], row[6]), []
+                rows.append(row)
+        yield from _finished(rows, length)
 
     return ordered.mapInArrow(
         compare, "row long, start long, end long, open boolean, window binary"
     )
 
 
-def _finished(group: list, large: bool, length: int) -> Iterator[pa.RecordBatch]:
+def _finished(group: list, length: int) -> Iterator[pa.RecordBatch]:
+    """Spans of the windows that occur twice among some names of a gram. If the gram has more names
+    elsewhere, one of each kind of window as well, to be counted there."""
+    large = bool(group) and group[0][7]
     if not group or len(group) == 1 and not large:
         return
     rows: list[tuple] = []
@@ -236,30 +344,31 @@ def _finished(group: list, large: bool, length: int) -> Iterator[pa.RecordBatch]
     distance = np.concatenate([np.arange(len(h)) - g[3] for h, g in zip(hashes, group)])
     windows = np.concatenate(hashes) + distance.astype(np.uint64) * np.uint64(0x94D049BB133111EB)
     ends = np.cumsum(counts)
-    if large:
-        for g, h, end, n in zip(group, hashes, ends, counts):
+    order = np.argsort(windows, kind="stable")
+    same = windows[order[1:]] == windows[order[:-1]]
+    twice = np.zeros(len(windows), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    for g, end, n in zip(group, ends, counts):
+        if g[4]:
             start = g[2] - g[3]
-            head = g[0].to_bytes(8, "big", signed=True)
-            keys = windows[end - n : end].astype(">u8").tobytes()
-            for k in range(n):
-                window = head + keys[8 * k : 8 * k + 8]
-                rows.append((g[1], start + k, start + k + length, g[4], window))
+            marks = twice[end - n : end].astype(np.int8)
+            held = np.flatnonzero(np.diff(marks, prepend=0, append=0))
+            for a, b in held.reshape(-1, 2).tolist():
+                rows.append((g[1], start + a, start + b - 1 + length, True, None))
+    if large:
+        head = group[0][0].to_bytes(8, "big", signed=True)
+        firsts = np.sort(order[np.concatenate([[True], ~same])])
+        of_name = np.searchsorted(ends, firsts, side="right")
+        keys = windows[firsts].astype(">u8").tobytes()
+        for k, (at, name) in enumerate(zip(firsts.tolist(), of_name.tolist())):
+            g = group[name]
+            start = g[2] - g[3] + at - int(ends[name] - counts[name])
+            window = head + keys[8 * k : 8 * k + 8]
+            rows.append((g[1], start, start + length, g[4] and not twice[at], window))
             if len(rows) > 50_000:
                 yield _span_batch(rows)
                 rows = []
-    else:
-        order = np.argsort(windows, kind="stable")
-        same = windows[order[1:]] == windows[order[:-1]]
-        twice = np.zeros(len(windows), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        for g, end, n in zip(group, ends, counts):
-            if g[4]:
-                start = g[2] - g[3]
-                marks = twice[end - n : end].astype(np.int8)
-                held = np.flatnonzero(np.diff(marks, prepend=0, append=0))
-                for a, b in held.reshape(-1, 2).tolist():
-                    rows.append((g[1], start + a, start + b - 1 + length, True, None))
     if rows:
         yield _span_batch(rows)
 
@@ -294,23 +403,19 @@ def with_repeats(
     column of the name ``into`` is replaced. With ``coded`` all this is about the bytes that it
     makes of a text.
     """
-    row = _free_name(docs, "row")
-    rows = stored(docs.drop(into).withColumn(row, F.monotonically_increasing_id()), "repeats-texts")
-    data = coded(F.col(text_col)) if coded else F.col(text_col).cast("binary")
+    row, codes = free_name(docs, "row"), free_name(docs, "codes")
+    rows = docs.drop(into).withColumn(row, F.monotonically_increasing_id())
+    # Made once and kept beside the text, which the search then does not read.
+    data = coded(F.col(text_col)) if coded else F.lit(None).cast("binary")
+    rows = stored(rows.withColumn(codes, data), "repeats-texts")
+    data = F.col(codes) if coded else F.col(text_col).cast("binary")
     texts = rows.select(F.col(row).alias("row"), data.alias("text"))
     spans = stored(repeated_spans(texts, length).toDF(row, into), "repeats-spans")
     spans = broadcast_if_small(spans, 96 + 40 * F.size(into))
-    found = rows.join(spans, row, "left").drop(row)
+    found = rows.drop(codes).join(spans, row, "left").drop(row)
     return found.withColumn(into, F.coalesce(into, F.expr("array()")))
 
 
-def _free_name(df: DataFrame, name: str) -> str:
-    taken = {c.lower() for c in df.columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def repeat_report(text, spans) -> dict:
     """``n_bytes``, ``n_removed``, ``n_spans`` and the SHA-256 of the bytes that stay."""
 
