@@ -39,7 +39,7 @@ _FOUND = T.StructType(
         T.StructField("n_words", T.LongType(), False),
         T.StructField("starts", T.ArrayType(T.LongType(), False), False),
         T.StructField("ends", T.ArrayType(T.LongType(), False), False),
-        T.StructField("items", T.ArrayType(T.LongType(), False), False),
+        T.StructField("items", T.ArrayType(T.StringType(), False), False),
     ]
 )
 _FOUND_ARROW = pa.struct(
@@ -47,7 +47,7 @@ _FOUND_ARROW = pa.struct(
         ("n_words", pa.int64()),
         ("starts", pa.list_(pa.int64())),
         ("ends", pa.list_(pa.int64())),
-        ("items", pa.list_(pa.int64())),
+        ("items", pa.list_(pa.string())),
     ]
 )
 
@@ -99,10 +99,10 @@ class WuManber:
 class BenchmarkIndex:
     """Searches the windows of a block of benchmark items, whatever their lengths."""
 
-    def __init__(self, entries: Iterable[tuple[bytes, int | None]]):
+    def __init__(self, entries: Iterable[tuple[bytes, str | None]]):
         """``entries`` holds the words of a window, joined by spaces, and the id of an item."""
         self._numbers: dict[bytes, int] = {}
-        self._items: dict[tuple[int, ...], set[int]] = defaultdict(set)
+        self._items: dict[tuple[int, ...], set[str]] = defaultdict(set)
         by_length: dict[int, list[tuple[int, ...]]] = defaultdict(list)
         for text, item in entries:
             sequence = tuple(
@@ -113,7 +113,7 @@ class BenchmarkIndex:
             self._items[sequence].update(() if item is None else (item,))
         self._searches = [WuManber(x) for x in by_length.values()]
 
-    def search(self, text: bytes | None) -> tuple[int, list[tuple[int, int]], set[int]]:
+    def search(self, text: bytes | None) -> tuple[int, list[tuple[int, int]], set[str]]:
         """Number of words, word spans covered by windows (merged), items that have windows."""
         found = words(text)
         number = self._numbers.get
@@ -152,10 +152,15 @@ def with_benchmark_hits(
 
     Every row is judged by its own whole text, so repeated rows and null ids are no special case.
     Null and empty texts have no words and no hits. Items without words match nothing. Windows of
-    an item with null id cover words, but name no item. A column of the name ``into`` is replaced.
+    an item with null id cover words, but name no item. Ids are of any type that a cast to text and
+    back leaves as it is; ``items`` are in their order. A column of the name ``into`` is replaced.
     An empty benchmark leaves every document without hits.
     """
-    entries = _entries(benchmark.select(item_col, F.col(item_text_col).cast("binary")), window)
+    kind = benchmark.schema[item_col].dataType.simpleString()
+    items = benchmark.select(
+        F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("binary")
+    )
+    entries = _entries(items, window)
     total = entries.agg(F.sum(F.length("window") + 16)).first()[0] or 0
     n_blocks = max(1, math.ceil(total / block_bytes))
     block = F.pmod(F.xxhash64("window"), F.lit(n_blocks))
@@ -168,7 +173,8 @@ def with_benchmark_hits(
         out = stored(out, "benchmark-hits") if k else out
         search = _searcher(docs, index)
         out = out.withColumn(into, search(F.col(text_col).cast("binary"), F.col(into)))
-    return out
+    found = F.array_sort(F.col(into)["items"].cast(f"array<{kind}>"))
+    return out.withColumn(into, F.col(into).withField("items", found))
 
 
 def _entries(items: DataFrame, window: int) -> DataFrame:
@@ -182,12 +188,12 @@ def _entries(items: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([w for w, _ in seen], pa.binary()),
-                    pa.array([i for _, i in seen], pa.int64()),
+                    pa.array([i for _, i in seen], pa.string()),
                 ],
                 ["window", "item"],
             )
 
-    return items.mapInArrow(cut, "window binary, item long").distinct()
+    return items.mapInArrow(cut, "window binary, item string").distinct()
 
 
 def _searcher(df: DataFrame, index: BenchmarkIndex):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 from lossmill.llm.decontaminate import (
@@ -100,3 +101,19 @@ def test_edges_and_blocks(spark):
     none = with_benchmark_hits(docs, items.limit(0), window=3)
     assert none.where("size(benchmark_hits.starts) > 0").count() == 0
     assert with_benchmark_hits(docs.limit(0), items).count() == 0
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(1, "one two three four five")], "doc_id long, text string")
+    for kind, ids in (("string", ["x9", "x10", None]), ("int", [9, 10, None])):
+        texts = ("one two", "four five", "three")
+        items = spark.createDataFrame(list(zip(ids, texts)), f"item_id {kind}, text string")
+        for options in ({}, {"block_bytes": 20}):
+            found = with_benchmark_hits(docs, items, window=3, **options)
+            (row,) = found.select("benchmark_hits.*").collect()
+            assert row["items"] == sorted(i for i in ids if i is not None)
+            assert (row.starts, row.ends) == ([0], [5])
+            report = contamination_report(F.col("benchmark_hits"))
+            joined = ",".join(sorted(str(i) for i in ids if i is not None))
+            (digest,) = found.select(report["items_sha256"]).first()
+            assert digest == hashlib.sha256(joined.encode()).hexdigest()
