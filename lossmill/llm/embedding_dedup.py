@@ -1,18 +1,21 @@
 """Embedding near-duplicates by binary codes under random rotations, with bounded estimates.
 
 A vector of length one is turned by seeded random rotations; the signs of its coordinates are its
-code, and for each rotation the inner product of vector and code is stored as correction factor.
-For two codes that agree in all but h of D bits, (1 - 2 h / D) over the product of both factors is
-an unbiased estimate of the cosine, and its error shrinks as 1 / sqrt(D). Pairs whose estimate stays
-below the threshold by more than the confidence bound are dropped; all others are computed from the
-vectors in double precision, and only that decides.
-
-Which pairs are looked at follows from the codes as well: pieces of the code are bucket numbers in
-so many tables that a pair at the threshold meets with probability ``recall``. The pieces grow with
-the logarithm of the number of vectors, so a bucket of unrelated vectors stays small. A bucket of
-over ``BLOCK`` vectors is dealt out as pairs of blocks; per vector its links are counted, and of
-the links only what connects the block comes out, never all pairs. Equal vectors count as one with
-a weight.
+code, and for each rotation the inner product of vector and code is stored as correction factor. A
+code divided by its factor is the vector plus an error in a random direction, so it is the vector on
+average. Every vector has codes of two sides, whose rotations are independent of each other: the
+inner product of one vector's code of the first side with the other's of the second, over both
+factors, is an unbiased estimate of the cosine. Pairs whose estimate stays below the threshold by
+more than the confidence bound are dropped; all others are computed from the vectors in double
+precision, and only that decides.
+
+Which pairs are looked at follows from signs as well: pieces of further rotations are bucket numbers
+in so many tables that a pair at the threshold meets with probability ``recall``. The pieces grow
+with the logarithm of the number of vectors, so a bucket of unrelated vectors stays small. To their
+buckets vectors send number, codes and factors only. Whole vectors follow for those that the
+estimates leave a partner in a bucket. A bucket of over ``BLOCK`` vectors is dealt out as pairs of
+blocks; per vector its links are counted, and of the links only what connects the block comes out,
+never all pairs. Equal vectors count as one with a weight.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ from lossmill.llm.components import connected_components
 THRESHOLD = 0.9
 RECALL = 0.97
 BLOCK = 1024
+#: Rotations of each side of the codes that estimates are made from.
+SIDE = 4
 _CONFIDENCE = 3.0
 _PER_BUCKET = 64
 _SEED = 20
@@ -40,19 +45,21 @@ _SEED = 20
 
 @dataclass(frozen=True)
 class Codes:
-    """Shape of the codes: ``tables`` pieces of ``piece`` bits from ``rotations`` rotations."""
+    """Shape of the codes: ``tables`` pieces of ``piece`` bits from rotations of their own, and two
+    sides of ``SIDE`` rotations to estimate from."""
 
     size: int
     piece: int
     tables: int
 
-    @property
-    def rotations(self) -> int:
-        return -(-self.piece * self.tables // self.size)
+    def for_buckets(self) -> np.ndarray:
+        """(size, bits): the rotations side by side."""
+        return np.hstack(_rotations(self.size, -(-self.piece * self.tables // self.size), _SEED))
 
-    def matrix(self) -> np.ndarray:
-        """(size, rotations * size): the rotations side by side."""
-        return _rotations(self.size, self.rotations)
+    def for_sides(self) -> np.ndarray:
+        """(2, SIDE, size, size)."""
+        found = _rotations(self.size, 2 * SIDE, _SEED + 1)
+        return found.reshape(2, SIDE, self.size, self.size)
 
 
 def unit_rows(raw: np.ndarray) -> np.ndarray:
@@ -62,10 +69,17 @@ def unit_rows(raw: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled**2).sum(axis=1, keepdims=True))
 
 
-@lru_cache(maxsize=4)
-def _rotations(size: int, n: int) -> np.ndarray:
-    rng = np.random.default_rng(_SEED)
-    return np.hstack([np.linalg.qr(rng.normal(size=(size, size)))[0] for _ in range(n)])
+@lru_cache(maxsize=8)
+def _rotations(size: int, n: int, seed: int) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    return np.stack([np.linalg.qr(rng.normal(size=(size, size)))[0] for _ in range(n)])
+
+
+@lru_cache(maxsize=8)
+def _between(size: int) -> np.ndarray:
+    """(SIDE, size, size): from the k-th rotation of the first side to that of the second."""
+    first, second = Codes(size, 1, 1).for_sides()
+    return (first.transpose(0, 2, 1) @ second).astype(np.float32)
 
 
 def codes_for(n: int, size: int, threshold: float, recall: float) -> Codes:
@@ -76,15 +90,18 @@ def codes_for(n: int, size: int, threshold: float, recall: float) -> Codes:
     return Codes(size, piece, tables)
 
 
-def encoded(unit: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bits (n, rotations, size), factors (n, rotations) and buckets (n, tables) of unit vectors."""
-    turned = unit @ codes.matrix()
-    bits = (turned > 0).reshape(len(unit), codes.rotations, codes.size)
-    sums = np.abs(turned).reshape(bits.shape).sum(axis=2)
-    pieces = bits.reshape(len(unit), -1)[:, : codes.tables * codes.piece]
-    pieces = pieces.reshape(len(unit), codes.tables, codes.piece)
-    buckets = pieces @ (1 << np.arange(codes.piece, dtype=np.int64))
-    return bits, sums / math.sqrt(codes.size), buckets
+def buckets_of(unit: np.ndarray, codes: Codes) -> np.ndarray:
+    """(n, tables): the bucket numbers of unit vectors."""
+    bits = (unit @ codes.for_buckets() > 0)[:, : codes.tables * codes.piece]
+    pieces = bits.reshape(len(unit), codes.tables, codes.piece)
+    return pieces @ (1 << np.arange(codes.piece, dtype=np.int64))
+
+
+def encoded(unit: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
+    """Packed signs (n, 2, SIDE, bytes) and factors (n, 2, SIDE) of unit vectors."""
+    turned = np.einsum("ni,skij->nskj", unit, codes.for_sides(), optimize=True)
+    factors = np.abs(turned).sum(axis=3) / math.sqrt(codes.size)
+    return np.packbits(turned > 0, axis=3), factors.astype(np.float32)
 
 
 def estimates(
@@ -92,21 +109,33 @@ def estimates(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Estimated cosines of all of a with all of b, and how far off they may be.
 
-    ``bits`` are (n, rotations, bytes). An estimate is unbiased over the rotations; the bound holds
-    for three standard deviations of its error.
+    Codes and factors as from ``encoded``. An estimate is the mean over the rotations of both
+    sides, either way round, and unbiased. The bound holds for three standard deviations of its
+    error; the two ways round count once for it.
     """
-    total = np.zeros((len(bits_a), len(bits_b)))
-    spread = np.zeros_like(total)
-    n = bits_a.shape[1]
-    for r in range(n):
-        differ = np.zeros(total.shape, np.int64)
-        for k in range(bits_a.shape[2]):
-            differ += np.bitwise_count(bits_a[:, r, k, None] ^ bits_b[None, :, r, k])
-        fa, fb = factors_a[:, r, None], factors_b[None, :, r]
-        total += (1 - 2 * differ / size) / (fa * fb)
-        error_a, error_b = (np.sqrt(np.maximum(0, 1 - f * f)) / f for f in (fa, fb))
-        spread += error_a + error_b / fa
-    return total / n, _CONFIDENCE * spread / n / math.sqrt(max(1, size - 1) * n)
+    signs = [
+        np.unpackbits(x, axis=3, count=size).astype(np.float32) * 2 - 1 for x in (bits_a, bits_b)
+    ]
+    over = [s / (f[..., None] * math.sqrt(size)) for s, f in zip(signs, (factors_a, factors_b))]
+    guess = np.zeros((len(bits_a), len(bits_b)))
+    for k, turn in enumerate(_between(size)):
+        guess += (over[0][:, 0, k] @ turn) @ over[1][:, 1, k].T
+        guess += (over[0][:, 1, k] @ turn.T) @ over[1][:, 0, k].T
+    # The part of a code over its factor that is not the vector, squared, on average.
+    off_a, off_b = (
+        ((1 - np.minimum(f, 1.0) ** 2) / f**2).mean(axis=(1, 2)) for f in (factors_a, factors_b)
+    )
+    spread = off_a[:, None] + off_b + off_a[:, None] * off_b
+    bound = _CONFIDENCE * np.sqrt(spread / (max(1, size - 1) * SIDE))
+    return guess / (2 * SIDE), bound
+
+
+def maybe_near(left: slice, right: slice, bits, factors, size: int, threshold: float):
+    """Pairs between two ranges of rows, or within one, that the estimates do not rule out."""
+    guess, off = estimates(bits[left], factors[left], bits[right], factors[right], size)
+    a, b = np.nonzero(guess + off >= threshold)
+    a, b = a + left.start, b + right.start
+    return (a[a < b], b[a < b]) if left == right else (a, b)
 
 
 def links(
@@ -117,11 +146,7 @@ def links(
 
     A pair counts in the first table whose bucket it shares.
     """
-    guess, off = estimates(bits[left], factors[left], bits[right], factors[right], vectors.shape[1])
-    a, b = np.nonzero(guess + off >= threshold)
-    a, b = a + left.start, b + right.start
-    if left == right:
-        a, b = a[a < b], b[a < b]
+    a, b = maybe_near(left, right, bits, factors, vectors.shape[1], threshold)
     exact = np.empty(len(a))
     for at in range(0, len(a), 1 << 16):
         part = slice(at, at + (1 << 16))
@@ -194,41 +219,47 @@ def near_duplicate_vectors(
 
 def _found(classes: DataFrame, codes: Codes, threshold: float, block: int) -> DataFrame:
     """``node``, ``root`` (a node it is connected with) and ``n``, the weight of its links."""
-    kind = (
-        "node long, copies long, vector binary, bits binary, factors binary, buckets binary, "
-        "place long"
-    )
-    single = classes.schema["v"].dataType.elementType.simpleString() == "float"
-    number = "float" if single else "double"  # vectors travel as they were given
-    coded = classes.select("node", "copies", F.col("v").cast(f"array<{number}>").alias("v"))
-    coded = coded.mapInArrow(_encode(codes), kind)
-    placed = _dealt(coded, block)
+    number = classes.schema["v"].dataType.elementType.simpleString()
+    number = "float" if number == "float" else "double"  # vectors travel as they were given
+    vectors = classes.select("node", "copies", F.col("v").cast(f"array<{number}>").alias("v"))
+    coded = vectors.select("node", "v").mapInArrow(_encode(codes), _CODED)
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = ("place", "one", "two")
-    ordered = placed.repartition(n, *key).sortWithinPartitions(*key)
-    compare = _compare(codes, threshold, "f4" if single else "f8")
-    return ordered.mapInArrow(compare, "node long, root long, n long")
+    placed = _dealt(coded, block).repartition(n, *_KEY).sortWithinPartitions(*_KEY)
+    met = placed.mapInArrow(_by_key(_survivors(codes, threshold)), _MET)
+    met = stored(met, "embedding-survivors")
+    whole = met.join(vectors, "node").select(*_KEY, "own", "node", "copies", "v")
+    ordered = whole.repartition(n, *_KEY).sortWithinPartitions(*_KEY)
+    return ordered.mapInArrow(
+        _by_key(_group_links(codes, threshold)), "node long, root long, n long"
+    )
+
+
+#: A bucket (table and number in one), and two blocks of it.
+_KEY = ("place", "one", "two")
+_CODED = "place long, node long, bits binary, factors binary"
+_MET = "place long, one int, two int, own int, node long"
 
 
 def _encode(codes: Codes):
-    """A row for each vector and table; ``place`` is table and bucket in one number."""
+    """A row for each vector and table, without the vector."""
 
     def encode(tables):
         for t in tables:
             for at in range(0, t.num_rows, 256):
                 part = t.slice(at, 256)
-                raw = part.column(2).flatten().to_numpy().reshape(part.num_rows, codes.size)
-                bits, factors, buckets = encoded(unit_rows(raw), codes)
-                packed = np.packbits(bits, axis=2)
-                fixed = [raw, packed, factors.astype("f4"), buckets.astype("i4")]
-                spread = [
-                    pa.array([x.tobytes() for x in column], pa.binary()) for column in fixed
+                raw = part.column(1).flatten().to_numpy().reshape(part.num_rows, codes.size)
+                unit = unit_rows(raw)
+                fixed = [
+                    pa.array([x.tobytes() for x in column], pa.binary())
+                    for column in encoded(unit, codes)
                 ]
+                places = buckets_of(unit, codes) + (
+                    np.arange(codes.tables, dtype=np.int64) << codes.piece
+                )
                 for k in range(codes.tables):
-                    place = buckets[:, k] + (k << codes.piece)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column(1), *spread, pa.array(place)],
-                        ["node", "copies", "vector", "bits", "factors", "buckets", "place"],
+                        [pa.array(places[:, k]), part.column(0), *fixed],
+                        ["place", "node", "bits", "factors"],
                     )
 
     return encode
@@ -245,59 +276,80 @@ def _dealt(coded: DataFrame, block: int) -> DataFrame:
     rows = rows.withColumn("other", other).drop("blocks")
     return rows.select(
         "place", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
-        "own", "node", "copies", "vector", "bits", "factors", "buckets",
+        "own", "node", "bits", "factors",
     )
 
 
-def _compare(codes: Codes, threshold: float, number: str):
-    def compare(tables):
+def _by_key(compare):
+    """Hand the rows of each key to ``compare``; a key has two blocks of rows at most."""
+
+    def run(tables):
         key, group = None, []
         for t in tables:
             for row in zip(*(c.to_pylist() for c in t.columns)):
                 if row[:3] != key:
-                    yield from _group_links(key, group, codes, threshold, number)
+                    if len(group) > 1:
+                        yield from compare(key, group)
                     key, group = row[:3], []
                 group.append(row[3:])
-        yield from _group_links(key, group, codes, threshold, number)
-
-    return compare
-
-
-def _group_links(
-    key, group: list, codes: Codes, threshold: float, number: str
-) -> Iterator[pa.RecordBatch]:
-    if len(group) < 2:
-        return
-    place, one, two = key
-    group.sort(key=lambda r: r[0])
-    own, nodes, copies, *fixed = zip(*group)
-    vectors, bits, factors, buckets = (
-        np.frombuffer(b"".join(column), kind).reshape(len(group), *shape)
-        for column, kind, shape in zip(
-            fixed,
-            (number, "u1", "f4", "i4"),
-            ((codes.size,), (codes.rotations, -1), (codes.rotations,), (codes.tables,)),
+        if len(group) > 1:
+            yield from compare(key, group)
+
+    return run
+
+
+def _sides(key, group: list) -> tuple[slice, slice]:
+    """The rows of both blocks of a key; the same twice if it is one block."""
+    _, one, two = key
+    group.sort(key=lambda r: r[:2])
+    if one == two:
+        return slice(0, len(group)), slice(0, len(group))
+    cut = sum(r[0] == one for r in group)
+    return slice(0, cut), slice(cut, len(group))
+
+
+def _survivors(codes: Codes, threshold: float):
+    """Vectors that may have a partner in their bucket."""
+
+    def survivors(key, group) -> Iterator[pa.RecordBatch]:
+        left, right = _sides(key, group)
+        own, nodes, bits, factors = zip(*group)
+        bits = np.frombuffer(b"".join(bits), "u1").reshape(len(group), 2, SIDE, -1)
+        factors = np.frombuffer(b"".join(factors), "f4").reshape(len(group), 2, SIDE)
+        a, b = maybe_near(left, right, bits, factors, codes.size, threshold)
+        stay = np.unique(np.concatenate([a, b]))
+        if len(stay):
+            place, one, two = (pa.array(np.full(len(stay), k)) for k in key)
+            columns = [place, one.cast(pa.int32()), two.cast(pa.int32())]
+            columns += [pa.array(np.array(own)[stay], pa.int32()), pa.array(np.array(nodes)[stay])]
+            yield pa.RecordBatch.from_arrays(columns, [*_KEY, "own", "node"])
+
+    return survivors
+
+
+def _group_links(codes: Codes, threshold: float):
+    def group_links(key, group) -> Iterator[pa.RecordBatch]:
+        left, right = _sides(key, group)
+        _, nodes, copies, vectors = zip(*group)
+        unit = unit_rows(np.array(vectors))
+        bits, factors = encoded(unit, codes)
+        a, b, counted = links(
+            left, right, unit, bits, factors, buckets_of(unit, codes), key[0] >> codes.piece,
+            threshold,
         )
-    )
-    cut = own.count(one) if one != two else len(group)
-    left = slice(0, cut)
-    right = left if one == two else slice(cut, len(group))
-    a, b, counted = links(
-        left, right, unit_rows(vectors), bits, factors.astype(float), buckets,
-        place >> codes.piece, threshold,
-    )
-    if not len(a):
-        return
-    copies = np.array(copies)
-    n = np.bincount(a[counted], copies[b[counted]], minlength=len(group))
-    n += np.bincount(b[counted], copies[a[counted]], minlength=len(group))
-    nodes = np.array(nodes)
-    root = nodes[_local_roots(len(group), a, b)]
-    out = np.unique(np.concatenate([a, b]))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(nodes[out]), pa.array(root[out]), pa.array(n[out].astype(np.int64))],
-        ["node", "root", "n"],
-    )
+        if not len(a):
+            return
+        copies, nodes = np.array(copies), np.array(nodes)
+        n = np.bincount(a[counted], copies[b[counted]], minlength=len(group))
+        n += np.bincount(b[counted], copies[a[counted]], minlength=len(group))
+        root = nodes[_local_roots(len(group), a, b)]
+        out = np.unique(np.concatenate([a, b]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes[out]), pa.array(root[out]), pa.array(n[out].astype(np.int64))],
+            ["node", "root", "n"],
+        )
+
+    return group_links
 
 
 def _local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
