@@ -2,7 +2,8 @@
 
 Folding makes look-alike letters of other scripts, full-width letters and digits or signs within
 words into Latin letters, and everything that is no letter into a space. An entry is the start of a
-word or a whole word. Exception phrases are word pairs in which an entry does not count.
+word, of 3 to 12 letters, or a whole word of any length; what a script without spaces writes in a
+row is one word. Exception phrases are word pairs in which an entry does not count.
 
 ``learn_lexicon`` takes entries, weights, exceptions and the curve from weight to score from at
 most about ``rows_per_label`` labelled texts of each label, however many there are. Everything else
@@ -24,10 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lossmill.llm.common import stored
+
 ROWS_PER_LABEL = 5_000
-MIN_EVIDENCE = 30.0
+#: Of the candidates this share may be there by chance.
+FALSE_SHARE = 0.1
 _PREFIXES = range(3, 13)
-_LONGEST_WORD = 40
+_STEPS = 4  # of evidence in the histogram, per unit
 _GRAIN = 1 << 30
 
 # Letters that look like Latin ones, and the ones they look like.
@@ -171,15 +175,17 @@ def learn_lexicon(
     text_col: str = "text",
     label_col: str = "toxic",
     rows_per_label: int = ROWS_PER_LABEL,
-    min_evidence: float = MIN_EVIDENCE,
+    false_share: float = FALSE_SHARE,
 ) -> Lexicon:
     """Learn from the texts of ``docs`` that ``labels`` marks 0 or 1.
 
-    Candidates are starts and whole words whose log-likelihood ratio against independence is at
-    least ``min_evidence``, however many. They are taken greedily, each time the one with most evidence among
-    texts of label 1 that hold none so far, so words that merely stand beside an entry in copied
-    texts add nothing. Texts that occur again count once. Null labels and ids are left out; a row
-    with both labels counts for both. Without texts of both labels the lexicon is empty.
+    Candidates are starts and whole words with a high log-likelihood ratio against independence,
+    however many. How high follows from the labels there are: so that of all that reach it at most
+    ``false_share`` would do so by chance, given the number of starts and words looked at. They are
+    taken greedily, each time the one with most evidence among texts of label 1 that hold none so
+    far, so words that merely stand beside an entry in copied texts add nothing. Texts that occur
+    again count once. Null labels and ids are left out; a row with both labels counts for both.
+    Without texts of both labels the lexicon is empty.
     """
     marks = labels.where(F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")
@@ -195,11 +201,8 @@ def learn_lexicon(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # At most some ``rows_per_label`` ids of each label: small enough for every executor.
     texts = texts.join(F.broadcast(sample), "id").select("text", "label")
-    texts = texts.dropDuplicates(["text", "label"]).persist()
-    try:
-        return _learn(texts, shares, min_evidence)
-    finally:
-        texts.unpersist()
+    texts = stored(texts.dropDuplicates(["text", "label"]), "toxicity-sample")
+    return _learn(texts, shares, false_share)
 
 
 def _logit(share: float) -> float:
@@ -211,13 +214,12 @@ def _logit(share: float) -> float:
 def _starts_and_words(folded: str) -> set[str]:
     found = set()
     for word in set(folded.split()):
-        if len(word) >= _PREFIXES[0] and len(word) <= _LONGEST_WORD:
-            found.add(f" {word} ")
-            found.update(f" {word[:n]}" for n in _PREFIXES if n <= len(word))
+        found.add(f" {word} ")
+        found.update(f" {word[:n]}" for n in _PREFIXES if n <= len(word))
     return found
 
 
-def _learn(texts: DataFrame, shares: dict, min_evidence: float) -> Lexicon:
+def _learn(texts: DataFrame, shares: dict, false_share: float) -> Lexicon:
     sizes = {r.label: r.n for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_yes, n_no = sizes.get(1, 0), sizes.get(0, 0)
     if not (n_yes and n_no):
@@ -225,17 +227,37 @@ def _learn(texts: DataFrame, shares: dict, min_evidence: float) -> Lexicon:
     counts = texts.mapInArrow(_count, "entry string, yes long, no long")
     counts = counts.groupBy("entry").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     evidence = _evidence(F.col("yes"), F.col("no"), n_yes, n_no)
-    over = (F.col("yes") * n_no > F.col("no") * n_yes) & (evidence >= min_evidence)
-    names = counts.where(over).select("entry").orderBy("entry").toArrow().column(0).to_pylist()
+    telling = F.when(F.col("yes") * n_no > F.col("no") * n_yes, evidence).otherwise(0.0)
+    counts = stored(counts.select("entry", telling.alias("evidence")), "toxicity-counts")
+    least = _least_evidence(counts, false_share)
+    chosen = counts.where(F.col("evidence") >= least).select("entry").orderBy("entry")
+    names = chosen.toArrow().column(0).to_pylist()
     held = texts.mapInArrow(_holdings(names), "label int, holds array<int>").toArrow()
-    weights = _cover(names, held, n_yes, n_no, min_evidence)
+    weights = _cover(names, held, n_yes, n_no, least)
     found = Lexicon(weights)
     rows = texts.mapInArrow(_contexts(found), "label int, length long, hits string").collect()
     seen = [(r.label, r.length, [h.split("\t") for h in r.hits.split("\n") if h]) for r in rows]
-    exceptions = _exceptions(seen, weights, n_yes, n_no, min_evidence)
+    exceptions = _exceptions(seen, weights, n_yes, n_no, false_share)
     return Lexicon(weights, exceptions, _curve(seen, weights, exceptions, shares))
 
 
+def _least_evidence(counts: DataFrame, false_share: float) -> float:
+    """The least evidence at which chance would bring ``false_share`` of what there is, or less.
+
+    Evidence without a connection is distributed as chi-square of one degree; half of it points to
+    label 1. Counted in a histogram, whose steps are few whatever the number of entries.
+    """
+    step = F.floor(F.least("evidence", F.lit(1e6)) * _STEPS).alias("step")
+    rows = counts.groupBy(step).agg(F.count("*").alias("n")).collect()
+    looked_at, reached, least = sum(r.n for r in rows), 0, math.inf
+    for r in sorted(rows, key=lambda r: -r.step):
+        reached += r.n
+        value = r.step / _STEPS
+        if looked_at * math.erfc(math.sqrt(value / 2)) / 2 <= false_share * reached:
+            least = value
+    return least
+
+
 def _count(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: tuple[Counter, Counter] = (Counter(), Counter())
 
@@ -250,7 +272,7 @@ def _count(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in tables:
         for text, label in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
             counts[label].update(_starts_and_words(fold(text)))
-            if len(counts[0]) + len(counts[1]) > 500_000:
+            if len(counts[0]) + len(counts[1]) > 200_000:
                 yield flushed()
     yield flushed()
 
@@ -327,13 +349,15 @@ def _contexts(lexicon: Lexicon):
 
 
 def _pair(folded: str, start: int, before: bool) -> str:
-    """The word at ``start`` with the one before or after it; empty where there is none."""
-    word = folded[start : start + 200].split(None, 1)[0]
+    """The word after the space at ``start`` with the one next before or after it, one space apart;
+    empty where there is none."""
+    end = folded.index(" ", start + 1)
+    word = folded[start + 1 : end]
     if before:
-        other = folded[max(0, start - 200) : start].split()[-1:]
-        return f" {other[0]} {word} " if other and folded[start - 1 : start].strip() else ""
-    other = folded[start : start + 400].split()[1:2]
-    return f" {word} {other[0]} " if other else ""
+        there = start > 0 and folded[start - 1] != " "
+        return f" {folded[folded.rindex(' ', 0, start) + 1 : start]} {word} " if there else ""
+    there = end + 1 < len(folded) and folded[end + 1] != " "
+    return f" {word} {folded[end + 1 : folded.index(' ', end + 1)]} " if there else ""
 
 
 def _cover(
@@ -377,29 +401,35 @@ def _cover(
     return weights
 
 
-def _exceptions(seen, weights, n_yes: int, n_no: int, least: float) -> tuple[str, ...]:
-    """Pairs with an entry that stand in texts of label 0 far more often than other uses do."""
+def _exceptions(seen, weights, n_yes: int, n_no: int, false_share: float) -> tuple[str, ...]:
+    """Pairs with an entry that stand in texts of label 0 far more often than other uses do.
+
+    They are taken greedily, each time the one with most evidence among texts of label 0 that hold
+    none so far, so words that merely stand beside an excused one add nothing. The bar is such that
+    of all pairs looked at less than ``false_share`` would reach it by chance.
+    """
     pairs: dict[str, tuple[set, set]] = defaultdict(lambda: (set(), set()))
+    used: tuple[set, set] = (set(), set())
     for k, (label, _, hits) in enumerate(seen):
         for entry, *around in hits:
             if entry in weights:
+                used[label].add(k)
                 for pair in filter(None, around):
                     pairs[pair][label].add(k)
-    used = [
-        sum(1 for y, _, hits in seen if y == label and any(e in weights for e, *_ in hits))
-        for label in (0, 1)
-    ]
-    if not used[0]:
-        return ()
-    return tuple(
-        sorted(
-            pair
-            for pair, (no, yes) in pairs.items()
-            if len(no) * max(used[1], 1) > len(yes) * used[0]
-            and len(no) * n_yes > len(yes) * n_no
-            and _ratio(len(no), len(yes), used[0], max(used[1], 1)) >= least
-        )
-    )
+    n_used = max(len(used[1]), 1)
+    left, found = set(used[0]), []
+    while left:
+        best = (0.0, "")
+        for pair, (no, yes) in pairs.items():
+            n = len(no & left)
+            if n * n_used > len(yes) * len(left) and n * n_yes > len(yes) * n_no:
+                best = max(best, (_ratio(n, len(yes), len(left), n_used), pair))
+        evidence, pair = best
+        if not pair or len(pairs) * math.erfc(math.sqrt(evidence / 2)) / 2 > false_share:
+            break
+        found.append(pair)
+        left -= pairs.pop(pair)[0]
+    return tuple(sorted(found))
 
 
 def _curve(seen, weights, exceptions, shares) -> tuple[float, float, float]:

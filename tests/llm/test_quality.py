@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
 import pytest
+from lossmill.llm import quality
 from lossmill.llm.quality import _slope, fit_ordinal, hashed, with_grade
 
 
@@ -75,3 +77,18 @@ def test_held_out_accuracy(query, spark):
     right = [r.kept == bool(r.quality) for r in got]
     print(len(right), sum(right) / len(right))
     assert sum(right) / len(right) > 0.9
+
+
+def test_grades_against_plain_loops(spark):
+    rng = np.random.default_rng(4)
+    weights = rng.normal(size=1 << 10).astype(np.float32)
+    model = quality.OrdinalModel((0.0, 1.0, 3.0), (-0.4, 0.9), weights, 10)
+    texts = ["one two two", "", None, "THREE", "x " * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = quality.with_grade(df, model).orderBy("doc_id").collect()
+    for row, text in zip(got, texts):
+        places, values = quality.hashed(None if text is None else text.encode(), 10)
+        total = sum(float(weights[p]) * float(v) for p, v in zip(places, values))
+        tails = [1 / (1 + math.exp(t - total)) for t in model.thresholds]
+        assert list(row.quality.tails) == pytest.approx(tails)
+        assert row.quality.expected_grade == pytest.approx(tails[0] + 2 * tails[1])

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -123,3 +124,70 @@ def test_query_gives_every_document(query, spark, sf_dir, name):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     changed = labels.withColumn("toxic", labels.toxic.cast("int"))
     assert toxic_lexicon(docs, labels) == toxic_lexicon(docs, changed)
+
+
+def plain_score(text, lexicon):
+    """Word by word, with every entry and every exception tried on every word."""
+    folded = fold(text)
+    words = folded[1:-1].split(" ")  # empty where several spaces stand in a row
+    counts = {}
+    for k, word in enumerate(words):
+        if not word:
+            continue
+        around = [f" {words[k - 1]} {word} "] if k and words[k - 1] else []
+        around += [f" {word} {words[k + 1]} "] if k + 1 < len(words) and words[k + 1] else []
+        if set(around) & set(lexicon.exceptions):
+            continue
+        fits = [e for e in lexicon.weights if f" {word} ".startswith(e)]
+        if fits:
+            best = max(fits, key=lambda e: lexicon.weights[e])
+            counts[best] = counts.get(best, 0) + 1
+    weight = sum(lexicon.weights[e] * (1 + math.log(n)) for e, n in counts.items())
+    a, b, c = lexicon.curve
+    logit = a + b * math.log1p(weight) + c * math.log1p(1000 * weight / len(folded))
+    return 1 / (1 + math.exp(-logit)), sorted(e.strip() for e in counts)
+
+
+def test_scores_against_plain_loops(spark):
+    rng = random.Random(8)
+    letters = ["a", "b", "1", "@", "é", "ж", "中", " ", " ", "  ", "-", "."]
+    lexicon = Lexicon(
+        {" ab": 2.0, " aba ": 3.5, " b ": 0.7, " é": 1.1, " " + "ab" * 150 + " ": 5.0, " 中": 0.3},
+        (" ab ba ", " b b ", " " + "ab" * 150 + " a "),
+        (-2.0, 1.5, 0.5),
+    )
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(300)]
+    texts += ["x " + "ab" * 150 + " y", "ab" * 150 + " a", "ab ab ba b b b", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = with_toxicity(df, lexicon).orderBy("doc_id").collect()
+    for row, text in zip(got, texts):
+        score, matches = plain_score(text, lexicon)
+        assert row.toxicity.score == pytest.approx(score, abs=1e-12)
+        assert row.toxicity.matches == matches
+
+
+def test_the_bar_follows_the_labels(spark):
+    """Few labels with one clear word give an entry; many labels without any give none."""
+    rng = random.Random(9)
+    few = [(k, " ".join(rng.choices(WORDS, k=12)) + (" zid" if k % 5 == 0 else ""), int(k % 5 == 0)) for k in range(60)]
+    docs = spark.createDataFrame(few, "doc_id long, text string, toxic int")
+    lexicon = learn_lexicon(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert [e.strip() for e in lexicon.weights] == ["zid"]
+    none = [(k, " ".join(rng.choices(WORDS, k=12)), int(rng.random() < 0.2)) for k in range(1500)]
+    docs = spark.createDataFrame(none, "doc_id long, text string, toxic int")
+    lexicon = learn_lexicon(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert len(lexicon.weights) <= 1
+
+
+def test_words_of_any_length_can_be_entries(spark):
+    word = "q" + "xyz" * 30
+    rows = [(k, f"{word if k % 2 else 'it'} {rng_word(k)}", k % 2) for k in range(80)]
+    rows += [(100 + k, f"{'pq' if k % 2 else 'rs'} {rng_word(100 + k)}", k % 2) for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = learn_lexicon(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert " pq " in lexicon.weights
+    assert f" {word} " in lexicon.weights
+
+
+def rng_word(k):
+    return "".join(random.Random(k).choices("abcdefgh", k=6))
