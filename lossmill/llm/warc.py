@@ -7,8 +7,9 @@ them by number, checks numbers and total length, and takes the chunks apart.
 
 Spark's text writer writes the archives: a record is a row, and its line separator is the double
 line end that closes a WARC record. So the files go where Spark's file systems lead, through its
-commit protocol, and a lost executor leaves no half files. ``records_per_file`` and
-``segment_bytes`` bound the size of a file, and with it what a reader holds at a time.
+commit protocol, and a lost executor leaves no half files. ``segment_bytes`` bounds a record, and
+records per file are as many as ``file_bytes`` can hold for certain, which bounds what a reader
+holds at a time.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from lossmill.sinks.scratch import scratch_path
 SEGMENT_BYTES = 1 << 20
 CHUNK_BYTES = 1 << 12
 RECORDS_PER_FILE = 4_000
+#: What the blocks of a file add up to at most; a reader holds a file at a time.
+FILE_BYTES = 256 << 20
 
 _END = b"\r\n\r\n"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -179,6 +182,7 @@ def write_archives(
     revisit_bytes: int = 0,
     segment_bytes: int = SEGMENT_BYTES,
     records_per_file: int = RECORDS_PER_FILE,
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write a record per page below ``path``.
 
@@ -217,7 +221,7 @@ def write_archives(
         records.select(F.col("record").cast("string"))
         .write.option("lineSep", _END.decode())
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", records_per_file)
+        .option("maxRecordsPerFile", max(1, min(records_per_file, file_bytes // segment_bytes)))
         .text(path)
     )
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import glob
 import gzip
 import hashlib
 import random
@@ -120,3 +121,12 @@ def test_faults_are_named(spark, folder):
             f.write(b"".join(r + b"\r\n\r\n" for r in records))
         (row,) = reassemble(read_records(spark, path)).collect()
         assert row.payload is None and row.error, name
+
+
+def test_files_are_bounded_by_bytes(spark, folder):
+    write_archives(pages(spark), f"{folder}/w", segment_bytes=100, file_bytes=1000)
+    files = glob.glob(f"{folder}/w/part-*")
+    assert len(files) > 20
+    for name in files:
+        with gzip.open(name) as f:
+            assert f.read().count(b"WARC/1.1\r\n") <= 10
