@@ -99,8 +99,8 @@ class WordEncoder(dict):
         return ids
 
     def forget(self) -> None:
-        """Let go of all chunks. A task does so at its end: the worker that ran it lives on and
-        shares its executor's memory with others."""
+        """Let go of all chunks. The worker that ran a task lives on and shares its executor's
+        memory with others; without this its next task finds the chunks again."""
         self.clear()
         self._before = {}
         self[""] = b""

@@ -304,7 +304,6 @@ def _encode(path: str, end_id: int, width: str):
                     [some.column(0), packed, pa.nulls(len(ids), pa.binary())],
                     ["id", "ids", "counted"],
                 )
-        encoder(path).forget()
         if kind is not None:
             seen = np.flatnonzero(total)
             pairs = np.stack([seen, total[seen]], axis=1).astype("<i8").tobytes()
