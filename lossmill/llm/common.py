@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 from contextvars import ContextVar
+from functools import wraps
+from inspect import isgeneratorfunction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +94,38 @@ def batches(items: list, weight, limit: int) -> Iterator[list]:
         yield run
 
 
+def give_back() -> None:
+    """Return what Python and Arrow have freed to the system, which they would keep for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # only glibc has it
+        trim(0)
+
+
+def giving_back(work: Callable) -> Callable:
+    """``work`` on batches, with ``give_back`` at the end of each call, of a generator at its end.
+
+    The Python worker that ran a task lives on and shares its executor's memory with others.
+    """
+    if isgeneratorfunction(work):
+
+        @wraps(work)
+        def run(*args):
+            yield from work(*args)
+            give_back()
+
+    else:
+
+        @wraps(work)
+        def run(*args):
+            try:
+                return work(*args)
+            finally:
+                give_back()
+
+    return run
+
+
 def broadcast_if_small(
     df: DataFrame, row_bytes: Column | int, limit: int = BROADCAST_BYTES
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lossmill.llm.common import LOWER, UPPER, stored
+from lossmill.llm.common import LOWER, UPPER, giving_back, stored
 
 WINDOW = 10
 BLOCK_BYTES = 8_000_000
@@ -200,6 +200,7 @@ def _searcher(df: DataFrame, index: BenchmarkIndex):
     shared = df.sparkSession.sparkContext.broadcast(index)
 
     @F.arrow_udf(_FOUND)
+    @giving_back
     def search(text: pa.Array, before: pa.Array) -> pa.Array:
         rows = []
         for x, old in zip(text, before):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lossmill.llm.common import stored
+from lossmill.llm.common import giving_back, stored
 from lossmill.llm.encoding import encoder
 
 WINDOW = 2048
@@ -217,6 +217,7 @@ def _encoded_schema(docs: DataFrame, id_col: str) -> str:
 def _encode(path: str, window: int, end_id: int):
     last = np.array([end_id], _ID).tobytes()
 
+    @giving_back
     def encode(tables):
         rests: dict[int, int] = defaultdict(int)
         whole = 0
@@ -260,6 +261,7 @@ def _placed(encoded: DataFrame, counts: DataFrame, plan: Plan) -> DataFrame:
     piece = "struct<start:bigint,length:bigint,sequence_id:bigint,offset:bigint>"
 
     @F.arrow_udf(f"array<{piece}>")
+    @giving_back
     def place(lengths: pa.Array, numbers: pa.Array) -> pa.Array:
         names = ("start", "length", "sequence_id", "offset")
         kind = pa.list_(pa.struct([(n, pa.int64()) for n in names]))
@@ -297,6 +299,7 @@ def _with_checksums(pieces: DataFrame, encoded: DataFrame) -> DataFrame:
     """Rests in one piece have their checksum; the others are looked up once more."""
 
     @F.arrow_udf("long")
+    @giving_back
     def crc32(ids: pa.Array) -> pa.Array:
         return pa.array([zlib.crc32(x.as_py()) for x in ids], pa.int64())
 

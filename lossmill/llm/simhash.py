@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossmill.llm.common import stored
+from lossmill.llm.common import giving_back, stored
 from lossmill.llm.components import connected_components
 
 DENSE = 8192
@@ -107,6 +107,7 @@ def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
 
 def fingerprint_column(text: Column, spec: SimHash) -> Column:
     @F.arrow_udf("binary")
+    @giving_back
     def hashed(texts: pa.Array) -> pa.Array:
         return pa.array([fingerprint(x.as_py(), spec) for x in texts], pa.binary())
 
@@ -240,6 +241,7 @@ def _keyed_batch(keys: list[np.ndarray], prints: np.ndarray, before: list[bytes]
 
 
 def _index(spec: SimHash):
+    @giving_back
     def index(tables):
         for t in tables:
             for at in range(0, t.num_rows, 4096):
@@ -257,6 +259,7 @@ def _index(spec: SimHash):
 def _refine(level: int):
     """Halve what the key of a crowded bucket leaves open, of two segments of 32 bits."""
 
+    @giving_back
     def refine(tables):
         width = 16 >> level
         for t in tables:
@@ -290,6 +293,7 @@ def _open_part(key: bytes) -> int:
 def _compare(spec: SimHash, dense: int | None):
     """Spanning forests of the nodes of each key; crowded keys' nodes come back without a link."""
 
+    @giving_back
     def compare(tables):
         held_key, held, crowded = None, [], False  # the last key may go on in the next batch
         out: list[tuple[bytes, bytes, bytes | None]] = []

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossmill.llm.common import batches, broadcast_if_small, free_name, stored
+from lossmill.llm.common import batches, broadcast_if_small, free_name, giving_back, stored
 from lossmill.llm.decontaminate import merged
 
 LENGTH = 400
@@ -153,6 +153,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         spans = spans.unionByName(more.select("row", "start", "end"))
 
     @F.arrow_udf("array<struct<start:bigint,end:bigint>>")
+    @giving_back
     def merge(column: pa.Array) -> pa.Array:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         rows = [merged((s["start"], s["end"]) for s in x.as_py()) for x in column]
@@ -174,14 +175,18 @@ def _triples(texts: DataFrame, length: int) -> DataFrame:
     Samples of one name that are read together are reduced there: the spans of all of them are
     settled, and one goes on, marked as ``twice``.
     """
+    return texts.select("row", "text").mapInArrow(_cut(length), _SAMPLE)
 
+
+def _cut(length: int):
+    @giving_back
     def cut(tables):
         for t in tables:
             sizes = pc.binary_length(t.column(1)).fill_null(0).to_pylist()
             for some in batches(list(range(t.num_rows)), sizes.__getitem__, _PART):
                 yield from _sample_batches(t.slice(some[0], len(some)), length)
 
-    return texts.select("row", "text").mapInArrow(cut, _SAMPLE)
+    return cut
 
 
 def _sample_batches(part: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
@@ -228,6 +233,7 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(changes), np.cumsum(changes) - 1
 
 
+@giving_back
 def _by_gram(tables):
     """Of samples in the order of ``_NAME``: spans of names that occur twice (without a gram), and
     one sample of each name whose gram has several names, with its number within the gram.
@@ -317,6 +323,7 @@ def _compared(texts: DataFrame, names: DataFrame, length: int, group: int) -> Da
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = cut.repartition(n, "gram", "part").sortWithinPartitions("gram", "part")
 
+    @giving_back
     def compare(tables):
         key, rows = None, []
         for t in tables:
@@ -420,6 +427,7 @@ def repeat_report(text, spans) -> dict:
     """``n_bytes``, ``n_removed``, ``n_spans`` and the SHA-256 of the bytes that stay."""
 
     @F.arrow_udf("string")
+    @giving_back
     def kept_sha256(texts: pa.Array, found: pa.Array) -> pa.Array:
         return pa.array(
             [
@@ -444,6 +452,7 @@ def kept_text(text, spans):
     """The text without ``spans``; what is left of a character that was cut goes as well."""
 
     @F.arrow_udf("string")
+    @giving_back
     def kept(texts: pa.Array, found: pa.Array) -> pa.Array:
         return pa.array(
             [
@@ -469,6 +478,7 @@ def word_codes(text: Column) -> Column:
     held: dict[bytes, bytes] = {}
 
     @F.arrow_udf("binary")
+    @giving_back
     def codes(texts: pa.Array) -> pa.Array:
         out = []
         for x in texts:
@@ -516,6 +526,7 @@ def kept_words(text: Column, spans: Column) -> Column:
         return "".join([*out, whole[at:]])
 
     @F.arrow_udf("string")
+    @giving_back
     def kept(texts: pa.Array, found: pa.Array) -> pa.Array:
         rows = zip(texts.to_pylist(), found.to_pylist())
         return pa.array([None if t is None else cut(t, x) for t, x in rows], pa.string())

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lossmill.llm.common import stored
+from lossmill.llm.common import giving_back, stored
 
 ROWS_PER_LABEL = 5_000
 #: Of the candidates this share may be there by chance.
@@ -150,6 +150,7 @@ def with_toxicity(
     held: list[Matcher] = []
 
     @F.arrow_udf(_SCORED)
+    @giving_back
     def scored(texts: pa.Array) -> pa.Array:
         if not held:
             held.append(Matcher(matcher.value))
@@ -258,6 +259,7 @@ def _least_evidence(counts: DataFrame, false_share: float) -> float:
     return least
 
 
+@giving_back
 def _count(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: tuple[Counter, Counter] = (Counter(), Counter())
 
@@ -310,6 +312,7 @@ def _ratio(yes: int, no: int, n_yes: int, n_no: int) -> float:
 def _holdings(names: list[str]):
     """Numbers of the entries that each text holds."""
 
+    @giving_back
     def holdings(tables):
         entries = Matcher(Lexicon(dict.fromkeys(names, 1.0)))
         number = {name: k for k, name in enumerate(names)}
@@ -328,6 +331,7 @@ def _holdings(names: list[str]):
 def _contexts(lexicon: Lexicon):
     """Every use of an entry with the word pairs around it."""
 
+    @giving_back
     def contexts(tables):
         entries = Matcher(lexicon)
         for t in tables:
