@@ -35,11 +35,13 @@ def tables():
 
 def coded():
     for t in tables():
-        yield pa.RecordBatch.from_arrays([t.column(0), t.column(1).cast(pa.binary())], ["row", "text"])
+        data = t.column(1).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([t.column(0), data], ["row", "text"])
 
 
+path = public_tokenizers.path("word_bpe_49k.json")
 work = {
-    "packing": lambda: packing._encode(public_tokenizers.path("word_bpe_49k.json"), 2048, 1)(tables()),
+    "packing": lambda: packing._encode(path, 2048, 1)(tables()),
     "samples": lambda: suffix_dedup._cut(204)(coded()),
 }
 for _ in work[NAME]():
