@@ -13,13 +13,10 @@ from functools import wraps
 import public_tokenizers
 from lossmill.llm import decontaminate, packing, simhash, suffix_dedup, toxicity
 from lossmill.llm.common import Scratch, free_name, stored, table
-from lossmill.llm.queries import TOXIC_SCORE, toxic_lexicon
+from lossmill.llm.queries import PASSAGE_WORDS, TOXIC_SCORE, toxic_lexicon
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Passages of over 50 words.
-PASSAGE_WORDS = 51
-
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 _earlier = threading.local()  # scratch tables of the stage before, by this thread

@@ -36,6 +36,8 @@ URL_RULES = (
 )
 
 TOXIC_SCORE = 0.3
+#: Passages of over 50 words.
+PASSAGE_WORDS = 51
 KEPT_TAIL = 0.5
 
 
@@ -79,11 +81,16 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats of 400 bytes, and beside them passages of over 50 words, whatever their bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     report = suffix_dedup.repeat_report(F.col("text"), F.col("repeats"))
     kept = suffix_dedup.kept_text(F.col("text"), F.col("repeats"))
-    return suffix_dedup.with_repeats(docs).select(
-        "doc_id", *(c.alias(name) for name, c in report.items()), kept.alias("text")
+    passages = suffix_dedup.passage_report(F.col("text"), F.col("passages"))
+    return suffix_dedup.with_repeats(docs, words=PASSAGE_WORDS).select(
+        "doc_id",
+        *(c.alias(name) for name, c in report.items()),
+        kept.alias("text"),
+        *(c.alias(name) for name, c in passages.items()),
     )
 
 

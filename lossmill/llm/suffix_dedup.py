@@ -16,6 +16,9 @@ together they read one stretch of text to the left and right of it.
 
 Texts are split into samples where they are read, so no more than about one row per
 ``length`` / 2 bytes is shuffled; a text that repeats within less than a gram has up to one a byte.
+
+The same search finds passages by words: hashes of words stand for bytes then. Both can be sought at
+once, so that texts are read and shuffled once: samples of words have odd rows and odd grams.
 """
 
 from __future__ import annotations
@@ -45,7 +48,6 @@ _STEP = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 #: Bytes that stand for a word in ``word_codes``.
 WORD_BYTES = 4
-_WORD_CACHE = 1 << 18
 # Thai, Lao, Burmese, Khmer, kana and Han, which are written without spaces.
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
@@ -74,25 +76,34 @@ _powers = _Powers()
 
 def rolling(data: np.ndarray, size: int) -> np.ndarray:
     """A hash of every ``size`` bytes in a row."""
+    sums = _sums(data)
+    return _mixed((sums[size:] - sums[:-size]) * _powers.down[: len(data) - size + 1])
+
+
+def _sums(data: np.ndarray) -> np.ndarray:
     n = len(data)
     _powers.reach(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers.up[:n], out=sums[1:])
-    found = (sums[size:] - sums[:-size]) * _powers.down[: n - size + 1]
+    return sums
+
+
+def _mixed(found: np.ndarray) -> np.ndarray:
     found ^= found >> np.uint64(31)
     found *= np.uint64(0xBF58476D1CE4E5B9)
     found ^= found >> np.uint64(29)
     return found
 
 
-def samples(text: bytes, length: int) -> tuple[np.ndarray, ...]:
+def samples(text: bytes, length: int, unit: int = 1) -> tuple[np.ndarray, ...]:
     """Gram hash, place, and first and last window start of every sample of a text.
 
     Every window start belongs to one sample. Equal windows have equal grams at equal distance.
+    Places and ``length`` are in units of ``unit`` bytes.
     """
     size = gram_size(length)
     grams, places, firsts, lasts = [], [], [], []
-    data = np.frombuffer(text, np.uint8)
+    data = np.frombuffer(text, f"<u{unit}")
     for at in range(0, max(len(data) - length + 1, 0), _STEP):
         part = data[at : at + _STEP + length - 1]
         hashes = rolling(part, size)
@@ -129,12 +140,16 @@ def _least_in_windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return (least & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
     """``row`` and ``spans`` (merged structs of start and end, in bytes) of the rows of ``texts``
-    that have repeats. ``texts`` has a unique ``row`` and a binary ``text``, and is read twice."""
+    that have repeats. ``texts`` has a unique ``row`` and a binary ``text``, and is read twice.
+
+    With ``words``, rows have to be even, and ``passages`` are the spans, in words, of that many
+    words or more that stand elsewhere too.
+    """
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Samples, and spans (without a gram) that are settled where texts are read.
-    cut = stored(_triples(texts, length), "repeats-samples")
+    cut = stored(_triples(texts, length, words), "repeats-samples")
     sorted_names = cut.where("gram is not null").repartition(n, "gram")
     sorted_names = sorted_names.sortWithinPartitions(*_NAME)
     named = stored(sorted_names.mapInArrow(_by_gram, _NAMED), "repeats-names")
@@ -144,7 +159,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     settled = cut.where("gram is null").select(*around)
     settled = settled.unionByName(named.where("gram is null").select(*around))
     open_names = named.where("gram is not null")
-    compared = stored(_compared(texts, open_names, length, _GROUP), "repeats-compared")
+    compared = stored(_compared(texts, open_names, length, _GROUP, words), "repeats-compared")
     waiting = compared.where("window is not null")
     twice = waiting.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     late = waiting.join(twice, "window").where("open")
@@ -159,8 +174,22 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         rows = [merged((s["start"], s["end"]) for s in x.as_py()) for x in column]
         return pa.array([[{"start": a, "end": b} for a, b in r] for r in rows], kind)
 
-    held = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return held.select("row", merge("spans").alias("spans"))
+    span = F.struct("start", "end")
+    kinds = {"spans": span}
+    if words:
+        kinds = {"spans": F.when(~_is_odd("row"), span), "passages": F.when(_is_odd("row"), span)}
+    lists = (F.collect_list(c).alias(name) for name, c in kinds.items())
+    held = spans.groupBy(_text_row(words)).agg(*lists)
+    return held.select("row", *(merge(name).alias(name) for name in kinds))
+
+
+def _is_odd(name: str) -> Column:
+    return F.col(name).bitwiseAND(1) == 1
+
+
+def _text_row(words: int) -> Column:
+    """The row of the text that a sample or span is from."""
+    return (F.col("row").bitwiseAND(-2) if words else F.col("row")).alias("row")
 
 
 #: What says that two samples have the same windows around them.
@@ -169,40 +198,49 @@ _SAMPLE = "row long, gram long, place long, before int, after int, name long, tw
 _NAMED = "row long, gram long, place long, before int, after int, open boolean, number long"
 
 
-def _triples(texts: DataFrame, length: int) -> DataFrame:
+def _triples(texts: DataFrame, length: int, words: int) -> DataFrame:
     """Samples with the reach of their windows before and after them, and a name for that text.
 
     Samples of one name that are read together are reduced there: the spans of all of them are
     settled, and one goes on, marked as ``twice``.
     """
-    return texts.select("row", "text").mapInArrow(_cut(length), _SAMPLE)
+    return texts.select("row", "text").mapInArrow(_cut(length, words), _SAMPLE)
 
 
-def _cut(length: int):
+def _cut(length: int, words: int = 0):
     @giving_back
     def cut(tables):
         for t in tables:
             sizes = pc.binary_length(t.column(1)).fill_null(0).to_pylist()
             for some in batches(list(range(t.num_rows)), sizes.__getitem__, _PART):
-                yield from _sample_batches(t.slice(some[0], len(some)), length)
+                yield from _sample_batches(t.slice(some[0], len(some)), length, words)
 
     return cut
 
 
-def _sample_batches(part: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
+def _views(text: bytes, length: int, words: int) -> Iterator[tuple[bytes, int, int]]:
+    """What is searched in a text, and the size of its windows in units of how many bytes: its bytes
+    and, with ``words``, its words."""
+    yield text, length, 1
+    if words:
+        yield _codes(text), words, WORD_BYTES
+
+
+def _sample_batches(part: pa.RecordBatch, length: int, words: int) -> Iterator[pa.RecordBatch]:
     name = xxhash.xxh3_64_intdigest
     held: list[tuple[np.ndarray, ...]] = []
     for row, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-        if text is None or len(text) < length:
-            continue
-        gram, place, first, last = samples(text, length)
-        names = np.fromiter(
-            (name(text[a : b + length]) for a, b in zip(first.tolist(), last.tolist())),
-            np.uint64,
-            len(first),
-        )
-        rows = np.full(len(gram), row, np.int64)
-        held.append((rows, gram, place, place - first, last + length - place, names))
+        for odd, (data, size, unit) in enumerate(_views(text or b"", length, words)):
+            if len(data) < size * unit:
+                continue
+            gram, place, first, last = samples(data, size, unit)
+            ends = last + size
+            bounds = zip((first * unit).tolist(), (ends * unit).tolist())
+            names = np.fromiter((name(data[a:b]) for a, b in bounds), np.uint64, len(first))
+            if words:
+                gram = gram & np.uint64(2**64 - 2) | np.uint64(odd)
+            rows = np.full(len(gram), row + odd, np.int64)
+            held.append((rows, gram, place, place - first, ends - place, names))
     if not held:
         return
     rows = np.stack([np.concatenate(c).astype(np.int64) for c in zip(*held)])
@@ -298,7 +336,9 @@ def _kept(rows: np.ndarray, earlier: int) -> tuple[np.ndarray, int]:
     return one, int(number[-1])
 
 
-def _compared(texts: DataFrame, names: DataFrame, length: int, group: int) -> DataFrame:
+def _compared(
+    texts: DataFrame, names: DataFrame, length: int, group: int, words: int
+) -> DataFrame:
     """Windows of the open names that occur elsewhere as spans (``window`` null).
 
     The names of a gram that has over ``group`` are dealt to several tasks, ``group`` of them to
@@ -312,41 +352,56 @@ def _compared(texts: DataFrame, names: DataFrame, length: int, group: int) -> Da
     part = F.when(F.col("large"), F.floor(F.col("number") / group)).otherwise(0).alias("part")
     part = F.struct("gram", part, "large", "place", "before", "after", "open")
     # No hint: beyond Spark's own threshold for broadcasts texts are shuffled once, at any size.
-    by_row = names.groupBy("row").agg(F.collect_list(part).alias("parts"))
+    by_row = names.groupBy(_text_row(words)).agg(F.collect_list(part).alias("parts"))
     with_text = texts.select("row", "text").join(by_row, "row")
     stretch = F.expr("substring(text, int(p.place - p.before + 1), p.before + p.after)")
-    cut = with_text.select("row", "text", F.explode("parts").alias("p"))
+    row = F.col("row")
+    if words:
+        odd = F.exists("parts", lambda p: p["gram"].bitwiseAND(1) == 1)
+        with_text = with_text.withColumn("codes", word_codes(F.when(odd, F.col("text"))))
+        of_words = F.expr(
+            f"substring(codes, int(p.place - p.before) * {WORD_BYTES} + 1, "
+            f"(p.before + p.after) * {WORD_BYTES})"
+        )
+        stretch = F.when(_is_odd("p.gram"), of_words).otherwise(stretch)
+        row = row + F.col("p.gram").bitwiseAND(1)
+    cut = with_text.select("*", F.explode("parts").alias("p")).drop("parts")
     cut = cut.select(
-        "p.gram", "row", "p.place", "p.before", "p.open", stretch.alias("stretch"), "p.part",
+        "p.gram", row.alias("row"), "p.place", "p.before", "p.open", stretch.alias("stretch"), "p.part",
         F.coalesce("p.large", F.lit(False)).alias("large"),
     )
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = cut.repartition(n, "gram", "part").sortWithinPartitions("gram", "part")
 
+    def finished(rows):
+        if words and rows and rows[0][0] & 1:
+            return _finished(rows, words, WORD_BYTES)
+        return _finished(rows, length, 1)
+
     @giving_back
     def compare(tables):
         key, rows = None, []
         for t in tables:
             for row in zip(*(c.to_pylist() for c in t.columns)):
                 if (row[0], row[6]) != key:
-                    yield from _finished(rows, length)
+                    yield from finished(rows)
                     key, rows = (row[0], row[6]), []
                 rows.append(row)
-        yield from _finished(rows, length)
+        yield from finished(rows)
 
     return ordered.mapInArrow(
         compare, "row long, start long, end long, open boolean, window binary"
     )
 
 
-def _finished(group: list, length: int) -> Iterator[pa.RecordBatch]:
+def _finished(group: list, length: int, unit: int) -> Iterator[pa.RecordBatch]:
     """Spans of the windows that occur twice among some names of a gram. If the gram has more names
     elsewhere, one of each kind of window as well, to be counted there."""
     large = bool(group) and group[0][7]
     if not group or len(group) == 1 and not large:
         return
     rows: list[tuple] = []
-    hashes = [rolling(np.frombuffer(g[5], np.uint8), length) for g in group]
+    hashes = [rolling(np.frombuffer(g[5], f"<u{unit}"), length) for g in group]
     counts = [len(h) for h in hashes]
     distance = np.concatenate([np.arange(len(h)) - g[3] for h, g in zip(hashes, group)])
     windows = np.concatenate(hashes) + distance.astype(np.uint64) * np.uint64(0x94D049BB133111EB)
@@ -401,6 +456,8 @@ def with_repeats(
     length: int = LENGTH,
     into: str = "repeats",
     coded: Callable[[Column], Column] | None = None,
+    words: int = 0,
+    passages: str = "passages",
 ) -> DataFrame:
     """``docs``, written once, with a column ``into``: merged structs ``start``, ``end`` of the
     bytes covered by repeated strings, empty where there are none.
@@ -409,18 +466,24 @@ def with_repeats(
     twice repeat each other. Matches never cross rows; strings that overlap in one text count. A
     column of the name ``into`` is replaced. With ``coded`` all this is about the bytes that it
     makes of a text.
+
+    With ``words``, which goes without ``coded``, a column ``passages`` has the spans of words, as
+    ``word_codes`` parts them, that are covered by that many words in a row that start elsewhere too.
     """
+    if coded and words:
+        raise ValueError("words are sought in texts, not in what coded makes of them")
     row, codes = free_name(docs, "row"), free_name(docs, "codes")
-    rows = docs.drop(into).withColumn(row, F.monotonically_increasing_id())
+    added = [into, passages] if words else [into]
+    rows = docs.drop(*added).withColumn(row, F.monotonically_increasing_id() * len(added))
     # Made once and kept beside the text, which the search then does not read.
     data = coded(F.col(text_col)) if coded else F.lit(None).cast("binary")
     rows = stored(rows.withColumn(codes, data), "repeats-texts")
     data = F.col(codes) if coded else F.col(text_col).cast("binary")
     texts = rows.select(F.col(row).alias("row"), data.alias("text"))
-    spans = stored(repeated_spans(texts, length).toDF(row, into), "repeats-spans")
-    spans = broadcast_if_small(spans, 96 + 40 * F.size(into))
+    spans = stored(repeated_spans(texts, length, words).toDF(row, *added), "repeats-spans")
+    spans = broadcast_if_small(spans, 96 + 40 * sum(F.size(name) for name in added))
     found = rows.drop(codes).join(spans, row, "left").drop(row)
-    return found.withColumn(into, F.coalesce(into, F.expr("array()")))
+    return found.withColumns({name: F.coalesce(name, F.expr("array()")) for name in added})
 
 
 def repeat_report(text, spans) -> dict:
@@ -474,31 +537,44 @@ def word_codes(text: Column) -> Column:
 
     Words are parted by ASCII white space; a letter of a script without spaces is one by itself.
     """
-    digest = xxhash.xxh32_digest
-    held: dict[bytes, bytes] = {}
 
     @F.arrow_udf("binary")
     @giving_back
     def codes(texts: pa.Array) -> pa.Array:
-        out = []
-        for x in texts:
-            words = _words(x.as_py() or b"")
-            if len(held) > _WORD_CACHE:
-                held.clear()
-            for w in set(words).difference(held):
-                held[w] = digest(w)
-            out.append(b"".join([held[w] for w in words]))
-        return pa.array(out, pa.binary())
+        return pa.array([_codes(x.as_py() or b"") for x in texts], pa.binary())
 
     return codes(text.cast("binary"))
 
 
-def _words(data: bytes) -> list[bytes]:
+def _codes(data: bytes) -> bytes:
+    data = _spaced(data)
+    plain = np.frombuffer(data, np.uint8)
+    space = (plain == 32) | ((plain >= 9) & (plain <= 13))
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    begins, ends = edges[::2], edges[1::2]
+    codes = np.empty(len(begins), np.uint64)
+    at = 0
+    while at < len(begins):
+        first = begins[at]
+        to = int(np.searchsorted(ends, first + _STEP, side="right"))
+        if to == at:  # one word that is longer than a step
+            codes[at] = xxhash.xxh3_64_intdigest(data[first : ends[at]])
+            to += 1
+        else:
+            sums = _sums(plain[first : ends[to - 1]])
+            a, b = begins[at:to] - first, ends[at:to] - first
+            codes[at:to] = _mixed((sums[b] - sums[a]) * _powers.down[a])
+        at = to
+    return (codes >> np.uint64(64 - 8 * WORD_BYTES)).astype(f"<u{WORD_BYTES}").tobytes()
+
+
+def _spaced(data: bytes) -> bytes:
+    """``data`` with space around each letter of a script without spaces."""
     if not data.isascii():
         text = data.decode("utf-8", "replace")
         if _HAS_UNSPACED.search(text):
-            return [w.encode() for w in _WORD.findall(text)]
-    return data.split()
+            return b" ".join([w.encode() for w in _WORD.findall(text)])
+    return data
 
 
 def word_spans(spans: Column, words: int) -> Column:
@@ -513,6 +589,19 @@ def word_spans(spans: Column, words: int) -> Column:
     return F.filter(whole, lambda s: s["end"] - s["start"] >= words)
 
 
+def passage_report(text: Column, passages: Column) -> dict:
+    """``n_passages``, ``n_passage_words`` and the text without the words of ``passages``."""
+    some = F.size(passages) > 0
+    words = F.aggregate(passages, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return {
+        "n_passages": F.size(passages).cast("long"),
+        "n_passage_words": words,
+        "text_without_passages": F.when(some, kept_words(F.when(some, text), passages)).otherwise(
+            text
+        ),
+    }
+
+
 def kept_words(text: Column, spans: Column) -> Column:
     """The text without the words of ``spans`` and what parts them."""
 

@@ -2,11 +2,20 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from lossmill.llm import suffix_dedup
-from lossmill.llm.suffix_dedup import kept_text, repeat_report, samples, with_repeats, without_spans
+from lossmill.llm.suffix_dedup import (
+    kept_text,
+    passage_report,
+    repeat_report,
+    samples,
+    with_repeats,
+    without_spans,
+)
 from pyspark.sql import functions as F
 
 
@@ -103,3 +112,90 @@ def test_query_against_plain_loops(query, spark, sf_dir):
             len(text), len(places), runs, hashlib.sha256(kept).hexdigest(),
         )
     assert without_spans(b"abcdef", [(1, 2), (4, 6)]) == b"acd"
+
+
+def plain_passages(texts, n):
+    """Words of each text that ``n`` words in a row cover which start elsewhere too."""
+    lists = [re.findall("[\u4e00-\u9fff]|[^ \t-\r\u4e00-\u9fff]+", t or "") for t in texts]
+    return lists, plain([tuple(w) for w in lists], n)
+
+
+@pytest.mark.parametrize("group", [2, 2000])
+def test_passages_of_words_beside_repeats_of_bytes(spark, monkeypatch, group):
+    """Both at once, each as by plain loops; words are the same whatever space and script is around."""
+    monkeypatch.setattr(suffix_dedup, "_GROUP", group)
+    rng = random.Random(group)
+    words = ["a", "bb", "ccc", "d" * 30, "é", "\u4e2d", "\u6587\u5b57", "x\u4e2dy", "\u044f" * 9]
+    passages = [rng.choices(words, k=rng.randint(8, 40)) for _ in range(6)]
+    texts = [None, "", " \t", "a " * 200, "a\n" * 7 + "b", "\u4e2d" * 30]
+    for _ in range(60):
+        parts = [rng.choice(passages) for _ in range(rng.randint(0, 3))]
+        parts = [w for p in parts for w in [*p, *rng.choices(words, k=rng.randint(0, 4))]]
+        if parts and rng.random() < 0.5:
+            parts[rng.randrange(len(parts))] = rng.choice(words)
+        texts.append("".join(w + rng.choice([" ", " ", "\n", " \t "]) for w in parts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = with_repeats(df.repartition(3), length=60, words=12)
+    assert found.columns == ["doc_id", "text", "repeats", "passages"]
+    report = passage_report(F.col("text"), F.col("passages"))
+    found = found.select("*", *(c.alias(name) for name, c in report.items()))
+    got = {r.doc_id: r for r in found.collect()}
+    lists, covered = plain_passages(texts, 12)
+    by_bytes = plain([(t or "").encode() for t in texts], 60)
+    assert sum(map(bool, covered)) > 20 and sum(not c for c in covered) > 5
+    for k, places in enumerate(covered):
+        r = got[k]
+        assert {p for s in r.passages for p in range(s.start, s.end)} == places
+        assert {p for s in r.repeats for p in range(s.start, s.end)} == by_bytes[k]
+        assert r.n_passage_words == len(places)
+        assert r.n_passages == sum(1 for p in places if p - 1 not in places)
+        left = [w for p, w in enumerate(lists[k]) if p not in places]
+        if not places:
+            assert r.text_without_passages == texts[k]
+        else:
+            whole = "".join(left)
+            assert re.sub("[ \t-\r]", "", r.text_without_passages) == whole
+    with pytest.raises(ValueError):
+        with_repeats(df, coded=suffix_dedup.word_codes, words=12)
+
+
+def test_codes_of_words_in_any_step(monkeypatch):
+    long = "w" * 150
+    text = f"  some {long} words\x0bhere\n{long}x and {long} \u4e2dthere some\r".encode()
+    whole = suffix_dedup._codes(text)
+    monkeypatch.setattr(suffix_dedup, "_STEP", 200)
+    assert suffix_dedup._codes(text) == whole
+    monkeypatch.setattr(suffix_dedup, "_STEP", 100)
+    codes = np.frombuffer(suffix_dedup._codes(text), np.uint32).tolist()
+    assert len(codes) == 10 and codes[1] == codes[6] and codes[0] == codes[9]
+    assert len(set(codes)) == 8
+    assert suffix_dedup._codes(b"") == suffix_dedup._codes(b" \n") == b""
+
+
+def test_query_catches_passages_of_over_50_words(query, spark, folder):
+    """They are shorter than 400 bytes, so the contract's columns have nothing of them."""
+    rng = random.Random(3)
+
+    def prose(n):
+        return " ".join("".join(rng.choices("abcdefghijklm", k=rng.randint(2, 6))) for _ in range(n))
+
+    passages = [prose(51 + k % 6) for k in range(20)]
+    short = prose(50)
+    own = [prose(120) for _ in range(100)]
+    texts = [f"{t} {passages[k // 2]} {prose(30)}" for k, t in enumerate(own[:40])]
+    clean = [f"{t} {short}" for t in own[40:50]] + own[50:]
+    rows = list(enumerate([*texts, *clean, None, ""]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: r for r in query("op6_suffix_array_dedup", folder).collect()}
+    assert len(got) == len(rows)
+    for k, text in rows:
+        r = got[k]
+        assert (r.n_removed, r.text) == (0, text)
+        planted = k < len(texts)
+        assert r.n_passages == planted
+        assert r.n_passage_words == (len(passages[k // 2].split()) if planted else 0)
+        if planted:
+            before, after = text.split(passages[k // 2])
+            assert r.text_without_passages == before + after
+        else:
+            assert r.text_without_passages == text
