@@ -54,8 +54,9 @@ class Scratch:
         self.paths = []
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to a new table in the shared folder and read it back.
+def stored(df: DataFrame, label: str, options: dict | None = None) -> DataFrame:
+    """Write ``df`` to a new table in the shared folder and read it back; ``options`` are the
+    writer's.
 
     It cuts lineage: a lost executor costs the running stage, not what came before. Numbers that
     depend on how rows lay in partitions are fixed by it as well.
@@ -63,7 +64,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     if (scratch := _scratch.get()) is not None:
         scratch.paths.append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**options or {}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,8 @@ column per document in the order of ids; a cell holds the impact of a term in a
 is kept as a quadtree of its filled cells, level by level: four bits per node say which of its
 quadrants have cells, and every node holds the largest impact below it, as the difference to its
 parent's, in as few bytes as the level needs. So an impact is exact at the last level and a bound
-above it.
+above it. A block is stored as one row of packed values in a row group of its own, so that a task
+holds a few blocks at a time, however many its split has.
 
 A query descends with the paths of all its rows together. A state is a range of documents with one
 quadtree node per term that has cells there; its bound is the weighted sum of the nodes' maxima.
@@ -34,18 +35,23 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lossmill.llm.common import stored
+from lossmill.llm.common import giving_back, stored
 
 #: Cells of a block; a longer document has one of its own.
 BLOCK_CELLS = 1 << 20
 QUERY_BYTES = 8 << 20
 _BATCH = 64
+_PIECE = 1 << 16
 # Of UTF-8 in lower case: every byte of a character beyond ASCII belongs to a term.
 _TERMS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 _IN_TERM = np.array([b > 127 or chr(b).isalnum() for b in range(256)])
 #: How many of a node's quadrants, given by its bits, come before a quadrant.
 _BELOW = np.array([[(m & (1 << q) - 1).bit_count() for q in range(4)] for m in range(16)], np.int32)
-_COUNT = np.array([m.bit_count() for m in range(16)], np.uint8)
+_PACKING = pa.ipc.IpcWriteOptions(compression="zstd")
+_TERMS_OF_BLOCK = pa.schema({"terms": pa.binary(), "dfs": pa.int64()})
+_LEVEL = pa.schema({"mask": pa.binary(), "step": pa.binary()})
+# Without it Parquet's writer looks at sizes every hundred rows only, and a reader takes all of them.
+_ROW_GROUP_PER_BLOCK = {"parquet.block.row.count.limit": 1, "parquet.enable.dictionary": "false"}
 
 
 def terms(text: bytes | None) -> list[bytes]:
@@ -74,6 +80,7 @@ def weight(n_docs: int, df: int) -> int:
 def _spread(numbers: np.ndarray) -> np.ndarray:
     """Numbers of 31 bits with a zero before every bit."""
     out = numbers.astype(np.uint64)
+    moved = np.empty_like(out)
     for shift, mask in (
         (16, 0x0000FFFF0000FFFF),
         (8, 0x00FF00FF00FF00FF),
@@ -81,7 +88,9 @@ def _spread(numbers: np.ndarray) -> np.ndarray:
         (2, 0x3333333333333333),
         (1, 0x5555555555555555),
     ):
-        out = (out | out << np.uint64(shift)) & np.uint64(mask)
+        np.left_shift(out, np.uint64(shift), out=moved)
+        out |= moved
+        out &= np.uint64(mask)
     return out
 
 
@@ -89,16 +98,20 @@ def quadtree(rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> list[
     """Levels from the root down: quadrant bits of each node (none at the last level) and what its
     parent's maximum is larger by; for the root the maximum itself."""
     height = max(int(rows.max()).bit_length(), int(columns.max()).bit_length())
-    codes = _spread(rows) << np.uint64(1) | _spread(columns)
+    codes = _spread(rows)
+    codes <<= np.uint64(1)
+    codes |= _spread(columns)
     order = np.argsort(codes)
     codes, maxima = codes[order], values[order]
+    del order
     masks, levels = None, []
     for _ in range(height):
         parents = codes >> np.uint64(2)
-        starts = np.flatnonzero(np.diff(parents, prepend=parents[0] + np.uint64(1)))
+        starts = np.append(0, np.flatnonzero(parents[1:] != parents[:-1]) + 1)
         above = np.maximum.reduceat(maxima, starts)
-        sizes = np.diff(starts, append=len(codes))
-        levels.append((masks, np.repeat(above, sizes) - maxima))
+        steps = np.repeat(above, np.diff(starts, append=len(codes)))
+        steps -= maxima
+        levels.append((masks, steps))
         bits = np.uint8(1) << (codes & np.uint64(3)).astype(np.uint8)
         masks = np.bitwise_or.reduceat(bits, starts)
         codes, maxima = parents[starts], above
@@ -114,32 +127,57 @@ def _narrow(numbers: np.ndarray) -> bytes:
     raise ValueError("impacts are below 2 ** 31")
 
 
-def _wide(data: bytes) -> np.ndarray:
+def _numbers(data: bytes | pa.Buffer) -> np.ndarray:
     kind = {1: np.uint8, 2: np.uint16, 4: np.int32}[data[0]]
-    return np.frombuffer(data, kind, offset=1).astype(np.int32)
+    return np.frombuffer(data, kind, offset=1)
+
+
+def _packed(batches: Iterable[pa.RecordBatch], schema: pa.Schema) -> bytes:
+    """Batches as one compressed value: Spark copies a value whole, and arrays element by element."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, schema, options=_PACKING) as stream:
+        for batch in batches:
+            stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(data: pa.BinaryScalar) -> Iterator[pa.RecordBatch]:
+    with pa.ipc.open_stream(data.as_buffer()) as stream:
+        yield from stream
 
 
 class Treap:
     """A block's quadtree as arrays over the nodes of all levels; node 0 is for no cells."""
 
-    def __init__(self, masks: list[bytes], steps: list[bytes], ids: list, row_terms: pa.Array):
+    def __init__(
+        self,
+        masks: list[bytes | pa.Buffer],
+        steps: list[bytes | pa.Buffer],
+        ids: list,
+        row_terms: pa.Array,
+    ):
         self.ids, self.terms, self.height = ids, row_terms, len(steps) - 1
-        maxima = _wide(steps[0])
-        all_masks, all_maxima = [np.zeros(1, np.uint8)], [np.zeros(1, np.int32), maxima]
+        sizes = [len(_numbers(step)) for step in steps]
+        # The root is node 1; children follow in the order of their parents.
+        self.maxima = np.zeros(1 + sum(sizes), np.int32)
+        self.maxima[1] = _numbers(steps[0])[0]
+        # Cells, at the last level, have no children.
+        self.masks = np.zeros(1 + sum(sizes[:-1]), np.uint8)
+        self.first = np.zeros(len(self.masks), np.int32)
+        at, end = 1, 2
         for packed, step in zip(masks, steps[1:]):
             pairs = np.frombuffer(packed, np.uint8)
-            mask = np.stack([pairs & 15, pairs >> 4], axis=1).ravel()[: len(maxima)]
-            maxima = np.repeat(maxima, _COUNT[mask]) - _wide(step)
-            all_masks.append(mask)
-            all_maxima.append(maxima)
-        all_masks.append(np.zeros(len(maxima), np.uint8))
-        self.masks = np.concatenate(all_masks)
-        self.maxima = np.concatenate(all_maxima)
-        # The root is node 1; children follow in the order of their parents.
-        counts = _COUNT[self.masks]
-        self.first = np.cumsum(counts, dtype=np.int32)
-        self.first -= counts
-        self.first += 2
+            mask = self.masks[at:end]
+            mask[::2] = pairs & 15
+            mask[1::2] = (pairs >> 4)[: len(mask) // 2]
+            counts = np.bitwise_count(mask)
+            self.first[at:end] = np.cumsum(counts, dtype=np.int32)
+            self.first[at:end] += end
+            self.first[at:end] -= counts
+            maxima = np.repeat(self.maxima[at:end], counts)
+            maxima -= _numbers(step)
+            at, end = end, end + len(maxima)
+            self.maxima[at:end] = maxima
 
     def search(self, rows: np.ndarray, weights: np.ndarray, best: list[tuple], k: int) -> None:
         """Put into ``best``, sorted and of ``k`` at most, the documents that belong there: tuples
@@ -183,9 +221,11 @@ def _order(one_id) -> tuple:
 
 @dataclass(frozen=True)
 class Index:
-    """``blocks``: one row per block with ``ids``, ``terms``, ``dfs``, ``masks`` and ``steps``.
+    """``blocks``: one row per block with ``ids``, ``terms`` and ``grid``.
 
-    ``n_docs`` are the documents with a term, ``n_terms`` all their terms.
+    Packed in ``terms`` are the terms of the rows and in how many documents of the block they are, in
+    ``grid`` the quadrant bits and the steps of each level. ``n_docs`` are the documents with a term,
+    ``n_terms`` all their terms.
     """
 
     blocks: DataFrame
@@ -206,14 +246,14 @@ def build_index(
     counted = data.select("text").mapInArrow(_count_terms, "docs long, terms long")
     counted = counted.agg(F.sum("docs"), F.sum("terms")).first()
     n_docs, n_terms = int(counted[0] or 0), int(counted[1] or 0)
-    schema = (
-        f"ids array<{docs.schema[id_col].dataType.simpleString()}>, terms array<binary>, "
-        "dfs array<long>, masks array<binary>, steps array<binary>"
+    ids = f"array<{docs.schema[id_col].dataType.simpleString()}>"
+    blocks = data.mapInArrow(
+        _blocks(n_docs, n_terms, cells), f"ids {ids}, terms binary, grid binary"
     )
-    blocks = data.mapInArrow(_blocks(n_docs, n_terms, cells), schema)
-    return Index(stored(blocks, "search-index"), n_docs, n_terms)
+    return Index(stored(blocks, "search-index", _ROW_GROUP_PER_BLOCK), n_docs, n_terms)
 
 
+@giving_back
 def _count_terms(tables):
     docs = total = 0
     for t in tables:
@@ -245,6 +285,7 @@ class _Rows:
 
 
 def _blocks(n_docs: int, n_terms: int, cells: int):
+    @giving_back
     def build(tables):
         rows = _Rows()
         kind = pa.null()
@@ -267,52 +308,65 @@ def _blocks(n_docs: int, n_terms: int, cells: int):
 
 
 def _block(rows: _Rows, n_docs: int, n_terms: int, kind) -> pa.RecordBatch:
+    """The block of ``rows``, which are used up."""
     order = sorted(range(len(rows.ids)), key=lambda k: _order(rows.ids[k]))
     seen = np.concatenate([rows.seen[k] for k in order])
-    tfs = np.concatenate([rows.tfs[k] for k in order])
-    sizes = [len(rows.tfs[k]) for k in order]
+    sizes = np.array([len(rows.tfs[k]) for k in order])
     lengths = np.array([rows.tfs[k].sum(dtype=np.int64) for k in order])
+    values = np.concatenate([rows.tfs[k] for k in order])
     dfs = np.bincount(seen)
     by_df = np.argsort(-dfs, kind="stable")
-    row = np.empty(len(dfs), np.int64)
+    names = pa.array(list(rows.numbers), pa.binary()).take(pa.array(by_df))
+    rows.seen, rows.tfs, rows.numbers = [], [], {}
+    held = pa.RecordBatch.from_arrays([names, pa.array(dfs[by_df])], schema=_TERMS_OF_BLOCK)
+    row = np.empty(len(dfs), np.int32)
     row[by_df] = np.arange(len(dfs))
-    columns = np.repeat(np.arange(len(order)), sizes)
-    values = impact(tfs.astype(np.int64), np.repeat(lengths, sizes), n_docs, n_terms)
+    columns = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+    for at in range(0, len(values), _PIECE):
+        part = slice(at, at + _PIECE)
+        values[part] = impact(values[part].astype(np.int64), lengths[columns[part]], n_docs, n_terms)
     levels = quadtree(row[seen], columns, values)
-    masks = []
-    for mask, _ in levels[:-1]:
-        even = np.append(mask, np.zeros(len(mask) % 2, np.uint8))
-        masks.append((even[::2] | even[1::2] << np.uint8(4)).tobytes())
-    names = list(rows.numbers)
+    del seen, columns, values
     fields = {
         "ids": pa.array([[rows.ids[k] for k in order]], pa.list_(kind)),
-        "terms": pa.array([[names[k] for k in by_df.tolist()]], pa.list_(pa.binary())),
-        "dfs": pa.array([dfs[by_df]], pa.list_(pa.int64())),
-        "masks": pa.array([masks], pa.list_(pa.binary())),
-        "steps": pa.array([[_narrow(step) for _, step in levels]], pa.list_(pa.binary())),
+        "terms": pa.array([_packed([held], _TERMS_OF_BLOCK)], pa.binary()),
+        "grid": pa.array([_packed(_levels(levels), _LEVEL)], pa.binary()),
     }
     return pa.RecordBatch.from_arrays(list(fields.values()), list(fields))
 
 
+def _levels(levels: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """A row for each of ``levels``, which are used up."""
+    while levels:
+        mask, step = levels.pop(0)
+        if levels:
+            even = np.append(mask, np.zeros(len(mask) % 2, np.uint8))
+            mask = (even[::2] | even[1::2] << np.uint8(4)).tobytes()
+        row = [pa.array([x], pa.binary()) for x in (mask, _narrow(step))]
+        yield pa.RecordBatch.from_arrays(row, schema=_LEVEL)
+
+
 def _document_counts(index: Index, wanted: DataFrame) -> DataFrame:
     """``term`` and ``df`` of the terms of ``wanted`` that occur; ``wanted`` is of one batch."""
     held = [r.term for r in wanted.select("term").distinct().toLocalIterator()]
 
+    @giving_back
     def count(tables):
         some = pa.array(held, pa.binary())
         total = np.zeros(len(held), np.int64)
         for t in tables:
-            for names, dfs in zip(t.column(0), t.column(1)):
-                at = pc.index_in(some, names.values)
+            for packed in t.column(0):
+                held_here = next(_unpacked(packed))
+                at = pc.index_in(some, held_here["terms"])
                 there = np.flatnonzero(at.is_valid())
                 places = at.drop_null().to_numpy()
-                total[there] += dfs.values.to_numpy()[places]
+                total[there] += held_here["dfs"].to_numpy()[places]
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [some.take(pa.array(there)), pa.array(total[there])], ["term", "df"]
         )
 
-    found = index.blocks.select("terms", "dfs").mapInArrow(count, "term binary, df long")
+    found = index.blocks.select("terms").mapInArrow(count, "term binary, df long")
     return found.groupBy("term").agg(F.sum("df").alias("df"))
 
 
@@ -372,7 +426,7 @@ def _searched(index: Index, batch: DataFrame, k: int) -> DataFrame:
             queries.append((r.row, [t for t, _ in known], np.array([w for _, w in known])))
     id_kind = index.blocks.schema["ids"].dataType.elementType.simpleString()
     shared = index.blocks.sparkSession.sparkContext.broadcast(queries)
-    found = index.blocks.select("ids", "terms", "masks", "steps").mapInArrow(
+    found = index.blocks.select("ids", "terms", "grid").mapInArrow(
         _searcher(shared, k), f"row long, doc_id {id_kind}, score long"
     )
     order = Window.partitionBy("row").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
@@ -381,6 +435,7 @@ def _searched(index: Index, batch: DataFrame, k: int) -> DataFrame:
 
 
 def _searcher(shared, k: int):
+    @giving_back
     def search_blocks(tables):
         queries = shared.value
         names = pa.array([t for _, some, _ in queries for t in some], pa.binary())
@@ -390,9 +445,8 @@ def _searcher(shared, k: int):
         for t in tables:
             kind = t.schema.field(0).type.value_type
             for n in range(t.num_rows):
-                ids, row_terms, masks, steps = (t.column(c)[n] for c in range(4))
-                treap = Treap(masks.as_py(), steps.as_py(), ids.as_py(), row_terms.values)
-                at = pc.index_in(names, row_terms.values).fill_null(-1).to_numpy()
+                treap = _treap(*(t.column(c)[n] for c in range(3)))
+                at = pc.index_in(names, treap.terms).fill_null(-1).to_numpy()
                 for q, (_, _, weights) in enumerate(queries):
                     rows = at[starts[q] : starts[q + 1]]
                     there = rows >= 0
@@ -403,6 +457,13 @@ def _searcher(shared, k: int):
     return search_blocks
 
 
+def _treap(ids: pa.ListScalar, packed_terms: pa.BinaryScalar, grid: pa.BinaryScalar) -> Treap:
+    levels = list(_unpacked(grid))
+    masks = [level["mask"][0].as_buffer() for level in levels[:-1]]
+    steps = [level["step"][0].as_buffer() for level in levels]
+    return Treap(masks, steps, ids.as_py(), next(_unpacked(packed_terms))["terms"])
+
+
 def _found_batches(queries: Iterable, best: list[list[tuple]], kind) -> Iterator[pa.RecordBatch]:
     rows = [(q[0], one_id, -score) for q, some in zip(queries, best) for score, (_, one_id) in some]
     if rows:
